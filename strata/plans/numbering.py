@@ -56,13 +56,18 @@ def number_rows(
     )
     w = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = offsets.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0))).drop("_cnt")
-    cond = [sorted_df["_pid"] == offsets["_pid"]] + [sorted_df[c].eqNullSafe(offsets[c]) for c in group_cols]
+    offsets = offsets.select(
+        F.col("_pid").alias("_o_pid"),
+        *[F.col(c).alias(f"_o_{i}") for i, c in enumerate(group_cols)],
+        "_first_pos",
+        "_before",
+    )
+    cond = [F.col("_pid") == F.col("_o_pid")] + [F.col(c).eqNullSafe(F.col(f"_o_{i}")) for i, c in enumerate(group_cols)]
     joined = sorted_df.join(offsets, on=cond, how="inner")
-    result = joined.select(
-        *[sorted_df[c] for c in df.columns],
-        (offsets["_before"] + sorted_df["_pos"] - offsets["_first_pos"] + F.lit(start)).alias(out),
+    return joined.select(
+        *[F.col(c) for c in df.columns],
+        (F.col("_before") + F.col("_pos") - F.col("_first_pos") + F.lit(start)).alias(out),
     )
-    return result
 
 
 def number_in_scan_order(

@@ -13,8 +13,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators import rules, silver
-from strata.plans.retail import FLAGGED_SQL, RETAIL_LINES_SQL, retail_lines, with_ctes
+from strata.functions.expr import hmac_sha256, is_cancellation, line_amount, mask_sha256
+from strata.operators import audit, rules, silver
+from strata.plans.attach import attach_row
+from strata.plans.numbering import number_rows
+from strata.plans.retail import FLAGGED_SQL, RETAIL_LINES_SQL, flagged_sql, retail_lines, with_ctes
+from strata.schemas import RAW_COLUMNS, SILVER_CONTRACT
+from strata.sources import contract
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -85,3 +90,282 @@ FROM silver_typed"""
 def q_silver_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: rules -> valid -> casts -> row hash -> dedup -> derived/masked -> lineage -> 15 columns."""
     return silver_plan(spark, sf_dir)
+
+
+# ------------------------------------------------------------ rule results
+
+NUMBERED_SQL = """
+numbered_lines AS (
+  SELECT *, row_number() OVER (PARTITION BY source_file ORDER BY
+      InvoiceNo NULLS FIRST, StockCode NULLS FIRST, Description NULLS FIRST, Quantity NULLS FIRST,
+      InvoiceDate NULLS FIRST, UnitPrice NULLS FIRST, CustomerID NULLS FIRST, Country NULLS FIRST) + 1 AS record_number
+  FROM retail_lines
+)"""
+
+
+def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw lines with record_number = position in the file + 2 (header is line 1).
+
+    The derived files have no physical order, so the position is defined by
+    the eight raw values (rows equal in all of them are interchangeable).
+    Numbered with a range shuffle and an offsets table, not a per-file window.
+    """
+    raw = retail_lines(spark, sf_dir)
+    return number_rows(raw, ["source_file"], list(RAW_COLUMNS), out="record_number", start=2)
+
+
+@register("valid_lines", with_ctes(RETAIL_LINES_SQL, FLAGGED_SQL) + "\nSELECT * FROM valid_lines")
+def q_valid_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The valid side, lenient-typed (bronze content)."""
+    valid, _ = valid_and_rejected(spark, sf_dir)
+    return valid
+
+
+REJECTED_SQL = with_ctes(RETAIL_LINES_SQL, NUMBERED_SQL, flagged_sql("numbered_lines")) + """
+SELECT record_number, coalesce(InvoiceNo, 'UNKNOWN') AS record_identifier, rejection_reason,
+       InvoiceNo, StockCode, Description, Quantity, InvoiceDate, UnitPrice, CustomerID, Country, source_file
+FROM rejected_lines"""
+
+
+def rejected_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flagged = rules.flag(rules.coerce(numbered_lines(spark, sf_dir)))
+    _, rejected = rules.split(flagged)
+    return rejected
+
+
+@register("rejected_lines", REJECTED_SQL)
+def q_rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected rows with record_number, record_identifier and all reasons."""
+    return rules.rejected_projection(rejected_plan(spark, sf_dir), extra=["source_file"])
+
+
+@register(
+    "rejection_histogram",
+    with_ctes(RETAIL_LINES_SQL, FLAGGED_SQL)
+    + """
+SELECT reason AS rejection_reason, count(*) AS rejected_count
+FROM (SELECT unnest(string_split(rejection_reason, ';')) AS reason FROM rejected_lines)
+GROUP BY reason""",
+)
+def q_rejection_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: reasons split, exploded and counted, largest first."""
+    _, rejected = valid_and_rejected(spark, sf_dir)
+    return rules.reason_histogram(rejected)
+
+
+@register(
+    "rejection_audit",
+    with_ctes(RETAIL_LINES_SQL, NUMBERED_SQL, flagged_sql("numbered_lines"))
+    + f"""
+SELECT '{RUN_ID}' AS run_id, '{PROVIDER_ID}' AS provider_id, source_file,
+       coalesce(InvoiceNo, 'UNKNOWN') AS record_identifier, rule_name, rejection_reason,
+       {PROCESSED_AT_SQL} AS rejected_at, '{ENVIRONMENT}' AS environment, record_number
+FROM (SELECT *, unnest(string_split(rejection_reason, ';')) AS rule_name FROM rejected_lines)""",
+)
+def q_rejection_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per (rejected record, failed rule)."""
+    return audit.rejection_audit(rejected_plan(spark, sf_dir), RUN_ID, PROVIDER_ID, ENVIRONMENT, PROCESSED_AT)
+
+
+@register(
+    "validation_counts",
+    with_ctes(RETAIL_LINES_SQL, FLAGGED_SQL)
+    + """
+SELECT source_file, count(*) AS total_records,
+       CAST(count_if(rejection_reason = '') AS BIGINT) AS valid_records,
+       CAST(count_if(rejection_reason <> '') AS BIGINT) AS rejected_records
+FROM flagged_lines GROUP BY source_file""",
+)
+def q_validation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: total / valid / rejected per daily file."""
+    return audit.validation_counts(flagged_lines(spark, sf_dir))
+
+
+DECLARED_SQL = with_ctes(RETAIL_LINES_SQL, FLAGGED_SQL) + """
+SELECT * FROM (
+  SELECT source_file, InvoiceNo, StockCode, Description, Quantity, InvoiceDate, UnitPrice, CustomerID, Country,
+    concat_ws(';',
+      CASE WHEN NOT coalesce(InvoiceNo IS NOT NULL, false) THEN 'required_invoice_no' END,
+      CASE WHEN NOT coalesce(StockCode IS NOT NULL, false) THEN 'required_stock_code' END,
+      CASE WHEN NOT coalesce(Quantity > 0, false) THEN 'positive_quantity' END,
+      CASE WHEN NOT coalesce(UnitPrice >= 0, false) THEN 'positive_unit_price' END,
+      CASE WHEN NOT coalesce(InvoiceDate IS NOT NULL, false) THEN 'valid_invoice_date' END) AS failed_rules
+  FROM typed_lines)
+WHERE failed_rules <> ''"""
+
+
+@register("declared_rules", DECLARED_SQL)
+def q_declared_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The declared rule table (SQL conditions) applied; NULL fails a rule."""
+    typed = rules.coerce(retail_lines(spark, sf_dir))
+    return rules.failed_rules(typed, rules.RulePack.declared())
+
+
+# ------------------------------------------------------------ silver pieces
+
+SILVER_TYPED_SQL = """
+silver_cast AS (
+  SELECT source_file, InvoiceNo, StockCode, Description, CAST(trunc(Quantity) AS BIGINT) AS Quantity,
+         InvoiceDate, UnitPrice, CustomerID, Country
+  FROM valid_lines
+)"""
+
+
+def silver_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    valid, _ = valid_and_rejected(spark, sf_dir)
+    return silver.cast_columns(valid)
+
+
+@register(
+    "row_hash",
+    with_ctes(RETAIL_LINES_SQL, FLAGGED_SQL, SILVER_TYPED_SQL)
+    + """
+SELECT source_file, InvoiceNo, StockCode,
+  sha256(concat_ws('||', coalesce(InvoiceNo, ''), coalesce(StockCode, ''), coalesce(Description, ''),
+    coalesce(CAST(Quantity AS VARCHAR), ''), coalesce(strftime(InvoiceDate, '%Y-%m-%d %H:%M:%S'), ''),
+    coalesce(CAST(UnitPrice AS VARCHAR), ''), coalesce(CustomerID, ''), coalesce(Country, ''))) AS row_hash
+FROM silver_cast""",
+)
+def q_row_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5: SHA-256 row hash of the eight typed values."""
+    return silver_cast(spark, sf_dir).select("source_file", "InvoiceNo", "StockCode", silver.silver_row_hash().alias("row_hash"))
+
+
+DEDUP_SQL = with_ctes(RETAIL_LINES_SQL, FLAGGED_SQL, SILVER_TYPED_SQL) + """
+SELECT DISTINCT InvoiceNo, StockCode, Description, Quantity, InvoiceDate, UnitPrice, CustomerID, Country,
+       source_file AS SourceFile
+FROM silver_cast"""
+
+
+def _dedup(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    df = silver_cast(spark, sf_dir).select(*RAW_COLUMNS, F.col("source_file").alias("SourceFile"))
+    out = silver.dedup_exact(df, mode=mode, scope="file")
+    return out.drop(silver.HASH_COL)
+
+
+@register("dedup_lines", DEDUP_SQL)
+def q_dedup_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1, mode typed: key-only aggregate over the eight typed columns per file."""
+    return _dedup(spark, sf_dir, "typed")
+
+
+@register("dedup_hash_lines", DEDUP_SQL)
+def q_dedup_hash_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1, mode hash (reference parity): key = row hash per file, fixed survivor."""
+    return _dedup(spark, sf_dir, "hash")
+
+
+@register(
+    "dedup_counts",
+    with_ctes(RETAIL_LINES_SQL, FLAGGED_SQL, SILVER_TYPED_SQL)
+    + """
+SELECT (SELECT count(*) FROM silver_cast) AS source_count,
+       (SELECT count(*) FROM (SELECT DISTINCT * FROM silver_cast)) AS deduplicated_count,
+       (SELECT count(*) FROM silver_cast) - (SELECT count(*) FROM (SELECT DISTINCT * FROM silver_cast)) AS duplicate_count,
+       (SELECT count(*) FROM (SELECT DISTINCT * FROM silver_cast)) AS silver_count""",
+)
+def q_dedup_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: source, deduplicated, duplicate and silver counts of a run (one row)."""
+    src = silver_cast(spark, sf_dir)
+    before = src.agg(F.count(F.lit(1)).alias("source_count"))
+    after = silver.dedup_exact(
+        src.select(*RAW_COLUMNS, F.col("source_file").alias("SourceFile")), mode="typed"
+    ).agg(F.count(F.lit(1)).alias("deduplicated_count"))
+    j = attach_row(before, after)
+    return j.select(
+        "source_count",
+        "deduplicated_count",
+        (F.col("source_count") - F.col("deduplicated_count")).alias("duplicate_count"),
+        F.col("deduplicated_count").alias("silver_count"),
+    )
+
+
+@register(
+    "line_amount",
+    with_ctes(RETAIL_LINES_SQL, FLAGGED_SQL, SILVER_TYPED_SQL)
+    + """
+SELECT source_file, InvoiceNo, Quantity, UnitPrice, round(Quantity * UnitPrice, 2) AS LineAmount FROM silver_cast""",
+)
+def q_line_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LineAmount = round(Quantity * UnitPrice, 2)."""
+    return silver_cast(spark, sf_dir).select(
+        "source_file", "InvoiceNo", "Quantity", "UnitPrice", line_amount().alias("LineAmount")
+    )
+
+
+@register(
+    "cancellation_flag",
+    with_ctes(RETAIL_LINES_SQL, FLAGGED_SQL, SILVER_TYPED_SQL)
+    + """
+SELECT source_file, InvoiceNo, Quantity, upper(substr(InvoiceNo, 1, 1)) = 'C' AS IsCancellation FROM silver_cast""",
+)
+def q_cancellation_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IsCancellation (upper-cased first letter is C)."""
+    return silver_cast(spark, sf_dir).select("source_file", "InvoiceNo", "Quantity", is_cancellation().alias("IsCancellation"))
+
+
+@register(
+    "masked_customer",
+    with_ctes(RETAIL_LINES_SQL, FLAGGED_SQL)
+    + """
+SELECT sha256(CustomerID) AS CustomerID, count(*) AS line_count FROM valid_lines GROUP BY sha256(CustomerID)""",
+)
+def q_masked_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unsalted SHA-256 mask (NULL stays NULL), lines per masked customer."""
+    valid, _ = valid_and_rejected(spark, sf_dir)
+    return valid.groupBy(mask_sha256("CustomerID").alias("CustomerID")).agg(F.count(F.lit(1)).alias("line_count"))
+
+
+# ---- fixed values: demo HMAC key of the registered keyed-mask query ----
+DEMO_MASK_KEY = "strata-demo-key"
+
+
+@register("keyed_mask")
+def q_keyed_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """HMAC-SHA256 mask with a key (no DuckDB twin; checked against ``hmac`` in tests)."""
+    valid, _ = valid_and_rejected(spark, sf_dir)
+    return valid.groupBy(hmac_sha256("CustomerID", DEMO_MASK_KEY).alias("CustomerID")).agg(
+        F.count(F.lit(1)).alias("line_count")
+    )
+
+
+@register(
+    "lineage_columns",
+    SILVER_SQL.replace(
+        "SELECT InvoiceNo, StockCode, Description, Quantity, InvoiceDate, UnitPrice,\n       sha256(CustomerID)",
+        "SELECT SourceFile, SourceDate, SourceChecksum, PipelineRunID, ProcessedAt, count(*) AS line_count FROM (\nSELECT InvoiceNo, StockCode, Description, Quantity, InvoiceDate, UnitPrice,\n       sha256(CustomerID)",
+    )
+    + ") GROUP BY SourceFile, SourceDate, SourceChecksum, PipelineRunID, ProcessedAt",
+)
+def q_lineage_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineage of the silver rows per file and date."""
+    return (
+        silver_plan(spark, sf_dir)
+        .groupBy("SourceFile", "SourceDate", "SourceChecksum", "PipelineRunID", "ProcessedAt")
+        .agg(F.count(F.lit(1)).alias("line_count"))
+    )
+
+
+def _contract_sql() -> str:
+    parts = []
+    types = {"STRING": "STRING", "INT64": "INT64", "FLOAT64": "FLOAT64", "TIMESTAMP": "TIMESTAMP", "DATE": "DATE", "BOOLEAN": "BOOLEAN"}
+    for i, (name, dtype, nullable) in enumerate(SILVER_CONTRACT):
+        parts.append(
+            f"SELECT {i + 1} AS column_order, '{name}' AS column_name, '{dtype}' AS expected_type, "
+            f"'{types[dtype]}' AS actual_type, {str(nullable).lower()} AS nullable, "
+            f"CAST(count_if({name} IS NULL) AS BIGINT) AS null_count FROM silver_out"
+        )
+    body = "\nUNION ALL\n".join(parts)
+    silver_cte = SILVER_SQL.replace("\nSELECT InvoiceNo, StockCode, Description, Quantity, InvoiceDate, UnitPrice,\n       sha256", ",\nsilver_out AS (\nSELECT InvoiceNo, StockCode, Description, Quantity, InvoiceDate, UnitPrice,\n       sha256")
+    return (
+        silver_cte
+        + ")\nSELECT *, expected_type = actual_type AS type_ok, nullable OR null_count = 0 AS null_ok FROM (\n"
+        + body
+        + ")"
+    )
+
+
+@register("silver_contract", _contract_sql())
+def q_silver_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver types and NULL counts against the declared contract."""
+    return contract.contract_check(silver_plan(spark, sf_dir))

@@ -123,10 +123,6 @@ def source_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-assert [c for c in RAW_COLUMNS] == [
-    "InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate", "UnitPrice", "CustomerID", "Country"
-]
-
 # DuckDB twin of ``retail_lines`` (a CTE body), used by the oracle SQL.
 RETAIL_LINES_SQL = f"""
 retail_base AS (
@@ -162,15 +158,16 @@ retail_lines AS (
   FROM retail_base WHERE _ok % {COPY_MOD} = 0
 )"""
 
-# Typed + flagged lines in DuckDB (lenient casts, six rules in order).
-FLAGGED_SQL = r"""
+def flagged_sql(src: str = "retail_lines") -> str:
+    """Typed + flagged lines in DuckDB (lenient casts, six rules in order); any
+    extra columns of ``src`` are carried."""
+    return rf"""
 typed_lines AS (
-  SELECT source_file, InvoiceNo, StockCode, Description,
+  SELECT * REPLACE (
          TRY_CAST(Quantity AS DOUBLE) AS Quantity,
          try_strptime(InvoiceDate, '%Y-%m-%d %H:%M:%S') AS InvoiceDate,
-         TRY_CAST(UnitPrice AS DOUBLE) AS UnitPrice,
-         CustomerID, Country
-  FROM retail_lines
+         TRY_CAST(UnitPrice AS DOUBLE) AS UnitPrice)
+  FROM {src}
 ),
 flagged_lines AS (
   SELECT *, concat_ws(';',
@@ -185,13 +182,15 @@ flagged_lines AS (
   FROM typed_lines
 ),
 valid_lines AS (
-  SELECT source_file, InvoiceNo, StockCode, Description, Quantity, InvoiceDate, UnitPrice, CustomerID, Country
-  FROM flagged_lines WHERE rejection_reason = ''
+  SELECT * EXCLUDE (rejection_reason) FROM flagged_lines WHERE rejection_reason = ''
 ),
 rejected_lines AS (
   SELECT * FROM flagged_lines WHERE rejection_reason <> ''
 )"""
 
 
+FLAGGED_SQL = flagged_sql()
+
+
 def with_ctes(*bodies: str) -> str:
     return "WITH " + ",\n".join(b.strip() for b in bodies)
