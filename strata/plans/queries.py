@@ -13,12 +13,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.expr import hmac_sha256, is_cancellation, line_amount, mask_sha256
+from strata.functions.expr import (
+    hmac_sha256,
+    is_cancellation,
+    line_amount,
+    mask_sha256,
+    source_date_from_name,
+    truncate_text,
+    try_double,
+    try_long,
+    try_timestamp,
+)
 from strata.operators import audit, rules, silver
+from strata.operators import incremental as inc
+from strata.operators import state as st
 from strata.plans.attach import attach_row
 from strata.plans.numbering import number_rows
-from strata.plans.retail import FLAGGED_SQL, RETAIL_LINES_SQL, flagged_sql, retail_lines, with_ctes
-from strata.schemas import RAW_COLUMNS, SILVER_CONTRACT
+from strata.plans.retail import FLAGGED_SQL, RETAIL_LINES_SQL, flagged_sql, retail_lines, table, with_ctes
+from strata.schemas import FILE_STATE_KEYS, FILE_STATE_SCHEMA, RAW_COLUMNS, SILVER_CONTRACT
 from strata.sources import contract
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -369,3 +381,460 @@ def _contract_sql() -> str:
 def q_silver_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver types and NULL counts against the declared contract."""
     return contract.contract_check(silver_plan(spark, sf_dir))
+
+
+# ------------------------------------------------------------ state (events as a state log)
+#
+# Each event is read as one FileProcessingState row of the file
+# ``user_<id>.csv`` with checksum = event type (key = provider, uri, checksum).
+# The "first half" (event_id <= max/2) is the existing state, the second half
+# the incoming changes.
+
+EVENT_STATE_SQL = f"""
+ev AS (
+  SELECT event_id,
+    '{PROVIDER_ID}' AS provider_id,
+    'raw/{PROVIDER_ID}/user_' || CAST(user_id AS VARCHAR) || '.csv' AS source_uri,
+    'user_' || CAST(user_id AS VARCHAR) || '.csv' AS source_file,
+    CAST(ts AS DATE) AS source_date,
+    event_type AS source_checksum,
+    CASE event_type WHEN 'purchase' THEN 'SUCCESS' WHEN 'error' THEN 'FAILED'
+                    WHEN 'click' THEN 'FILE_VALIDATION_FAILED' ELSE 'PROCESSING' END AS status,
+    'run-' || CAST(event_id AS VARCHAR) AS run_id,
+    ts AS first_processed_at, ts AS last_processed_at,
+    CAST(floor(value) AS BIGINT) AS record_count,
+    CAST(floor(value) AS BIGINT) - CAST(floor(value / 10) AS BIGINT) AS valid_record_count,
+    CAST(floor(value / 10) AS BIGINT) AS rejected_record_count,
+    CASE WHEN event_type = 'error' THEN props END AS error_message,
+    ts AS created_at, ts AS updated_at
+  FROM events
+),
+mid AS (SELECT max(event_id) / 2 AS m FROM events),
+tgt AS (
+  SELECT * EXCLUDE (rn, event_id) FROM (
+    SELECT *, row_number() OVER (PARTITION BY provider_id, source_uri, source_checksum
+                                 ORDER BY updated_at DESC, run_id DESC) AS rn
+    FROM ev WHERE event_id <= (SELECT m FROM mid)) WHERE rn = 1
+),
+src AS (
+  SELECT * EXCLUDE (rn, event_id) FROM (
+    SELECT *, row_number() OVER (PARTITION BY provider_id, source_uri, source_checksum
+                                 ORDER BY updated_at DESC, run_id DESC) AS rn
+    FROM ev WHERE event_id > (SELECT m FROM mid)) WHERE rn = 1
+)"""
+
+STATE_JOIN = "t.provider_id = s.provider_id AND t.source_uri = s.source_uri AND t.source_checksum = s.source_checksum"
+
+
+def events_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with ``ts`` as TIMESTAMP (the file stores TIMESTAMP_NTZ)."""
+    return table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def event_state_rows(events: DataFrame) -> DataFrame:
+    v = F.col("value")
+    uid = F.col("user_id").cast("string")
+    return events.select(
+        "event_id",
+        F.lit(PROVIDER_ID).alias("provider_id"),
+        F.concat(F.lit(f"raw/{PROVIDER_ID}/user_"), uid, F.lit(".csv")).alias("source_uri"),
+        F.concat(F.lit("user_"), uid, F.lit(".csv")).alias("source_file"),
+        F.to_date("ts").alias("source_date"),
+        F.col("event_type").alias("source_checksum"),
+        F.when(F.col("event_type") == "purchase", F.lit(st.SUCCESS))
+        .when(F.col("event_type") == "error", F.lit(st.FAILED))
+        .when(F.col("event_type") == "click", F.lit(st.FILE_VALIDATION_FAILED))
+        .otherwise(F.lit(st.PROCESSING))
+        .alias("status"),
+        F.concat(F.lit("run-"), F.col("event_id").cast("string")).alias("run_id"),
+        F.col("ts").alias("first_processed_at"),
+        F.col("ts").alias("last_processed_at"),
+        F.floor(v).cast("bigint").alias("record_count"),
+        (F.floor(v).cast("bigint") - F.floor(v / 10).cast("bigint")).alias("valid_record_count"),
+        F.floor(v / 10).cast("bigint").alias("rejected_record_count"),
+        F.when(F.col("event_type") == "error", F.col("props")).alias("error_message"),
+        F.col("ts").alias("created_at"),
+        F.col("ts").alias("updated_at"),
+    )
+
+
+def split_halves(df: DataFrame, key: str = "event_id") -> tuple[DataFrame, DataFrame]:
+    """(first half, second half) by ``key`` <= max/2; the bound is a one-row aggregate."""
+    mid = df.agg((F.max(key) / 2).alias("_mid"))
+    j = attach_row(df, mid)
+    first = j.filter(F.col(key) <= F.col("_mid")).drop("_mid")
+    second = j.filter(F.col(key) > F.col("_mid")).drop("_mid")
+    return first, second
+
+
+def state_halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    rows = event_state_rows(events_ts(spark, sf_dir))
+    first, second = split_halves(rows)
+    cols = FILE_STATE_SCHEMA.names
+    target = st.latest(first.select(*cols))
+    source = st.latest(second.select(*cols))
+    return target, source
+
+
+@register(
+    "latest_state",
+    """SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+WHERE rn = 1""",
+)
+def q_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest row per key for all keys at once (partial max-struct aggregate)."""
+    events = table(spark, sf_dir, "events")
+    return st.latest(events, keys=["user_id"], order=["ts", "event_id"])
+
+
+@register(
+    "state_merge",
+    with_ctes(EVENT_STATE_SQL)
+    + f"""
+SELECT coalesce(t.provider_id, s.provider_id) AS provider_id,
+       coalesce(t.source_uri, s.source_uri) AS source_uri,
+       CASE WHEN t.provider_id IS NOT NULL THEN t.source_file ELSE s.source_file END AS source_file,
+       CASE WHEN t.provider_id IS NOT NULL THEN t.source_date ELSE s.source_date END AS source_date,
+       coalesce(t.source_checksum, s.source_checksum) AS source_checksum,
+       CASE WHEN s.provider_id IS NOT NULL THEN s.status ELSE t.status END AS status,
+       CASE WHEN s.provider_id IS NOT NULL THEN s.run_id ELSE t.run_id END AS run_id,
+       CASE WHEN t.provider_id IS NOT NULL THEN t.first_processed_at ELSE {PROCESSED_AT_SQL} END AS first_processed_at,
+       CASE WHEN s.provider_id IS NOT NULL THEN {PROCESSED_AT_SQL} ELSE t.last_processed_at END AS last_processed_at,
+       CASE WHEN t.provider_id IS NOT NULL THEN t.record_count END AS record_count,
+       CASE WHEN t.provider_id IS NOT NULL THEN t.valid_record_count END AS valid_record_count,
+       CASE WHEN t.provider_id IS NOT NULL THEN t.rejected_record_count END AS rejected_record_count,
+       CASE WHEN t.provider_id IS NOT NULL THEN t.error_message END AS error_message,
+       CASE WHEN t.provider_id IS NOT NULL THEN t.created_at ELSE {PROCESSED_AT_SQL} END AS created_at,
+       CASE WHEN s.provider_id IS NOT NULL THEN {PROCESSED_AT_SQL} ELSE t.updated_at END AS updated_at
+FROM tgt t FULL OUTER JOIN src s ON {STATE_JOIN}""",
+)
+def q_state_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upsert of the incoming changes into the current state."""
+    target, source = state_halves(spark, sf_dir)
+    changes = source.select(*FILE_STATE_KEYS, "source_file", "source_date", "status", "run_id")
+    return st.merge_state(target, changes, now=PROCESSED_AT)
+
+
+@register(
+    "state_update",
+    with_ctes(EVENT_STATE_SQL)
+    + f"""
+SELECT t.provider_id, t.source_uri, t.source_file, t.source_date, t.source_checksum,
+       CASE WHEN s.provider_id IS NOT NULL THEN s.status ELSE t.status END AS status,
+       CASE WHEN s.provider_id IS NOT NULL THEN s.run_id ELSE t.run_id END AS run_id,
+       t.first_processed_at,
+       CASE WHEN s.provider_id IS NOT NULL THEN {PROCESSED_AT_SQL} ELSE t.last_processed_at END AS last_processed_at,
+       CASE WHEN s.provider_id IS NOT NULL THEN s.record_count ELSE t.record_count END AS record_count,
+       CASE WHEN s.provider_id IS NOT NULL THEN s.valid_record_count ELSE t.valid_record_count END AS valid_record_count,
+       CASE WHEN s.provider_id IS NOT NULL THEN s.rejected_record_count ELSE t.rejected_record_count END AS rejected_record_count,
+       CASE WHEN s.provider_id IS NOT NULL THEN NULL ELSE t.error_message END AS error_message,
+       t.created_at,
+       CASE WHEN s.provider_id IS NOT NULL THEN {PROCESSED_AT_SQL} ELSE t.updated_at END AS updated_at
+FROM tgt t LEFT JOIN src s ON {STATE_JOIN}""",
+)
+def q_state_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2: update of matched keys; the absent error argument becomes NULL."""
+    target, source = state_halves(spark, sf_dir)
+    changes = source.select(
+        *FILE_STATE_KEYS, "status", "run_id", "record_count", "valid_record_count", "rejected_record_count"
+    )
+    return st.update_state(target, changes, now=PROCESSED_AT)
+
+
+PENDING_SQL = with_ctes(EVENT_STATE_SQL) + """
+SELECT f.provider_id, f.source_uri, f.source_checksum, f.source_file, f.source_date,
+       l.status AS state_status,
+       CASE WHEN l.status = 'SUCCESS' THEN 'SKIP' ELSE 'PROCESS' END AS action,
+       coalesce(l.status, 'NEW') AS reason
+FROM (SELECT provider_id, source_uri, source_checksum, min(source_file) AS source_file, min(source_date) AS source_date
+      FROM ev GROUP BY provider_id, source_uri, source_checksum) f
+LEFT JOIN tgt l ON l.provider_id = f.provider_id AND l.source_uri = f.source_uri AND l.source_checksum = f.source_checksum"""
+
+
+def pending_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = event_state_rows(events_ts(spark, sf_dir))
+    first, _ = split_halves(rows)
+    files = rows.groupBy(*FILE_STATE_KEYS).agg(F.min("source_file").alias("source_file"), F.min("source_date").alias("source_date"))
+    out = st.pending(files, first.select(*FILE_STATE_SCHEMA.names))
+    return out.select(*FILE_STATE_KEYS, "source_file", "source_date", "state_status", "action", "reason")
+
+
+@register("pending_files", PENDING_SQL)
+def q_pending_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SKIP when the newest state of (provider, uri, checksum) is SUCCESS, else PROCESS."""
+    return pending_plan(spark, sf_dir)
+
+
+FILE_ORDER = ["source_date", "source_file", "source_uri", "source_checksum"]
+
+
+@register(
+    "file_sequence",
+    "SELECT *, row_number() OVER (ORDER BY source_date, source_file, source_uri, source_checksum) AS sequence FROM ("
+    + PENDING_SQL
+    + ") WHERE action = 'PROCESS'",
+)
+def q_file_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files to process, sorted, numbered 1..n (no single-partition window)."""
+    todo = pending_plan(spark, sf_dir).filter(F.col("action") == "PROCESS")
+    return inc.sequence_files(todo, order=FILE_ORDER)
+
+
+@register(
+    "batch_files",
+    "SELECT * FROM (" + PENDING_SQL + ") WHERE action = 'PROCESS' ORDER BY source_date, source_file, source_uri, source_checksum LIMIT 3",
+)
+def q_batch_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first three pending files (top-k; the limit is the feature)."""
+    todo = pending_plan(spark, sf_dir).filter(F.col("action") == "PROCESS")
+    return inc.take_batch(todo, 3, order=FILE_ORDER)
+
+
+# ------------------------------------------------------------ event-time window
+
+PROVIDER_STATE_SQL = """
+prov_state AS (
+  SELECT event_type AS provider_id,
+         CASE WHEN event_type = 'view' THEN TIMESTAMP '1970-01-01 00:00:00'
+              WHEN event_type = 'signup' THEN NULL ELSE max(ts) END AS last_processed_event_time,
+         CASE event_type WHEN 'view' THEN 'NEVER_RUN' WHEN 'error' THEN 'FAILED' ELSE 'SUCCESS' END AS last_run_status,
+         CAST(CASE WHEN event_type = 'click' THEN 0 ELSE 1440 END AS BIGINT) AS lookback_minutes
+  FROM events WHERE event_id <= (SELECT max(event_id) / 2 FROM events)
+  GROUP BY event_type
+),
+bounds AS (
+  SELECT event_type AS provider_id, min(ts) AS min_available_event_time, max(ts) AS max_available_event_time
+  FROM events GROUP BY event_type
+),
+win AS (
+  SELECT s.provider_id, s.last_run_status, s.last_processed_event_time, s.lookback_minutes,
+         b.min_available_event_time, b.max_available_event_time,
+         CASE WHEN s.last_run_status = 'NEVER_RUN' OR s.last_processed_event_time IS NULL THEN b.min_available_event_time
+              ELSE s.last_processed_event_time - to_minutes(s.lookback_minutes) END AS lower_bound,
+         b.max_available_event_time AS upper_bound
+  FROM prov_state s LEFT JOIN bounds b ON s.provider_id = b.provider_id
+)"""
+
+
+def provider_window(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    events = events_ts(spark, sf_dir).withColumn("provider_id", F.col("event_type"))
+    first, _ = split_halves(events)
+    et = F.col("provider_id")
+    state = first.groupBy("provider_id").agg(F.max("ts").alias("_max")).select(
+        "provider_id",
+        F.when(et == "view", F.lit(st.EPOCH).cast("timestamp"))
+        .when(et == "signup", F.lit(None).cast("timestamp"))
+        .otherwise(F.col("_max"))
+        .alias("last_processed_event_time"),
+        F.when(et == "view", F.lit(st.NEVER_RUN)).when(et == "error", F.lit(st.FAILED)).otherwise(F.lit(st.SUCCESS)).alias("last_run_status"),
+        F.when(et == "click", F.lit(0)).otherwise(F.lit(st.DEFAULT_LOOKBACK_MINUTES)).cast("bigint").alias("lookback_minutes"),
+    )
+    bounds = inc.event_bounds(events, ts_col="ts", by=["provider_id"])
+    return inc.processing_window(state, bounds, by=["provider_id"]), events
+
+
+@register(
+    "processing_window",
+    with_ctes(PROVIDER_STATE_SQL) + "\nSELECT * FROM win",
+)
+def q_processing_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2 + A9: per provider, lower = min available (never run / no watermark) or
+    watermark - lookback; upper = max available."""
+    win, _ = provider_window(spark, sf_dir)
+    return win.select(
+        "provider_id", "last_run_status", "last_processed_event_time", "lookback_minutes",
+        "min_available_event_time", "max_available_event_time", "lower_bound", "upper_bound",
+    )
+
+
+@register(
+    "lookback_rows",
+    with_ctes(PROVIDER_STATE_SQL)
+    + """
+SELECT e.event_id, e.user_id, e.event_type, e.ts FROM events e JOIN win w ON w.provider_id = e.event_type
+WHERE e.ts >= w.lower_bound AND e.ts <= w.upper_bound""",
+)
+def q_lookback_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows inside each provider's window, closed at both ends."""
+    win, events = provider_window(spark, sf_dir)
+    rows = inc.apply_window(events, win, ts_col="ts", by=["provider_id"])
+    return rows.select("event_id", "user_id", "event_type", "ts")
+
+
+# ------------------------------------------------------------ ingestion runs (one state row per user)
+
+USER_STATE_SQL = """
+ulatest AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+    FROM events WHERE event_id <= (SELECT max(event_id) / 2 FROM events)) WHERE rn = 1
+),
+ustate AS (
+  SELECT 'user_' || CAST(user_id AS VARCHAR) AS provider_id, 'SILVER' AS layer,
+         ts AS last_processed_event_time, ts AS max_event_time_seen, CAST(1440 AS BIGINT) AS lookback_minutes,
+         CASE event_type WHEN 'purchase' THEN 'SUCCESS' WHEN 'error' THEN 'FAILED' WHEN 'view' THEN 'RUNNING'
+                         WHEN 'signup' THEN 'NEVER_RUN' ELSE 'SUCCESS' END AS last_run_status,
+         'run-' || CAST(event_id AS VARCHAR) AS last_run_id, ts AS last_run_time, ts AS updated_at
+  FROM ulatest
+),
+started AS (
+  SELECT provider_id, layer, last_processed_event_time, max_event_time_seen, lookback_minutes,
+         CASE WHEN last_run_status <> 'RUNNING' THEN 'RUNNING' ELSE last_run_status END AS last_run_status,
+         CASE WHEN last_run_status <> 'RUNNING' THEN 'run-next-' || substr(provider_id, 6) ELSE last_run_id END AS last_run_id,
+         CASE WHEN last_run_status <> 'RUNNING' THEN NOW_TS ELSE last_run_time END AS last_run_time,
+         CASE WHEN last_run_status <> 'RUNNING' THEN NOW_TS ELSE updated_at END AS updated_at,
+         last_run_status <> 'RUNNING' AS lock_acquired
+  FROM ustate
+)""".replace("NOW_TS", PROCESSED_AT_SQL)
+
+
+def user_state(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    events = events_ts(spark, sf_dir)
+    first, second = split_halves(events)
+    last = st.latest(first.select("event_id", "ts", "user_id", "event_type"), keys=["user_id"], order=["ts", "event_id"])
+    et = F.col("event_type")
+    state = last.select(
+        F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("provider_id"),
+        F.lit("SILVER").alias("layer"),
+        F.col("ts").alias("last_processed_event_time"),
+        F.col("ts").alias("max_event_time_seen"),
+        F.lit(st.DEFAULT_LOOKBACK_MINUTES).cast("bigint").alias("lookback_minutes"),
+        F.when(et == "purchase", F.lit(st.SUCCESS)).when(et == "error", F.lit(st.FAILED))
+        .when(et == "view", F.lit(st.RUNNING)).when(et == "signup", F.lit(st.NEVER_RUN))
+        .otherwise(F.lit(st.SUCCESS)).alias("last_run_status"),
+        F.concat(F.lit("run-"), F.col("event_id").cast("string")).alias("last_run_id"),
+        F.col("ts").alias("last_run_time"),
+        F.col("ts").alias("updated_at"),
+    )
+    return state, second
+
+
+def started_runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    state, second = user_state(spark, sf_dir)
+    requests = state.select("provider_id", "layer", F.concat(F.lit("run-next-"), F.substring("provider_id", 6, 64)).alias("run_id"))
+    return st.start_runs(state, requests, now=PROCESSED_AT), second
+
+
+@register("run_lock_transition", with_ctes(USER_STATE_SQL) + "\nSELECT * FROM started")
+def q_run_lock_transition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4: start a run per provider; rows already RUNNING keep their run (no lock)."""
+    started, _ = started_runs(spark, sf_dir)
+    return started
+
+
+@register(
+    "run_complete",
+    with_ctes(
+        USER_STATE_SQL,
+        """
+outcome AS (
+  SELECT 'user_' || CAST(user_id AS VARCHAR) AS provider_id, max(ts) AS max_event_time,
+         count_if(event_type = 'error') = 0 AS succeeded
+  FROM events WHERE event_id > (SELECT max(event_id) / 2 FROM events) GROUP BY user_id
+)""",
+    )
+    + f"""
+SELECT s.provider_id, s.layer,
+  CASE WHEN s.lock_acquired AND coalesce(o.succeeded, true) THEN greatest(s.last_processed_event_time, o.max_event_time) ELSE s.last_processed_event_time END AS last_processed_event_time,
+  CASE WHEN s.lock_acquired AND coalesce(o.succeeded, true) THEN greatest(s.max_event_time_seen, o.max_event_time) ELSE s.max_event_time_seen END AS max_event_time_seen,
+  s.lookback_minutes,
+  CASE WHEN s.lock_acquired AND coalesce(o.succeeded, true) THEN 'SUCCESS' WHEN s.lock_acquired THEN 'FAILED' ELSE s.last_run_status END AS last_run_status,
+  s.last_run_id,
+  CASE WHEN s.lock_acquired THEN {PROCESSED_AT_SQL} ELSE s.last_run_time END AS last_run_time,
+  CASE WHEN s.lock_acquired THEN {PROCESSED_AT_SQL} ELSE s.updated_at END AS updated_at
+FROM started s LEFT JOIN outcome o ON o.provider_id = s.provider_id""",
+)
+def q_run_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Complete the started runs; success moves the watermark forward
+    (never back), failure leaves it."""
+    started, second = started_runs(spark, sf_dir)
+    outcome = second.groupBy(F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("provider_id")).agg(
+        F.max("ts").alias("max_event_time"), (F.count_if(F.col("event_type") == "error") == 0).alias("succeeded")
+    )
+    runs = (
+        started.filter(F.col("lock_acquired"))
+        .select("provider_id", "layer", F.col("last_run_id").alias("run_id"))
+        .join(outcome, on="provider_id", how="left")
+        .select("provider_id", "layer", "run_id", F.coalesce("succeeded", F.lit(True)).alias("succeeded"), "max_event_time")
+    )
+    return st.complete_runs(started.drop("lock_acquired"), runs, now=PROCESSED_AT)
+
+
+@register(
+    "seed_state",
+    f"""SELECT DISTINCT event_type AS provider_id, 'SILVER' AS layer,
+       TIMESTAMP '1970-01-01 00:00:00' AS last_processed_event_time, TIMESTAMP '1970-01-01 00:00:00' AS max_event_time_seen,
+       CAST(1440 AS BIGINT) AS lookback_minutes, 'NEVER_RUN' AS last_run_status, CAST(NULL AS VARCHAR) AS last_run_id,
+       CAST(NULL AS TIMESTAMP) AS last_run_time, {PROCESSED_AT_SQL} AS updated_at
+FROM events""",
+)
+def q_seed_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7: one NEVER_RUN row per provider found in the data."""
+    providers = table(spark, sf_dir, "events").select(F.col("event_type").alias("provider_id")).distinct()
+    return st.seed_state(providers, now=PROCESSED_AT)
+
+
+# ------------------------------------------------------------ scalar odds and ends
+
+
+@register(
+    "file_bounds",
+    with_ctes(RETAIL_LINES_SQL)
+    + """
+SELECT count(*) AS file_count, min(source_file) AS first_file, max(source_file) AS last_file
+FROM (SELECT DISTINCT source_file FROM retail_lines)""",
+)
+def q_file_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First and last daily file of the sorted list, and how many."""
+    files = retail_lines(spark, sf_dir).select("source_file").distinct()
+    files = files.select(
+        F.concat(F.lit(f"raw/{PROVIDER_ID}/"), F.col("source_file")).alias("source_uri"),
+        "source_file",
+        source_date_from_name("source_file").alias("source_date"),
+    )
+    return inc.first_last(files)
+
+
+@register(
+    "error_truncation",
+    """SELECT p_partkey, substr('Row rejected: ' || repeat(p_name || '; ', 60), 1, 1000) AS error_message,
+       CAST(length(substr('Row rejected: ' || repeat(p_name || '; ', 60), 1, 1000)) AS INTEGER) AS message_length
+FROM part""",
+)
+def q_error_truncation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Error text cut to 1000 characters."""
+    msg = truncate_text(F.concat(F.lit("Row rejected: "), F.repeat(F.concat(F.col("p_name"), F.lit("; ")), 60)), 1000)
+    return table(spark, sf_dir, "part").select("p_partkey", msg.alias("error_message"), F.length(msg).alias("message_length"))
+
+
+LENIENT_SQL = """
+SELECT l_orderkey, l_linenumber,
+       TRY_CAST(qt AS DOUBLE) AS quantity,
+       CAST(trunc(TRY_CAST(qt AS DOUBLE)) AS BIGINT) AS quantity_long,
+       try_strptime(tt, '%Y-%m-%d %H:%M:%S') AS ship_ts,
+       TRY_CAST(pt AS DOUBLE) AS price
+FROM (
+  SELECT l_orderkey, l_linenumber,
+    CASE WHEN (l_orderkey + l_linenumber) % 17 = 0 THEN CAST(l_quantity AS VARCHAR) || 'x' ELSE CAST(l_quantity AS VARCHAR) END AS qt,
+    CASE WHEN (l_orderkey + l_linenumber) % 17 = 1 THEN strftime(l_shipdate, '%d.%m.%Y') ELSE strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') END AS tt,
+    CASE WHEN (l_orderkey + l_linenumber) % 17 = 2 THEN 'USD ' || CAST(l_extendedprice AS VARCHAR) ELSE CAST(l_extendedprice AS VARCHAR) END AS pt
+  FROM lineitem)"""
+
+
+@register("lenient_casts", LENIENT_SQL)
+def q_lenient_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text with every 17th value broken; bad numbers and dates become NULL."""
+    li = table(spark, sf_dir, "lineitem")
+    k = (F.col("l_orderkey") + F.col("l_linenumber")) % 17
+    qt = F.when(k == 0, F.concat(F.col("l_quantity").cast("string"), F.lit("x"))).otherwise(F.col("l_quantity").cast("string"))
+    tt = F.when(k == 1, F.date_format("l_shipdate", "dd.MM.yyyy")).otherwise(F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))
+    pt = F.when(k == 2, F.concat(F.lit("USD "), F.col("l_extendedprice").cast("string"))).otherwise(F.col("l_extendedprice").cast("string"))
+    return li.select(
+        "l_orderkey",
+        "l_linenumber",
+        try_double(qt).alias("quantity"),
+        try_long(qt).alias("quantity_long"),
+        try_timestamp(tt).alias("ship_ts"),
+        try_double(pt).alias("price"),
+    )
