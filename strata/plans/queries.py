@@ -26,10 +26,20 @@ from strata.functions.expr import (
 )
 from strata.operators import audit, rules, silver
 from strata.operators import incremental as inc
+from strata.operators import manifest as mf
 from strata.operators import state as st
 from strata.plans.attach import attach_row
 from strata.plans.numbering import number_rows
-from strata.plans.retail import FLAGGED_SQL, RETAIL_LINES_SQL, flagged_sql, retail_lines, table, with_ctes
+from strata.plans.retail import (
+    BAD_DATE_MOD,
+    FLAGGED_SQL,
+    RETAIL_LINES_SQL,
+    flagged_sql,
+    retail_lines,
+    source_lines,
+    table,
+    with_ctes,
+)
 from strata.schemas import FILE_STATE_KEYS, FILE_STATE_SCHEMA, RAW_COLUMNS, SILVER_CONTRACT
 from strata.sources import contract
 
@@ -838,3 +848,320 @@ def q_lenient_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
         try_timestamp(tt).alias("ship_ts"),
         try_double(pt).alias("price"),
     )
+
+
+# ------------------------------------------------------------ headers, manifests, dates
+
+_EXPECTED_SQL = "[" + ", ".join(f"'{c}'" for c in RAW_COLUMNS) + "]"
+_SWAPPED = [RAW_COLUMNS[1], RAW_COLUMNS[0], *RAW_COLUMNS[2:]]
+_SWAPPED_SQL = "[" + ", ".join(f"'{c}'" for c in _SWAPPED) + "]"
+
+# ---- fixed values: header variants of the derived files (by day or key number) ----
+DROP_COUNTRY_MOD = 7
+EXTRA_FOO_MOD = 11
+SWAP_MOD = 13
+DUP_COUNTRY_MOD = 19
+
+
+def derived_header(k) -> F.Column:
+    """Header of a derived file, varied by the number ``k``: columns swapped,
+    Country missing, an extra ``Foo``, Country twice."""
+    base = F.when(k % SWAP_MOD == 0, F.array(*[F.lit(c) for c in _SWAPPED])).otherwise(
+        F.array(*[F.lit(c) for c in RAW_COLUMNS])
+    )
+    h = F.when(k % DROP_COUNTRY_MOD == 0, F.filter(base, lambda x: x != "Country")).otherwise(base)
+    h = F.when(k % EXTRA_FOO_MOD == 0, F.array_append(h, F.lit("Foo"))).otherwise(h)
+    return F.when(k % DUP_COUNTRY_MOD == 0, F.array_append(h, F.lit("Country"))).otherwise(h)
+
+
+def _header_sql(k: str) -> str:
+    h = f"CASE WHEN {k} % {SWAP_MOD} = 0 THEN {_SWAPPED_SQL} ELSE {_EXPECTED_SQL} END"
+    h = f"CASE WHEN {k} % {DROP_COUNTRY_MOD} = 0 THEN list_filter({h}, lambda x: x <> 'Country') ELSE {h} END"
+    h = f"CASE WHEN {k} % {EXTRA_FOO_MOD} = 0 THEN list_append({h}, 'Foo') ELSE {h} END"
+    return f"CASE WHEN {k} % {DUP_COUNTRY_MOD} = 0 THEN list_append({h}, 'Country') ELSE {h} END"
+
+
+def _verdict_sql(h: str, level: str) -> str:
+    miss = f"list_filter({_EXPECTED_SQL}, lambda x: NOT list_contains({h}, x))"
+    unexp = f"list_filter({h}, lambda x: NOT list_contains({_EXPECTED_SQL}, x))"
+    dup = f"list_sort(list_distinct(list_filter({h}, lambda x: len(list_filter({h}, lambda y: y = x)) > 1)))"
+    if level == "exact_ordered":
+        ok = f"({h} = {_EXPECTED_SQL})"
+    elif level == "exact_set":
+        ok = f"(len({miss}) = 0 AND len({unexp}) = 0 AND len({dup}) = 0)"
+    else:
+        ok = f"(len({miss}) = 0)"
+    err = (
+        f"CASE WHEN len({miss}) > 0 THEN 'Missing expected columns: ' || array_to_string({miss}, ', ') "
+        f"WHEN {ok} THEN NULL "
+        f"WHEN len({unexp}) > 0 THEN 'Unexpected columns found: ' || array_to_string({unexp}, ', ') "
+        f"WHEN len({dup}) > 0 THEN 'Duplicated columns found: ' || array_to_string({dup}, ', ') "
+        "ELSE 'Column order differs from the contract' END"
+    )
+    return ok, err, miss, unexp, dup
+
+
+def _header_check_sql() -> str:
+    ok_o, _, miss, unexp, dup = _verdict_sql("h", "exact_ordered")
+    ok_s, err_s, *_ = _verdict_sql("h", "exact_set")
+    ok_p, *_ = _verdict_sql("h", "superset")
+    return f"""
+SELECT file_id, array_to_string(h, ',') AS header,
+       array_to_string({miss}, ',') AS missing_columns,
+       array_to_string({unexp}, ',') AS unexpected_columns,
+       array_to_string({dup}, ',') AS duplicated_columns,
+       {ok_o} AS exact_ordered_ok, {ok_s} AS exact_set_ok, {ok_p} AS superset_ok,
+       {err_s} AS file_error
+FROM (SELECT o_orderkey AS file_id, {_header_sql('o_orderkey')} AS h FROM orders)"""
+
+
+@register("header_check", _header_check_sql())
+def q_header_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One header per order-file, checked at all three levels."""
+    headers = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("file_id"), derived_header(F.col("o_orderkey")).alias("header")
+    )
+    ordered = contract.header_verdict(headers, level="exact_ordered").select(
+        "file_id", F.col("file_valid").alias("exact_ordered_ok")
+    )
+    exact = contract.header_verdict(headers, level="exact_set")
+    superset = contract.header_verdict(headers, level="superset").select("file_id", F.col("file_valid").alias("superset_ok"))
+    out = exact.join(ordered, "file_id").join(superset, "file_id")
+    return out.select(
+        "file_id",
+        F.array_join("header", ",").alias("header"),
+        F.array_join("missing_columns", ",").alias("missing_columns"),
+        F.array_join("unexpected_columns", ",").alias("unexpected_columns"),
+        F.array_join(F.array_sort("duplicated_columns"), ",").alias("duplicated_columns"),
+        "exact_ordered_ok",
+        F.col("file_valid").alias("exact_set_ok"),
+        "superset_ok",
+        "file_error",
+    )
+
+
+DAILY_SQL = f"""
+daily AS (
+  SELECT '{PROVIDER_ID}' AS provider_id, strftime(l_shipdate, '%Y-%m-%d') AS source_date,
+         'retail_sales_' || strftime(l_shipdate, '%Y%m%d') || '.csv' AS file_name,
+         '{PROVIDER_ID}/' || strftime(l_shipdate, '%Y-%m-%d') || '/retail_sales_' || strftime(l_shipdate, '%Y%m%d') || '.csv' AS relative_path,
+         count(*) AS record_count
+  FROM lineitem GROUP BY 1, 2, 3, 4
+)"""
+
+
+def daily_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mf.daily_counts(mf.prepare(source_lines(spark, sf_dir)), PROVIDER_ID)
+
+
+@register("daily_manifest", with_ctes(DAILY_SQL) + "\nSELECT * FROM daily")
+def q_daily_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strict-typed source split by day; one manifest row per daily file."""
+    return daily_plan(spark, sf_dir)
+
+
+# ---- fixed values: manifest defects of the check query ----
+MANIFEST_COUNT_OFF_MOD = 13
+MANIFEST_DROP_MOD = 17
+FILE_MISSING_MOD = 19
+
+
+@register(
+    "manifest_check",
+    with_ctes(
+        DAILY_SQL,
+        f"""
+man AS (
+  SELECT relative_path, source_date,
+         record_count + CASE WHEN date_diff('day', DATE '1970-01-01', CAST(source_date AS DATE)) % {MANIFEST_COUNT_OFF_MOD} = 0 THEN 1 ELSE 0 END AS record_count
+  FROM daily WHERE date_diff('day', DATE '1970-01-01', CAST(source_date AS DATE)) % {MANIFEST_DROP_MOD} <> 0
+),
+act AS (
+  SELECT relative_path, record_count FROM daily
+  WHERE date_diff('day', DATE '1970-01-01', CAST(source_date AS DATE)) % {FILE_MISSING_MOD} <> 0
+)""",
+    )
+    + """
+SELECT coalesce(m.relative_path, a.relative_path) AS relative_path, m.source_date AS expected_date,
+       m.record_count AS expected_count, a.record_count AS actual_count,
+       m.relative_path IS NOT NULL AS listed, a.relative_path IS NOT NULL AS present,
+       coalesce(m.record_count = a.record_count, false) AS count_ok,
+       CASE WHEN a.relative_path IS NULL THEN 'MISSING_FILE' WHEN m.relative_path IS NULL THEN 'UNLISTED_FILE'
+            WHEN m.record_count <> a.record_count THEN 'COUNT_MISMATCH' ELSE 'OK' END AS status
+FROM man m FULL OUTER JOIN act a ON m.relative_path = a.relative_path""",
+)
+def q_manifest_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest (some counts off, some rows gone) against the files
+    there (some missing), full outer join on the relative path."""
+    daily = daily_plan(spark, sf_dir)
+    day = F.unix_date(F.to_date("source_date"))
+    manifest = daily.filter(day % MANIFEST_DROP_MOD != 0).withColumn(
+        "record_count", F.col("record_count") + F.when(day % MANIFEST_COUNT_OFF_MOD == 0, 1).otherwise(0)
+    )
+    actual = daily.filter(day % FILE_MISSING_MOD != 0).select("relative_path", "record_count")
+    return mf.verify_manifest(manifest, actual)
+
+
+@register(
+    "date_purity",
+    f"""
+SELECT l_orderkey, count(*) AS record_count, CAST(count_if(d IS NULL) AS BIGINT) AS unparsed_dates,
+       count(DISTINCT CAST(d AS DATE)) AS distinct_dates, min(CAST(d AS DATE)) AS min_date,
+       min(CAST(o_orderdate AS DATE)) AS declared_date,
+       count_if(d IS NULL) = 0 AS all_dates_parse,
+       count(DISTINCT CAST(d AS DATE)) = 1 AS single_date,
+       (count(DISTINCT CAST(d AS DATE)) = 1) AND (min(CAST(d AS DATE)) = min(CAST(o_orderdate AS DATE))) AS date_matches,
+       CASE WHEN count_if(d IS NULL) > 0 THEN 'invalid_invoice_date'
+            WHEN count(DISTINCT CAST(d AS DATE)) <> 1 THEN 'multiple_dates'
+            WHEN NOT ((count(DISTINCT CAST(d AS DATE)) = 1) AND (min(CAST(d AS DATE)) = min(CAST(o_orderdate AS DATE)))) THEN 'date_mismatch' END AS first_failure
+FROM (
+  SELECT l.l_orderkey, o.o_orderdate,
+         try_strptime(CASE WHEN l.l_suppkey % {BAD_DATE_MOD} = 0 THEN strftime(l.l_shipdate, '%d/%m/%Y')
+                           ELSE strftime(l.l_shipdate, '%Y-%m-%d %H:%M:%S') END, '%Y-%m-%d %H:%M:%S') AS d
+  FROM lineitem l LEFT JOIN orders o ON o.o_orderkey = l.l_orderkey)
+GROUP BY l_orderkey""",
+)
+def q_date_purity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per order-file, all dates parse, one calendar date, equal to the declared (order) date."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_shipdate")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    text = F.when(F.col("l_suppkey") % BAD_DATE_MOD == 0, F.date_format("l_shipdate", "dd/MM/yyyy")).otherwise(
+        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")
+    )
+    lines = li.join(orders, li.l_orderkey == orders.o_orderkey, "left").select(
+        "l_orderkey", text.alias("InvoiceDate"), "o_orderdate"
+    )
+    return mf.date_purity(lines, "l_orderkey", "InvoiceDate", declared_col="o_orderdate").select(
+        "l_orderkey", "record_count", "unparsed_dates", "distinct_dates", "min_date", "declared_date",
+        "all_dates_parse", "single_date", "date_matches", "first_failure",
+    )
+
+
+# ------------------------------------------------------------ batch of daily files with header verdicts
+
+def _batch_sql() -> str:
+    ok, err, *_ = _verdict_sql("h", "exact_set")
+    return f"""
+files AS (
+  SELECT source_file, date_diff('day', DATE '1970-01-01', CAST(strptime(regexp_extract(source_file, '(\\d{{8}})', 1), '%Y%m%d') AS DATE)) AS d
+  FROM (SELECT DISTINCT source_file FROM retail_lines)
+),
+verdict AS (
+  SELECT source_file, {ok} AS file_valid, {err} AS file_error
+  FROM (SELECT source_file, {_header_sql('d')} AS h FROM files)
+),
+"""
+
+
+BATCH_SQL = _batch_sql() + """counts AS (
+  SELECT source_file, count(*) AS total_records, count_if(rejection_reason = '') AS valid_records,
+         count_if(rejection_reason <> '') AS rejected_records
+  FROM flagged_lines GROUP BY source_file
+),
+results AS (
+  SELECT v.source_file AS input_file,
+         CAST(CASE WHEN file_valid THEN coalesce(total_records, 0) ELSE 0 END AS BIGINT) AS total_records,
+         CAST(CASE WHEN file_valid THEN coalesce(valid_records, 0) ELSE 0 END AS BIGINT) AS valid_records,
+         CAST(CASE WHEN file_valid THEN coalesce(rejected_records, 0) ELSE 0 END AS BIGINT) AS rejected_records,
+         file_valid, CASE WHEN NOT file_valid THEN file_error END AS file_error,
+         CASE WHEN file_valid THEN 'SUCCESS' ELSE 'FILE_VALIDATION_FAILED' END AS status
+  FROM verdict v LEFT JOIN counts c ON c.source_file = v.source_file
+),
+batch_valid AS (
+  SELECT * FROM valid_lines WHERE source_file IN (SELECT source_file FROM verdict WHERE file_valid)
+),
+batch_silver AS (
+  SELECT DISTINCT InvoiceNo, StockCode, Description, CAST(trunc(Quantity) AS BIGINT) AS Quantity,
+         InvoiceDate, UnitPrice, CustomerID, Country, source_file
+  FROM batch_valid
+)"""
+
+
+def batch_plan(spark: SparkSession, sf_dir: str):
+    """Daily files with derived headers: verdicts, flagged lines of the valid files,
+    per-file results and the silver rows of the batch."""
+    flagged = flagged_lines(spark, sf_dir)
+    files = flagged.select("source_file").distinct()
+    day = F.unix_date(source_date_from_name("source_file"))
+    headers = files.select("source_file", derived_header(day).alias("header"))
+    verdicts = contract.header_verdict(headers, level="exact_set").select("source_file", "file_valid", "file_error")
+    counts = audit.validation_counts(flagged)
+    results = audit.file_results(verdicts, counts)
+    ok_files = verdicts.filter(F.col("file_valid")).select("source_file")
+    kept = flagged.join(ok_files, on="source_file", how="left_semi")
+    valid, rejected = rules.split(kept)
+    silver_rows = silver.to_silver(
+        valid, pipeline_run_id=RUN_ID, source_checksum=SOURCE_CHECKSUM, processed_at=PROCESSED_AT, dedup_mode="typed"
+    )
+    return results, valid, rejected, silver_rows
+
+
+@register("file_results", with_ctes(RETAIL_LINES_SQL, FLAGGED_SQL, BATCH_SQL) + "\nSELECT * FROM results")
+def q_file_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V5 + A3: one verdict row per file; failed files count zero."""
+    results, *_ = batch_plan(spark, sf_dir)
+    return results
+
+
+@register(
+    "batch_outcome",
+    with_ctes(RETAIL_LINES_SQL, FLAGGED_SQL, BATCH_SQL)
+    + """
+SELECT count(*) AS selected_files, count_if(status = 'SUCCESS') AS successful_files,
+       count_if(status <> 'SUCCESS') AS failed_files FROM results""",
+)
+def q_batch_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Selected, successful and failed files of the batch."""
+    results, *_ = batch_plan(spark, sf_dir)
+    return audit.batch_outcome(results)
+
+
+PIPELINE_NAME = "retail_raw_to_silver"
+
+
+@register(
+    "run_audit",
+    with_ctes(RETAIL_LINES_SQL, FLAGGED_SQL, BATCH_SQL)
+    + f"""
+SELECT '{RUN_ID}' AS run_id, '{PIPELINE_NAME}' AS pipeline_name, '{ENVIRONMENT}' AS environment,
+       '{PROVIDER_ID}' AS provider_id, {PROCESSED_AT_SQL} AS start_time, {PROCESSED_AT_SQL} AS end_time,
+       CASE WHEN r.failed = 0 THEN 'SUCCESS' ELSE 'PARTIAL_SUCCESS' END AS status,
+       r.files AS source_file_count, r.src AS source_record_count, r.val AS valid_record_count,
+       r.rej AS rejected_record_count, (SELECT count(*) FROM batch_silver) AS silver_record_count,
+       (SELECT min(InvoiceDate) FROM batch_valid) AS watermark_start,
+       (SELECT max(InvoiceDate) FROM batch_valid) AS watermark_end,
+       CASE WHEN r.failed > 0 THEN CAST(r.failed AS VARCHAR) || ' file(s) failed file-level validation' END AS error_message,
+       {PROCESSED_AT_SQL} AS created_at
+FROM (SELECT count(*) AS files, CAST(sum(total_records) AS BIGINT) AS src, CAST(sum(valid_records) AS BIGINT) AS val,
+             CAST(sum(rejected_records) AS BIGINT) AS rej, count_if(status <> 'SUCCESS') AS failed FROM results) r""",
+)
+def q_run_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10: the run audit row (counts, watermark span, status)."""
+    results, valid, _, silver_rows = batch_plan(spark, sf_dir)
+    counts = audit.run_counts(results, valid, silver_rows)
+    return audit.run_audit(counts, RUN_ID, PIPELINE_NAME, ENVIRONMENT, PROVIDER_ID, PROCESSED_AT, PROCESSED_AT, PROCESSED_AT)
+
+
+@register(
+    "reconciliation",
+    with_ctes(RETAIL_LINES_SQL, FLAGGED_SQL, BATCH_SQL)
+    + f"""
+SELECT '{RUN_ID}' AS run_id, '{PROVIDER_ID}' AS provider_id,
+       src AS source_count, src AS read_count, val AS valid_count, rej AS rejected_count,
+       tgt AS target_count, val - tgt AS duplicate_count,
+       CASE WHEN src = val + rej AND tgt = val - (val - tgt) THEN 'RECONCILED' ELSE 'NOT_RECONCILED' END AS reconciliation_status,
+       {PROCESSED_AT_SQL} AS reconciliation_timestamp
+FROM (SELECT CAST(sum(total_records) AS BIGINT) AS src, CAST(sum(valid_records) AS BIGINT) AS val,
+             CAST(sum(rejected_records) AS BIGINT) AS rej, (SELECT count(*) FROM batch_silver) AS tgt FROM results)""",
+)
+def q_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """source = read = valid + rejected, target = valid - duplicates."""
+    results, valid, _, silver_rows = batch_plan(spark, sf_dir)
+    read = results.agg(
+        F.sum("total_records").cast("bigint").alias("source_count"),
+        F.sum("valid_records").cast("bigint").alias("valid_count"),
+        F.sum("rejected_records").cast("bigint").alias("rejected_count"),
+    ).withColumn("read_count", F.col("source_count"))
+    target = silver_rows.agg(F.count(F.lit(1)).alias("target_count"))
+    counts = attach_row(read, target).withColumn("duplicate_count", F.col("valid_count") - F.col("target_count"))
+    return audit.reconcile(counts, RUN_ID, PROVIDER_ID, PROCESSED_AT)
