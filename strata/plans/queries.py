@@ -1081,11 +1081,11 @@ def batch_plan(spark: SparkSession, sf_dir: str):
     """Daily files with derived headers: verdicts, flagged lines of the valid files,
     per-file results and the silver rows of the batch."""
     flagged = flagged_lines(spark, sf_dir)
-    files = flagged.select("source_file").distinct()
+    counts = audit.validation_counts(flagged)
+    # The file list comes from the per-file counts (same aggregate, no second pass).
     day = F.unix_date(source_date_from_name("source_file"))
-    headers = files.select("source_file", derived_header(day).alias("header"))
+    headers = counts.select("source_file", derived_header(day).alias("header"))
     verdicts = contract.header_verdict(headers, level="exact_set").select("source_file", "file_valid", "file_error")
-    counts = audit.validation_counts(flagged)
     results = audit.file_results(verdicts, counts)
     ok_files = verdicts.filter(F.col("file_valid")).select("source_file")
     kept = flagged.join(ok_files, on="source_file", how="left_semi")
