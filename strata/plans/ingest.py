@@ -121,10 +121,21 @@ def ingest_batch(
     kept = flagged.join(good, on="source_uri", how="left_semi")
     valid, rejected = rules.split(kept)
 
-    # Replace both sides of every processed file, clearing an empty side.
-    parts = [f"source_date={r['source_date']}/source_file={r['source_file']}" for r in todo.select("source_date", "source_file").collect()]
-    writers.clear_partitions(spark, bronze_path, parts)
-    writers.clear_partitions(spark, f"{quarantine_path.rstrip('/')}/rows", parts)
+    # Replace both sides of every processed file (dynamic overwrite); a side that
+    # ends up empty is cleared explicitly so no stale output survives.
+    sides = verdict.select(
+        "source_date",
+        "source_file",
+        (~F.col("file_valid") | (F.coalesce("valid_records", F.lit(0)) == 0)).alias("no_valid"),
+        (~F.col("file_valid") | (F.coalesce("rejected_records", F.lit(0)) == 0)).alias("no_rejected"),
+    ).filter(F.col("no_valid") | F.col("no_rejected"))
+    empty_valid, empty_rejected = [], []
+    for r in sides.collect():
+        part = f"source_date={r['source_date']}/source_file={r['source_file']}"
+        (empty_valid if r["no_valid"] else []).append(part)
+        (empty_rejected if r["no_rejected"] else []).append(part)
+    writers.clear_partitions(spark, bronze_path, empty_valid)
+    writers.clear_partitions(spark, f"{quarantine_path.rstrip('/')}/rows", empty_rejected)
     writers.write_bronze(valid, bronze_path)
     writers.write_quarantine_rows(rules.rejected_projection(rejected, extra=["source_date", "source_file"]), quarantine_path)
     failed = verdict.filter(~F.col("file_valid")).select("source_uri", "source_file", "source_date", "source_checksum", "file_error")

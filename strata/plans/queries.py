@@ -41,7 +41,12 @@ from strata.plans.retail import (
     with_ctes,
 )
 from strata.schemas import FILE_STATE_KEYS, FILE_STATE_SCHEMA, RAW_COLUMNS, SILVER_CONTRACT
+from strata.plans.ingest import bronze_to_silver, ingest_batch, prepare_source, verify_source
+from strata.session import cut_lineage, scratch_path
+from strata.sinks.writers import write_bronze
 from strata.sources import contract
+from strata.sources.files import discover, fingerprint
+from strata.streaming.stream import dedup_stream, run_available_now
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -1165,3 +1170,101 @@ def q_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = silver_rows.agg(F.count(F.lit(1)).alias("target_count"))
     counts = attach_row(read, target).withColumn("duplicate_count", F.col("valid_count") - F.col("target_count"))
     return audit.reconcile(counts, RUN_ID, PROVIDER_ID, PROCESSED_AT)
+
+
+# ------------------------------------------------------------ file round trips (rows-only checks)
+#
+# These stage files derived from the tables below the shared checkpoint folder
+# and run the file path end to end: discovery, hashing, header checks, CSV
+# reads, sinks, state and manifests.
+
+
+def stage_raw_files(spark: SparkSession, sf_dir: str) -> str:
+    """The raw layer written as daily CSV files (``source_date=YYYY-MM-DD/part-*.csv``)."""
+    root = scratch_path(spark, "raw")
+    raw = retail_lines(spark, sf_dir).withColumn(
+        "source_date", F.date_format(source_date_from_name("source_file"), "yyyy-MM-dd")
+    )
+    (
+        raw.select(*RAW_COLUMNS, "source_date")
+        .hint("rebalance", "source_date")
+        .write.option("header", "true")
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", "false")
+        .option("ignoreTrailingWhiteSpace", "false")
+        .partitionBy("source_date")
+        .csv(f"{root}/{PROVIDER_ID}")
+    )
+    return root
+
+
+@register("discover_files")
+def q_discover_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Discovered daily files (date from the partition folder), numbered."""
+    raw = stage_raw_files(spark, sf_dir)
+    files = discover(spark, raw, date_from="partition").select("source_uri", "source_file", "source_date")
+    return inc.sequence_files(files, order=["source_date", "source_file", "source_uri"])
+
+
+@register("file_fingerprints")
+def q_file_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SHA-256, length, physical record count and header of every staged file."""
+    raw = stage_raw_files(spark, sf_dir)
+    fp = fingerprint(spark, raw)
+    return fp.select(
+        "source_uri", "source_checksum", "length", "physical_records", F.array_join("header", ",").alias("header"), "too_large"
+    )
+
+
+def _ingest(spark: SparkSession, sf_dir: str):
+    raw = stage_raw_files(spark, sf_dir)
+    out = scratch_path(spark, "layers")
+    paths = {k: f"{out}/{k}" for k in ("bronze", "quarantine", "state", "silver")}
+    results = ingest_batch(
+        spark, raw, paths["bronze"], paths["quarantine"], paths["state"], PROVIDER_ID, RUN_ID, now=PROCESSED_AT, date_from="partition"
+    )
+    return results, paths
+
+
+@register("ingest_roundtrip")
+def q_ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W9 + K3/K4/K5 + M1-M3 + R10: one batch job over all staged files; per-file results."""
+    results, _ = _ingest(spark, sf_dir)
+    return results
+
+
+@register("silver_overwrite")
+def q_silver_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6 + A2: bronze (valid lines of the daily files) -> silver twice into the same
+    table; dynamic overwrite keeps it whole, not doubled. Rows per SourceDate."""
+    out = scratch_path(spark, "layers")
+    valid, _ = valid_and_rejected(spark, sf_dir)
+    bronze = valid.withColumn("source_date", F.date_format(source_date_from_name("source_file"), "yyyy-MM-dd"))
+    write_bronze(bronze, f"{out}/bronze")
+    for _ in range(2):
+        bronze_to_silver(spark, f"{out}/bronze", f"{out}/silver", RUN_ID, processed_at=PROCESSED_AT)
+    return spark.read.parquet(f"{out}/silver").groupBy("SourceDate").agg(F.count(F.lit(1)).alias("line_count"))
+
+
+@register("prepare_roundtrip")
+def q_prepare_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S12/P3/K1/K2 then V2, V6-V12: write daily files and their manifest, verify them."""
+    out = scratch_path(spark, "prepared")
+    manifest = cut_lineage(prepare_source(spark, source_lines(spark, sf_dir), out, PROVIDER_ID))
+    return verify_source(spark, manifest, out, PROVIDER_ID)
+
+
+@register("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
+def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W7/W9 streaming: events as a file stream (four files, one per trigger),
+    watermark as long as the data span, dedup within the watermark -- equal to
+    the batch distinct."""
+    staged = scratch_path(spark, "events-stream")
+    events = table(spark, sf_dir, "events")
+    events.repartition(4).write.parquet(f"{staged}/in")
+    stream = (
+        spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{staged}/in")
+    )
+    deduped = dedup_stream(stream, ["user_id", "event_type"], "ts", delay="40 days")
+    run_available_now(deduped.select("user_id", "event_type", "ts"), f"{staged}/_checkpoint", f"{staged}/out")
+    return spark.read.parquet(f"{staged}/out").select("user_id", "event_type")

@@ -25,6 +25,7 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("STRATA_DRIVER_MEMORY", "8g"))
         .getOrCreate()

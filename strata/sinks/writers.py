@@ -28,9 +28,7 @@ def clear_partitions(spark: SparkSession, root: str, partitions: Iterable[str])
     fs, jvm = _hadoop_fs(spark, root)
     n = 0
     for rel in partitions:
-        p = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{rel}")
-        if fs.exists(p):
-            fs.delete(p, True)
+        if fs.delete(jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{rel}"), True):
             n += 1
     return n
 

@@ -53,7 +53,7 @@ def discover(spark: SparkSession, raw_path: str, date_from: str = "name", exclud
     if date_from == "name":
         d = source_date_from_name(name)
     elif date_from == "partition":
-        d = F.try_to_date(F.regexp_extract(F.col("path"), r"source_date=(\d{4}-\d{2}-\d{2})", 1), F.lit("yyyy-MM-dd"))
+        d = F.try_to_date(F.regexp_extract(F.col("path"), r"source_date=(\d{4}-\d{2}-\d{2})", 1), "yyyy-MM-dd")
     else:
         raise ValueError(date_from)
     out = df.select(
