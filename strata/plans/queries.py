@@ -1082,30 +1082,58 @@ batch_silver AS (
 )"""
 
 
-def batch_plan(spark: SparkSession, sf_dir: str):
-    """Daily files with derived headers: verdicts, flagged lines of the valid files,
-    per-file results and the silver rows of the batch."""
-    flagged = flagged_lines(spark, sf_dir)
-    counts = audit.validation_counts(flagged)
-    # The file list comes from the per-file counts (same aggregate, no second pass).
+def batch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-file summary of the batch in one scan of the lines.
+
+    Level 1 groups the flagged lines by (file, reason, silver-typed values) with
+    the number of copies (partial aggregation before the shuffle, so copies and
+    hot files shrink map-side). Level 2 rolls those groups up per file: total,
+    valid and rejected lines, the distinct valid rows (= silver rows after the
+    typed per-file dedup) and the event-time span of the valid lines. The file
+    verdict (derived header, exact_set) is computed on the per-file rows.
+    """
+    flagged = silver.cast_columns(flagged_lines(spark, sf_dir))
+    ok = F.col(rules.REASON_COL) == ""
+    groups = flagged.groupBy("source_file", rules.REASON_COL, *RAW_COLUMNS).agg(F.count(F.lit(1)).alias("_n"))
+    per_file = groups.groupBy("source_file").agg(
+        F.sum("_n").cast("bigint").alias("total_records"),
+        F.coalesce(F.sum(F.when(ok, F.col("_n"))), F.lit(0)).cast("bigint").alias("valid_records"),
+        F.coalesce(F.sum(F.when(~ok, F.col("_n"))), F.lit(0)).cast("bigint").alias("rejected_records"),
+        F.count_if(ok).alias("silver_records"),
+        F.min(F.when(ok, F.col("InvoiceDate"))).alias("watermark_start"),
+        F.max(F.when(ok, F.col("InvoiceDate"))).alias("watermark_end"),
+    )
     day = F.unix_date(source_date_from_name("source_file"))
-    headers = counts.select("source_file", derived_header(day).alias("header"))
-    verdicts = contract.header_verdict(headers, level="exact_set").select("source_file", "file_valid", "file_error")
-    results = audit.file_results(verdicts, counts)
-    ok_files = verdicts.filter(F.col("file_valid")).select("source_file")
-    kept = flagged.join(ok_files, on="source_file", how="left_semi")
-    valid, rejected = rules.split(kept)
-    silver_rows = silver.to_silver(
-        valid, pipeline_run_id=RUN_ID, source_checksum=SOURCE_CHECKSUM, processed_at=PROCESSED_AT, dedup_mode="typed"
+    headers = per_file.withColumn("header", derived_header(day))
+    return contract.header_verdict(headers, level="exact_set")
+
+
+def batch_results(summary: DataFrame) -> DataFrame:
+    return audit.file_results(
+        summary.select("source_file", "file_valid", "file_error"),
+        summary.select("source_file", "total_records", "valid_records", "rejected_records"),
+    )
+
+
+def batch_totals(summary: DataFrame) -> DataFrame:
+    """One row: the run's counts over the files that passed, plus failures."""
+    v = F.col("file_valid")
+    return summary.agg(
+        F.count(F.lit(1)).alias("source_file_count"),
+        F.coalesce(F.sum(F.when(v, F.col("total_records"))), F.lit(0)).cast("bigint").alias("source_record_count"),
+        F.coalesce(F.sum(F.when(v, F.col("valid_records"))), F.lit(0)).cast("bigint").alias("valid_record_count"),
+        F.coalesce(F.sum(F.when(v, F.col("rejected_records"))), F.lit(0)).cast("bigint").alias("rejected_record_count"),
+        F.coalesce(F.sum(F.when(v, F.col("silver_records"))), F.lit(0)).cast("bigint").alias("silver_record_count"),
+        F.min(F.when(v, F.col("watermark_start"))).alias("watermark_start"),
+        F.max(F.when(v, F.col("watermark_end"))).alias("watermark_end"),
+        F.count_if(~v).alias("failed_file_count"),
     )
-    return results, valid, rejected, silver_rows
 
 
 @register("file_results", with_ctes(RETAIL_LINES_SQL, FLAGGED_SQL, BATCH_SQL) + "\nSELECT * FROM results")
 def q_file_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V5 + A3: one verdict row per file; failed files count zero."""
-    results, *_ = batch_plan(spark, sf_dir)
-    return results
+    return batch_results(batch_plan(spark, sf_dir))
 
 
 @register(
@@ -1117,8 +1145,7 @@ SELECT count(*) AS selected_files, count_if(status = 'SUCCESS') AS successful_fi
 )
 def q_batch_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Selected, successful and failed files of the batch."""
-    results, *_ = batch_plan(spark, sf_dir)
-    return audit.batch_outcome(results)
+    return audit.batch_outcome(batch_results(batch_plan(spark, sf_dir)))
 
 
 PIPELINE_NAME = "retail_raw_to_silver"
@@ -1142,8 +1169,7 @@ FROM (SELECT count(*) AS files, CAST(sum(total_records) AS BIGINT) AS src, CAST(
 )
 def q_run_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A10: the run audit row (counts, watermark span, status)."""
-    results, valid, _, silver_rows = batch_plan(spark, sf_dir)
-    counts = audit.run_counts(results, valid, silver_rows)
+    counts = batch_totals(batch_plan(spark, sf_dir))
     return audit.run_audit(counts, RUN_ID, PIPELINE_NAME, ENVIRONMENT, PROVIDER_ID, PROCESSED_AT, PROCESSED_AT, PROCESSED_AT)
 
 
@@ -1161,14 +1187,15 @@ FROM (SELECT CAST(sum(total_records) AS BIGINT) AS src, CAST(sum(valid_records)
 )
 def q_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """source = read = valid + rejected, target = valid - duplicates."""
-    results, valid, _, silver_rows = batch_plan(spark, sf_dir)
-    read = results.agg(
-        F.sum("total_records").cast("bigint").alias("source_count"),
-        F.sum("valid_records").cast("bigint").alias("valid_count"),
-        F.sum("rejected_records").cast("bigint").alias("rejected_count"),
-    ).withColumn("read_count", F.col("source_count"))
-    target = silver_rows.agg(F.count(F.lit(1)).alias("target_count"))
-    counts = attach_row(read, target).withColumn("duplicate_count", F.col("valid_count") - F.col("target_count"))
+    t = batch_totals(batch_plan(spark, sf_dir))
+    counts = t.select(
+        F.col("source_record_count").alias("source_count"),
+        F.col("source_record_count").alias("read_count"),
+        F.col("valid_record_count").alias("valid_count"),
+        F.col("rejected_record_count").alias("rejected_count"),
+        F.col("silver_record_count").alias("target_count"),
+        (F.col("valid_record_count") - F.col("silver_record_count")).alias("duplicate_count"),
+    )
     return audit.reconcile(counts, RUN_ID, PROVIDER_ID, PROCESSED_AT)
 
 
