@@ -38,6 +38,29 @@ def _list(spark: SparkSession, raw_path: str) -> DataFrame:
     )
 
 
+EMPTY_SHA256 = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
+
+
+def list_files(spark: SparkSession, raw_path: str) -> DataFrame:
+    """Recursive listing (path, length, modificationTime) of csv files in any case,
+    zero-byte files included (Spark's file scans skip those). Metadata only: the
+    listing lands on the driver as it does for any Spark file index."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(raw_path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    rows = []
+    if fs.exists(root):
+        it = fs.listFiles(root, True)
+        while it.hasNext():
+            st = it.next()
+            p = st.getPath().toString()
+            if p.lower().endswith(".csv"):
+                rows.append((p, int(st.getLen()), int(st.getModificationTime())))
+    return spark.createDataFrame(rows, "path string, length bigint, modificationTime bigint").withColumn(
+        "modificationTime", F.timestamp_millis("modificationTime")
+    )
+
+
 def discover(spark: SparkSession, raw_path: str, date_from: str = "name", exclude_test: bool = True) -> DataFrame:
     """Csv files (any case) below ``raw_path``, minus ``/test/`` folders and
     names without a real date, sorted by (date, name, uri).
@@ -46,7 +69,7 @@ def discover(spark: SparkSession, raw_path: str, date_from: str = "name", exclud
     ``"partition"``: a ``source_date=YYYY-MM-DD`` folder (part files written by Spark).
     File contents are not read (only path, length and modification time).
     """
-    df = _list(spark, raw_path).select("path", "length", "modificationTime")
+    df = list_files(spark, raw_path)
     if exclude_test:
         df = df.filter(~F.col("path").contains(TEST_FOLDER))
     name = file_name(F.col("path"))
@@ -107,7 +130,18 @@ def fingerprint(spark: SparkSession, raw_path: str, files: DataFrame | None = No
         F.lit(None).cast("array<string>").alias("header"),
         "too_large",
     )
-    return fp.unionByName(big)
+    empty = list_files(spark, raw_path).filter(F.col("length") == 0)
+    if files is not None:
+        empty = empty.join(files.select(F.col("source_uri").alias("path")), on="path", how="left_semi")
+    empty = empty.select(
+        F.col("path").alias("source_uri"),
+        F.col("length"),
+        F.lit(EMPTY_SHA256).alias("source_checksum"),
+        F.lit(0).cast("bigint").alias("physical_records"),
+        F.lit(None).cast("array<string>").alias("header"),
+        F.lit(False).alias("too_large"),
+    )
+    return fp.unionByName(big).unionByName(empty)
 
 
 def _string_schema(names: Sequence[str]) -> T.StructType:
