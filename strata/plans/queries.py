@@ -45,6 +45,7 @@ from strata.plans.ingest import bronze_to_silver, ingest_batch, prepare_source,
 from strata.session import cut_lineage, scratch_path
 from strata.sinks.writers import write_bronze
 from strata.sources import contract
+from strata.sources.config import rule_config
 from strata.sources.files import discover, fingerprint
 from strata.streaming.stream import dedup_stream, run_available_now
 
@@ -225,7 +226,8 @@ WHERE failed_rules <> ''"""
 def q_declared_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The declared rule table (SQL conditions) applied; NULL fails a rule."""
     typed = rules.coerce(retail_lines(spark, sf_dir))
-    return rules.failed_rules(typed, rules.RulePack.declared())
+    pack = rules.RulePack(rules.rules_from_table(rule_config(spark), PROVIDER_ID))
+    return rules.failed_rules(typed, pack)
 
 
 # ------------------------------------------------------------ silver pieces
