@@ -281,3 +281,20 @@ def verify_source(spark: SparkSession, manifest: DataFrame, out_dir: str, provid
 
 
 __all__ = ["audit", "bronze_to_silver", "file_stem", "ingest_batch", "prepare_source", "verify_source"]
+
+
+def compact_state(spark: SparkSession, state_path: str) -> int:
+    """Rewrite the append-only state log as its latest snapshot (one row per key).
+
+    Each run appends rows; every run reads the log and takes ``latest``. Run this
+    periodically so that cost follows the number of files, not of runs. The
+    snapshot is staged below the checkpoint folder and then replaces the log.
+    """
+    from strata.session import scratch_path
+
+    snap = st.latest(load_state(spark, state_path))
+    stage = scratch_path(spark, "state-compact")
+    snap.write.parquet(stage)
+    staged = spark.read.schema(FILE_STATE_SCHEMA).parquet(stage)
+    staged.write.mode("overwrite").parquet(state_path)
+    return spark.read.parquet(state_path).count()

@@ -79,3 +79,62 @@ def dropped_by_watermark(q: StreamingQuery) -> int:
         for op in p.get("stateOperators", []):
             total += int(op.get("numRowsDroppedByWatermark", 0))
     return total
+
+
+def ingest_stream(
+    spark: SparkSession,
+    raw_path: str,
+    bronze_path: str,
+    quarantine_path: str,
+    checkpoint: str,
+    max_files_per_trigger: int = 1,
+) -> StreamingQuery:
+    """W9 as a stream: new raw files (contract header order) are validated per
+    micro-batch with the batch operators and routed to bronze / quarantine.
+
+    Each file arrives in exactly one micro-batch (the source tracks paths), so
+    the micro-batch replaces exactly its files' partitions; the checkpoint makes
+    the intake restartable after a failure without re-emitting files.
+    """
+    from strata.functions.expr import file_name, source_date_from_name
+    from strata.operators import rules
+    from strata.plans.numbering import number_in_scan_order
+    from strata.sinks import writers
+
+    schema = ", ".join(f"{c} string" for c in RAW_COLUMNS)
+    lines = (
+        spark.readStream.schema(schema)
+        .option("header", "true")
+        .option("escape", '"')
+        .option("multiLine", "true")
+        .option("maxFilesPerTrigger", max_files_per_trigger)
+        .option("pathGlobFilter", "*.csv")
+        .csv(raw_path)
+        .select(
+            "*",
+            F.col("_metadata.file_path").alias("_file_path"),
+            F.col("_metadata.file_block_start").alias("_block_start"),
+        )
+    )
+
+    def handle(batch: DataFrame, epoch_id: int) -> None:
+        numbered = number_in_scan_order(batch, "_file_path", "_block_start", out="_row_index")
+        named = numbered.select(
+            *[rules.null_tokens(c).alias(c) for c in RAW_COLUMNS],
+            (F.col("_row_index") + 2).alias("record_number"),
+            file_name(F.col("_file_path")).alias("source_file"),
+            F.date_format(source_date_from_name(file_name(F.col("_file_path"))), "yyyy-MM-dd").alias("source_date"),
+        )
+        # Both sinks read the micro-batch; keep it for their duration (a lost
+        # block is recomputed from the same files, which number the same way).
+        flagged = rules.flag(rules.coerce(named)).persist()
+        try:
+            valid, rejected = rules.split(flagged)
+            writers.write_bronze(valid, bronze_path)
+            writers.write_quarantine_rows(
+                rules.rejected_projection(rejected, extra=["source_date", "source_file"]), quarantine_path
+            )
+        finally:
+            flagged.unpersist()
+
+    return run_available_now(lines, checkpoint, handler=handle)

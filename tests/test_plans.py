@@ -85,3 +85,18 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
     assert len(RAW_COLUMNS) == 8
+
+
+def test_ingest_stream_fixture(spark, workdir):
+    from fixtures import fixture_text, write_file
+    from strata.streaming.stream import ingest_stream
+
+    raw = os.path.join(workdir, "raw")
+    write_file(raw, "retail_sales_20101201.csv", fixture_text())
+    write_file(raw, "retail_sales_20101202.csv", fixture_text())
+    b, q = os.path.join(workdir, "bronze"), os.path.join(workdir, "quarantine")
+    ingest_stream(spark, raw, b, q, os.path.join(workdir, "ck"))
+    bronze = spark.read.option("header", "true").csv(b)
+    rows = spark.read.option("header", "true").csv(os.path.join(q, "rows"))
+    assert bronze.count() == 14 and rows.count() == 22
+    assert {int(r.record_number) for r in rows.collect()} == {3, 4, 5, 6, 7, 10, 12, 14, 15, 16, 17}

@@ -147,3 +147,18 @@ def test_batch_limit_and_sequence(spark):
     fl = inc.first_last(files).collect()[0]
     assert (fl.file_count, fl.first_file, fl.last_file) == (9, "retail_sales_20101201.csv", "retail_sales_20101209.csv")
     assert F is not None
+
+
+def test_compact_state(spark, workdir):
+    import os
+
+    from strata.plans.ingest import compact_state
+
+    path = os.path.join(workdir, "state")
+    rows = [
+        (*KEY[:2], "f.csv", dt.date(2010, 12, 2), KEY[2], s, "r", T0, t, None, None, None, None, T0, t)
+        for s, t in [("PROCESSING", T0), ("SUCCESS", T1)]
+    ]
+    spark.createDataFrame(rows, FILE_STATE_SCHEMA).write.parquet(path)
+    assert compact_state(spark, path) == 1
+    assert spark.read.parquet(path).collect()[0].status == "SUCCESS"
