@@ -40,9 +40,14 @@ def number_rows(
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = _cols(partition_by) + _cols(order_by)
+    # Last key: the row's id before the shuffle, so a hot group of identical rows
+    # (a third of the data may be copies of one line) still spreads over many
+    # range partitions; identical rows are interchangeable, so their relative
+    # numbering does not change the result.
+    df_t = df.withColumn("_tie", F.monotonically_increasing_id())
+    keys = _cols(partition_by) + _cols(order_by) + [F.col("_tie")]
     sorted_df = (
-        df.repartitionByRange(n, *[k.asc_nulls_first() for k in keys])
+        df_t.repartitionByRange(n, *[k.asc_nulls_first() for k in keys])
         .sortWithinPartitions(*[k.asc_nulls_first() for k in keys])
         .withColumn("_mid", F.monotonically_increasing_id())
         .withColumn("_pid", F.shiftright(F.col("_mid"), 33))

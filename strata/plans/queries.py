@@ -47,7 +47,7 @@ from strata.sinks.writers import write_bronze
 from strata.sources import contract
 from strata.sources.config import rule_config
 from strata.sources.files import discover, fingerprint
-from strata.streaming.stream import dedup_stream, run_available_now
+from strata.streaming.stream import dedup_stream, ingest_stream, run_available_now
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -1297,3 +1297,37 @@ def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     deduped = dedup_stream(stream, ["user_id", "event_type"], "ts", delay="40 days")
     run_available_now(deduped.select("user_id", "event_type", "ts"), f"{staged}/_checkpoint", f"{staged}/out")
     return spark.read.parquet(f"{staged}/out").select("user_id", "event_type")
+
+
+STREAM_INGEST_SQL = with_ctes(RETAIL_LINES_SQL, FLAGGED_SQL) + """
+SELECT strftime(CAST(strptime(regexp_extract(source_file, '(\\d{8})', 1), '%Y%m%d') AS DATE), '%Y-%m-%d') AS source_date,
+       count(*) AS total_records,
+       CAST(count_if(rejection_reason = '') AS BIGINT) AS valid_records,
+       CAST(count_if(rejection_reason <> '') AS BIGINT) AS rejected_records
+FROM flagged_lines GROUP BY 1"""
+
+
+@register("stream_ingest", STREAM_INGEST_SQL)
+def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W9 streaming: staged daily files read as a file stream (250 files per
+    trigger), validated per micro-batch with the batch operators and routed to
+    bronze / quarantine via foreachBatch; per-day totals of what was written."""
+    raw = stage_raw_files(spark, sf_dir)
+    out = scratch_path(spark, "stream-layers")
+    ingest_stream(spark, raw, f"{out}/bronze", f"{out}/quarantine", f"{out}/_checkpoint", max_files_per_trigger=250)
+    opts = {"header": "true", "escape": '"', "multiLine": "true"}
+    bronze = spark.read.options(**opts).csv(f"{out}/bronze").select(
+        F.col("source_date").cast("string").alias("source_date"), F.lit(1).alias("v"), F.lit(0).alias("r")
+    )
+    quarantine = spark.read.options(**opts).csv(f"{out}/quarantine/rows").select(
+        F.col("source_date").cast("string").alias("source_date"), F.lit(0).alias("v"), F.lit(1).alias("r")
+    )
+    return (
+        bronze.unionByName(quarantine)
+        .groupBy("source_date")
+        .agg(
+            F.count(F.lit(1)).alias("total_records"),
+            F.sum("v").cast("bigint").alias("valid_records"),
+            F.sum("r").cast("bigint").alias("rejected_records"),
+        )
+    )

@@ -123,7 +123,13 @@ def ingest_stream(
             *[rules.null_tokens(c).alias(c) for c in RAW_COLUMNS],
             (F.col("_row_index") + 2).alias("record_number"),
             file_name(F.col("_file_path")).alias("source_file"),
-            F.date_format(source_date_from_name(file_name(F.col("_file_path"))), "yyyy-MM-dd").alias("source_date"),
+            F.date_format(
+                F.coalesce(
+                    source_date_from_name(file_name(F.col("_file_path"))),
+                    F.try_to_date(F.regexp_extract(F.col("_file_path"), r"source_date=(\d{4}-\d{2}-\d{2})", 1), "yyyy-MM-dd"),
+                ),
+                "yyyy-MM-dd",
+            ).alias("source_date"),
         )
         # Both sinks read the micro-batch; keep it for their duration (a lost
         # block is recomputed from the same files, which number the same way).
