@@ -1331,3 +1331,44 @@ def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.sum("r").cast("bigint").alias("rejected_records"),
         )
     )
+
+
+@register(
+    "manifest_totals",
+    with_ctes(DAILY_SQL) + "\nSELECT count(*) AS file_count, CAST(sum(record_count) AS BIGINT) AS record_count FROM daily",
+)
+def q_manifest_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files and records the daily manifest represents."""
+    return mf.manifest_totals(daily_plan(spark, sf_dir))
+
+
+# ---- fixed values: event of an incoming state row, by its event type ----
+EVENT_OF_TYPE = [("purchase", "validated"), ("click", "file_invalid"), ("error", "error")]
+
+
+@register(
+    "status_transitions",
+    with_ctes(EVENT_STATE_SQL)
+    + """
+SELECT s.provider_id, s.source_uri, s.source_checksum, s.event, t.status AS from_status,
+       coalesce(
+         CASE WHEN t.status = 'PROCESSING' AND s.event = 'validated' THEN 'SUCCESS'
+              WHEN t.status = 'PROCESSING' AND s.event = 'file_invalid' THEN 'FILE_VALIDATION_FAILED'
+              WHEN t.status = 'PROCESSING' AND s.event = 'error' THEN 'FAILED'
+              WHEN t.status = 'FILE_VALIDATION_FAILED' AND s.event = 'error' THEN 'FILE_VALIDATION_FAILED' END,
+         CASE WHEN s.event = 'start' THEN 'PROCESSING' END,
+         t.status) AS status
+FROM (SELECT provider_id, source_uri, source_checksum,
+             CASE source_checksum WHEN 'purchase' THEN 'validated' WHEN 'click' THEN 'file_invalid'
+                                  WHEN 'error' THEN 'error' ELSE 'start' END AS event
+      FROM src) s
+LEFT JOIN tgt t ON t.provider_id = s.provider_id AND t.source_uri = s.source_uri AND t.source_checksum = s.source_checksum""",
+)
+def q_status_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3: incoming events applied to the current status through the transition table."""
+    target, source = state_halves(spark, sf_dir)
+    event = F.lit("start")
+    for etype, ev in reversed(EVENT_OF_TYPE):
+        event = F.when(F.col("source_checksum") == etype, F.lit(ev)).otherwise(event)
+    events = source.select(*FILE_STATE_KEYS, event.alias("event"))
+    return st.apply_events(target, events)
