@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.expr import DEFAULT_TIMESTAMP_FORMATS, try_timestamp
-from strata.schemas import RAW_COLUMNS
 
 DEFAULT_PROVIDER = "provider_retail"
 
@@ -188,5 +187,3 @@ def manifest_reconciliation(verified: DataFrame) -> DataFrame:
         F.count_if(F.col("status") != "OK").alias("failed_files"),
     ).withColumn("reconciled", (F.col("manifest_records") == F.col("counted_records")) & (F.col("failed_files") == 0))
 
-
-__all__ = ["RAW_COLUMNS"]

@@ -15,8 +15,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.expr import file_name, file_stem, truncate_text
-from strata.operators import audit, manifest as mf, rules, silver
+from strata.functions.expr import file_name, truncate_text
+from strata.operators import manifest as mf
+from strata.operators import rules, silver
 from strata.operators import state as st
 from strata.schemas import FILE_STATE_KEYS, FILE_STATE_SCHEMA, RAW_COLUMNS
 from strata.session import cut_lineage
@@ -280,8 +281,6 @@ def verify_source(spark: SparkSession, manifest: DataFrame, out_dir: str, provid
     return mf.verify_manifest(manifest, actual)
 
 
-__all__ = ["audit", "bronze_to_silver", "file_stem", "ingest_batch", "prepare_source", "verify_source"]
-
 
 def compact_state(spark: SparkSession, state_path: str) -> int:
     """Rewrite the append-only state log as its latest snapshot (one row per key).

@@ -19,8 +19,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.schemas import RAW_COLUMNS
-
 # ---- fixed values: defect arithmetic of the derived raw layer ----
 BLANK_INVOICE_MOD = 97  # InvoiceNo ''
 NULL_INVOICE_MOD = 101  # InvoiceNo NULL

@@ -36,14 +36,19 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8, app: str =
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; created locally only when the session has none."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="strata-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    if root:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(root)
+        return root.rstrip("/")
+    current = sc.getCheckpointDir()
+    if current:
+        return current.rstrip("/")
+    # Unset (tests, local runs): a local folder, registered with the context only.
+    root = tempfile.mkdtemp(prefix="strata-ckpt-")
+    sc.setCheckpointDir(root)
+    return root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

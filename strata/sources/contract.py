@@ -14,8 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.plans.attach import attach_row
-from strata.schemas import LOGICAL_TYPES, RAW_COLUMNS, RAW_CONTRACT, SILVER_CONTRACT
+from strata.schemas import LOGICAL_TYPES, RAW_COLUMNS, SILVER_CONTRACT
 
 LEVELS = ("exact_ordered", "exact_set", "superset")
 
@@ -84,11 +83,6 @@ def select_contract(df: DataFrame, expected: Sequence[str] = RAW_COLUMNS, keep:
     return df.select(*expected, *keep)
 
 
-def schema_config_rows(provider_id: str = "provider_retail", table_name: str = "retail_sales"):
-    """The reference's declared contract rows (S11 seed)."""
-    return [(provider_id, table_name, name, order, dtype, nullable) for name, order, dtype, nullable in RAW_CONTRACT]
-
-
 def contract_from_table(schema_config: DataFrame, provider_id: str, table_name: str) -> T.StructType:
     """StructType from SchemaConfig rows ordered by ``column_order``.
 
@@ -145,7 +139,6 @@ def contract_check(df: DataFrame, contract: Sequence[tuple[str, str, bool]] = SI
 
 
 __all__ = [
-    "attach_row",
     "contract_check",
     "contract_from_table",
     "header_verdict",
