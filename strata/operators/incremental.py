@@ -32,7 +32,8 @@ def processing_window(state: DataFrame, bounds: DataFrame, by: Sequence[str] = (
     """W2 per state row: lower = min available when NEVER_RUN or no watermark, else
     watermark - lookback minutes; upper = max available. ``lower > upper`` is an
     empty window. ``bounds`` is one row (or one per ``by`` key)."""
-    j = state.join(F.broadcast(bounds), on=list(by), how="left") if by else attach_row(state, bounds)
+    # One row per key grows with the keys: AQE decides on broadcast by runtime size.
+    j = state.join(bounds, on=list(by), how="left") if by else attach_row(state, bounds)
     wm = F.col("last_processed_event_time")
     lower = (
         F.when((F.col("last_run_status") == NEVER_RUN) | wm.isNull(), F.col("min_available_event_time"))
@@ -43,9 +44,9 @@ def processing_window(state: DataFrame, bounds: DataFrame, by: Sequence[str] = (
 
 def apply_window(lines: DataFrame, window: DataFrame, ts_col: str = "InvoiceDate", by: Sequence[str] = ()) -> DataFrame:
     """Rows inside [lower_bound, upper_bound] (closed at both ends); ``window`` is
-    one row (or one per ``by`` key), joined by broadcast."""
+    one row (broadcast) or one per ``by`` key (joined; AQE broadcasts it when small)."""
     w = window.select(*by, "lower_bound", "upper_bound")
-    j = lines.join(F.broadcast(w), on=list(by), how="inner") if by else attach_row(lines, w)
+    j = lines.join(w, on=list(by), how="inner") if by else attach_row(lines, w)
     return j.filter((F.col(ts_col) >= F.col("lower_bound")) & (F.col(ts_col) <= F.col("upper_bound"))).drop(
         "lower_bound", "upper_bound"
     )

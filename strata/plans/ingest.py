@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,13 @@ from strata.sources import contract
 from strata.sources.files import discover, fingerprint, read_lines
 
 
+def run_concurrently(*jobs) -> None:
+    """Run independent Spark actions from driver threads; re-raise the first error."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        for fut in [pool.submit(j) for j in jobs]:
+            fut.result()
+
+
 def _ts(now):
     return F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
 
@@ -137,10 +145,16 @@ def ingest_batch(
         (empty_rejected if r["no_rejected"] else []).append(part)
     writers.clear_partitions(spark, bronze_path, empty_valid)
     writers.clear_partitions(spark, f"{quarantine_path.rstrip('/')}/rows", empty_rejected)
-    writers.write_bronze(valid, bronze_path)
-    writers.write_quarantine_rows(rules.rejected_projection(rejected, extra=["source_date", "source_file"]), quarantine_path)
     failed = verdict.filter(~F.col("file_valid")).select("source_uri", "source_file", "source_date", "source_checksum", "file_error")
-    writers.write_quarantine_files(spark, failed, quarantine_path)
+    # The three sinks read the checkpointed rows and are independent jobs: submit
+    # them together so their tasks and commits overlap.
+    run_concurrently(
+        lambda: writers.write_bronze(valid, bronze_path),
+        lambda: writers.write_quarantine_rows(
+            rules.rejected_projection(rejected, extra=["source_date", "source_file"]), quarantine_path
+        ),
+        lambda: writers.write_quarantine_files(spark, failed, quarantine_path),
+    )
 
     # M2/M3: final state per file.
     final = verdict.select(

@@ -98,6 +98,7 @@ def ingest_stream(
     """
     from strata.functions.expr import file_name, source_date_from_name
     from strata.operators import rules
+    from strata.plans.ingest import run_concurrently
     from strata.plans.numbering import number_in_scan_order
     from strata.sinks import writers
 
@@ -136,9 +137,11 @@ def ingest_stream(
         flagged = rules.flag(rules.coerce(named)).persist()
         try:
             valid, rejected = rules.split(flagged)
-            writers.write_bronze(valid, bronze_path)
-            writers.write_quarantine_rows(
-                rules.rejected_projection(rejected, extra=["source_date", "source_file"]), quarantine_path
+            run_concurrently(
+                lambda: writers.write_bronze(valid, bronze_path),
+                lambda: writers.write_quarantine_rows(
+                    rules.rejected_projection(rejected, extra=["source_date", "source_file"]), quarantine_path
+                ),
             )
         finally:
             flagged.unpersist()
