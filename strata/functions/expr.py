@@ -52,6 +52,17 @@ ROW_HASH_SEPARATOR = "||"
 ROW_HASH_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
+def ts_literal(v) -> Column:
+    """Timestamp literal read as wall-clock time in the session time zone.
+
+    ``F.lit(datetime)`` goes through the Python process's local zone; casting
+    the text keeps the same wall-clock value whatever the session zone is.
+    """
+    if isinstance(v, Column):
+        return v
+    return F.lit(v.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
+
+
 def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -98,17 +109,6 @@ def row_hash(columns: Sequence[str | Column]) -> Column:
     return F.sha2(F.concat_ws(ROW_HASH_SEPARATOR, *parts), 256)
 
 
-def silver_hash_parts(df_columns: dict[str, str]) -> list[Column]:
-    """Hash inputs of the eight silver business columns (InvoiceDate formatted explicitly)."""
-    out = []
-    for name in df_columns:
-        if name == "InvoiceDate":
-            out.append(F.date_format(F.col(name), ROW_HASH_TS_FORMAT))
-        else:
-            out.append(F.col(name))
-    return out
-
-
 def line_amount(quantity: str | Column = "Quantity", unit_price: str | Column = "UnitPrice") -> Column:
     """round(Quantity * UnitPrice, 2), half-up."""
     return F.round(col(quantity) * col(unit_price), 2)

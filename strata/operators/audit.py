@@ -11,6 +11,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.expr import ts_literal
 from strata.plans.attach import attach_row
 
 from strata.operators.rules import REASON_COL
@@ -24,7 +25,7 @@ NOT_RECONCILED = "NOT_RECONCILED"
 def _lit_ts(v) -> Column:
     if v is None:
         return F.current_timestamp()
-    return F.lit(v).cast("timestamp")
+    return ts_literal(v)
 
 
 def validation_counts(flagged: DataFrame, by: str = "source_file") -> DataFrame:

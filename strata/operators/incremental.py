@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.expr import ts_literal
 from strata.plans.attach import attach_row
 
 from strata.operators.state import NEVER_RUN
@@ -60,7 +61,7 @@ def apply_window_literal(
     date_col: str | None = "SourceDate",
 ) -> DataFrame:
     """W7 with known bounds: adds the partition-date range so the scan is pruned."""
-    cond = (F.col(ts_col) >= F.lit(lower)) & (F.col(ts_col) <= F.lit(upper))
+    cond = (F.col(ts_col) >= ts_literal(lower)) & (F.col(ts_col) <= ts_literal(upper))
     if date_col and date_col in lines.columns:
         cond = cond & (F.col(date_col) >= F.lit(lower.date())) & (F.col(date_col) <= F.lit(upper.date()))
     return lines.filter(cond)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.expr import ts_literal
 from strata.functions.expr import (
     ROW_HASH_SEPARATOR,
     ROW_HASH_TS_FORMAT,
@@ -154,7 +155,7 @@ def lineage(
         checksum = F.lit(source_checksum)
     else:
         checksum = source_checksum
-    ts = F.current_timestamp() if processed_at is None else F.lit(processed_at).cast("timestamp")
+    ts = F.current_timestamp() if processed_at is None else ts_literal(processed_at)
     return (
         df.withColumn("SourceFile", file_name(F.col(source_col)))
         .withColumn("SourceDate", F.to_date(F.col("InvoiceDate")))
@@ -229,7 +230,7 @@ def to_silver(
     if counts is not None:
         df = df.observe(counts.deduplicated, F.count(F.lit(1)).alias("deduplicated_count"))
     df = derive(df, mask=mask, key=mask_key)
-    ts = F.current_timestamp() if processed_at is None else F.lit(processed_at).cast("timestamp")
+    ts = F.current_timestamp() if processed_at is None else ts_literal(processed_at)
     df = (
         df.withColumn("SourceDate", F.to_date(F.col("InvoiceDate")))
         .withColumn("PipelineRunID", F.lit(pipeline_run_id))

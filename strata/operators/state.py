@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.expr import truncate_text
+from strata.functions.expr import truncate_text, ts_literal
 from strata.schemas import FILE_STATE_KEYS, FILE_STATE_SCHEMA, INGESTION_STATE_KEYS, INGESTION_STATE_SCHEMA
 
 # ---- fixed values: file statuses and ingestion-run statuses ----
@@ -45,7 +45,7 @@ def _ts(now) -> Column:
         return F.current_timestamp()
     if isinstance(now, Column):
         return now
-    return F.lit(now).cast("timestamp")
+    return ts_literal(now)
 
 
 def latest(
@@ -214,8 +214,8 @@ def seed_state(
     return providers.select(
         F.col("provider_id").cast("string"),
         F.lit(layer).alias("layer"),
-        F.lit(EPOCH).cast("timestamp").alias("last_processed_event_time"),
-        F.lit(EPOCH).cast("timestamp").alias("max_event_time_seen"),
+        ts_literal(EPOCH).alias("last_processed_event_time"),
+        ts_literal(EPOCH).alias("max_event_time_seen"),
         F.lit(lookback_minutes).cast("bigint").alias("lookback_minutes"),
         F.lit(NEVER_RUN).alias("last_run_status"),
         F.lit(None).cast("string").alias("last_run_id"),

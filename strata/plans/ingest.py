@@ -16,6 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.expr import ts_literal
 from strata.functions.expr import file_name, truncate_text
 from strata.operators import manifest as mf
 from strata.operators import rules, silver
@@ -35,7 +36,7 @@ def run_concurrently(*jobs) -> None:
 
 
 def _ts(now):
-    return F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
+    return F.current_timestamp() if now is None else ts_literal(now)
 
 
 def load_state(spark: SparkSession, state_path: str) -> DataFrame:

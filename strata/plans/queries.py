@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.expr import ts_literal
 from strata.functions.expr import (
     hmac_sha256,
     is_cancellation,
@@ -640,7 +641,7 @@ def provider_window(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     et = F.col("provider_id")
     state = first.groupBy("provider_id").agg(F.max("ts").alias("_max")).select(
         "provider_id",
-        F.when(et == "view", F.lit(st.EPOCH).cast("timestamp"))
+        F.when(et == "view", ts_literal(st.EPOCH))
         .when(et == "signup", F.lit(None).cast("timestamp"))
         .otherwise(F.col("_max"))
         .alias("last_processed_event_time"),
