@@ -54,17 +54,21 @@ def _bad_number(c: Column) -> Column:
     return c.isNull() | F.isnan(c) | (c == F.lit(float("inf"))) | (c == F.lit(float("-inf")))
 
 
-def implemented_rules() -> list[tuple[str, Column]]:
-    """R1-R6 on coerced columns (Quantity/UnitPrice double, InvoiceDate timestamp)."""
+def implemented_rules(reject_fractional: bool = False) -> list[tuple[str, Column]]:
+    """R1-R6 on coerced columns (Quantity/UnitPrice double, InvoiceDate timestamp).
+
+    The reference lets ``2.5`` pass and truncates it in silver; with
+    ``reject_fractional`` a fractional quantity fails ``valid_quantity``.
+    """
     q, p = F.col("Quantity"), F.col("UnitPrice")
     inv = F.col("InvoiceNo")
+    bad_q = _bad_number(q) | ((q <= 0) & ~F.coalesce(inv, F.lit("")).startswith(CANCELLATION_PREFIX))
+    if reject_fractional:
+        bad_q = bad_q | (q != F.floor(q))
     return [
         ("required_invoice_no", is_blank(inv)),
         ("required_stock_code", is_blank("StockCode")),
-        (
-            "valid_quantity",
-            _bad_number(q) | ((q <= 0) & ~F.coalesce(inv, F.lit("")).startswith(CANCELLATION_PREFIX)),
-        ),
+        ("valid_quantity", bad_q),
         ("positive_unit_price", p.isNull() | F.isnan(p) | (p < 0)),
         ("valid_invoice_date", F.col("InvoiceDate").isNull()),
         ("required_country", is_blank("Country")),
@@ -98,8 +102,8 @@ class RulePack:
     timestamp_formats: Sequence[str] = tuple(DEFAULT_TIMESTAMP_FORMATS)
 
     @classmethod
-    def implemented(cls) -> RulePack:
-        return cls(implemented_rules())
+    def implemented(cls, reject_fractional: bool = False) -> RulePack:
+        return cls(implemented_rules(reject_fractional))
 
     @classmethod
     def declared(cls, rule_rows: Sequence[tuple] | None = None) -> RulePack:

@@ -162,3 +162,12 @@ def test_compact_state(spark, workdir):
     spark.createDataFrame(rows, FILE_STATE_SCHEMA).write.parquet(path)
     assert compact_state(spark, path) == 1
     assert spark.read.parquet(path).collect()[0].status == "SUCCESS"
+
+
+def test_stale_runs(spark):
+    state = spark.createDataFrame(
+        [("p", "SILVER", None, None, 1440, "RUNNING", "r1", T0, T0), ("q", "SILVER", None, None, 1440, "RUNNING", "r2", T2, T2),
+         ("s", "SILVER", None, None, 1440, "SUCCESS", "r3", T0, T0)],
+        INGESTION_STATE_SCHEMA,
+    )
+    assert [r.provider_id for r in st.stale_runs(state, T1).collect()] == ["p"]
