@@ -1256,14 +1256,32 @@ def _ingest(spark: SparkSession, sf_dir: str):
     return results, paths
 
 
-@register("ingest_roundtrip")
+INGEST_DAILY_SQL = with_ctes(RETAIL_LINES_SQL, FLAGGED_SQL) + """
+SELECT strftime(CAST(strptime(regexp_extract(source_file, '(\\d{8})', 1), '%Y%m%d') AS DATE), '%Y-%m-%d') AS source_date,
+       count(*) AS total_records,
+       CAST(count_if(rejection_reason = '') AS BIGINT) AS valid_records,
+       CAST(count_if(rejection_reason <> '') AS BIGINT) AS rejected_records,
+       CAST(0 AS BIGINT) AS failed_files
+FROM flagged_lines GROUP BY 1"""
+
+
+@register("ingest_roundtrip", INGEST_DAILY_SQL)
 def q_ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W9 + K3/K4/K5 + M1-M3 + R10: one batch job over all staged files; per-file results."""
+    """W9 + K3/K4/K5 + M1-M3 + R10: one batch job over all staged files; the per-file
+    results summed per day (part-file names vary, day totals do not)."""
     results, _ = _ingest(spark, sf_dir)
-    return results
+    return results.groupBy(F.date_format("source_date", "yyyy-MM-dd").alias("source_date")).agg(
+        F.sum("total_records").cast("bigint").alias("total_records"),
+        F.sum("valid_records").cast("bigint").alias("valid_records"),
+        F.sum("rejected_records").cast("bigint").alias("rejected_records"),
+        F.count_if(F.col("status") != st.SUCCESS).alias("failed_files"),
+    )
 
 
-@register("silver_overwrite")
+@register(
+    "silver_overwrite",
+    "SELECT SourceDate, count(*) AS line_count FROM (" + SILVER_SQL + ") GROUP BY SourceDate",
+)
 def q_silver_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K6 + A2: bronze (valid lines of the daily files) -> silver twice into the same
     table; dynamic overwrite keeps it whole, not doubled. Rows per SourceDate."""
@@ -1276,12 +1294,24 @@ def q_silver_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out}/silver").groupBy("SourceDate").agg(F.count(F.lit(1)).alias("line_count"))
 
 
-@register("prepare_roundtrip")
+@register(
+    "prepare_roundtrip",
+    """SELECT strftime(l_shipdate, '%Y-%m-%d') AS source_date, count(*) AS manifest_records,
+       count(*) AS counted_records, true AS all_ok
+FROM lineitem GROUP BY 1""",
+)
 def q_prepare_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S12/P3/K1/K2 then V2, V6-V12: write daily files and their manifest, verify them."""
+    """S12/P3/K1/K2 then V2, V6-V12: write daily files and their manifest, verify every
+    file (header, count, dates, checksum); per day: records listed, records
+    counted, and whether all of the day's files passed."""
     out = scratch_path(spark, "prepared")
     manifest = cut_lineage(prepare_source(spark, source_lines(spark, sf_dir), out, PROVIDER_ID))
-    return verify_source(spark, manifest, out, PROVIDER_ID)
+    checked = verify_source(spark, manifest, out, PROVIDER_ID)
+    return checked.groupBy(F.col("expected_date").alias("source_date")).agg(
+        F.sum("expected_count").cast("bigint").alias("manifest_records"),
+        F.sum("actual_count").cast("bigint").alias("counted_records"),
+        F.bool_and(F.col("status") == "OK").alias("all_ok"),
+    )
 
 
 @register("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
