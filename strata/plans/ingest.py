@@ -312,3 +312,38 @@ def compact_state(spark: SparkSession, state_path: str) -> int:
     staged = spark.read.schema(FILE_STATE_SCHEMA).parquet(stage)
     staged.write.mode("overwrite").parquet(state_path)
     return spark.read.parquet(state_path).count()
+
+
+def ingest_feeds(
+    spark: SparkSession,
+    config: DataFrame,
+    state_path: str,
+    run_id: str | None = None,
+    limit: int | None = None,
+    now: _dt.datetime | None = None,
+) -> DataFrame:
+    """S10 + W9: run the batch intake for every active feed of a DataConfig table.
+
+    The config has one row per feed (collected as configuration); each feed's
+    files are one batch job. Results of all feeds come back as one DataFrame
+    with ``provider_id``.
+    """
+    from strata.sources.config import active_feeds
+
+    out = None
+    for feed in active_feeds(config).collect():
+        res = ingest_batch(
+            spark,
+            feed["raw_path"],
+            feed["bronze_path"],
+            feed["quarantine_path"],
+            state_path,
+            provider_id=feed["provider_id"],
+            run_id=run_id,
+            limit=limit,
+            now=now,
+        ).withColumn("provider_id", F.lit(feed["provider_id"]))
+        out = res if out is None else out.unionByName(res)
+    if out is None:
+        raise ValueError("no active feed in the configuration")
+    return out

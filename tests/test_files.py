@@ -120,3 +120,20 @@ def test_record_numbers_across_splits(spark, workdir):
     assert len(rows) == 40000
     for r in rows:
         assert int(r.InvoiceNo[1:]) + 2 == r.record_number
+
+
+def test_ingest_feeds_from_config(spark, workdir):
+    from fixtures import fixture_text
+    from strata.plans.ingest import ingest_feeds
+    from strata.sources.config import feed_config
+
+    feeds = []
+    for p in ("prov_a", "prov_b"):
+        root = os.path.join(workdir, p)
+        write_file(os.path.join(root, "raw"), "retail_sales_20101201.csv", fixture_text())
+        feeds.append(
+            {"provider_id": p, **{f"{k}_path": os.path.join(root, k) for k in ("raw", "bronze", "silver", "quarantine")}}
+        )
+    feeds.append({**feeds[0], "provider_id": "off", "active": False})
+    res = ingest_feeds(spark, feed_config(spark, feeds), os.path.join(workdir, "state")).collect()
+    assert sorted((r.provider_id, r.valid_records, r.rejected_records) for r in res) == [("prov_a", 7, 11), ("prov_b", 7, 11)]
