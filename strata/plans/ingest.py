@@ -107,7 +107,7 @@ def ingest_batch(
     lines = read_lines(spark, readable)
     flagged = rules.flag(rules.coerce(lines))
     flagged = flagged.join(todo.select("source_uri", "source_file", "source_date"), on="source_uri", how="inner")
-    flagged = cut_lineage(flagged)
+    flagged = cut_lineage(flagged, "flagged")
 
     # Rows with extra fields fail their whole file (as the reference's reader does).
     per_file = flagged.groupBy("source_uri").agg(
