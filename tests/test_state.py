@@ -12,7 +12,7 @@ from strata.schemas import FILE_STATE_SCHEMA, INGESTION_STATE_SCHEMA
 T0 = dt.datetime(2026, 1, 1, 10, 0, 0)
 T1 = dt.datetime(2026, 1, 1, 10, 5, 0)
 T2 = dt.datetime(2026, 1, 1, 10, 9, 0)
-KEY = ("provider_retail", "gs://raw/state_test.csv", "test_checksum_12345")
+KEY = ("provider_retail", "raw/provider_retail/state_test.csv", "test_checksum_12345")
 
 
 def _change(spark, status, run_id, **kw):
