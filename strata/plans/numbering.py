@@ -2,76 +2,77 @@
 
 ``row_number().over(Window.partitionBy(file).orderBy(...))`` sends each file to a
 single task; a file holding a third of the rows then becomes the whole job.
-Both helpers here number rows with one range shuffle (or none) plus a tiny
-offsets table whose size is bounded by partitions x groups, never by rows.
+``number_rows`` orders by value (range shuffle of the distinct rows, staged
+once); ``number_in_scan_order`` numbers rows of a file scan in physical order
+with no shuffle at all. Both add a small offsets table whose size is bounded
+by partitions x groups, never by rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_POS_MASK = (1 << 33) - 1
-
-
-def _cols(cols):
-    return [F.col(c) if isinstance(c, str) else c for c in cols]
-
-
 def number_rows(
     df: DataFrame,
     partition_by: Sequence[str],
-    order_by: Sequence[str | Column],
+    order_by: Sequence[str],
     out: str = "row_number",
     start: int = 1,
     num_partitions: int | None = None,
 ) -> DataFrame:
-    """Number rows 1..n (plus ``start - 1``) within each ``partition_by`` group in
-    ``order_by`` order (ascending, nulls first).
+    """Number rows 1..n (plus ``start - 1``) within each ``partition_by`` group, in
+    ``order_by`` order (ascending, NULLs first), the remaining columns breaking ties.
 
-    Plan: range-partition on (group, order) so a hot group spreads over many
-    tasks, sort within partitions, take each row's position from
-    ``monotonically_increasing_id`` (consecutive inside a partition), then add the
-    count of the group's rows in earlier partitions from a small offsets table.
-    Ties in ``order_by`` get positions in arbitrary order, so give a total order
-    when rows differ outside it.
+    Rows equal in every column are interchangeable, so they are first collapsed
+    to (row, multiplicity) by a partial aggregate: a hot group of copies (a
+    third of the data may be one line) shrinks map-side. The distinct rows have
+    a total order; they are range-partitioned (balanced tasks even inside one
+    huge group), given weighted prefix sums per range partition, and staged
+    once as a parquet table in the checkpoint folder, so every later branch
+    sees the same partitioning. A small (partition, group) table adds the rows
+    of earlier partitions; ``sequence`` expands each row back to its copies.
+    The result does not depend on input order, so recomputation after a lost
+    executor gives the same numbers.
     """
+    from strata.session import cut_lineage
+
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Last key: the row's id before the shuffle, so a hot group of identical rows
-    # (a third of the data may be copies of one line) still spreads over many
-    # range partitions; identical rows are interchangeable, so their relative
-    # numbering does not change the result.
-    df_t = df.withColumn("_tie", F.monotonically_increasing_id())
-    keys = _cols(partition_by) + _cols(order_by) + [F.col("_tie")]
-    sorted_df = (
-        df_t.repartitionByRange(n, *[k.asc_nulls_first() for k in keys])
-        .sortWithinPartitions(*[k.asc_nulls_first() for k in keys])
-        .withColumn("_mid", F.monotonically_increasing_id())
-        .withColumn("_pid", F.shiftright(F.col("_mid"), 33))
-        .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_POS_MASK)))
-    )
+    cols = list(df.columns)
     group_cols = list(partition_by)
+    keys = group_cols + [c for c in order_by if c not in group_cols]
+    keys += [c for c in cols if c not in keys]
+    ordered = [F.col(c).asc_nulls_first() for c in keys]
+    distinct = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
+    ranged = (
+        distinct.repartitionByRange(n, *ordered)
+        .sortWithinPartitions(*ordered)
+        .withColumn("_pid", F.spark_partition_id())
+    )
+    in_part = Window.partitionBy("_pid").orderBy(*ordered).rowsBetween(Window.unboundedPreceding, -1)
+    ranged = ranged.withColumn("_cum", F.coalesce(F.sum("_m").over(in_part), F.lit(0)))
+    staged = cut_lineage(ranged, "numbering")
     # One row per (partition, group): where the group starts inside the
     # partition and how many of its rows lie in earlier partitions.
-    offsets = sorted_df.groupBy("_pid", *group_cols).agg(
-        F.min("_pos").alias("_first_pos"), F.count(F.lit(1)).alias("_cnt")
+    offsets = staged.groupBy("_pid", *group_cols).agg(
+        F.min("_cum").alias("_first"), F.sum("_m").alias("_cnt")
     )
-    w = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = offsets.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0))).drop("_cnt")
-    offsets = offsets.select(
+    earlier = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = offsets.withColumn("_before", F.coalesce(F.sum("_cnt").over(earlier), F.lit(0))).select(
         F.col("_pid").alias("_o_pid"),
         *[F.col(c).alias(f"_o_{i}") for i, c in enumerate(group_cols)],
-        "_first_pos",
+        "_first",
         "_before",
     )
     cond = [F.col("_pid") == F.col("_o_pid")] + [F.col(c).eqNullSafe(F.col(f"_o_{i}")) for i, c in enumerate(group_cols)]
-    joined = sorted_df.join(offsets, on=cond, how="inner")
+    joined = staged.join(offsets, on=cond, how="inner")
+    first = F.col("_before") + F.col("_cum") - F.col("_first") + F.lit(start)
     return joined.select(
-        *[F.col(c) for c in df.columns],
-        (F.col("_before") + F.col("_pos") - F.col("_first_pos") + F.lit(start)).alias(out),
+        *[F.col(c) for c in cols],
+        F.explode(F.sequence(first, first + F.col("_m") - 1)).alias(out),
     )
 
 

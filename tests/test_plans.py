@@ -120,3 +120,22 @@ def test_stream_watermark_drops_late_rows(spark, workdir):
     got = spark.read.parquet(os.path.join(workdir, "out")).count()
     assert got < 30
     assert dropped_by_watermark(q) == 30 - got
+
+
+def test_number_rows_independent_of_input_order(spark):
+    # a third of the rows are copies of one line; the rest distinct
+    rows = [("f1", "same", 1)] * 600 + [("f1" if i % 2 else "f2", f"v{i:05d}", i % 9) for i in range(1200)]
+    df = spark.createDataFrame(rows, "g string, a string, b int")
+    a = number_rows(df.repartition(7), ["g"], ["a", "b"], out="n", num_partitions=6)
+    b = number_rows(df.orderBy(F.rand(3)).repartition(3), ["g"], ["a", "b"], out="n", num_partitions=5)
+    ra = sorted(tuple(r) for r in a.collect())
+    rb = sorted(tuple(r) for r in b.collect())
+    assert ra == rb
+    by = {}
+    for g, av, bv, n in ra:
+        by.setdefault(g, []).append(n)
+    for g, ns in by.items():
+        assert sorted(ns) == list(range(1, len(ns) + 1)), g
+    # copies of the hot line take one contiguous block of numbers
+    hot = sorted(n for g, av, bv, n in ra if av == "same")
+    assert hot == list(range(hot[0], hot[0] + 600))
