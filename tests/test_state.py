@@ -171,3 +171,25 @@ def test_stale_runs(spark):
         INGESTION_STATE_SCHEMA,
     )
     assert [r.provider_id for r in st.stale_runs(state, T1).collect()] == ["p"]
+
+
+def test_idempotency_literal_case(spark):
+    """SUCCESS with 3108 / 3107 / 1 for (provider, uri, checksum) -> SKIP; a merge of
+    incoming changes leaves exactly one row per key."""
+    key = ("provider_retail", "raw/provider_retail/2010/12/01/retail_sales_20101201.csv", "a" * 64)
+    log = spark.createDataFrame(
+        [(key[0], key[1], "retail_sales_20101201.csv", dt.date(2010, 12, 1), key[2], "SUCCESS", "r", T0, T0, 3108, 3107, 1, None, T0, T0)],
+        FILE_STATE_SCHEMA,
+    )
+    files = spark.createDataFrame([key], "provider_id string, source_uri string, source_checksum string")
+    r = st.pending(files, log).collect()[0]
+    assert (r.action, r.reason) == ("SKIP", "SUCCESS")
+    changes = spark.createDataFrame(
+        [(key[0], key[1], "retail_sales_20101201.csv", dt.date(2010, 12, 1), key[2], "PROCESSING", "r2"),
+         (key[0], key[1] + "x", "x.csv", dt.date(2010, 12, 1), key[2], "PROCESSING", "r2")],
+        "provider_id string, source_uri string, source_file string, source_date date, source_checksum string, status string, run_id string",
+    )
+    merged = st.merge_state(st.latest(log), changes, now=T1)
+    assert merged.count() == merged.select(*st.FILE_STATE_KEYS).distinct().count() == 2
+    kept = [m for m in merged.collect() if m.source_uri == key[1]][0]
+    assert (kept.record_count, kept.valid_record_count, kept.rejected_record_count) == (3108, 3107, 1)
