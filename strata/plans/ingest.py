@@ -58,6 +58,7 @@ def ingest_batch(
     level: str = "exact_set",
     now: _dt.datetime | None = None,
     date_from: str = "name",
+    fingerprint_path: str | None = None,
 ) -> DataFrame:
     """Process new or not-yet-successful files of ``raw_path``.
 
@@ -72,8 +73,15 @@ def ingest_batch(
     files = discover(spark, raw_path, date_from=date_from)
     if limit is not None and limit_scope == "discovered":
         files = files.limit(limit)
-    fp = fingerprint(spark, raw_path, files)
-    cand = files.join(fp.drop("length"), on="source_uri", how="inner").withColumn("provider_id", F.lit(provider_id))
+    # Fingerprints of earlier runs are reused for unchanged files (same uri,
+    # length and modification time): only new or rewritten files are read.
+    fp_path = fingerprint_path or f"{state_path.rstrip('/')}_fingerprints"
+    cache = spark.read.parquet(fp_path) if writers.path_exists(spark, fp_path) else None
+    fp = cut_lineage(fingerprint(spark, raw_path, files, cache=cache), "fingerprints")
+    fp_keys = ["source_uri", "length", "modification_time"]
+    new_fp = fp if cache is None else fp.join(cache.select(*fp_keys), on=fp_keys, how="left_anti")
+    new_fp.write.mode("append").parquet(fp_path)
+    cand = files.join(fp.drop("length", "modification_time"), on="source_uri", how="inner").withColumn("provider_id", F.lit(provider_id))
     log = load_state(spark, state_path)
     decided = st.pending(cand, log)
     todo = decided.filter(F.col("action") == "PROCESS")

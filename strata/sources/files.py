@@ -89,59 +89,78 @@ def discover(spark: SparkSession, raw_path: str, date_from: str = "name", exclud
     return out.filter(F.col("source_date").isNotNull()).orderBy("source_date", "source_file", "source_uri")
 
 
-def fingerprint(spark: SparkSession, raw_path: str, files: DataFrame | None = None) -> DataFrame:
-    """F1/F2 + header line per file, in one ``binaryFile`` scan.
+FINGERPRINT_COLUMNS = ["source_uri", "length", "modification_time", "source_checksum", "physical_records", "header", "too_large"]
 
-    sha256 of the bytes (lower hex), byte length, physical record count (lines - 1,
-    at least 0, as the reference counts), and the header as an array of names
-    (byte-order mark and a trailing CR removed, surrounding quotes stripped).
-    Files above the row cap are not read; they come back with ``too_large``.
-    """
-    listing = _list(spark, raw_path)
-    big = listing.filter(F.col("length") > MAX_FINGERPRINT_BYTES).select(
-        F.col("path").alias("source_uri"), F.col("length"), F.lit(True).alias("too_large")
-    )
-    small = listing.filter(F.col("length") <= MAX_FINGERPRINT_BYTES)
-    if files is not None:
-        keep = files.select(F.col("source_uri").alias("path"))
-        small = small.join(keep, on="path", how="left_semi")
-        big = big.join(files.select("source_uri"), on="source_uri", how="left_semi")
+
+def _hash_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """sha256, physical record count and header of the given files (one binaryFile scan)."""
+    content = spark.read.format("binaryFile").load(list(paths))
     text = F.decode(F.col("content"), "UTF-8")
     newlines = F.length(text) - F.length(F.regexp_replace(text, "\n", ""))
     lines = newlines + F.when((F.length(text) > 0) & ~text.endswith("\n"), 1).otherwise(0)
     first = F.substring_index(F.decode(F.substring(F.col("content"), 1, HEADER_PROBE_BYTES), "UTF-8"), "\n", 1)
-    first = F.regexp_replace(F.regexp_replace(first, "^﻿", ""), "\r$", "")
+    first = F.regexp_replace(F.regexp_replace(first, "^\ufeff", ""), "\r$", "")
     header = F.when(
         F.length(first) > 0, F.transform(F.split(first, ","), lambda x: F.regexp_replace(F.trim(x), '^"|"$', ""))
     )
-    fp = small.select(
+    return content.select(
         F.col("path").alias("source_uri"),
-        F.col("length"),
         F.sha2(F.col("content"), 256).alias("source_checksum"),
         F.greatest(lines - 1, F.lit(0)).cast("bigint").alias("physical_records"),
         header.alias("header"),
-        F.lit(False).alias("too_large"),
     )
-    big = big.select(
-        "source_uri",
-        "length",
-        F.lit(None).cast("string").alias("source_checksum"),
-        F.lit(None).cast("bigint").alias("physical_records"),
-        F.lit(None).cast("array<string>").alias("header"),
-        "too_large",
+
+
+def fingerprint(
+    spark: SparkSession,
+    raw_path: str,
+    files: DataFrame | None = None,
+    cache: DataFrame | None = None,
+) -> DataFrame:
+    """F1/F2 + header line per file.
+
+    sha256 of the bytes (lower hex), byte length, physical record count (lines - 1,
+    at least 0, as the reference counts), and the header as an array of names
+    (byte-order mark and a trailing CR removed, surrounding quotes stripped).
+
+    Only files that need it are read: ``files`` restricts the set, and a
+    ``cache`` of earlier fingerprints (same columns) is reused for files whose
+    (uri, length, modification time) did not change, so a run over a growing
+    archive hashes only new or rewritten files. Zero-byte files get the hash
+    of nothing; files above the row cap are not read (``too_large``).
+    """
+    listing = list_files(spark, raw_path).select(
+        F.col("path").alias("source_uri"), "length", F.col("modificationTime").alias("modification_time")
     )
-    empty = list_files(spark, raw_path).filter(F.col("length") == 0)
     if files is not None:
-        empty = empty.join(files.select(F.col("source_uri").alias("path")), on="path", how="left_semi")
-    empty = empty.select(
-        F.col("path").alias("source_uri"),
-        F.col("length"),
-        F.lit(EMPTY_SHA256).alias("source_checksum"),
-        F.lit(0).cast("bigint").alias("physical_records"),
-        F.lit(None).cast("array<string>").alias("header"),
-        F.lit(False).alias("too_large"),
+        listing = listing.join(files.select("source_uri"), on="source_uri", how="left_semi")
+    reused = None
+    if cache is not None:
+        known = cache.select(*FINGERPRINT_COLUMNS)
+        reused = known.join(listing, on=["source_uri", "length", "modification_time"], how="left_semi")
+        listing = listing.join(known, on=["source_uri", "length", "modification_time"], how="left_anti")
+    readable = listing.filter((F.col("length") > 0) & (F.col("length") <= MAX_FINGERPRINT_BYTES))
+    paths = [r[0] for r in readable.select("source_uri").collect()]  # file list: metadata
+    hashed = _hash_files(spark, paths) if paths else None
+    if hashed is not None:
+        fresh = listing.join(hashed, on="source_uri", how="left")
+    else:
+        fresh = listing.select(
+            "*",
+            F.lit(None).cast("string").alias("source_checksum"),
+            F.lit(None).cast("bigint").alias("physical_records"),
+            F.lit(None).cast("array<string>").alias("header"),
+        )
+    fresh = fresh.select(
+        "source_uri",
+        "length",
+        "modification_time",
+        F.when(F.col("length") == 0, F.lit(EMPTY_SHA256)).otherwise(F.col("source_checksum")).alias("source_checksum"),
+        F.when(F.col("length") == 0, F.lit(0).cast("bigint")).otherwise(F.col("physical_records")).alias("physical_records"),
+        "header",
+        (F.col("length") > MAX_FINGERPRINT_BYTES).alias("too_large"),
     )
-    return fp.unionByName(big).unionByName(empty)
+    return fresh if reused is None else fresh.unionByName(reused)
 
 
 def _string_schema(names: Sequence[str]) -> T.StructType:

@@ -4,6 +4,8 @@ empty and header-only files, extra/short fields, quoted newlines."""
 import hashlib
 import os
 
+from pyspark.sql import functions as F
+
 from fixtures import HEADER, fixture_text, line, write_file
 from strata.plans.ingest import ingest_batch
 from strata.sources.files import discover, fingerprint
@@ -137,3 +139,27 @@ def test_ingest_feeds_from_config(spark, workdir):
     feeds.append({**feeds[0], "provider_id": "off", "active": False})
     res = ingest_feeds(spark, feed_config(spark, feeds), os.path.join(workdir, "state")).collect()
     assert sorted((r.provider_id, r.valid_records, r.rejected_records) for r in res) == [("prov_a", 7, 11), ("prov_b", 7, 11)]
+
+
+def test_fingerprint_cache_reads_only_changed_files(spark, workdir):
+    import time
+
+    from strata.sources.files import fingerprint
+
+    raw = os.path.join(workdir, "raw")
+    a = write_file(raw, "retail_sales_20101201.csv", HEADER + "\n" + line() + "\n")
+    write_file(raw, "retail_sales_20101202.csv", HEADER + "\n" + line(inv="9") + "\n")
+    first = fingerprint(spark, raw)
+    cache = spark.createDataFrame(first.collect(), first.schema)
+    # tamper with the cached checksum of file 2: an unchanged file must reuse it
+    cache = cache.withColumn(
+        "source_checksum",
+        F.when(F.col("source_uri").endswith("20101202.csv"), F.lit("cached")).otherwise(F.col("source_checksum")),
+    )
+    time.sleep(0.01)
+    with open(a, "a") as fh:
+        fh.write(line(inv="7") + "\n")  # file 1 changes: new length and time
+    got = {r.source_uri.rsplit("/", 1)[-1]: r for r in fingerprint(spark, raw, cache=cache).collect()}
+    assert got["retail_sales_20101202.csv"].source_checksum == "cached"
+    assert got["retail_sales_20101201.csv"].source_checksum == hashlib.sha256(open(a, "rb").read()).hexdigest()
+    assert got["retail_sales_20101201.csv"].physical_records == 2
