@@ -92,9 +92,8 @@ def discover(spark: SparkSession, raw_path: str, date_from: str = "name", exclud
 FINGERPRINT_COLUMNS = ["source_uri", "length", "modification_time", "source_checksum", "physical_records", "header", "too_large"]
 
 
-def _hash_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """sha256, physical record count and header of the given files (one binaryFile scan)."""
-    content = spark.read.format("binaryFile").load(list(paths))
+def _hash_files(content: DataFrame) -> DataFrame:
+    """sha256, physical record count and header of ``binaryFile`` rows (one scan)."""
     text = F.decode(F.col("content"), "UTF-8")
     newlines = F.length(text) - F.length(F.regexp_replace(text, "\n", ""))
     lines = newlines + F.when((F.length(text) > 0) & ~text.endswith("\n"), 1).otherwise(0)
@@ -140,8 +139,15 @@ def fingerprint(
         reused = known.join(listing, on=["source_uri", "length", "modification_time"], how="left_semi")
         listing = listing.join(known, on=["source_uri", "length", "modification_time"], how="left_anti")
     readable = listing.filter((F.col("length") > 0) & (F.col("length") <= MAX_FINGERPRINT_BYTES))
-    paths = [r[0] for r in readable.select("source_uri").collect()]  # file list: metadata
-    hashed = _hash_files(spark, paths) if paths else None
+    if reused is None:
+        # Nothing to reuse: one recursive scan of the folder, restricted to the
+        # wanted files (cheaper than opening an explicit list of many paths).
+        scan = _list(spark, raw_path).filter(F.col("length") <= MAX_FINGERPRINT_BYTES)
+        content = scan.join(readable.select(F.col("source_uri").alias("path")), on="path", how="left_semi")
+        hashed = _hash_files(content)
+    else:
+        paths = [r[0] for r in readable.select("source_uri").collect()]  # changed files: metadata
+        hashed = _hash_files(spark.read.format("binaryFile").load(paths)) if paths else None
     if hashed is not None:
         fresh = listing.join(hashed, on="source_uri", how="left")
     else:
