@@ -41,6 +41,18 @@ def duplicated_columns(actual: Column) -> Column:
     )
 
 
+def level_ok(header: Column, level: str, expected: Sequence[str] = RAW_COLUMNS) -> Column:
+    """The verdict of one strictness level as a column (see ``header_verdict``)."""
+    if level == "exact_ordered":
+        return header == _arr(expected)
+    miss = F.size(missing_columns(header, expected)) == 0
+    if level == "superset":
+        return miss
+    if level == "exact_set":
+        return miss & (F.size(unexpected_columns(header, expected)) == 0) & (F.size(duplicated_columns(header)) == 0)
+    raise ValueError(f"level must be one of {LEVELS}")
+
+
 def header_verdict(
     headers: DataFrame,
     header_col: str = "header",
