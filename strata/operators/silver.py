@@ -87,6 +87,7 @@ def dedup_exact(
     scope: str = "file",
     file_col: str = "SourceFile",
     survivor_order: Sequence[str] = (),
+    carry_keys: Sequence[str] = (),
 ) -> DataFrame:
     """A1: remove exact duplicate lines.
 
@@ -94,7 +95,8 @@ def dedup_exact(
     ``mode="hash"``   key = the row hash (merges NULL with '' and values that only
                       differ below a second, as the reference does).
     ``scope="file"``  duplicates only within one source file (the key includes
-                      ``file_col``); ``"batch"`` across all files.
+                      ``file_col`` and ``carry_keys``, columns constant per file);
+                      ``"batch"`` across all files.
 
     Rows that are identical in every column are dropped first by a key-only
     aggregate (map-side partial aggregation, so a hot group of copies shrinks
@@ -108,7 +110,9 @@ def dedup_exact(
         df = with_row_hash(df)
     key = [HASH_COL] if mode == "hash" else list(RAW_COLUMNS)
     if scope == "file":
-        key = key + [file_col]
+        # Columns constant within a file (lineage such as the checksum) join the
+        # key, so the typed mode stays a key-only hash aggregate.
+        key = key + [file_col] + [c for c in carry_keys if c in df.columns]
     elif scope != "batch":
         raise ValueError(f"scope must be 'file' or 'batch', not {scope!r}")
     rest = [c for c in df.columns if c not in key]
@@ -224,7 +228,7 @@ def to_silver(
     )
     if counts is not None:
         df = df.observe(counts.source, F.count(F.lit(1)).alias("source_count"))
-    df = dedup_exact(df, mode=dedup_mode, scope=dedup_scope, file_col="SourceFile")
+    df = dedup_exact(df, mode=dedup_mode, scope=dedup_scope, file_col="SourceFile", carry_keys=["SourceChecksum"])
     if dedup_mode == "hash":
         df = df.drop(HASH_COL)
     if counts is not None:

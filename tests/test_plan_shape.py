@@ -54,3 +54,8 @@ def test_lookback_prunes_silver_partitions(spark, workdir):
     assert "PartitionFilters: [isnotnull(SourceDate" in plan
     want = table.filter((table.InvoiceDate >= lo) & (table.InvoiceDate <= hi)).count()
     assert rows.count() == want
+
+
+def test_typed_silver_is_hash_aggregate(spark):
+    plan = plan_of(Q.silver_plan(spark, SF001, dedup_mode="typed"))
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
