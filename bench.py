@@ -85,6 +85,7 @@ def main() -> None:
     out = {}
     for name in HEADLINE:
         out[name] = timed(lambda n=name: noop(Q.QUERIES[n](spark, sf)), repeat)
+    out["silver_lines_typed_dedup"] = timed(lambda: noop(Q.silver_plan(spark, sf, dedup_mode="typed")), repeat)
     out["silver_lines_one_pass_observed"] = timed(lambda: silver_one_pass(spark, sf), repeat)
     out["silver_lines_five_actions"] = timed(lambda: silver_five_actions(spark, sf), repeat)
     target = scratch_path(spark, "bench-silver")
