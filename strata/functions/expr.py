@@ -99,16 +99,6 @@ def try_timestamp(c: str | Column, formats: Sequence[str] = DEFAULT_TIMESTAMP_FO
     return F.coalesce(*[F.try_to_timestamp(c, F.lit(fmt)) for fmt in formats])
 
 
-def row_hash(columns: Sequence[str | Column]) -> Column:
-    """SHA-256 hex of the typed values joined by ``||``; NULL as '', timestamps as
-    ``yyyy-MM-dd HH:mm:ss``, numbers by Spark's string cast."""
-    parts = []
-    for c in columns:
-        c = col(c)
-        parts.append(F.coalesce(c.cast("string"), F.lit("")))
-    return F.sha2(F.concat_ws(ROW_HASH_SEPARATOR, *parts), 256)
-
-
 def line_amount(quantity: str | Column = "Quantity", unit_price: str | Column = "UnitPrice") -> Column:
     """round(Quantity * UnitPrice, 2), half-up."""
     return F.round(col(quantity) * col(unit_price), 2)

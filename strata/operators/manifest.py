@@ -3,8 +3,9 @@
 
 The reference loops over manifest rows and stops at the first bad file; here
 every check is a column of one per-file DataFrame (a full outer join of the
-manifest with what is actually there), with ``first_failure`` naming the
-first failing check in the reference's order.
+manifest with what is actually there), with ``status`` naming the first
+failing check in the reference's order (missing, schema, count, dates,
+partition date, checksum).
 """
 
 from __future__ import annotations
@@ -113,10 +114,6 @@ def date_purity(
     return out.withColumn("first_failure", first)
 
 
-# ---- fixed values: order of the per-file checks (first failure wins) ----
-CHECK_ORDER = ["missing_file", "schema", "record_count", "invoice_date", "single_date", "partition_date", "checksum"]
-
-
 def verify_manifest(
     manifest: DataFrame,
     actual: DataFrame,
