@@ -139,3 +139,17 @@ def test_number_rows_independent_of_input_order(spark):
     # copies of the hot line take one contiguous block of numbers
     hot = sorted(n for g, av, bv, n in ra if av == "same")
     assert hot == list(range(hot[0], hot[0] + 600))
+
+
+def test_hash_dedup_survivor_is_deterministic(spark):
+    ts = dt.datetime(2010, 12, 1, 8, 26)
+    schema = "InvoiceNo string, StockCode string, Description string, Quantity long, InvoiceDate timestamp, UnitPrice double, CustomerID string, Country string, SourceFile string"
+    rows = [
+        ("536365", "S1", "W", 6, ts, 2.5, None, "UK", "b.csv"),
+        ("536365", "S1", "W", 6, ts, 2.5, "", "UK", "a.csv"),
+    ]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, schema).repartition(2)
+        got = silver.dedup_exact(df, mode="hash", scope="batch", survivor_order=["SourceFile"]).collect()
+        assert len(got) == 1
+        assert (got[0].SourceFile, got[0].CustomerID) == ("a.csv", "")  # least source file survives
