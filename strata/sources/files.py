@@ -25,6 +25,9 @@ CSV_GLOB = "*.[cC][sS][vV]"
 TEST_FOLDER = "/test/"
 # binaryFile keeps a whole file in one row; rows are capped near 2 GB.
 MAX_FINGERPRINT_BYTES = 2_000_000_000
+# Counting physical lines decodes the file and copies it once more; above this
+# size the count is left NULL (record counts then come from the parsed rows).
+MAX_LINE_COUNT_BYTES = 256 * 1024 * 1024
 HEADER_PROBE_BYTES = 65536
 CORRUPT_COL = "_corrupt_record"
 
@@ -105,7 +108,9 @@ def _hash_files(content: DataFrame) -> DataFrame:
     return content.select(
         F.col("path").alias("source_uri"),
         F.sha2(F.col("content"), 256).alias("source_checksum"),
-        F.greatest(lines - 1, F.lit(0)).cast("bigint").alias("physical_records"),
+        F.when(F.col("length") <= MAX_LINE_COUNT_BYTES, F.greatest(lines - 1, F.lit(0)))
+        .cast("bigint")
+        .alias("physical_records"),
         header.alias("header"),
     )
 
