@@ -72,10 +72,19 @@ def write_quarantine_files(spark: SparkSession, failed: DataFrame, quarantine_pa
     ``failed``: source_uri, source_file, source_date, source_checksum, file_error.
     The bytes come from one ``binaryFile`` read of exactly these paths.
     """
+    from strata.sources.files import MAX_FINGERPRINT_BYTES
+
     paths = [r[0] for r in failed.select("source_uri").collect()]
     if not paths:
         return
-    content = spark.read.format("binaryFile").load(paths).select(F.col("path").alias("source_uri"), "content")
+    # Bytes are kept for files under the binaryFile row cap; a larger failed
+    # file keeps its path and reason with NULL content (it stays in raw).
+    content = (
+        spark.read.format("binaryFile")
+        .load(paths)
+        .filter(F.col("length") <= MAX_FINGERPRINT_BYTES)
+        .select(F.col("path").alias("source_uri"), "content")
+    )
     out = failed.join(content, on="source_uri", how="left")
     (
         out.write.mode("overwrite")
