@@ -1143,8 +1143,8 @@ def q_file_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     "batch_outcome",
     with_ctes(RETAIL_LINES_SQL, FLAGGED_SQL, BATCH_SQL)
     + """
-SELECT count(*) AS selected_files, count_if(status = 'SUCCESS') AS successful_files,
-       count_if(status <> 'SUCCESS') AS failed_files FROM results""",
+SELECT count(*) AS selected_files, CAST(count_if(status = 'SUCCESS') AS BIGINT) AS successful_files,
+       CAST(count_if(status <> 'SUCCESS') AS BIGINT) AS failed_files FROM results""",
 )
 def q_batch_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Selected, successful and failed files of the batch."""
