@@ -153,3 +153,20 @@ def test_hash_dedup_survivor_is_deterministic(spark):
         got = silver.dedup_exact(df, mode="hash", scope="batch", survivor_order=["SourceFile"]).collect()
         assert len(got) == 1
         assert (got[0].SourceFile, got[0].CustomerID) == ("a.csv", "")  # least source file survives
+
+
+def test_ingest_stream_restart_is_idempotent(spark, workdir):
+    from fixtures import fixture_text, write_file
+    from strata.streaming.stream import ingest_stream
+
+    raw = os.path.join(workdir, "raw")
+    write_file(raw, "retail_sales_20101201.csv", fixture_text())
+    b, q, ck = (os.path.join(workdir, k) for k in ("bronze", "quarantine", "ck"))
+    ingest_stream(spark, raw, b, q, ck)
+    ingest_stream(spark, raw, b, q, ck)  # restart on the same checkpoint: nothing new
+    assert spark.read.option("header", "true").csv(b).count() == 7
+    write_file(raw, "retail_sales_20101202.csv", fixture_text())
+    ingest_stream(spark, raw, b, q, ck)  # only the new file is read
+    bronze = spark.read.option("header", "true").csv(b)
+    assert bronze.count() == 14
+    assert bronze.select("source_file").distinct().count() == 2
