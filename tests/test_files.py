@@ -163,3 +163,13 @@ def test_fingerprint_cache_reads_only_changed_files(spark, workdir):
     assert got["retail_sales_20101202.csv"].source_checksum == "cached"
     assert got["retail_sales_20101201.csv"].source_checksum == hashlib.sha256(open(a, "rb").read()).hexdigest()
     assert got["retail_sales_20101201.csv"].physical_records == 2
+
+
+def test_discover_by_partition_folder(spark, workdir):
+    raw = os.path.join(workdir, "raw")
+    write_file(os.path.join(raw, "source_date=2010-12-02"), "part-00000-a.c000.csv", fixture_text())
+    write_file(os.path.join(raw, "source_date=2010-12-01"), "part-00001-b.c000.csv", fixture_text())
+    write_file(os.path.join(raw, "source_date=2010-13-01"), "part-00002-c.c000.csv", fixture_text())  # no such date
+    write_file(os.path.join(raw, "test", "source_date=2010-12-03"), "part-00003-d.c000.csv", fixture_text())
+    got = [(r.source_file, str(r.source_date)) for r in discover(spark, raw, date_from="partition").collect()]
+    assert got == [("part-00001-b.c000.csv", "2010-12-01"), ("part-00000-a.c000.csv", "2010-12-02")]
