@@ -30,16 +30,16 @@ SHARD = 1 << 20
 #: Ids below this are tokens, the others nonterminals; symbols are 16 bits wide.
 BASE, SYMBOLS = 50_257, 1 << 16
 #: Rounds of replacement, pairs replaced in a round at most, and least count of a pair.
-ROUNDS, PAIRS, LEAST = 4, 3072, 8
+ROUNDS, PAIRS, LEAST = 3, 4096, 8
 
-_BUCKETS = 20
+_BUCKETS = 19
 
 
 def _frequent(sequence: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     """(positions, hash buckets) where one of about ``most`` most frequent pairs starts; a bucket stands for one pair."""
     keys = (sequence[:-1] << np.uint32(16)) | sequence[1:]
     bucket = (keys * np.uint32(2654435761)) >> np.uint32(32 - _BUCKETS)
-    counts = np.bincount(bucket, minlength=1 << _BUCKETS)
+    counts = np.bincount(bucket, minlength=1 << _BUCKETS).astype(np.int32)
     least = max(LEAST, int(np.partition(counts, -most)[-most]))
     at = np.flatnonzero(counts[bucket] >= least)
     # Of pairs that share a bucket one is taken now, the others in a later round.
@@ -86,21 +86,32 @@ def compress(tokens: np.ndarray, base: int = BASE, rounds: int = ROUNDS, most: i
     return rules, lengths, sequence
 
 
-def expand(symbols: np.ndarray, rules: np.ndarray, base: int = BASE) -> np.ndarray:
-    """The tokens that a sequence of symbols stands for."""
-    symbols = symbols.astype(np.int64)
-    while len(rules):
+def _rule_tokens(rules: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens of all rules one after another, where each rule's start, and the end)."""
+    symbols, owner = rules.astype(np.int64).reshape(-1), np.repeat(np.arange(len(rules)), 2)
+    while len(symbols) and symbols.max() >= base:
         rule = symbols >= base
-        if not rule.any():
-            break
         width = np.where(rule, 2, 1)
         at = np.cumsum(width) - width
         out = np.empty(int(width.sum()), dtype=np.int64)
         out[at] = symbols
         pair = rules[symbols[rule] - base]
         out[at[rule]], out[at[rule] + 1] = pair[:, 0], pair[:, 1]
-        symbols = out
-    return symbols
+        symbols, owner = out, np.repeat(owner, width)
+    return symbols, np.searchsorted(owner, np.arange(len(rules) + 1))
+
+
+def expand(symbols: np.ndarray, rules: np.ndarray, base: int = BASE) -> np.ndarray:
+    """The tokens that a sequence of symbols stands for."""
+    if not len(rules):
+        return symbols.astype(np.uint32)
+    tokens, start = _rule_tokens(rules, base)
+    tokens = np.concatenate([np.arange(base), tokens]).astype(np.uint32)
+    start = np.concatenate([np.arange(base), start + base]).astype(np.int32)
+    first = start[symbols]
+    width = start[symbols.astype(np.int32) + 1] - first
+    ends = np.cumsum(width)
+    return tokens[np.repeat(first - (ends - width), width) + np.arange(int(ends[-1]) if len(ends) else 0)]
 
 
 def decode_range(rules: np.ndarray, lengths: np.ndarray, sequence: np.ndarray, a: int, b: int, base: int = BASE) -> np.ndarray:
@@ -173,7 +184,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             rules = np.frombuffer(row["rules"], dtype="<u2").reshape(-1, 2)
-            tokens = expand(np.frombuffer(row["sequence"], dtype="<u2"), rules).astype("<u4")
+            tokens = expand(np.frombuffer(row["sequence"], dtype="<u2"), rules).astype("<u4", copy=False)
             n = np.array(row["doc_tokens"], dtype=np.int64)
             ends = np.cumsum(n)
             view = memoryview(tokens.tobytes())

@@ -2,8 +2,8 @@
 
 Both tokenizers cut a text at white space before any merge, so the ids of a
 text are those of its words one after another.  A task keeps the ids of the
-words it has seen (``limit`` of them at most) and encodes only new ones with
-the tokenizers library.  Texts with white space whose cut depends on its
+words it has seen (``limit`` of them about; then the rare ones go) and encodes
+only new ones with the tokenizers library.  Texts with white space whose cut depends on its
 neighbours are encoded whole.
 """
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import chain, islice
 
 import numpy as np
 
@@ -67,6 +68,8 @@ class Encoder:
         self._used = 0
         self._start = np.zeros(1 << 16, dtype=np.int64)
         self._length = np.zeros(1 << 16, dtype=np.int64)  # -1: the word's cut depends on its neighbours
+        self._count = np.zeros(1 << 16, dtype=np.int32)  # texts with the word
+        self._marks: dict[str, list[int]] = {}
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self._tokenizer.encode_batch(texts, add_special_tokens=False)]
@@ -81,54 +84,96 @@ class Encoder:
         words[0] = "\n\n" + words[0]
         return words
 
-    def _of_words(self, words: list[str]) -> list[list[int] | None]:
-        """Ids of single keys; None where they depend on the neighbours."""
-        merge, plain = self._tokenizer.model.tokenize, _PLAIN.fullmatch
+    def _merged(self, piece: str) -> list[int]:
+        """Ids of a piece that no rule divides further."""
+        if piece.isascii():
+            piece = "Ġ" + piece[1:] if piece[0] == " " else piece
+        else:
+            piece = piece.encode().decode("latin-1").translate(_SYMBOLS)
+        return [t.id for t in self._tokenizer.model.tokenize(piece)]
+
+    def _of_words(self, words: list[str], known: int) -> list[list[int] | None]:
+        """Ids of single keys; None where they depend on the neighbours.  The first ``known`` keys have theirs."""
+        kept, plain, seen, marks = self._kept, _PLAIN.fullmatch, self._seen, self._marks
         out: list = [None] * len(words)
+        new: dict[str, list[int]] = {}
         other, texts = [], []
-        for i, w in enumerate(words):
-            lead = []
-            if self._kept:
-                if w == "\n\n":  # an empty text
-                    out[i] = []
-                    continue
-                if w.startswith("\n\n"):
-                    w = w[2:]
-                elif w.startswith("\n"):
-                    lead, w = [self._line_break], w[1:]
+        for i, key in enumerate(words):
+            w, lead = key, []
+            if kept:
+                if key[:1] != "\n":
+                    w = " " + key
+                elif key[:2] == "\n\n":
+                    w = key[2:]
+                    if not w:  # an empty text
+                        out[i] = []
+                        continue
                 else:
-                    w = " " + w
+                    lead, w = [self._line_break], key[1:]
+            m = plain(w)
+            if m:
+                letters, tail, only = m.groups()
+                letters = letters or only
+                if not kept:
+                    letters = letters.lower()
+                ids = new.get(letters)
+                if ids is None:
+                    # The word without its marks may be known.
+                    at = seen.get(letters[1:] if kept else letters, known) if tail and (not kept or letters[0] == " ") else known
+                    if at < known:
+                        ids = self._ids[self._start[at] : self._start[at] + self._length[at]].tolist()
+                    else:
+                        ids = self._merged(letters)
+                    new[letters] = ids
+                if tail:
+                    if tail not in marks:
+                        if len(marks) > 10_000:
+                            marks.clear()
+                        marks[tail] = self._merged(tail)
+                    ids = ids + marks[tail]
+                out[i] = lead + ids if lead else ids
+                continue
+            if kept:
                 bare = w.removeprefix(" ")
                 if not bare or bare != bare.strip() or any(c in bare for c in _SEPARATORS):
                     continue
-            m = plain(w)
-            if m:
-                ids = lead
-                for piece in m.groups():
-                    if piece:
-                        piece = piece if self._kept else piece.lower()
-                        ids = ids + [t.id for t in merge(piece.encode().decode("latin-1").translate(_SYMBOLS))]
-                out[i] = ids
-            else:
-                other.append((i, lead))
-                texts.append(w)
+            other.append((i, lead))
+            texts.append(w)
         for (i, lead), ids in zip(other, self.whole(texts)):
             out[i] = lead + ids
         return out
 
+    def _forget(self) -> None:
+        """Keeps the words seen three times or more since the last time."""
+        n = len(self._seen)
+        keep = np.flatnonzero(self._count[:n] >= 3)
+        words = list(self._seen)
+        start, length, ids = self._start[keep], self._length[keep], self._ids
+        self._clear()
+        for i in keep.tolist():
+            self._seen[words[i]]
+        real = np.maximum(length, 0)
+        flat = ids[np.repeat(start - (np.cumsum(real) - real), real) + np.arange(int(real.sum()))]
+        self._grow(len(keep), len(flat))
+        self._ids[: len(flat)] = flat
+        self._used = len(flat)
+        self._start[: len(keep)], self._length[: len(keep)] = np.cumsum(real) - real, length
+
+    def _grow(self, words: int, ids: int) -> None:
+        while len(self._start) < words:
+            self._start, self._length, self._count = (np.concatenate([x, np.zeros_like(x)]) for x in (self._start, self._length, self._count))
+        while len(self._ids) < ids:
+            self._ids = np.concatenate([self._ids, np.zeros_like(self._ids)])
+
     def _learn(self, known: int) -> None:
         n = len(self._seen)
-        if n == known:
-            return
-        words = list(self._seen)[known:] if known else list(self._seen)
-        while len(self._start) < n:
-            self._start, self._length = (np.concatenate([x, np.zeros_like(x)]) for x in (self._start, self._length))
+        words = list(islice(self._seen, known, None))
+        self._grow(n, 0)
         for a in range(0, len(words), 20_000):
-            ids = self._of_words(words[a : a + 20_000])
+            ids = self._of_words(words[a : a + 20_000], known + a)
             lengths = np.fromiter((-1 if x is None else len(x) for x in ids), dtype=np.int64, count=len(ids))
-            flat = np.fromiter((i for x in ids if x for i in x), dtype=np.int32)
-            while len(self._ids) < self._used + len(flat):
-                self._ids = np.concatenate([self._ids, np.zeros_like(self._ids)])
+            flat = np.fromiter(chain.from_iterable(x for x in ids if x), dtype=np.int32)
+            self._grow(n, self._used + len(flat))
             self._ids[self._used : self._used + len(flat)] = flat
             at = known + a
             self._length[at : at + len(ids)] = lengths
@@ -139,13 +184,15 @@ class Encoder:
     def encode(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each followed by ``end``, and the number of ids of each text."""
         if len(self._seen) > self._limit:
-            self._clear()
+            self._forget()
         known = len(self._seen)
         look, index = self._seen.__getitem__, []
         for text in texts:
             words = self._words(text)
             index.append(np.fromiter(map(look, words), dtype=np.int64, count=len(words)))
         self._learn(known)
+        for word in index:
+            self._count[word] += 1
         out, counts = [], np.zeros(len(texts), dtype=np.int64)
         for i, word in enumerate(index):
             lengths = self._length[word]
