@@ -156,20 +156,34 @@ def _shared(width: int):
 
 
 def _link_to_leaders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted (tree, prefix, set_key, signature) rows -> candidate edges (a, b) to the prefix's leaders."""
+    """Sorted (tree, prefix, set_key, signature) rows -> candidate edges (a, b) to the prefix's leaders.
+
+    Leaders already connected under this prefix get one edge, so there are
+    fewer than two edges a set.
+    """
     at, keys, n = None, [], 0
+    parent: list[int] = []
+
+    def top(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
     marks = np.zeros((16, TREES * DEPTH), dtype=np.uint16)
     for batch in batches:
         a, b = [], []
         for tree, prefix, key, raw in zip(*(batch.column(i).to_pylist() for i in range(4))):
             sig = np.frombuffer(raw, dtype="<u2")
             if at != (tree, prefix):
-                at, keys, n = (tree, prefix), [], 0
+                at, keys, n, parent = (tree, prefix), [], 0, []
             share = (marks[:n] == sig).mean(axis=1) if n else np.zeros(0)
-            for i in np.flatnonzero(share >= RESEMBLE):
+            near = sorted({top(i) for i in np.flatnonzero(share >= RESEMBLE).tolist()})
+            for i in near:
                 a.append(key)
                 b.append(keys[i])
+                parent[i] = near[0]
             if not n or share.max() < FOLLOW:
+                parent.append(near[0] if near else n)
                 if n == len(marks):
                     marks = np.concatenate([marks, np.zeros_like(marks)])
                 marks[n] = sig
