@@ -58,22 +58,38 @@ def terms_of(word: str) -> set[str]:
 
 
 class TermCounter:
-    """Counts of a vocabulary's terms in texts; remembers the terms of words it has seen."""
+    """Counts of a vocabulary's terms in texts; remembers the terms of what stands between blanks."""
 
     def __init__(self, terms: list[str]):
         self._term = {t: i for i, t in enumerate(terms)}
-        self._words: dict[str, tuple[int, ...]] = {}
+        self._known: dict[str, tuple[int, ...]] = {}
+
+    def _terms(self, token: str) -> tuple[int, ...]:
+        """Numbers of the terms of a token's words, one entry per word that has it."""
+        if token.isalpha():  # one word
+            get, w = self._term.get, f" {token} "
+            got = {get(w[i : i + n]) for n in NGRAMS for i in range(len(w) - n + 1)}
+            got.add(get(w))
+            got.discard(None)
+            return tuple(sorted(got))
+        out: list[int] = []
+        for word in _WORD.findall(token):
+            ids = self._known.get(word) if word != token else None
+            if ids is None:
+                ids = tuple(sorted(i for i in map(self._term.get, terms_of(word)) if i is not None))
+            out += ids
+        return tuple(out)
 
     def __call__(self, text: str | None) -> dict[int, int]:
-        if len(self._words) > REMEMBERED:
-            self._words.clear()
-        known, out = self._words, {}
-        for w, n in Counter(words(text)).items():
-            ids = known.get(w)
+        if len(self._known) > REMEMBERED:
+            self._known.clear()
+        known, out = self._known, {}
+        for token in (text or "").lower().split():
+            ids = known.get(token)
             if ids is None:
-                ids = known[w] = tuple(sorted(i for i in map(self._term.get, terms_of(w)) if i is not None))
+                ids = known[token] = self._terms(token)
             for i in ids:
-                out[i] = out.get(i, 0) + n
+                out[i] = out.get(i, 0) + 1
         return out
 
 
