@@ -28,6 +28,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from strata.operators import silver  # noqa: E402
 from strata.plans import queries as Q  # noqa: E402
 from strata.session import get_spark, scratch_path  # noqa: E402
+from strata.sinks import writers  # noqa: E402
 
 HEADLINE = [
     "silver_lines",
@@ -90,7 +91,7 @@ def main() -> None:
     out["silver_lines_five_actions"] = timed(lambda: silver_five_actions(spark, sf), repeat)
     target = scratch_path(spark, "bench-silver")
     out["silver_write_parquet"] = timed(
-        lambda: Q.silver_plan(spark, sf).write.mode("overwrite").partitionBy("SourceDate").parquet(target), 1
+        lambda: writers.write_silver(Q.silver_plan(spark, sf), target), 1
     )
     m = re.search(r"sf([0-9.]+)", sf)
     total = round(sum(v for k, v in out.items() if k in HEADLINE), 3)

@@ -45,7 +45,16 @@ DEFAULT_TIMESTAMP_FORMATS = [
     "yyyy-MM-dd'T'HH:mm:ss",
     "yyyy-MM-dd HH:mm",
     "yyyy-MM-dd",
+    "yyyy-MM-dd H:mm:ss",
+    "yyyy-MM-dd HH:mm:ss.[SSSSSS][SSSSS][SSSS][SSS][SS][S]",
+    "yyyy-MM-dd'T'HH:mm:ss.[SSSSSS][SSSSS][SSSS][SSS][SS][S]",
+    "yyyy-MM-dd'T'HH:mm:ssXXX",
+    "M/d/yyyy H:mm",
+    "M/d/yyyy H:mm:ss",
 ]
+# ---- fixed values: words that are numbers, and letters of Java number literals (6d, 12f, 0x1p3) ----
+NUMBER_WORDS = ["inf", "infinity", "nan"]
+LITERAL_LETTERS = "dfxp"
 
 # ---- fixed values: row-hash separator and its timestamp text format ----
 ROW_HASH_SEPARATOR = "||"
@@ -80,8 +89,11 @@ def null_tokens(c: str | Column, tokens: Sequence[str] = PANDAS_NULL_TOKENS) ->
 
 
 def try_double(c: str | Column) -> Column:
-    """Text to double; anything unparsable becomes NULL (``try_cast``)."""
-    return col(c).try_cast("double")
+    """Text to double; anything that is no decimal number becomes NULL."""
+    c = col(c)
+    text = F.lower(c.cast("string"))
+    word = F.ltrim(F.trim(text), F.lit("+-")).isin(NUMBER_WORDS)
+    return F.when(word | (F.translate(text, LITERAL_LETTERS, "") == text), c.try_cast("double"))
 
 
 def try_long(c: str | Column) -> Column:
@@ -90,7 +102,7 @@ def try_long(c: str | Column) -> Column:
     Trying bigint first keeps integers above 2^53 exact.
     """
     c = col(c)
-    return F.coalesce(c.try_cast("bigint"), c.try_cast("double").try_cast("bigint"))
+    return F.coalesce(c.try_cast("bigint"), try_double(c).try_cast("bigint"))
 
 
 def try_timestamp(c: str | Column, formats: Sequence[str] = DEFAULT_TIMESTAMP_FORMATS) -> Column:

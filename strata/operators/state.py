@@ -72,7 +72,7 @@ def empty_file_state(spark) -> DataFrame:
 def _key_join(target: DataFrame, source: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     t = target.select(*[F.col(c).alias(f"t_{c}") for c in target.columns])
     s = source.select(*[F.col(c).alias(f"s_{c}") for c in source.columns])
-    cond = [F.col(f"t_{k}") == F.col(f"s_{k}") for k in keys]
+    cond = [F.col(f"t_{k}").eqNullSafe(F.col(f"s_{k}")) for k in keys]
     return t.join(s, on=cond, how=how)
 
 

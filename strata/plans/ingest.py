@@ -90,8 +90,7 @@ def ingest_batch(
     # The batch's file list is small metadata; fix it once for every later step.
     todo = cut_lineage(
         todo.select(
-            "provider_id", "source_uri", "source_file", "source_date", "source_checksum", "header", "too_large",
-            "physical_records", "length",
+            "provider_id", "source_uri", "source_file", "source_date", "source_checksum", "header", "physical_records", "length",
         )
     )
 
@@ -100,14 +99,39 @@ def ingest_batch(
     current = st.latest(log)
     writers.append_state(st.merge_state(current, processing, now=_ts(t0), changes_only=True), state_path)
 
-    # File-level verdicts: header (V1/V3), empty file, too large.
+    try:
+        return _process(
+            spark, todo, bronze_path, quarantine_path, state_path, provider_id, run_id, level=level, now=t1
+        )
+    except Exception as error:
+        # M3: the files of the run that have no verdict yet are FAILED, with the error's text.
+        text = f"{type(error).__name__}: {error}"
+        open_files = st.latest(load_state(spark, state_path)).filter((F.col("run_id") == run_id) & (F.col("status") == st.PROCESSING))
+        failed = open_files.select(*FILE_STATE_KEYS, F.lit(st.FAILED).alias("status"), F.lit(run_id).alias("run_id"), F.lit(text).alias("error_message"))
+        after = st.latest(load_state(spark, state_path))
+        writers.append_state(st.update_state(after, cut_lineage(failed, "failed-files"), now=t1, changes_only=True), state_path)
+        raise
+
+
+def _process(
+    spark: SparkSession,
+    todo: DataFrame,
+    bronze_path: str,
+    quarantine_path: str,
+    state_path: str,
+    provider_id: str,
+    run_id: str,
+    level: str,
+    now: _dt.datetime | None,
+) -> DataFrame:
+    """The files of a batch from their header verdicts to their final state."""
+    # File-level verdicts: header (V1/V3), empty file.
     hv = contract.header_verdict(todo.withColumn("header", F.coalesce("header", F.array())), level=level)
     verdicts = hv.select(
         "source_uri",
         "header",
-        (F.col("file_valid") & ~F.col("too_large") & (F.col("length") > 0)).alias("header_ok"),
-        F.when(F.col("too_large"), F.lit("too_large"))
-        .when(F.col("length") == 0, F.lit("empty file"))
+        (F.col("file_valid") & (F.col("length") > 0)).alias("header_ok"),
+        F.when(F.col("length") == 0, F.lit("empty file"))
         .otherwise(F.col("file_error"))
         .alias("header_error"),
     )
@@ -178,7 +202,7 @@ def ingest_batch(
         F.when(~F.col("file_valid"), truncate_text(F.concat(F.lit("File-level validation failed: "), F.col("file_error")), 1000)).alias("error_message"),
     )
     after = st.latest(load_state(spark, state_path))
-    writers.append_state(st.update_state(after, final, now=_ts(t1), changes_only=True), state_path)
+    writers.append_state(st.update_state(after, final, now=_ts(now), changes_only=True), state_path)
 
     results = verdict.select(
         F.col("source_uri").alias("input_file"),
@@ -205,20 +229,26 @@ def bronze_to_silver(
     dedup_mode: str = "hash",
     overwrite: str = "partition",
     guard: bool = True,
+    provider_id: str | None = None,
+    dates: list[str] | None = None,
 ) -> dict:
     """Bronze CSV -> silver parquet in one pass (the reference runs five actions).
 
     SourceFile is the original raw file name (bronze partition), SourceChecksum
-    comes from the state log when given. Counts come from observations on the
-    same pass as the write.
+    comes from the state log when given: of the file's successful deliveries
+    (of ``provider_id``, if given) the newest. ``dates`` (YYYY-MM-DD) restricts
+    the run to these bronze partitions; others are not read. Counts come from
+    observations on the same pass as the write.
     """
+    root = bronze_path.rstrip("/")
+    inputs = [bronze_path] if dates is None else [f"{root}/source_date={d}" for d in dates]
     schema = ", ".join(f"{c} string" for c in RAW_COLUMNS)
     bronze = (
         spark.read.schema(schema)
         .option("header", "true")
         .option("escape", '"')
         .option("multiLine", "true")
-        .csv(bronze_path)
+        .csv(inputs)
         .withColumn("_path", F.col("_metadata.file_path"))
     )
     src_file = F.regexp_extract(F.col("_path"), r"source_file=([^/]+)", 1)
@@ -226,8 +256,11 @@ def bronze_to_silver(
     bronze = bronze.withColumn("source_file", F.url_decode(src_file)).withColumn("source_date", F.to_date(src_date)).drop("_path")
     if state_path is not None:
         cur = st.latest(load_state(spark, state_path)).filter(F.col("status") == st.SUCCESS)
-        sums = cur.groupBy("source_file").agg(F.max("source_checksum").alias("source_checksum"))
-        bronze = bronze.join(sums, on="source_file", how="left")
+        if provider_id is not None:
+            cur = cur.filter(F.col("provider_id") == provider_id)
+        newest = F.max(F.struct("updated_at", "source_checksum"))["source_checksum"].alias("source_checksum")
+        sums = cur.groupBy("source_file", "source_date").agg(newest)
+        bronze = bronze.join(sums, on=["source_file", "source_date"], how="left")
     counts = silver.RunCounts()
     out = silver.to_silver(
         bronze, pipeline_run_id=run_id, processed_at=processed_at, dedup_mode=dedup_mode, counts=counts

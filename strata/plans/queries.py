@@ -1247,7 +1247,7 @@ FROM retail_lines GROUP BY 1"""
 @register("file_fingerprints", FINGERPRINT_DAILY_SQL)
 def q_file_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SHA-256, length, physical record count and header of every staged file
-    (one binaryFile scan), summed per day: part-file bytes depend on Spark's row
+    (read in chunks on the executors), summed per day: part-file bytes depend on Spark's row
     order, day totals and headers do not (hashes are checked against hashlib in tests)."""
     raw = stage_raw_files(spark, sf_dir)
     fp = fingerprint(spark, raw).filter(F.col("length") > 0)
@@ -1255,7 +1255,7 @@ def q_file_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fp.groupBy(day.alias("source_date")).agg(
         F.sum("physical_records").cast("bigint").alias("physical_records"),
         F.max(F.array_join("header", ",")).alias("header"),
-        F.count_if(F.col("too_large")).alias("too_large_files"),
+        F.count_if(F.col("source_checksum").isNull()).alias("too_large_files"),
     )
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -45,6 +46,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local[") and sc.master != "local":
+        # Executors would each write to their own disk, and later reads would miss those files.
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     # Unset (tests, local runs): a local folder, registered with the context only.
     root = tempfile.mkdtemp(prefix="strata-ckpt-")
     sc.setCheckpointDir(root)
@@ -66,3 +70,21 @@ def cut_lineage(df, name: str = "stage"):
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors once per application, as ``--py-files`` would."""
+    sc = spark.sparkContext
+    if getattr(sc, "_strata_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    # A local file of the driver; Spark's file server hands it to the executors.
+    target = os.path.join(tempfile.mkdtemp(prefix="strata-"), "strata.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    out.write(full, os.path.join("strata", os.path.relpath(full, root)))
+    sc.addPyFile(target)
+    sc._strata_shipped = True

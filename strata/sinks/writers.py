@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,25 +67,32 @@ def write_quarantine_rows(rejected: DataFrame, quarantine_path: str) -> None:
     _partitioned_csv(rejected.select(*cols), f"{quarantine_path.rstrip('/')}/rows", ["source_date", "source_file"])
 
 
+# Bytes of a quarantined file in one row.
+PART_BYTES = 8 << 20
+
+
+def _file_parts(batches):
+    from strata.sources.files import file_chunks
+
+    for batch in batches:
+        for path in batch.column("source_uri").to_pylist():
+            for part, chunk in enumerate(file_chunks(path, PART_BYTES)):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([path], pa.string()), pa.array([part], pa.int32()), pa.array([chunk], pa.binary())],
+                    names=["source_uri", "part", "content"],
+                )
+
+
 def write_quarantine_files(spark: SparkSession, failed: DataFrame, quarantine_path: str) -> None:
     """K5: whole failed files (original bytes) with uri, checksum and reason, as parquet.
 
     ``failed``: source_uri, source_file, source_date, source_checksum, file_error.
-    The bytes come from one ``binaryFile`` read of exactly these paths.
+    A file is read in chunks on an executor and becomes one row per chunk
+    (``part`` from 0, ``content``), so every byte is kept whatever the size.
     """
-    from strata.sources.files import MAX_FINGERPRINT_BYTES
-
-    paths = [r[0] for r in failed.select("source_uri").collect()]
-    if not paths:
-        return
-    # Bytes are kept for files under the binaryFile row cap; a larger failed
-    # file keeps its path and reason with NULL content (it stays in raw).
-    content = (
-        spark.read.format("binaryFile")
-        .load(paths)
-        .filter(F.col("length") <= MAX_FINGERPRINT_BYTES)
-        .select(F.col("path").alias("source_uri"), "content")
-    )
+    from strata.sources.files import spread
+
+    content = spread(failed.select("source_uri")).mapInArrow(_file_parts, "source_uri string, part int, content binary")
     out = failed.join(content, on="source_uri", how="left")
     (
         out.write.mode("overwrite")

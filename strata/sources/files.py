@@ -1,8 +1,9 @@
 """Raw files: discovery, fingerprints, header lines and the CSV read (SURVEY §2.1
 S1-S7, §2.2 F1-F2, §8.1-8.3, §8.13, §8.18, §8.19).
 
-Discovery and fingerprints run on the ``binaryFile`` source, so listing,
-hashing and header extraction of a whole batch is one distributed scan.
+Fingerprints are taken on the executors: each file of the list is opened there
+and read once, in chunks, for its hash, its record count and its header, so
+no file is held whole and none is too large.
 The CSV read groups files by their header line (few distinct headers) and
 reads each group with its own all-string schema, because Spark maps a given
 schema by position.
@@ -10,8 +11,11 @@ schema by position.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import csv
+import hashlib
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,31 +23,16 @@ from pyspark.sql import types as T
 from strata.functions.expr import PANDAS_NULL_TOKENS, file_name, null_tokens, source_date_from_name
 from strata.plans.numbering import number_in_scan_order
 from strata.schemas import RAW_COLUMNS
+from strata.session import ship_package
 
 # ---- fixed values: file filters of discovery ----
 CSV_GLOB = "*.[cC][sS][vV]"
 TEST_FOLDER = "/test/"
-# binaryFile keeps a whole file in one row; rows are capped near 2 GB.
-MAX_FINGERPRINT_BYTES = 2_000_000_000
-# Counting physical lines decodes the file and copies it once more; above this
-# size the count is left NULL (record counts then come from the parsed rows).
-MAX_LINE_COUNT_BYTES = 256 * 1024 * 1024
-HEADER_PROBE_BYTES = 65536
+# Bytes read at once.
+CHUNK_BYTES = 1 << 20
 CORRUPT_COL = "_corrupt_record"
 
 
-def _list(spark: SparkSession, raw_path: str) -> DataFrame:
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", CSV_GLOB)
-        .load(raw_path)
-    )
-
-
-EMPTY_SHA256 = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
-
-
 def list_files(spark: SparkSession, raw_path: str) -> DataFrame:
     """Recursive listing (path, length, modificationTime) of csv files in any case,
     zero-byte files included (Spark's file scans skip those). Metadata only: the
@@ -92,27 +81,64 @@ def discover(spark: SparkSession, raw_path: str, date_from: str = "name", exclud
     return out.filter(F.col("source_date").isNotNull()).orderBy("source_date", "source_file", "source_uri")
 
 
-FINGERPRINT_COLUMNS = ["source_uri", "length", "modification_time", "source_checksum", "physical_records", "header", "too_large"]
+FINGERPRINT_COLUMNS = ["source_uri", "length", "modification_time", "source_checksum", "physical_records", "header"]
+
+
+def open_file(path: str):
+    """A readable byte stream of a file that Spark listed, opened on an executor by its file system."""
+    from pyarrow import fs
+
+    scheme, colon, rest = path.partition(":")
+    if not colon or scheme == "file":
+        local = rest if colon else path
+        return fs.LocalFileSystem().open_input_stream("/" + local.lstrip("/"))
+    authority, _, inner = rest.removeprefix("//").partition("/")
+    store, base = fs.FileSystem.from_uri(f"{scheme.replace('s3a', 's3')}://{authority}/")
+    return store.open_input_stream(f"{base.rstrip('/')}/{inner}")
+
+
+def file_chunks(path: str, size: int = CHUNK_BYTES) -> Iterator[bytes]:
+    with open_file(path) as stream:
+        while chunk := stream.read(size):
+            yield chunk
+
+
+def describe_file(path: str, size: int = CHUNK_BYTES) -> tuple[str, int, list[str] | None]:
+    """(sha256, physical records, header names) of a file in one pass over its chunks."""
+    digest, newlines, last, head, open_head = hashlib.sha256(), 0, b"", [], True
+    for chunk in file_chunks(path, size):
+        digest.update(chunk)
+        newlines += chunk.count(b"\n")
+        last = chunk[-1:]
+        if open_head:
+            line, end, _ = chunk.partition(b"\n")
+            head.append(line)
+            open_head = not end
+    lines = newlines + (1 if last and last != b"\n" else 0)
+    text = b"".join(head).decode("utf-8", "replace").removeprefix("\ufeff").removesuffix("\r")
+    names = [n.strip() for n in next(csv.reader([text], skipinitialspace=True), [])] if text else None
+    return digest.hexdigest(), max(lines - 1, 0), names
+
+
+def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        paths = batch.column("source_uri").to_pylist()
+        found = [describe_file(p) for p in paths]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(paths, pa.string()),
+                pa.array([f[0] for f in found], pa.string()),
+                pa.array([f[1] for f in found], pa.int64()),
+                pa.array([f[2] for f in found], pa.list_(pa.string())),
+            ],
+            names=["source_uri", "source_checksum", "physical_records", "header"],
+        )
 
 
-def _hash_files(content: DataFrame) -> DataFrame:
-    """sha256, physical record count and header of ``binaryFile`` rows (one scan)."""
-    text = F.decode(F.col("content"), "UTF-8")
-    newlines = F.length(text) - F.length(F.regexp_replace(text, "\n", ""))
-    lines = newlines + F.when((F.length(text) > 0) & ~text.endswith("\n"), 1).otherwise(0)
-    first = F.substring_index(F.decode(F.substring(F.col("content"), 1, HEADER_PROBE_BYTES), "UTF-8"), "\n", 1)
-    first = F.regexp_replace(F.regexp_replace(first, "^\ufeff", ""), "\r$", "")
-    header = F.when(
-        F.length(first) > 0, F.transform(F.split(first, ","), lambda x: F.regexp_replace(F.trim(x), '^"|"$', ""))
-    )
-    return content.select(
-        F.col("path").alias("source_uri"),
-        F.sha2(F.col("content"), 256).alias("source_checksum"),
-        F.when(F.col("length") <= MAX_LINE_COUNT_BYTES, F.greatest(lines - 1, F.lit(0)))
-        .cast("bigint")
-        .alias("physical_records"),
-        header.alias("header"),
-    )
+def spread(files: DataFrame) -> DataFrame:
+    """File rows dealt evenly over the session's shuffle partitions; a task opens few files."""
+    ship_package(files.sparkSession)
+    return files.repartition(int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")), "source_uri")
 
 
 def fingerprint(
@@ -130,8 +156,8 @@ def fingerprint(
     Only files that need it are read: ``files`` restricts the set, and a
     ``cache`` of earlier fingerprints (same columns) is reused for files whose
     (uri, length, modification time) did not change, so a run over a growing
-    archive hashes only new or rewritten files. Zero-byte files get the hash
-    of nothing; files above the row cap are not read (``too_large``).
+    archive hashes only new or rewritten files. A file of any size is read, in
+    chunks; zero-byte files get the hash of nothing and no header.
     """
     listing = list_files(spark, raw_path).select(
         F.col("path").alias("source_uri"), "length", F.col("modificationTime").alias("modification_time")
@@ -143,34 +169,10 @@ def fingerprint(
         known = cache.select(*FINGERPRINT_COLUMNS)
         reused = known.join(listing, on=["source_uri", "length", "modification_time"], how="left_semi")
         listing = listing.join(known, on=["source_uri", "length", "modification_time"], how="left_anti")
-    readable = listing.filter((F.col("length") > 0) & (F.col("length") <= MAX_FINGERPRINT_BYTES))
-    if reused is None:
-        # Nothing to reuse: one recursive scan of the folder, restricted to the
-        # wanted files (cheaper than opening an explicit list of many paths).
-        scan = _list(spark, raw_path).filter(F.col("length") <= MAX_FINGERPRINT_BYTES)
-        content = scan.join(readable.select(F.col("source_uri").alias("path")), on="path", how="left_semi")
-        hashed = _hash_files(content)
-    else:
-        paths = [r[0] for r in readable.select("source_uri").collect()]  # changed files: metadata
-        hashed = _hash_files(spark.read.format("binaryFile").load(paths)) if paths else None
-    if hashed is not None:
-        fresh = listing.join(hashed, on="source_uri", how="left")
-    else:
-        fresh = listing.select(
-            "*",
-            F.lit(None).cast("string").alias("source_checksum"),
-            F.lit(None).cast("bigint").alias("physical_records"),
-            F.lit(None).cast("array<string>").alias("header"),
-        )
-    fresh = fresh.select(
-        "source_uri",
-        "length",
-        "modification_time",
-        F.when(F.col("length") == 0, F.lit(EMPTY_SHA256)).otherwise(F.col("source_checksum")).alias("source_checksum"),
-        F.when(F.col("length") == 0, F.lit(0).cast("bigint")).otherwise(F.col("physical_records")).alias("physical_records"),
-        "header",
-        (F.col("length") > MAX_FINGERPRINT_BYTES).alias("too_large"),
+    described = spread(listing.select("source_uri")).mapInArrow(
+        _describe, "source_uri string, source_checksum string, physical_records bigint, header array<string>"
     )
+    fresh = listing.join(described, on="source_uri").select(*FINGERPRINT_COLUMNS)
     return fresh if reused is None else fresh.unionByName(reused)
 
 
