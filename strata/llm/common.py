@@ -9,6 +9,8 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.session import ship_package as ship  # noqa: F401
+
 #: Odd multiplier of the polynomial substring hashes (arithmetic modulo 2**64).
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
@@ -109,27 +111,3 @@ def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text", target:
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The texts of a batch; null counts as empty."""
     return [t or "" for t in batch.column(column).to_pylist()]
-
-
-def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors once per application, as ``--py-files`` would."""
-    import os
-    import tempfile
-    import zipfile
-
-    import strata
-
-    sc = spark.sparkContext
-    if getattr(sc, "_strata_shipped", False):
-        return
-    root = os.path.dirname(os.path.abspath(strata.__file__))
-    # A local file of the driver; Spark's file server hands it to the executors.
-    target = os.path.join(tempfile.mkdtemp(prefix="strata-"), "strata.zip")
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as out:
-        for folder, _, files in os.walk(root):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(folder, f)
-                    out.write(full, os.path.join("strata", os.path.relpath(full, root)))
-    sc.addPyFile(target)
-    sc._strata_shipped = True
