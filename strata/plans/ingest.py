@@ -59,18 +59,22 @@ def ingest_batch(
     now: _dt.datetime | None = None,
     date_from: str = "name",
     fingerprint_path: str | None = None,
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """Process new or not-yet-successful files of ``raw_path``.
 
     Files whose newest state for (provider, uri, sha256) is SUCCESS are skipped
     (J2). ``limit`` cuts the batch to the first n files (W5): of the pending
     files (default) or, for parity, of all discovered files
-    (``limit_scope="discovered"``). Returns one result row per processed file.
+    (``limit_scope="discovered"``). ``only`` (``source_uri``) restricts the run
+    to these files. Returns one result row per processed file.
     """
     run_id = run_id or str(uuid.uuid4())
     t0 = now
     t1 = None if now is None else now + _dt.timedelta(seconds=1)
     files = discover(spark, raw_path, date_from=date_from)
+    if only is not None:
+        files = files.join(only, on="source_uri", how="left_semi")
     if limit is not None and limit_scope == "discovered":
         files = files.limit(limit)
     # Fingerprints of earlier runs are reused for unchanged files (same uri,

@@ -1353,12 +1353,12 @@ FROM flagged_lines GROUP BY 1"""
 
 @register("stream_ingest", STREAM_INGEST_SQL)
 def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W9 streaming: staged daily files read as a file stream (250 files per
+    """W9 streaming: staged daily files read as a file stream (2000 files per
     trigger), validated per micro-batch with the batch operators and routed to
     bronze / quarantine via foreachBatch; per-day totals of what was written."""
     raw = stage_raw_files(spark, sf_dir)
     out = scratch_path(spark, "stream-layers")
-    ingest_stream(spark, raw, f"{out}/bronze", f"{out}/quarantine", f"{out}/_checkpoint", max_files_per_trigger=250)
+    ingest_stream(spark, raw, f"{out}/bronze", f"{out}/quarantine", f"{out}/_checkpoint", max_files_per_trigger=2000)
     opts = {"header": "true", "escape": '"', "multiLine": "true"}
     bronze = spark.read.options(**opts).csv(f"{out}/bronze").select(
         F.col("source_date").cast("string").alias("source_date"), F.lit(1).alias("v"), F.lit(0).alias("r")

@@ -58,19 +58,18 @@ def discover(spark: SparkSession, raw_path: str, date_from: str = "name", exclud
     names without a real date, sorted by (date, name, uri).
 
     ``date_from="name"``: ``retail_sales_YYYYMMDD.csv`` (case-sensitive);
-    ``"partition"``: a ``source_date=YYYY-MM-DD`` folder (part files written by Spark).
+    ``"partition"``: a ``source_date=YYYY-MM-DD`` folder (part files written by Spark);
+    ``"either"``: the name's date or else the folder's.
     File contents are not read (only path, length and modification time).
     """
     df = list_files(spark, raw_path)
     if exclude_test:
         df = df.filter(~F.col("path").contains(TEST_FOLDER))
     name = file_name(F.col("path"))
-    if date_from == "name":
-        d = source_date_from_name(name)
-    elif date_from == "partition":
-        d = F.try_to_date(F.regexp_extract(F.col("path"), r"source_date=(\d{4}-\d{2}-\d{2})", 1), "yyyy-MM-dd")
-    else:
-        raise ValueError(date_from)
+    folder = F.try_to_date(F.regexp_extract(F.col("path"), r"source_date=(\d{4}-\d{2}-\d{2})", 1), "yyyy-MM-dd")
+    dates = {"name": source_date_from_name(name), "partition": folder}
+    dates["either"] = F.coalesce(dates["name"], folder)
+    d = dates[date_from]
     out = df.select(
         F.col("path").alias("source_uri"),
         name.alias("source_file"),

@@ -81,6 +81,10 @@ def dropped_by_watermark(q: StreamingQuery) -> int:
     return total
 
 
+# Schema of the binaryFile source.
+_FILES = "path string, modificationTime timestamp, length bigint, content binary"
+
+
 def ingest_stream(
     spark: SparkSession,
     raw_path: str,
@@ -88,62 +92,36 @@ def ingest_stream(
     quarantine_path: str,
     checkpoint: str,
     max_files_per_trigger: int = 1,
+    state_path: str | None = None,
+    provider_id: str = "provider_retail",
+    level: str = "exact_set",
 ) -> StreamingQuery:
-    """W9 as a stream: new raw files (contract header order) are validated per
-    micro-batch with the batch operators and routed to bronze / quarantine.
+    """W9 as a stream: the new raw files of a micro-batch go through ``ingest_batch``.
 
-    Each file arrives in exactly one micro-batch (the source tracks paths), so
-    the micro-batch replaces exactly its files' partitions; the checkpoint makes
-    the intake restartable after a failure without re-emitting files.
+    Only paths are streamed; headers, column order, file identity, verdicts and
+    state are those of the batch job. Files without a date in their name or
+    folder are not taken. The checkpoint makes the intake restartable, and the
+    state (default: beside bronze) makes a repeated micro-batch change nothing.
     """
-    from strata.functions.expr import file_name, source_date_from_name
-    from strata.operators import rules
-    from strata.plans.ingest import run_concurrently
-    from strata.plans.numbering import number_in_scan_order
-    from strata.sinks import writers
+    from strata.plans.ingest import ingest_batch
+    from strata.session import cut_lineage
 
-    schema = ", ".join(f"{c} string" for c in RAW_COLUMNS)
-    lines = (
-        spark.readStream.schema(schema)
-        .option("header", "true")
-        .option("escape", '"')
-        .option("multiLine", "true")
+    paths = (
+        spark.readStream.format("binaryFile")
+        .schema(_FILES)
         .option("maxFilesPerTrigger", max_files_per_trigger)
-        .option("pathGlobFilter", "*.csv")
-        .csv(raw_path)
-        .select(
-            "*",
-            F.col("_metadata.file_path").alias("_file_path"),
-            F.col("_metadata.file_block_start").alias("_block_start"),
-        )
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.[cC][sS][vV]")
+        .load(raw_path)
+        .select(F.col("path").alias("source_uri"))
     )
+    states = state_path or f"{bronze_path.rstrip('/')}_state"
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        numbered = number_in_scan_order(batch, "_file_path", "_block_start", out="_row_index")
-        named = numbered.select(
-            *[rules.null_tokens(c).alias(c) for c in RAW_COLUMNS],
-            (F.col("_row_index") + 2).alias("record_number"),
-            file_name(F.col("_file_path")).alias("source_file"),
-            F.date_format(
-                F.coalesce(
-                    source_date_from_name(file_name(F.col("_file_path"))),
-                    F.try_to_date(F.regexp_extract(F.col("_file_path"), r"source_date=(\d{4}-\d{2}-\d{2})", 1), "yyyy-MM-dd"),
-                ),
-                "yyyy-MM-dd",
-            ).alias("source_date"),
-        )
-        # Both sinks read the micro-batch; keep it for their duration (a lost
-        # block is recomputed from the same files, which number the same way).
-        flagged = rules.flag(rules.coerce(named)).persist()
-        try:
-            valid, rejected = rules.split(flagged)
-            run_concurrently(
-                lambda: writers.write_bronze(valid, bronze_path),
-                lambda: writers.write_quarantine_rows(
-                    rules.rejected_projection(rejected, extra=["source_date", "source_file"]), quarantine_path
-                ),
-            )
-        finally:
-            flagged.unpersist()
-
-    return run_available_now(lines, checkpoint, handler=handle)
+        only = cut_lineage(batch.distinct(), "stream-files")
+        ingest_batch(
+            spark, raw_path, bronze_path, quarantine_path, states, provider_id=provider_id,
+            run_id=f"stream-{epoch_id}", level=level, date_from="either", only=only,
+        )
+
+    return run_available_now(paths, checkpoint, handler=handle)

@@ -109,3 +109,21 @@ def test_state_of_a_null_checksum_is_updated(spark):
     log = st.merge_state(log, first, now=T0)
     done = spark.createDataFrame([("p", "u", None, st.SUCCESS)], "provider_id string, source_uri string, source_checksum string, status string")
     assert [r.status for r in st.update_state(log, done, now=T0).collect()] == [st.SUCCESS]
+
+
+def test_stream_reads_each_file_by_its_header(spark, workdir):
+    from strata.streaming.stream import ingest_stream
+
+    paths = layers(workdir)
+    names = HEADER.strip().split(",")
+    values = ROW.format(day="2010-12-01").strip().split(",")
+    order = [1, 0, *range(2, 8)]
+    swapped = ",".join(names[i] for i in order) + "\n" + ",".join(values[i] for i in order) + "\n"
+    deliver(workdir, "retail_sales_20101201.csv", swapped)
+    deliver(workdir, "retail_sales_20101202.csv", HEADER.replace(",Country", "") + "1,2,3,4,5,6,7\n")
+    deliver(workdir, "notes.csv", "a,b\n1,2\n")
+    ingest_stream(spark, f"{workdir}/raw", paths["bronze"], paths["quarantine"], f"{workdir}/ck", state_path=paths["state"])
+    bronze = spark.read.option("header", "true").csv(paths["bronze"]).collect()
+    assert [(r.InvoiceNo, r.StockCode, r.source_file) for r in bronze] == [("536365", "85123A", "retail_sales_20101201.csv")]
+    states = {r.source_file: r.status for r in newest(spark, paths).values()}
+    assert states == {"retail_sales_20101201.csv": st.SUCCESS, "retail_sales_20101202.csv": st.FILE_VALIDATION_FAILED}
