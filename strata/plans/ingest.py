@@ -59,29 +59,29 @@ def ingest_batch(
     now: _dt.datetime | None = None,
     date_from: str = "name",
     fingerprint_path: str | None = None,
-    only: DataFrame | None = None,
+    listing: DataFrame | None = None,
 ) -> DataFrame:
     """Process new or not-yet-successful files of ``raw_path``.
 
     Files whose newest state for (provider, uri, sha256) is SUCCESS are skipped
     (J2). ``limit`` cuts the batch to the first n files (W5): of the pending
     files (default) or, for parity, of all discovered files
-    (``limit_scope="discovered"``). ``only`` (``source_uri``) restricts the run
-    to these files. Returns one result row per processed file.
+    (``limit_scope="discovered"``). ``listing`` (as of ``files.list_files``)
+    restricts the run to its files. The folder is listed once, or not at all
+    with ``listing``. Returns one result row per processed file.
     """
     run_id = run_id or str(uuid.uuid4())
     t0 = now
     t1 = None if now is None else now + _dt.timedelta(seconds=1)
-    files = discover(spark, raw_path, date_from=date_from)
-    if only is not None:
-        files = files.join(only, on="source_uri", how="left_semi")
+    files = discover(spark, raw_path, date_from=date_from, listing=listing)
     if limit is not None and limit_scope == "discovered":
         files = files.limit(limit)
+    files = cut_lineage(files, "files")
     # Fingerprints of earlier runs are reused for unchanged files (same uri,
     # length and modification time): only new or rewritten files are read.
     fp_path = fingerprint_path or f"{state_path.rstrip('/')}_fingerprints"
     cache = spark.read.parquet(fp_path) if writers.path_exists(spark, fp_path) else None
-    fp = cut_lineage(fingerprint(spark, raw_path, files, cache=cache), "fingerprints")
+    fp = cut_lineage(fingerprint(spark, raw_path, files=files, cache=cache), "fingerprints")
     fp_keys = ["source_uri", "length", "modification_time"]
     new_fp = fp if cache is None else fp.join(cache.select(*fp_keys), on=fp_keys, how="left_anti")
     new_fp.write.mode("append").parquet(fp_path)

@@ -13,7 +13,9 @@ from __future__ import annotations
 
 import csv
 import hashlib
+import re
 from collections.abc import Iterator, Sequence
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -33,27 +35,38 @@ CHUNK_BYTES = 1 << 20
 CORRUPT_COL = "_corrupt_record"
 
 
+LISTING = "path string, length bigint, modificationTime timestamp"
+# Modification time of zero-byte files, whose fingerprint does not depend on it.
+EMPTY_FILE_TIME = "1970-01-01 00:00:00+00:00"
+
+
 def list_files(spark: SparkSession, raw_path: str) -> DataFrame:
-    """Recursive listing (path, length, modificationTime) of csv files in any case,
-    zero-byte files included (Spark's file scans skip those). Metadata only: the
-    listing lands on the driver as it does for any Spark file index."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(raw_path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    rows = []
-    if fs.exists(root):
-        it = fs.listFiles(root, True)
-        while it.hasNext():
-            st = it.next()
-            p = st.getPath().toString()
-            if p.lower().endswith(".csv"):
-                rows.append((p, int(st.getLen()), int(st.getModificationTime())))
-    return spark.createDataFrame(rows, "path string, length bigint, modificationTime bigint").withColumn(
-        "modificationTime", F.timestamp_millis("modificationTime")
+    """Recursive listing (path, length, modificationTime) of csv files in any case.
+
+    Spark's file index lists the folders (with executors, where there are many);
+    sizes and times come from a scan that opens no file. Scans skip zero-byte
+    files, so those are taken from the index, with a fixed time. Names and
+    folders that begin with ``_`` or ``.`` are no data, as in every Spark read.
+    """
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(raw_path)
+    if not root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(root):
+        return spark.createDataFrame([], LISTING)
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", CSV_GLOB)
+    found = reader.load(raw_path).select("path", "length", "modificationTime")
+    # The index gives URIs; a scan's path has one slash where no host is named.
+    indexed = [(re.sub(r"^([^:/]+):///", r"\1:/", unquote(p)),) for p in found.inputFiles()]
+    sized = found.select("path")
+    empty = (
+        spark.createDataFrame(indexed, "path string")
+        .join(sized, on="path", how="left_anti")
+        .select("path", F.lit(0).cast("bigint").alias("length"), F.lit(EMPTY_FILE_TIME).cast("timestamp").alias("modificationTime"))
     )
+    return found.unionByName(empty)
 
 
-def discover(spark: SparkSession, raw_path: str, date_from: str = "name", exclude_test: bool = True) -> DataFrame:
+def discover(
+    spark: SparkSession, raw_path: str, date_from: str = "name", exclude_test: bool = True, listing: DataFrame | None = None
+) -> DataFrame:
     """Csv files (any case) below ``raw_path``, minus ``/test/`` folders and
     names without a real date, sorted by (date, name, uri).
 
@@ -61,8 +74,9 @@ def discover(spark: SparkSession, raw_path: str, date_from: str = "name", exclud
     ``"partition"``: a ``source_date=YYYY-MM-DD`` folder (part files written by Spark);
     ``"either"``: the name's date or else the folder's.
     File contents are not read (only path, length and modification time).
+    ``listing`` (as of ``list_files``) saves listing the folder.
     """
-    df = list_files(spark, raw_path)
+    df = list_files(spark, raw_path) if listing is None else listing
     if exclude_test:
         df = df.filter(~F.col("path").contains(TEST_FOLDER))
     name = file_name(F.col("path"))
@@ -152,17 +166,19 @@ def fingerprint(
     at least 0, as the reference counts), and the header as an array of names
     (byte-order mark and a trailing CR removed, surrounding quotes stripped).
 
-    Only files that need it are read: ``files`` restricts the set, and a
+    Only files that need it are read: ``files`` (as of ``discover``) restricts the set
+    and saves listing the folder, and a
     ``cache`` of earlier fingerprints (same columns) is reused for files whose
     (uri, length, modification time) did not change, so a run over a growing
     archive hashes only new or rewritten files. A file of any size is read, in
     chunks; zero-byte files get the hash of nothing and no header.
     """
-    listing = list_files(spark, raw_path).select(
-        F.col("path").alias("source_uri"), "length", F.col("modificationTime").alias("modification_time")
-    )
     if files is not None:
-        listing = listing.join(files.select("source_uri"), on="source_uri", how="left_semi")
+        listing = files.select("source_uri", "length", "modification_time")
+    else:
+        listing = list_files(spark, raw_path).select(
+            F.col("path").alias("source_uri"), "length", F.col("modificationTime").alias("modification_time")
+        )
     reused = None
     if cache is not None:
         known = cache.select(*FINGERPRINT_COLUMNS)

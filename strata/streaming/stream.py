@@ -98,9 +98,10 @@ def ingest_stream(
 ) -> StreamingQuery:
     """W9 as a stream: the new raw files of a micro-batch go through ``ingest_batch``.
 
-    Only paths are streamed; headers, column order, file identity, verdicts and
-    state are those of the batch job. Files without a date in their name or
-    folder are not taken. The checkpoint makes the intake restartable, and the
+    Only paths, sizes and times are streamed, so no micro-batch lists the folder;
+    headers, column order, file identity, verdicts and state are those of the
+    batch job. Files without a date in their name or folder and zero-byte files
+    are not taken. The checkpoint makes the intake restartable, and the
     state (default: beside bronze) makes a repeated micro-batch change nothing.
     """
     from strata.plans.ingest import ingest_batch
@@ -113,15 +114,15 @@ def ingest_stream(
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.[cC][sS][vV]")
         .load(raw_path)
-        .select(F.col("path").alias("source_uri"))
+        .select("path", "length", "modificationTime")
     )
     states = state_path or f"{bronze_path.rstrip('/')}_state"
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        only = cut_lineage(batch.distinct(), "stream-files")
+        listing = cut_lineage(batch.distinct(), "stream-files")
         ingest_batch(
             spark, raw_path, bronze_path, quarantine_path, states, provider_id=provider_id,
-            run_id=f"stream-{epoch_id}", level=level, date_from="either", only=only,
+            run_id=f"stream-{epoch_id}", level=level, date_from="either", listing=listing,
         )
 
     return run_available_now(paths, checkpoint, handler=handle)

@@ -173,3 +173,19 @@ def test_discover_by_partition_folder(spark, workdir):
     write_file(os.path.join(raw, "test", "source_date=2010-12-03"), "part-00003-d.c000.csv", fixture_text())
     got = [(r.source_file, str(r.source_date)) for r in discover(spark, raw, date_from="partition").collect()]
     assert got == [("part-00001-b.c000.csv", "2010-12-01"), ("part-00000-a.c000.csv", "2010-12-02")]
+
+
+def test_listing_has_each_file_once(spark, workdir):
+    """Empty files are listed; names that a URI escapes keep their form and are read."""
+    raw = os.path.join(workdir, "raw")
+    odd = os.path.join(raw, "a b+c%20d")
+    write_file(odd, "retail_sales_20101201.csv", fixture_text())
+    write_file(raw, "retail_sales_20101202.csv", None, binary=b"")
+    got = {r.source_file: (r.source_uri, r.length) for r in discover(spark, raw).collect()}
+    assert {k: v[1] > 0 for k, v in got.items()} == {"retail_sales_20101201.csv": True, "retail_sales_20101202.csv": False}
+    assert discover(spark, raw).count() == 2
+    assert "/a b+c%20d/" in got["retail_sales_20101201.csv"][0]
+    sums = {r.source_uri: r.source_checksum for r in fingerprint(spark, raw).collect()}
+    assert sums[got["retail_sales_20101202.csv"][0]] == hashlib.sha256(b"").hexdigest()
+    assert sums[got["retail_sales_20101201.csv"][0]] == hashlib.sha256(fixture_text().encode()).hexdigest()
+    assert discover(spark, os.path.join(workdir, "none")).count() == 0
