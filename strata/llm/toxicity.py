@@ -1,16 +1,19 @@
 """Toxicity: nearest labelled examples by exact TF-IDF cosine.
 
-The labelled examples (a bounded sample) are kept in an inverted index whose
-posting lists are cut into blocks of examples, with the largest weight of each
-term in each block.  A query's bound for a block is the dot product with those
+The labelled examples (a bounded sample) are kept in an inverted index.  Short
+posting lists are added up for all examples; long ones are cut into blocks of
+examples, with the largest weight of each term in each block.  A query's bound
+for a block is its largest sum of short lists and the dot product with those
 maxima; blocks are scored in order of their bounds until no bound can reach
 the k-th best cosine, so the k nearest are exact.  Their cosines vote, and a
 logistic curve fitted on leave-one-out votes turns the vote into a
 probability.  The neighbours' ids and cosines are the evidence.
 
-Terms are words and character n-grams of words (with the word's ends) that the
-labels' classes use differently (chi-square over the labelled sample); their
-document frequencies are counted over all documents.
+Terms are all words and character n-grams of words (with the word's ends) of
+the examples; their document frequencies are counted over all documents.  A
+term's weight grows with how differently the examples' classes use it (phi), and
+none is dropped.  What occurs in no example adds to no cosine and is left out of
+a text's norm.
 """
 
 from __future__ import annotations
@@ -25,14 +28,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import text_chunks
+from strata.llm.common import ranges, text_chunks
 
-#: Labelled rows from which terms are chosen, at most (by hash of the id).
-SAMPLE_ROWS = 6000
 #: Examples of each class in the index, at most.
 EXAMPLES = 1024
-#: Terms at most, their least document count in the sample, least chi-square, and least chi-square per sampled row.
-TERMS, LEAST_DOCS, LEAST_CHI2, LEAST_PHI2 = 512, 4, 15.0, 0.025
+#: Posting lists with at least one in so many examples are dense in blocks.
+LONG = 16
+#: Weight of a term that both classes use alike, beside phi for the others.
+COMMON = 0.1
+#: Texts that are scored at once.
+TOGETHER = 64
 #: Neighbours that vote, and examples in a block of the index.
 NEIGHBOURS, BLOCK = 15, 64
 #: Weight of the prior in a vote, in units of cosine.
@@ -42,7 +47,7 @@ THRESHOLD = 0.5
 #: Lengths of the character n-grams.
 NGRAMS = (3, 4, 5, 6)
 #: Words whose terms a task remembers, at most.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 
 _WORD = re.compile(r"\w+")
 
@@ -62,35 +67,48 @@ class TermCounter:
 
     def __init__(self, terms: list[str]):
         self._term = {t: i for i, t in enumerate(terms)}
-        self._known: dict[str, tuple[int, ...]] = {}
+        self._known: dict[str, np.ndarray] = {}
+        self._last, self._sum = np.zeros(len(terms), np.int64), np.zeros(len(terms), np.int64)
 
-    def _terms(self, token: str) -> tuple[int, ...]:
+    def _terms(self, token: str) -> np.ndarray:
         """Numbers of the terms of a token's words, one entry per word that has it."""
-        if token.isalpha():  # one word
-            get, w = self._term.get, f" {token} "
-            got = {get(w[i : i + n]) for n in NGRAMS for i in range(len(w) - n + 1)}
-            got.add(get(w))
-            got.discard(None)
-            return tuple(sorted(got))
-        out: list[int] = []
-        for word in _WORD.findall(token):
-            ids = self._known.get(word) if word != token else None
+        known = self._known.get(token)
+        if known is not None:
+            return known
+        get, found = self._term.get, []
+        for word in [token] if token.isalpha() else _WORD.findall(token):
+            ids = self._known.get(word)
             if ids is None:
-                ids = tuple(sorted(i for i in map(self._term.get, terms_of(word)) if i is not None))
-            out += ids
-        return tuple(out)
-
-    def __call__(self, text: str | None) -> dict[int, int]:
+                w = f" {word} "
+                got = {get(w[i : i + n]) for n in NGRAMS for i in range(len(w) - n + 1)}
+                got.add(get(w))
+                got.discard(None)
+                ids = self._known[word] = np.array(sorted(got), dtype=np.int64)
+            found.append(ids)
+        return np.concatenate(found) if found else np.zeros(0, dtype=np.int64)
+
+    def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of the terms, ascending, and how often each occurs)."""
         if len(self._known) > REMEMBERED:
             self._known.clear()
-        known, out = self._known, {}
-        for token in (text or "").lower().split():
+        known, found = self._known, []
+        tokens = Counter((text or "").lower().split())
+        for token in tokens:
             ids = known.get(token)
             if ids is None:
                 ids = known[token] = self._terms(token)
-            for i in ids:
-                out[i] = out.get(i, 0) + 1
-        return out
+            found.append(ids)
+        if not found:
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        flat = np.concatenate(found)
+        # The last entry of each term stands for it; no sort of all entries.
+        each = np.arange(len(flat))
+        self._last[flat] = each
+        terms = np.sort(flat[self._last[flat] == each])
+        np.add.at(self._sum, flat, np.repeat(np.fromiter(tokens.values(), np.int64, len(found)), np.fromiter(map(len, found), np.int64, len(found))))
+        counts = self._sum[terms]
+        self._sum[terms] = 0
+        return terms, counts
 
 
 class BlockMaxIndex:
@@ -99,10 +117,21 @@ class BlockMaxIndex:
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, block: int = BLOCK):
         self.n, self.block = len(vectors), block
         blocks = max(1, -(-self.n // block))
-        # Posting lists of each block: rows of a term's weights, 0 where an example lacks it.
-        self.rows = np.zeros((blocks, n_terms, block), dtype=np.float32) if self.n else np.zeros((1, n_terms, block), np.float32)
+        lengths = np.array([len(t) for t, _ in vectors], dtype=np.int64)
+        terms = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in vectors)])
+        order = np.argsort(terms, kind="stable")
+        self.example = np.repeat(np.arange(self.n, dtype=np.int32), lengths)[order]
+        self.weight = np.concatenate([np.zeros(0, np.float32), *(w for _, w in vectors)])[order]
+        self.length = np.bincount(terms, minlength=n_terms)
+        self.start = np.cumsum(self.length) - self.length
+        # Long lists as rows of a term's weights in each block, 0 where an example lacks it; -1 marks short lists.
+        long = np.flatnonzero(self.length * LONG >= max(self.n, LONG))
+        self.place = np.full(n_terms, -1, dtype=np.int32)
+        self.place[long] = np.arange(len(long))
+        self.rows = np.zeros((blocks, len(long), block), dtype=np.float32)
         for i, (t, w) in enumerate(vectors):
-            self.rows[i // block, t, i % block] = w
+            at = self.place[t]
+            self.rows[i // block, at[at >= 0], i % block] = w[at >= 0]
         self.most = self.rows.max(axis=2)
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -110,65 +139,93 @@ class BlockMaxIndex:
 
         Ties go to the smaller example number.
         """
-        if not len(terms) or not self.n:
-            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.float32), 0
-        bounds = self.most[:, terms] @ weights
-        order = np.argsort(-bounds, kind="stable")
-        ids, sims, least, scored = [], [], 0.0, 0
-        for b in order:
-            if bounds[b] <= 0 or (bounds[b] < least - 1e-6):
-                break
-            scored += 1
-            s = weights @ self.rows[b, terms]
-            hit = np.flatnonzero(s > 0)
-            ids.append(hit + b * self.block)
-            sims.append(s[hit])
-            if sum(map(len, sims)) >= k:
-                least = np.sort(np.concatenate(sims))[-k]
-        if not ids:
-            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.float32), scored
-        i, s = np.concatenate(ids), np.concatenate(sims)
-        best = np.lexsort((i, -s))[:k]
-        return i[best], s[best], scored
+        return self.nearest_of([(terms, weights)], k)[0]
+
+    def nearest_of(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray, int]]:
+        """``nearest`` of each query; a block is multiplied with all queries whose bounds reach it."""
+        blocks, n_long, _ = self.rows.shape
+        sims = np.zeros((len(queries), blocks, self.block), dtype=np.float32)
+        dense = np.zeros((len(queries), n_long), dtype=np.float32)
+        for q, (terms, weights) in enumerate(queries):
+            at = self.place[terms]
+            dense[q, at[at >= 0]] = weights[at >= 0]
+            short = terms[at < 0]
+            lengths = self.length[short]
+            posting = np.repeat(self.start[short], lengths) + ranges(lengths)
+            sums = np.bincount(self.example[posting], np.repeat(weights[at < 0], lengths) * self.weight[posting], blocks * self.block)
+            sims[q] = sums.reshape(blocks, self.block)
+        bounds = dense @ self.most.T + sims.max(axis=2)
+        best = np.zeros((len(queries), k), dtype=np.float32)  # the k largest cosines so far
+        scored = np.zeros((len(queries), blocks), dtype=bool)
+        for b in np.argsort(-bounds.max(axis=0, initial=0), kind="stable"):
+            live = np.flatnonzero((bounds[:, b] > 0) & (bounds[:, b] >= best.min(axis=1) - 1e-5))
+            if not len(live):
+                continue
+            sims[live, b] += dense[live] @ self.rows[b]
+            scored[live, b] = True
+            both = np.concatenate([best[live], sims[live, b]], axis=1)
+            best[live] = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
+        sims[~scored] = 0
+        out = []
+        for s, least, n in zip(sims.reshape(len(queries), -1), best.min(axis=1), scored.sum(axis=1)):
+            hit = np.flatnonzero((s > 0) & (s >= least))
+            hit = hit[np.lexsort((hit, -s[hit]))[:k]]
+            out.append((hit, s[hit], int(n)))
+        return out
+
+
+def _logit(vote):
+    v = np.clip(vote, 1e-3, 1 - 1e-3)
+    return np.log(v / (1 - v))
 
 
 class Model:
     """Terms with their inverse document frequencies, the example index and the calibration."""
 
-    def __init__(self, terms: list[str], idf: np.ndarray, examples: list[tuple[int, int, list[int], list[int]]], share: float):
+    def __init__(self, terms: list[str], idf: np.ndarray, examples: list[tuple[int, int, np.ndarray, np.ndarray]], share: float):
         self.counts = TermCounter(terms)
-        self.idf = idf.astype(np.float32)
+        self.idf = idf.astype(np.float32) * (COMMON + self._phi(len(terms), examples))
         self.share = share
-        vectors = [self._vector(dict(zip(t, n))) for _, _, t, n in examples]
+        vectors = [self._vector(t, n) for _, _, t, n in examples]
         use = [i for i, v in enumerate(vectors) if len(v[0])]
         self.ids = np.array([examples[i][0] for i in use], dtype=np.int64)
         self.labels = np.array([examples[i][1] for i in use], dtype=np.float64)
         self.index = BlockMaxIndex([vectors[i] for i in use], len(terms))
-        self.slope, self.shift = 4.0, -2.0
-        self._calibrate([vectors[i] for i in range(len(vectors))], use, [e[1] for e in examples])
-
-    def _vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        terms = np.array(sorted(counts), dtype=np.int64)
-        w = (1 + np.log(np.array([counts[t] for t in terms.tolist()], dtype=np.float32))) * self.idf[terms] if len(terms) else np.zeros(0, np.float32)
-        norm = np.sqrt((w * w).sum()) if len(terms) else 0
+        self.slope, self.shift = 1.0, 0.0
+        # Left out, an example loses the terms that no other one has.
+        others = [self._vector(t[self.index.length[t] > 1], n[self.index.length[t] > 1]) for _, _, t, n in examples]
+        self._calibrate(others, use, [e[1] for e in examples])
+
+    @staticmethod
+    def _phi(n_terms: int, examples) -> np.ndarray:
+        """How differently the classes' examples use each term, 0 to 1; equal classes are assumed, half an example is added to each count."""
+        share = []
+        for y in (0, 1):
+            have = [t for _, label, t, _ in examples if label == y]
+            share.append((np.bincount(np.concatenate([np.zeros(0, np.int64), *have]), minlength=n_terms) + 0.5) / (len(have) + 1))
+        mean = (share[0] + share[1]) / 2
+        return (np.abs(share[1] - share[0]) / np.sqrt(mean * (1 - mean))).astype(np.float32)
+
+    def _vector(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        w = (1 + np.log(counts.astype(np.float32))) * self.idf[terms]
+        norm = np.sqrt((w * w).sum())
         return terms, (w / norm if norm else w).astype(np.float32)
 
     def _vote(self, labels: np.ndarray, sims: np.ndarray) -> float:
         return float((sims @ labels + PRIOR * self.share) / (sims.sum() + PRIOR))
 
     def _calibrate(self, vectors, use, labels) -> None:
-        """Logistic curve on leave-one-out votes, the classes weighted by their share among the labels."""
+        """Logistic curve on the log odds of leave-one-out votes, the classes weighted by their share among the labels."""
         place = {e: k for k, e in enumerate(use)}
         votes, y = [], np.array(labels, dtype=np.float64)
-        for e, (t, w) in enumerate(vectors):
-            i, s, _ = self.index.nearest(t, w, NEIGHBOURS + 1)
+        for e, (i, s, _) in enumerate(self._nearest(vectors, NEIGHBOURS + 1)):
             other = i != place.get(e, -1)
             votes.append(self._vote(self.labels[i[other][:NEIGHBOURS]], s[other][:NEIGHBOURS]))
         if len(set(labels)) < 2:
             return
-        x = np.array(votes)
+        x = _logit(np.array(votes))
         weight = np.where(y == 1, self.share / max(y.sum(), 1), (1 - self.share) / max((1 - y).sum(), 1)) * len(y)
-        a, b = 4.0, -2.0
+        a, b = 1.0, 0.0
         for _ in range(200):  # damped Newton steps with a small ridge
             p = 1 / (1 + np.exp(-(a * x + b)))
             g = np.array([(weight * (p - y) * x).sum() + 0.01 * a, (weight * (p - y)).sum()])
@@ -180,40 +237,35 @@ class Model:
                 break
         self.slope, self.shift = float(a), float(b)
 
-    def score(self, text: str | None) -> tuple[float, list[int], list[float]]:
-        """(probability, ids of the neighbours, their cosines)."""
-        i, s, _ = self.index.nearest(*self._vector(self.counts(text)), NEIGHBOURS)
-        z = self.slope * self._vote(self.labels[i], s) + self.shift
-        return float(1 / (1 + np.exp(-np.clip(z, -40, 40)))), self.ids[i].tolist(), s.tolist()
+    def _nearest(self, vectors, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        for a in range(0, len(vectors), TOGETHER):
+            yield from self.index.nearest_of(vectors[a : a + TOGETHER], k)
 
+    def scores(self, texts: list[str | None]) -> Iterator[tuple[float, list[int], list[float]]]:
+        """(probability, ids of the neighbours, their cosines) of each text."""
+        for i, s, _ in self._nearest([self._vector(*self.counts(t)) for t in texts], NEIGHBOURS):
+            z = self.slope * _logit(self._vote(self.labels[i], s)) + self.shift
+            yield float(1 / (1 + np.exp(-np.clip(z, -40, 40)))), self.ids[i].tolist(), s.tolist()
 
-def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, label) -> partial (term, documents with it, of those label 1)."""
+
+def _terms_used(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct terms of a batch's texts."""
     for batch in batches:
-        docs: Counter = Counter()
-        ones: Counter = Counter()
-        for t, y in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
-            have = set().union(*map(terms_of, set(words(t))))
-            docs.update(have)
-            if y:
-                ones.update(have)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(docs), pa.string()), pa.array(list(docs.values()), pa.int64()), pa.array([ones[k] for k in docs], pa.int64())],
-            names=["term", "d", "a"],
-        )
+        used = set().union(*(words(t) for t in batch.column("text").to_pylist()))
+        yield pa.RecordBatch.from_arrays([pa.array(sorted(set().union(*map(terms_of, used))), pa.string())], names=["term"])
 
 
 def _term_counts(terms):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = TermCounter(terms.value)
         for batch in batches:
-            got = [dict(sorted(counter(t).items())) for t in batch.column("text").to_pylist()]
+            got = [counter(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     batch.column("label"),
-                    pa.array([list(c) for c in got], pa.list_(pa.int32())),
-                    pa.array([list(c.values()) for c in got], pa.list_(pa.int32())),
+                    pa.array([t for t, _ in got], pa.list_(pa.int32())),
+                    pa.array([n for _, n in got], pa.list_(pa.int32())),
                 ],
                 names=["doc_id", "label", "terms", "counts"],
             )
@@ -227,64 +279,52 @@ def _document_frequency(terms):
         found = np.zeros(len(terms.value) + 1, dtype=np.int64)  # the last counts documents
         for batch in batches:
             for t in batch.column("text").to_pylist():
-                found[list(counter(t))] += 1
+                found[counter(t)[0]] += 1
                 found[-1] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(found)), pa.int32()), pa.array(found)], names=["term", "df"])
+        used = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(found[used])], names=["term", "df"])
 
     return run
 
 
-def choose_terms(sample: DataFrame) -> list[str]:
-    """Terms of a (text, label) sample by chi-square of the term's presence and the label."""
-    size = sample.groupBy("label").count().collect()
-    n1 = sum(r["count"] for r in size if r["label"] == 1)
-    n = sum(r["count"] for r in size)
-    if not n1 or n1 == n:
-        return []
-    partial = sample.select("text", "label").mapInArrow(_presence, "term string, d long, a long")
-    c = partial.groupBy("term").agg(F.sum("d").alias("d"), F.sum("a").alias("a"))
-    a, d = F.col("a").cast("double"), F.col("d").cast("double")
-    odd = a * (n - n1) - (d - a) * n1
-    chi2 = F.when(d < n, n * odd * odd / (d * (n - d) * n1 * (n - n1))).otherwise(F.lit(0.0))
-    best = c.where(d >= LEAST_DOCS).withColumn("chi2", chi2).where(F.col("chi2") >= max(LEAST_CHI2, LEAST_PHI2 * n))
-    return [r.term for r in best.orderBy(F.desc("chi2"), "term").limit(TERMS).collect()]
-
-
-def fit(docs: DataFrame, labels: DataFrame, label: str, sample_rows: int = SAMPLE_ROWS, examples: int = EXAMPLES) -> Model:
-    """Model from at most ``sample_rows`` labelled rows; term frequencies from all of ``docs``.
+def fit(docs: DataFrame, labels: DataFrame, label: str, examples: int = EXAMPLES) -> Model:
+    """Model from at most ``examples`` labelled rows of each class; term frequencies from all of ``docs``.
 
     ``labels`` has doc_id and the 0/1 column ``label``; rows with nulls there
-    are left out.  The driver gets the terms, one count a term, and the terms
-    of at most ``examples`` examples of each class.
+    are left out.  The driver gets the examples' terms, with one count a term
+    and their counts in each example.
     """
     sc = docs.sparkSession.sparkContext
     known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(F.col("doc_id").isNotNull() & F.col("label").isNotNull())
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample_rows)
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # sample_rows ids at most
-    terms = choose_terms(sample)
     share = known.agg(F.avg("label")).first()[0]
+    classes = []
+    for y in (0, 1):
+        ids = known.where(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples)
+        classes.append(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id"))  # `examples` ids at most
+    terms = classes[0].unionByName(classes[1]).mapInArrow(_terms_used, "term string").distinct().toArrow()["term"].to_pylist()
     if not terms:
         return Model([], np.zeros(0), [], 0.5 if share is None else float(share))
+    terms.sort()
     named = sc.broadcast(terms)
-    got = docs.select("text").mapInArrow(_document_frequency(named), "term int, df long").groupBy("term").agg(F.sum("df").alias("df")).collect()
+    got = docs.select("text").mapInArrow(_document_frequency(named), "term int, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
     df = np.zeros(len(terms) + 1)
-    for r in got:
-        df[r.term] = r.df
+    df[got["term"].to_numpy()] = got["df"].to_numpy()
     idf = np.log((df[-1] + 1) / (df[:-1] + 1)) + 1
     picked = []
-    for y in (0, 1):
-        ids = known.where(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples)
-        rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # `examples` ids at most
+    for rows in classes:
         vectors = rows.mapInArrow(_term_counts(named), "doc_id long, label int, terms array<int>, counts array<int>")
-        picked += [(r.doc_id, r.label, r.terms, r.counts) for r in vectors.orderBy("doc_id", "terms").limit(2 * examples).collect()]
-    return Model(terms, idf, sorted(picked), float(share))
+        for batch in vectors.orderBy("doc_id", "terms").limit(2 * examples).toArrow().to_batches():
+            counts = (tuple(np.asarray(v.values) if v.is_valid else np.zeros(0, np.int32) for v in row) for row in zip(batch["terms"], batch["counts"]))
+            picked += [(i, y, t.astype(np.int64), n) for i, y, (t, n) in zip(batch["doc_id"].to_pylist(), batch["label"].to_pylist(), counts)]
+    picked.sort(key=lambda e: (e[0], e[1], e[2].tolist()))
+    return Model(terms, idf, picked, float(share))
 
 
 def _scorer(model, carry: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         for batch in text_chunks(batches):
-            got = [m.score(t) for t in batch.column("text").to_pylist()]
+            got = list(m.scores(batch.column("text").to_pylist()))
             columns = [
                 *(batch.column(c) for c in carry),
                 pa.array([g[0] for g in got], pa.float64()),

@@ -151,6 +151,30 @@ def test_block_max_index_is_exact():
     assert skipped > 20
 
 
+def test_toxicity_keeps_every_word_of_the_examples(shipped):
+    """Wording of a single labelled text is found again, and no common text is without neighbours."""
+    plain = [(i, f"some plain words about the river bank number{i} and its boats", 0) for i in range(300)]
+    rude = [(1000 + i, f"rare{chr(97 + i)}{chr(98 + i)}zq insult{i} unlike anything", 1) for i in range(12)]
+    rows = plain + rude
+    docs = shipped.createDataFrame([(i, t) for i, t, _ in rows] + [(5000, "rarecdzq"), (5001, "boats")], "doc_id long, text string")
+    marks = shipped.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in toxicity.score(docs, toxicity.fit(docs, marks, "toxic")).collect()}
+    assert got[5000].neighbours[0] == 1002 and got[5001].neighbours and got[5000].score > got[5001].score
+    assert all(got[i].neighbours[0] == i and got[i].cosines[0] > 0.999 for i, _, _ in rude)
+
+
+def test_toxicity_recall_on_held_out_labels(shipped):
+    folder = "/root/testdata/sf0.1"
+    docs = shipped.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    table = shipped.read.parquet(f"{folder}/labels.parquet")
+    model = toxicity.fit(docs, quality.training_labels(table), "toxic")
+    rows = held_out_labels(toxicity.score(docs.join(table.select("doc_id"), "doc_id", "left_semi"), model), table, "toxic")
+    found = [r.score >= toxicity.THRESHOLD for r in rows if r.toxic]
+    wrong = [r.score >= toxicity.THRESHOLD for r in rows if not r.toxic]
+    print("recall", sum(found) / len(found), "false positives", sum(wrong) / len(wrong))
+    assert len(found) > 80 and sum(found) / len(found) >= 0.85 and sum(wrong) / len(wrong) <= 0.01
+
+
 def held_out_labels(docs, labels, name):
     rows = docs.join(labels.select(F.col("doc_id").alias("_d"), name), F.col("doc_id") == F.col("_d")).collect()
     return [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
