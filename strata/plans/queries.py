@@ -1330,15 +1330,17 @@ def q_prepare_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
 def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W7/W9 streaming: events as a file stream (four files, one per trigger),
-    watermark as long as the data span, dedup within the watermark -- equal to
-    the batch distinct."""
+    watermark longer than the data span (measured first), dedup within the
+    watermark -- equal to the batch distinct."""
     staged = scratch_path(spark, "events-stream")
     events = table(spark, sf_dir, "events")
+    ts = F.col("ts").cast("timestamp")
+    span = events.agg(F.unix_seconds(F.max(ts)) - F.unix_seconds(F.min(ts))).first()[0] or 0
     events.repartition(4).write.parquet(f"{staged}/in")
     stream = (
         spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{staged}/in")
     )
-    deduped = dedup_stream(stream, ["user_id", "event_type"], "ts", delay="40 days")
+    deduped = dedup_stream(stream, ["user_id", "event_type"], "ts", delay=f"{span + 86400} seconds")
     run_available_now(deduped.select("user_id", "event_type", "ts"), f"{staged}/_checkpoint", f"{staged}/out")
     return spark.read.parquet(f"{staged}/out").select("user_id", "event_type")
 
