@@ -5,10 +5,10 @@ is its first or its last.  Whether it is one depends on the k-mer alone, so an
 edit moves no anchor outside the k-mers it touches, and two texts that share a
 passage share its anchors at a constant offset.
 
-A fingerprint keeps the anchors with the smallest hashes and their positions.
-Likeness is estimated on the smallest hashes of both: anchors that both have,
-at offsets within a band of the most voted one, as a share of the anchors
-(Dice).  Equal texts have equal fingerprints and likeness 1.
+Likeness is taken over all distinct anchors of both texts: those that both
+have, at offsets within a band of the most voted one, as a share of the anchors
+(Dice).  A fingerprint is a digest beside it: the anchors with the smallest
+hashes and their positions.  Equal texts have equal fingerprints and likeness 1.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from strata.llm.common import SubstringHash, mix64, sliding_min
 #: Code points of a k-mer and of its inner s-mers; the same for texts of under ``SHORT`` code points.
 K, S = 20, 9
 SHORT, SHORT_K, SHORT_S = 120, 6, 3
-#: Anchors in a fingerprint, at most.
+#: Anchors in a fingerprint, at most; likeness takes all.
 KEPT = 48
 #: Offsets that differ by less than this are one diagonal.
 BAND = 64
@@ -60,21 +60,22 @@ def anchors(text: str, k: int | None = None, s: int | None = None) -> tuple[np.n
 
 
 def sketch(text: str) -> tuple[np.ndarray, np.ndarray, int]:
-    """(smallest anchor hashes, their first positions, number of distinct anchors)."""
+    """(anchor hashes, ascending, their first positions, number of distinct anchors)."""
     h, p = anchors(text)
-    h = (mix64(h) >> np.uint64(32)).astype(np.uint32)
+    h = mix64(h)
     # First position of each hash: a stable sort keeps the order of positions.
     order = np.argsort(h, kind="stable")
     h, p = h[order], p[order]
     first = np.concatenate([[True], h[1:] != h[:-1]])
     h, p = h[first], p[first]
-    return h[:KEPT], p[:KEPT], len(h)
+    return h, p, len(h)
 
 
 def encode(one: tuple[np.ndarray, np.ndarray, int]) -> str:
-    """A fingerprint as text: distinct anchors, then hash and position of each that is kept, in hex."""
+    """A fingerprint as text: distinct anchors, then hash and position of the smallest ones, in hex."""
     h, p, n = one
-    return f"{n:x}:" + h.astype(">u4").tobytes().hex() + ":" + p.astype(">u4").tobytes().hex()
+    h = (h[:KEPT] >> np.uint64(32)).astype(">u4")
+    return f"{n:x}:" + h.tobytes().hex() + ":" + p[:KEPT].astype(">u4").tobytes().hex()
 
 
 def decode(fingerprint: str) -> tuple[np.ndarray, np.ndarray, int]:
@@ -83,21 +84,17 @@ def decode(fingerprint: str) -> tuple[np.ndarray, np.ndarray, int]:
 
 
 def likeness(a: tuple[np.ndarray, np.ndarray, int], b: tuple[np.ndarray, np.ndarray, int]) -> float:
-    """Estimated share of anchors that both texts have on one diagonal, 0 to 1."""
-    (ha, pa_, _), (hb, pb, _) = a, b
-    if len(ha) == len(hb) and (ha == hb).all() and (pa_ == pb).all():
+    """Share of anchors that both texts have on one diagonal, 0 to 1."""
+    (ha, pa_, na), (hb, pb, nb) = a, b
+    if na == nb and (ha == hb).all() and (pa_ == pb).all():
         return 1.0
-    both = np.union1d(ha, hb)[:KEPT]  # the smallest hashes of the union: a uniform sample of it
-    common, i, j = np.intersect1d(ha, hb, assume_unique=True, return_indices=True)
-    use = np.isin(common, both)
-    if not use.any():
+    _, i, j = np.intersect1d(ha, hb, assume_unique=True, return_indices=True)
+    if not len(i):
         return 0.0
-    shift = (pb[j] - pa_[i])[use]
-    votes = np.sort(shift)
+    votes = np.sort(pb[j] - pa_[i])
     # The band of offsets with the most anchors.
     matched = int((np.searchsorted(votes, votes + BAND) - np.arange(len(votes))).max())
-    jaccard = matched / len(both)
-    return 2 * jaccard / (1 + jaccard)
+    return 2 * matched / (na + nb)
 
 
 def edited(text: str, following: str) -> str:

@@ -93,6 +93,17 @@ def test_syncmers_are_context_free_and_neighbours_follow(shipped, odd, empty):
     assert syncmers.fingerprint_neighbours(empty).count() == 0
 
 
+def test_likeness_takes_all_anchors():
+    """Against the sets of all anchors of two long texts that share one passage of 2 %."""
+    rng = random.Random(8)
+    a, b = ("".join(rng.choice("abcdefgh ") for _ in range(30_000)) for _ in range(2))
+    b = b[:20_000] + a[5000:5600] + b[20_000:]
+    x, y = set(syncmers.anchors(a)[0].tolist()), set(syncmers.anchors(b)[0].tolist())
+    got = syncmers.likeness(syncmers.sketch(a), syncmers.sketch(b))
+    assert len(x & y) > 50 and abs(got - 2 * len(x & y) / (len(x) + len(y))) < 1e-9
+    assert len(syncmers.decode(syncmers.encode(syncmers.sketch(a)))[0]) == syncmers.KEPT
+
+
 def test_mix_cuts_at_the_budget(shipped, odd, empty):
     rng = random.Random(5)
     rows = [(i, " ".join("w" * rng.randint(1, 3) for _ in range(rng.randint(0, 30))), rng.choice("aaaabcd")) for i in range(400)]
