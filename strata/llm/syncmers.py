@@ -9,6 +9,8 @@ Likeness is taken over all distinct anchors of both texts: those that both
 have, at offsets within a band of the most voted one, as a share of the anchors
 (Dice).  A fingerprint is a digest beside it: the anchors with the smallest
 hashes and their positions.  Equal texts have equal fingerprints and likeness 1.
+Texts below a length have shorter k-mers; a pair with one of them is compared
+by the shorter k-mers of both.
 """
 
 from __future__ import annotations
@@ -59,9 +61,9 @@ def anchors(text: str, k: int | None = None, s: int | None = None) -> tuple[np.n
     return h, p
 
 
-def sketch(text: str) -> tuple[np.ndarray, np.ndarray, int]:
+def sketch(text: str, k: int | None = None, s: int | None = None) -> tuple[np.ndarray, np.ndarray, int]:
     """(anchor hashes, ascending, their first positions, number of distinct anchors)."""
-    h, p = anchors(text)
+    h, p = anchors(text, k, s)
     h = mix64(h)
     # First position of each hash: a stable sort keeps the order of positions.
     order = np.argsort(h, kind="stable")
@@ -97,6 +99,16 @@ def likeness(a: tuple[np.ndarray, np.ndarray, int], b: tuple[np.ndarray, np.ndar
     return 2 * matched / (na + nb)
 
 
+def alike(text: str, one: tuple, other_text: str, other: tuple) -> float:
+    """Likeness of two texts with their sketches; both by the shorter k-mers where one is under ``SHORT``."""
+    if (len(text) < SHORT) != (len(other_text) < SHORT):
+        if len(text) >= SHORT:
+            one = sketch(text, SHORT_K, SHORT_S)
+        else:
+            other = sketch(other_text, SHORT_K, SHORT_S)
+    return likeness(one, other)
+
+
 def edited(text: str, following: str) -> str:
     """The last third of ``text`` (code points, rounded down) replaced by as many first ones of ``following``."""
     third = len(text) // 3
@@ -110,7 +122,7 @@ def _row(doc_id, text, one, following, next_one):
     changed = edited(text, following)
     other = one if changed == text else sketch(changed)
     digest = hashlib.sha256(changed.encode("utf-8", "surrogatepass")).hexdigest()
-    return doc_id, len(text), digest, encode(one), encode(other), likeness(one, other), likeness(one, next_one)
+    return doc_id, len(text), digest, encode(one), encode(other), alike(text, one, changed, other), alike(text, one, following, next_one)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:

@@ -104,6 +104,16 @@ def test_likeness_takes_all_anchors():
     assert len(syncmers.decode(syncmers.encode(syncmers.sketch(a)))[0]) == syncmers.KEPT
 
 
+def test_likeness_across_the_short_border(shipped):
+    """A near copy on the other side of the border, and an edited text that falls below it."""
+    rng = random.Random(9)
+    text = "".join(rng.choice("abcdefgh ") for _ in range(130))
+    df = shipped.createDataFrame([(9, text[:118]), (8, text[:122]), (7, text), (6, None)], "doc_id long, text string")
+    got = {r.doc_id: r for r in syncmers.fingerprint_neighbours(df).collect()}
+    assert got[9].near_next > 0.9 and got[8].near_next > 0.9
+    assert got[7].n_chars == 130 and got[7].near_edited > 0.7 and got[7].near_next == 0
+
+
 def test_mix_cuts_at_the_budget(shipped, odd, empty):
     rng = random.Random(5)
     rows = [(i, " ".join("w" * rng.randint(1, 3) for _ in range(rng.randint(0, 30))), rng.choice("aaaabcd")) for i in range(400)]
