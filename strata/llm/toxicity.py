@@ -70,6 +70,12 @@ class TermCounter:
         self._known: dict[str, np.ndarray] = {}
         self._last, self._sum = np.zeros(len(terms), np.int64), np.zeros(len(terms), np.int64)
 
+    def __getstate__(self):
+        return "\n".join(self._term)
+
+    def __setstate__(self, state):
+        self.__init__(state.split("\n") if state else [])
+
     def _terms(self, token: str) -> np.ndarray:
         """Numbers of the terms of a token's words, one entry per word that has it."""
         known = self._known.get(token)
@@ -116,24 +122,37 @@ class BlockMaxIndex:
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, block: int = BLOCK):
         self.n, self.block = len(vectors), block
-        blocks = max(1, -(-self.n // block))
         lengths = np.array([len(t) for t, _ in vectors], dtype=np.int64)
         terms = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in vectors)])
         order = np.argsort(terms, kind="stable")
-        self.example = np.repeat(np.arange(self.n, dtype=np.int32), lengths)[order]
+        self.example = np.repeat(np.arange(self.n, dtype=np.uint16 if self.n < 1 << 16 else np.int32), lengths)[order]
         self.weight = np.concatenate([np.zeros(0, np.float32), *(w for _, w in vectors)])[order]
         self.length = np.bincount(terms, minlength=n_terms)
+        self.start = np.cumsum(self.length) - self.length
+        self._lay_out()
+
+    def _lay_out(self) -> None:
         self.start = np.cumsum(self.length) - self.length
         # Long lists as rows of a term's weights in each block, 0 where an example lacks it; -1 marks short lists.
         long = np.flatnonzero(self.length * LONG >= max(self.n, LONG))
-        self.place = np.full(n_terms, -1, dtype=np.int32)
+        self.place = np.full(len(self.length), -1, dtype=np.int32)
         self.place[long] = np.arange(len(long))
-        self.rows = np.zeros((blocks, len(long), block), dtype=np.float32)
-        for i, (t, w) in enumerate(vectors):
-            at = self.place[t]
-            self.rows[i // block, at[at >= 0], i % block] = w[at >= 0]
+        self.rows = np.zeros((max(1, -(-self.n // self.block)), len(long), self.block), dtype=np.float32)
+        at = np.repeat(self.place, self.length)
+        use = at >= 0
+        e = self.example[use]
+        self.rows[e // self.block, at[use], e % self.block] = self.weight[use]
         self.most = self.rows.max(axis=2)
 
+    def __getstate__(self):
+        """Only the posting lists are sent; the rest is laid out again."""
+        return self.n, self.block, self.example, self.weight, self.length.astype(np.int32)
+
+    def __setstate__(self, state):
+        self.n, self.block, self.example, self.weight, length = state
+        self.length = length.astype(np.int64)
+        self._lay_out()
+
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, int]:
         """(example numbers, cosines) of the k nearest with a cosine above 0, and the blocks scored.
 
