@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import text_chunks
-from strata.llm.tokens import Encoder
+from strata.llm.tokens import encoder_of
 
 #: Tokens of a window.
 WINDOW = 2048
@@ -142,7 +142,7 @@ def _pack(path: str, end: int, window: int, pool: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder = Encoder(path, "dropped")
+        encoder = encoder_of(path, "dropped")
         packer = Packer(window, pool, TaskContext.get().partitionId() << 33)
 
         def out():

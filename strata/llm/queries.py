@@ -11,7 +11,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, exact_dedup, mixing, ngram_join, packing, quality, repair, suffix_dedup, syncmers, toxicity
+from strata.llm import (
+    bit_clusters,
+    chat,
+    divergence,
+    exact_dedup,
+    mixing,
+    ngram_join,
+    packing,
+    quality,
+    repair,
+    speculative_bpe,
+    suffix_dedup,
+    syncmers,
+    toxicity,
+)
 from strata.llm.common import ship, table
 from strata.llm.tokens import vocabulary_path
 from strata.session import cut_lineage
@@ -81,6 +95,25 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(documents(spark, sf_dir))
 
 
+def op11_bit_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    found = bit_clusters.cluster(table(spark, sf_dir, "embeddings"))
+    centroid = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256)
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", centroid.alias("centroid_sha256"))
+
+
+def op12_speculative_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary_path("byte_bpe_50k.json")
+    encoded = speculative_bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), path)
+    both = speculative_bpe.decode(encoded, path)
+    n_tokens = (F.octet_length("ids") / 4).cast("long")
+    return both.select("doc_id", n_tokens.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -94,6 +127,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_exact_dedup,
         op10_ngram_join,
+        op11_bit_clusters,
+        op12_speculative_bpe,
+        op13_source_divergence,
     )
 }
 
@@ -153,4 +189,57 @@ WITH d AS (
   FROM d
 )
 SELECT doc_id, keep_id, group_size, (doc_id IS NOT DISTINCT FROM keep_id AND copy = 1) AS kept, text_sha256 FROM g""",
+    "op13_source_divergence": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents
+), g AS (SELECT DISTINCT lang, source FROM d),
+t AS (
+  SELECT id, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d
+), kept AS (SELECT lang, term, count(*)::HUGEINT AS n FROM t GROUP BY lang, term HAVING count(DISTINCT id) >= 30),
+size AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+totals AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM c GROUP BY ALL),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (coalesce(o.total, 0) + 5 * s.v) AS p,
+         1 + (1000000000::HUGEINT * (k.n + 5)) // (s.total + 5 * s.v) AS q
+  FROM g JOIN kept k USING (lang) JOIN size s USING (lang) LEFT JOIN totals o USING (lang, source) LEFT JOIN c USING (lang, source, term)
+), sums AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+every AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT lang, source, part, item, value::BIGINT AS value,
+         row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item))::INT AS rank
+  FROM every
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50""",
 }
+
+_INTS = "list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT)"
+_ROUND = """r{n} AS MATERIALIZED (
+  SELECT id, v, arg_min(c, (d, c)) AS cluster, min(d) AS distance FROM (
+    SELECT r.id, r.v, k.c, list_sum(list_transform(list_zip(r.v, k.w), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM kept r, c{n} k
+  ) GROUP BY id, v
+), """
+_MOVE = """m{n} AS (
+  SELECT c, list((s - ((s % k) + k) % k) // k ORDER BY i)::BIGINT[] AS w FROM (
+    SELECT cluster AS c, i, sum(v[i])::HUGEINT AS s, count(*)::HUGEINT AS k FROM r{n}, range(1, 65) t(i) GROUP BY cluster, i
+  ) GROUP BY c
+), c{after} AS MATERIALIZED (SELECT c{n}.c, coalesce(m{n}.w, c{n}.w) AS w FROM c{n} LEFT JOIN m{n} USING (c)), """
+ORACLES["op11_bit_clusters"] = (
+    f"""WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, vec_id, {_INTS} AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), c0 AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY sha256('3:' || vec_id::VARCHAR), v) - 1)::INT AS c, v AS w FROM kept
+  ORDER BY sha256('3:' || vec_id::VARCHAR), v LIMIT 8
+), """
+    + "".join(_ROUND.format(n=n) + _MOVE.format(n=n, after=n + 1) for n in range(bit_clusters.ROUNDS))
+    + _ROUND.format(n=bit_clusters.ROUNDS).rstrip(", ")
+    + """
+SELECT kept.vec_id, r.cluster, r.distance, sum(r.distance) OVER (PARTITION BY r.cluster)::BIGINT AS cluster_inertia,
+       sum(r.distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(k.w, ',')) AS centroid_sha256
+FROM r{n} r JOIN kept USING (id) JOIN c{n} k ON k.c = r.cluster""".format(n=bit_clusters.ROUNDS)
+)

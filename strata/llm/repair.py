@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import text_chunks
-from strata.llm.tokens import Encoder
+from strata.llm.tokens import encoder_of
 from strata.session import scratch_path
 
 #: Tokens of a shard, about (a document is never divided).
@@ -137,7 +137,7 @@ def _write_shards(path: str, end: int):
         from pyspark import TaskContext
 
         part, number = TaskContext.get().partitionId(), 0
-        encoder = Encoder(path, "kept")
+        encoder = encoder_of(path, "kept")
         docs, counts, ids, held = [], [], [], 0
 
         def shard():

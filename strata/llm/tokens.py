@@ -57,7 +57,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        self._specials = {t.content: i for i, t in self._tokenizer.get_added_tokens_decoder().items()}
+        by_length = sorted(self._specials, key=len, reverse=True)
+        self._special = re.compile("(" + "|".join(map(re.escape, by_length)) + ")") if by_length else None
         self._kept, self._limit = spaces == "kept", limit
         self._line_break = self.whole(["\n"])[0][0] if self._kept else 0
         self._clear()
@@ -74,6 +76,12 @@ class Encoder:
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self._tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def special_split(self, text: str) -> list[str | int]:
+        """A text cut at the strings of special tokens, which become their ids."""
+        if self._special is None:
+            return [text]
+        return [self._specials[s] if k % 2 else s for k, s in enumerate(self._special.split(text))]
+
     def _words(self, text: str) -> list[str]:
         """Keys of a text: its words; with spaces kept, "\\n\\n" marks the first word and "\\n" those after a line break."""
         if not self._kept:
@@ -181,13 +189,19 @@ class Encoder:
             self._start[at : at + len(ids)] = self._used + np.cumsum(real) - real
             self._used += len(flat)
 
-    def encode(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts, each followed by ``end``, and the number of ids of each text."""
+    def encode(self, texts: list[str], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, each followed by ``end`` if given, and the number of ids of each text."""
         if len(self._seen) > self._limit:
             self._forget()
         known = len(self._seen)
         look, index = self._seen.__getitem__, []
-        for text in texts:
+        none = np.zeros(0, dtype=np.int64)
+        special = self._special.search if self._special else lambda text: None
+        whole = {i for i, text in enumerate(texts) if special(text)}
+        for i, text in enumerate(texts):
+            if i in whole:
+                index.append(none)
+                continue
             words = self._words(text)
             index.append(np.fromiter(map(look, words), dtype=np.int64, count=len(words)))
         self._learn(known)
@@ -196,12 +210,25 @@ class Encoder:
         out, counts = [], np.zeros(len(texts), dtype=np.int64)
         for i, word in enumerate(index):
             lengths = self._length[word]
-            if len(lengths) and lengths.min() < 0:
+            if i in whole or len(lengths) and lengths.min() < 0:
                 ids = np.array(self.whole([texts[i]])[0], dtype=np.int32)
             else:
                 ends = np.cumsum(lengths)
                 total = int(ends[-1]) if len(ends) else 0
                 ids = self._ids[np.arange(total) + np.repeat(self._start[word] - (ends - lengths), lengths)]
-            out += [ids, np.array([end], dtype=np.int32)]
-            counts[i] = len(ids) + 1
+            out.append(ids)
+            counts[i] = len(ids)
+            if end is not None:
+                out.append(np.array([end], dtype=np.int32))
+                counts[i] += 1
         return (np.concatenate(out) if out else np.zeros(0, dtype=np.int32)), counts
+
+
+_ENCODERS: dict[tuple[str, str], Encoder] = {}
+
+
+def encoder_of(path: str, spaces: str) -> Encoder:
+    """The worker's encoder of a vocabulary; later tasks of the worker use it and its words again."""
+    if (path, spaces) not in _ENCODERS:
+        _ENCODERS[path, spaces] = Encoder(path, spaces)
+    return _ENCODERS[path, spaces]
