@@ -1,9 +1,9 @@
 """Divergence of a language's sources by their terms, with late strings.
 
 The texts are read once.  A task counts terms per (language, source) for all
-its documents and writes one row per (group, term): fixed-width digests of the
-language, the group and the term, two counts, and the term's string.  The file
-is columnar, so all that follows reads and shuffles the digests alone:
+its documents and writes one row per term: its digest, its string, and its
+entries (digests of language and group, two counts).  The file is columnar, so
+all that follows reads and shuffles the fixed-width digests alone:
 
 * occurrences per (group, term) and documents per (language, term);
 * for the terms that a language keeps, the smallest and the largest string of
@@ -32,8 +32,8 @@ from strata.session import cut_lineage
 LEAST, SMOOTH, SCALE, RANKS = 30, 5, 1_000_000_000, 50
 #: Sources of a language that are compared in one block; more are compared block by block.
 BLOCK = 256
-#: (group, term) entries that a task holds before it writes them.
-ENTRIES = 1_500_000
+#: (group, term) entries that a task holds before it writes them (twice as many (row, term) ones before it adds them up).
+ENTRIES = 4_000_000
 
 #: Letters A-Z become lower-case, every other byte below 128 ends a term; bytes from 128 on stay.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -53,49 +53,69 @@ def digest(term: bytes, bits: int = 64) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-_POSTINGS = "lang_key long, group_key long, term_key long, n long, documents long, term string"
+_POSTINGS = "term_key long, term string, entries array<struct<lang_key:bigint,group_key:bigint,n:bigint,documents:bigint>>"
+_ENTRY = pa.struct([("lang_key", pa.int64()), ("group_key", pa.int64()), ("n", pa.int64()), ("documents", pa.int64())])
+
+
+class _Numbers(dict):
+    def __missing__(self, term: bytes) -> int:
+        self[term] = n = len(self)
+        return n
+
+
+def _compact(held: list[np.ndarray]) -> list[np.ndarray]:
+    """One (key, occurrences, documents) entry per key, in the order of keys."""
+    keys, n, documents = (np.concatenate(c) for c in zip(*held))
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, dtype=np.int64)
+    return [(keys[first], np.add.reduceat(n[order], first), np.add.reduceat(documents[order], first))] if len(keys) else []
 
 
 def _count(bits: int, entries: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers: dict[bytes, int] = {}
-        groups: dict[tuple[int, int], dict[int, list[int]]] = {}
+        numbers, groups, held, size = _Numbers(), {}, [], 0
 
         def flush():
-            words = list(numbers)
-            keys = np.fromiter((digest(w, bits) for w in words), dtype=np.int64, count=len(words))
-            strings = pa.array([w.decode("utf-8", "surrogatepass") for w in words], pa.string())
-            for (lang, group), held in groups.items():
-                at = np.fromiter(held, dtype=np.int64, count=len(held))
-                both = np.array(list(held.values()), dtype=np.int64).reshape(-1, 2)
-                for a in range(0, len(at), 100_000):
-                    cut = at[a : a + 100_000]
-                    columns = [np.full(len(cut), lang), np.full(len(cut), group), keys[cut], both[a : a + 100_000, 0], both[a : a + 100_000, 1]]
-                    yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns), strings.take(pa.array(cut))], names=[f.split()[0] for f in _POSTINGS.split(", ")])
-            numbers.clear()
-            groups.clear()
-
-        held = 0
-        for batch in text_chunks(batches, target=1_000_000):
-            for lang, group, text in zip(*(batch.column(c).to_pylist() for c in ("lang_key", "group_key", "text"))):
-                mine = groups.setdefault((lang, group), {})
-                before = len(mine)
-                counts: dict[bytes, int] = {}
-                for t in terms(text):
-                    counts[t] = counts.get(t, 0) + 1
-                for t, n in counts.items():
-                    i = numbers.setdefault(t, len(numbers))
-                    entry = mine.get(i)
-                    if entry is None:
-                        mine[i] = [n, 1]
-                    else:
-                        entry[0] += n
-                        entry[1] += 1
-                held += len(mine) - before
-            if held > entries:
-                yield from flush()
-                held = 0
-        yield from flush()
+            """A row per term: its string once, and its entries of all groups."""
+            for keys, n, documents in held:
+                term, group = keys >> 24, keys & 0xFFFFFF
+                pairs = np.array(list(groups), dtype=np.int64)
+                words = list(numbers)
+                digests = np.fromiter((digest(w, bits) for w in words), dtype=np.int64, count=len(words))
+                start = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]]))
+                bounds = np.concatenate([start, [len(term)]])
+                for a in range(0, len(start), 50_000):
+                    cut = slice(bounds[a], bounds[min(a + 50_000, len(start))])
+                    which = term[start[a : a + 50_000]]
+                    columns = [pairs[group[cut], 0], pairs[group[cut], 1], n[cut], documents[cut]]
+                    items = pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], fields=list(_ENTRY))
+                    offsets = pa.array(bounds[a : a + len(which) + 1] - bounds[a], pa.int32())
+                    strings = pa.array([words[i].decode("utf-8", "surrogatepass") for i in which.tolist()], pa.string())
+                    yield pa.RecordBatch.from_arrays([pa.array(digests[which]), strings, pa.ListArray.from_arrays(offsets, items)], names=["term_key", "term", "entries"])
+
+        for batch in text_chunks(batches, target=2_000_000):
+            look = numbers.__getitem__
+            ids, lengths = [], []
+            for text in batch.column("text").to_pylist():
+                found = terms(text)
+                ids.append(np.fromiter(map(look, found), dtype=np.int64, count=len(found)))
+                lengths.append(len(found))
+            group = np.array([groups.setdefault(g, len(groups)) for g in zip(*(batch.column(c).to_pylist() for c in ("lang_key", "group_key")))], dtype=np.int64)
+            # Occurrences per (row, term), then one entry per (term, group).
+            keys = np.repeat(np.arange(len(ids)) << 40, lengths) | np.concatenate(ids)
+            keys, n = np.unique(keys, return_counts=True)
+            held.append((((keys & ((1 << 40) - 1)) << 24) | group[keys >> 40], n, np.ones(len(n), dtype=np.int64)))
+            size += len(n)
+            if size > entries or len(groups) > 1 << 22:
+                held = _compact(held)
+                size = sum(len(h[0]) for h in held)
+                if 2 * size > entries or len(groups) > 1 << 22:
+                    yield from flush()
+                    numbers, groups, held, size = _Numbers(), {}, [], 0
+        if held:
+            held = _compact(held)
+            yield from flush()
 
     return run
 
@@ -197,7 +217,7 @@ def source_divergence(
         return by_lang.where(F.col("documents") >= least).drop("documents")
 
     whole = F.lit("").alias("split")
-    counts = cut_lineage(counted(postings.select("lang_key", "group_key", "term_key", "n", "documents", whole)), "counts")
+    counts = cut_lineage(counted(postings.select("term_key", whole, F.inline("entries"))), "counts")
     candidates = cut_lineage(kept_of(counts).select("lang_key", "term_key", "split", "lang_n"), "candidates")
     wanted = candidates.select("term_key").distinct()
     strings = postings.select("term_key", "term").join(wanted, "term_key", "left_semi")
@@ -207,7 +227,7 @@ def source_divergence(
         kept, dictionary = candidates, strings.select("term_key", F.lit("").alias("split"), "term")
     else:
         # Terms that share a digest are counted by their strings.
-        again = postings.join(shared, "term_key", "left_semi").withColumn("split", F.col("term"))
+        again = postings.join(shared, "term_key", "left_semi").select("term_key", F.col("term").alias("split"), F.inline("entries"))
         again = cut_lineage(counted(again), "split-counts")
         counts = counts.join(shared, "term_key", "left_anti").unionByName(again)
         kept = candidates.join(shared, "term_key", "left_anti").unionByName(kept_of(again).select(*candidates.columns))
