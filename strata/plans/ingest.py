@@ -12,20 +12,24 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.expr import ts_literal
 from strata.functions.expr import file_name, truncate_text
+from strata.operators import audit, rules, silver
 from strata.operators import manifest as mf
-from strata.operators import rules, silver
 from strata.operators import state as st
+from strata.operators.content import ObservedContent, compare_contents, contents, reconcile_run
+from strata.plans.attach import attach_row
 from strata.schemas import FILE_STATE_KEYS, FILE_STATE_SCHEMA, RAW_COLUMNS
 from strata.session import cut_lineage
 from strata.sinks import writers
+from strata.sinks.silver_files import merge_by_file
 from strata.sources import contract
-from strata.sources.files import discover, fingerprint, read_lines
+from strata.sources.files import discover, fingerprint, list_files, read_lines
 
 
 def run_concurrently(*jobs) -> None:
@@ -60,6 +64,9 @@ def ingest_batch(
     date_from: str = "name",
     fingerprint_path: str | None = None,
     listing: DataFrame | None = None,
+    delimiter: str = ",",
+    audit_path: str | None = None,
+    environment: str = "dev",
 ) -> DataFrame:
     """Process new or not-yet-successful files of ``raw_path``.
 
@@ -68,7 +75,9 @@ def ingest_batch(
     files (default) or, for parity, of all discovered files
     (``limit_scope="discovered"``). ``listing`` (as of ``files.list_files``)
     restricts the run to its files. The folder is listed once, or not at all
-    with ``listing``. Returns one result row per processed file.
+    with ``listing``. Files are read by splits (``sources.splits``), fields divided by ``delimiter``.
+    With ``audit_path`` the run audit (A10), the rejection audit (A11) and the
+    reconciliation by content (A12, from the written tables) are appended below it. Returns one result row per processed file.
     """
     run_id = run_id or str(uuid.uuid4())
     t0 = now
@@ -81,10 +90,11 @@ def ingest_batch(
     # length and modification time): only new or rewritten files are read.
     fp_path = fingerprint_path or f"{state_path.rstrip('/')}_fingerprints"
     cache = spark.read.parquet(fp_path) if writers.path_exists(spark, fp_path) else None
-    fp = cut_lineage(fingerprint(spark, raw_path, files=files, cache=cache), "fingerprints")
-    fp_keys = ["source_uri", "length", "modification_time"]
-    new_fp = fp if cache is None else fp.join(cache.select(*fp_keys), on=fp_keys, how="left_anti")
-    new_fp.write.mode("append").parquet(fp_path)
+    fp = cut_lineage(fingerprint(spark, raw_path, files=files, cache=cache, delimiter=delimiter), "fingerprints")
+    fp_keys = ["source_uri", "length", "modification_time", "delimiter"]
+    current_layout = cache is not None and set(fp.columns) <= set(cache.columns)
+    new_fp = fp.join(cache.select(*fp_keys), on=fp_keys, how="left_anti") if current_layout else fp
+    new_fp.write.mode("append" if current_layout else "overwrite").parquet(fp_path)
     cand = files.join(fp.drop("length", "modification_time"), on="source_uri", how="inner").withColumn("provider_id", F.lit(provider_id))
     log = load_state(spark, state_path)
     decided = st.pending(cand, log)
@@ -94,7 +104,7 @@ def ingest_batch(
     # The batch's file list is small metadata; fix it once for every later step.
     todo = cut_lineage(
         todo.select(
-            "provider_id", "source_uri", "source_file", "source_date", "source_checksum", "header", "physical_records", "length",
+            "provider_id", "source_uri", "source_file", "source_date", "source_checksum", "header", "physical_records", "length", "records", "splits",
         )
     )
 
@@ -105,7 +115,8 @@ def ingest_batch(
 
     try:
         return _process(
-            spark, todo, bronze_path, quarantine_path, state_path, provider_id, run_id, level=level, now=t1
+            spark, todo, bronze_path, quarantine_path, state_path, provider_id, run_id, level=level, now=t1, delimiter=delimiter,
+            audit_path=audit_path, environment=environment, started=t0,
         )
     except Exception as error:
         # M3: the files of the run that have no verdict yet are FAILED, with the error's text.
@@ -127,6 +138,10 @@ def _process(
     run_id: str,
     level: str,
     now: _dt.datetime | None,
+    delimiter: str = ",",
+    audit_path: str | None = None,
+    environment: str = "dev",
+    started: _dt.datetime | None = None,
 ) -> DataFrame:
     """The files of a batch from their header verdicts to their final state."""
     # File-level verdicts: header (V1/V3), empty file.
@@ -134,15 +149,20 @@ def _process(
     verdicts = hv.select(
         "source_uri",
         "header",
+        "splits",
         (F.col("file_valid") & (F.col("length") > 0)).alias("header_ok"),
         F.when(F.col("length") == 0, F.lit("empty file"))
         .otherwise(F.col("file_error"))
         .alias("header_error"),
     )
     readable = verdicts.filter(F.col("header_ok"))
-    lines = read_lines(spark, readable)
+    lines = read_lines(spark, readable, delimiter=delimiter)
     flagged = rules.flag(rules.coerce(lines))
     flagged = flagged.join(todo.select("source_uri", "source_file", "source_date"), on="source_uri", how="inner")
+    scanned = ObservedContent()
+    if audit_path is not None:
+        flagged = scanned.on(flagged, RAW_COLUMNS)
+    begun = started or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     flagged = cut_lineage(flagged, "flagged")
 
     # Rows with extra fields fail their whole file (as the reference's reader does).
@@ -193,6 +213,9 @@ def _process(
         lambda: writers.write_quarantine_files(spark, failed, quarantine_path),
     )
 
+    if audit_path is not None:
+        _write_audits(spark, audit_path, flagged, scanned, kept, verdict, todo, bronze_path, quarantine_path, provider_id, run_id, environment, begun, now)
+
     # M2/M3: final state per file.
     final = verdict.select(
         *[F.lit(provider_id).alias("provider_id")],
@@ -223,6 +246,80 @@ def _process(
     return results
 
 
+#: Types of the written lines, as the content of a row is taken.
+_TYPED = ", ".join(f"{c} {silver.SILVER_TYPES[c].simpleString() if c not in ('Quantity',) else 'double'}" for c in RAW_COLUMNS)
+_SIDE = ["source_date", "source_file", "side"]
+
+
+def written_contents(spark: SparkSession, bronze_path: str, quarantine_path: str, files: DataFrame) -> DataFrame:
+    """Rows and content per (source_date, source_file, side) that bronze and quarantine hold of ``files``, read back from them."""
+    names = [(r["source_date"], r["source_file"]) for r in files.select("source_date", "source_file").collect()]
+    dates, wanted = sorted({d for d, _ in names}), sorted({f for _, f in names})
+    out = None
+    quarantine = f"{quarantine_path.rstrip('/')}/rows"
+    for side, root, lead in (("valid", bronze_path, ""), ("rejected", quarantine, "record_number bigint, record_identifier string, rejection_reason string, ")):
+        if not writers.path_exists(spark, root):
+            continue
+        rows = (
+            spark.read.schema(f"{lead}{_TYPED}, source_date date, source_file string")
+            .option("header", "true")
+            .option("escape", '"')
+            .option("multiLine", "true")
+            .option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
+            .csv(root)
+            # Partition columns: other dates and files are not read.
+            .where(F.col("source_date").isin(dates) & F.col("source_file").isin(wanted))
+            .withColumn("side", F.lit(side))
+        )
+        got = contents(rows, RAW_COLUMNS, _SIDE)
+        out = got if out is None else out.unionByName(got)
+    if out is None:
+        return spark.createDataFrame([], "source_date date, source_file string, side string, rows bigint, content decimal(20,0)")
+    return out
+
+
+def _write_audits(
+    spark, audit_path, flagged, scanned, kept, verdict, todo, bronze_path, quarantine_path, provider_id, run_id, environment, begun, now
+) -> None:
+    """A10-A12 of a batch, appended: what was read against what the written tables hold."""
+    at = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    root = audit_path.rstrip("/")
+    good = verdict.filter(F.col("file_valid")).select("source_uri", "source_date", "source_file")
+    sided = kept.withColumn("side", F.when(F.col(rules.REASON_COL) == "", F.lit("valid")).otherwise(F.lit("rejected")))
+    read = cut_lineage(contents(sided, RAW_COLUMNS, _SIDE), "read-contents")
+    written = cut_lineage(written_contents(spark, bronze_path, quarantine_path, good), "written-contents")
+    compared = compare_contents(read, written, _SIDE)
+    # The pass that read the files against the staged rows that all else comes from.
+    rows, content = scanned.result()
+    scan = spark.createDataFrame([("scan", rows, Decimal(content))], "side string, rows bigint, content decimal(20,0)")
+    staged = contents(flagged, RAW_COLUMNS).withColumn("side", F.lit("scan"))
+    whole = compare_contents(scan, staged, ["side"]).select(
+        F.lit(None).cast("date").alias("source_date"), F.lit(None).cast("string").alias("source_file"), "side", "expected_rows", "actual_rows", "difference", "reconciliation_status"
+    )
+    compared = cut_lineage(compared.unionByName(whole).withColumn("run_id", F.lit(run_id)), "compared")
+    compared.where("side <> 'scan' OR difference IS NOT NULL").write.mode("append").parquet(f"{root}/content")
+
+    def sides(df: DataFrame, valid: str, rejected: str) -> DataFrame:
+        pick = lambda s: F.coalesce(F.sum(F.when(F.col("side") == s, F.col("rows"))), F.lit(0))
+        return df.agg(pick("valid").alias(valid), pick("rejected").alias(rejected))
+
+    # Records counted in the files' bytes; rows as parsed; rows as written.
+    records = todo.join(good.select("source_uri"), "source_uri", "left_semi").agg(F.coalesce(F.sum("records"), F.lit(0)).alias("source_count"))
+    counts = attach_row(attach_row(records, sides(read, "valid_read", "rejected_read")), sides(written, "target_count", "rejected_count"))
+    counts = counts.withColumn("read_count", F.col("valid_read") + F.col("rejected_read")).withColumn("valid_count", F.col("valid_read"))
+    reconcile_run(compared, counts, run_id, provider_id, at).write.mode("append").parquet(f"{root}/reconciliation")
+
+    valid, rejected = rules.split(kept)
+    audit.rejection_audit(rejected, run_id, provider_id, environment, at).write.mode("append").parquet(f"{root}/rejections")
+    results = verdict.select(
+        *[F.when(F.col("file_valid"), F.coalesce(c, F.lit(0))).otherwise(0).alias(c) for c in ("total_records", "valid_records", "rejected_records")],
+        F.when(F.col("file_valid"), F.lit(st.SUCCESS)).otherwise(F.lit(st.FILE_VALIDATION_FAILED)).alias("status"),
+    )
+    # Silver is written by a later job.
+    totals = audit.run_counts(results, valid, valid.limit(0)).withColumn("silver_record_count", F.lit(None).cast("bigint"))
+    audit.run_audit(totals, run_id, "raw_to_bronze", environment, provider_id, begun, at, at).write.mode("append").parquet(f"{root}/runs")
+
+
 def bronze_to_silver(
     spark: SparkSession,
     bronze_path: str,
@@ -243,6 +340,12 @@ def bronze_to_silver(
     (of ``provider_id``, if given) the newest. ``dates`` (YYYY-MM-DD) restricts
     the run to these bronze partitions; others are not read. Counts come from
     observations on the same pass as the write.
+
+    Silver is replaced by file (``sinks.silver_files``): a file's old rows go
+    from whatever dates they are in, rows of a date outside the batch are merged
+    beside the other files' rows there. ``overwrite="partition"`` takes the batch as all
+    files of its days, "merge" leaves the days' other files alone; without
+    ``guard`` every date that a row has is replaced whole.
     """
     root = bronze_path.rstrip("/")
     inputs = [bronze_path] if dates is None else [f"{root}/source_date={d}" for d in dates]
@@ -269,9 +372,20 @@ def bronze_to_silver(
     out = silver.to_silver(
         bronze, pipeline_run_id=run_id, processed_at=processed_at, dedup_mode=dedup_mode, counts=counts
     )
-    batch_dates = bronze.select("source_date").distinct() if guard else None
-    writers.write_silver(out, silver_path, batch_dates=batch_dates, overwrite=overwrite)
-    return counts.result()
+    if not guard and overwrite == "partition":
+        writers.write_silver(out, silver_path)
+        return counts.result()
+    # The batch's files: those in bronze, and those whose delivery succeeded without a valid row.
+    in_bronze = list_files(spark, bronze_path).select(
+        F.url_decode(F.regexp_extract("path", r"source_file=([^/]+)", 1)).alias("SourceFile"),
+        F.to_date(F.regexp_extract("path", r"source_date=([^/]+)", 1)).alias("FileDate"),
+    )
+    if state_path is not None:
+        in_bronze = in_bronze.unionByName(cur.select(F.col("source_file").alias("SourceFile"), F.col("source_date").alias("FileDate")))
+    if dates is not None:
+        in_bronze = in_bronze.where(F.col("FileDate").isin([_dt.date.fromisoformat(d) for d in dates]))
+    merged = merge_by_file(out, silver_path, in_bronze, keep_other_files=overwrite == "merge")
+    return counts.result() | ({"stray_count": merged["stray_rows"]} if merged["stray_rows"] else {})
 
 
 def prepare_source(spark: SparkSession, source: DataFrame, out_dir: str, provider_id: str = "provider_retail") -> DataFrame:
@@ -370,10 +484,10 @@ def ingest_feeds(
     """S10 + W9: run the batch intake for every active feed of a DataConfig table.
 
     The config has one row per feed (collected as configuration); each feed's
-    files are one batch job. Results of all feeds come back as one DataFrame
+    files are one batch job, read with the feed's delimiter. Results of all feeds come back as one DataFrame
     with ``provider_id``.
     """
-    from strata.sources.config import active_feeds
+    from strata.sources.config import active_feeds, reader_options
 
     out = None
     for feed in active_feeds(config).collect():
@@ -387,6 +501,7 @@ def ingest_feeds(
             run_id=run_id,
             limit=limit,
             now=now,
+            delimiter=reader_options(feed)["sep"],
         ).withColumn("provider_id", F.lit(feed["provider_id"]))
         out = res if out is None else out.unionByName(res)
     if out is None:

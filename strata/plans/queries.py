@@ -29,6 +29,7 @@ from strata.operators import audit, rules, silver
 from strata.operators import incremental as inc
 from strata.operators import manifest as mf
 from strata.operators import state as st
+from strata.operators.content import compare_contents, contents
 from strata.plans.attach import attach_row
 from strata.plans.numbering import number_rows
 from strata.plans.retail import (
@@ -44,10 +45,10 @@ from strata.plans.retail import (
 from strata.schemas import FILE_STATE_KEYS, FILE_STATE_SCHEMA, RAW_COLUMNS, SILVER_CONTRACT
 from strata.plans.ingest import bronze_to_silver, ingest_batch, prepare_source, verify_source
 from strata.session import cut_lineage, scratch_path
-from strata.sinks.writers import write_bronze
+from strata.sinks.writers import write_bronze, write_manifest
 from strata.sources import contract
 from strata.sources.config import rule_config
-from strata.sources.files import discover, fingerprint
+from strata.sources.files import discover, fingerprint, read_manifest
 from strata.streaming.stream import dedup_stream, ingest_stream, run_available_now
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -682,11 +683,13 @@ def q_lookback_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------ ingestion runs (one state row per user)
 
-USER_STATE_SQL = """
+_FIRST_HALF = " WHERE event_id <= (SELECT max(event_id) / 2 FROM events)"
+
+USER_STATE_SQL = f"""
 ulatest AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
-    FROM events WHERE event_id <= (SELECT max(event_id) / 2 FROM events)) WHERE rn = 1
+    FROM events{_FIRST_HALF}) WHERE rn = 1
 ),
 ustate AS (
   SELECT 'user_' || CAST(user_id AS VARCHAR) AS provider_id, 'SILVER' AS layer,
@@ -707,9 +710,10 @@ started AS (
 )""".replace("NOW_TS", PROCESSED_AT_SQL)
 
 
-def user_state(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def user_state(spark: SparkSession, sf_dir: str, halves: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(state rows from the first half of the events, the second half); without ``halves`` the state is of all events."""
     events = events_ts(spark, sf_dir)
-    first, second = split_halves(events)
+    first, second = split_halves(events) if halves else (events, events)
     last = st.latest(first.select("event_id", "ts", "user_id", "event_type"), keys=["user_id"], order=["ts", "event_id"])
     et = F.col("event_type")
     state = last.select(
@@ -728,16 +732,16 @@ def user_state(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return state, second
 
 
-def started_runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    state, second = user_state(spark, sf_dir)
+def started_runs(spark: SparkSession, sf_dir: str, halves: bool = True) -> tuple[DataFrame, DataFrame]:
+    state, second = user_state(spark, sf_dir, halves)
     requests = state.select("provider_id", "layer", F.concat(F.lit("run-next-"), F.substring("provider_id", 6, 64)).alias("run_id"))
     return st.start_runs(state, requests, now=PROCESSED_AT), second
 
 
-@register("run_lock_transition", with_ctes(USER_STATE_SQL) + "\nSELECT * FROM started")
+@register("run_lock_transition", with_ctes(USER_STATE_SQL.replace(_FIRST_HALF, "")) + "\nSELECT * FROM started")
 def q_run_lock_transition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M4: start a run per provider; rows already RUNNING keep their run (no lock)."""
-    started, _ = started_runs(spark, sf_dir)
+    """M4: start a run per provider, with states from all events; rows already RUNNING keep their run (no lock)."""
+    started, _ = started_runs(spark, sf_dir, halves=False)
     return started
 
 
@@ -1202,6 +1206,102 @@ def q_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.reconcile(counts, RUN_ID, PROVIDER_ID, PROCESSED_AT)
 
 
+# ---- fixed values: faults of the delivered copy in the content reconciliation, by the invoice's number ----
+LOST_MOD, DOUBLED_MOD, ALTERED_MOD = 1009, 1013, 1019
+
+_INVOICE_NUMBER_SQL = "TRY_CAST(regexp_extract(InvoiceNo, '([0-9]+)', 1) AS BIGINT)"
+
+
+def delivered_lines(valid: DataFrame) -> DataFrame:
+    """The valid lines as a faulty writer delivers them: some lost, some twice, some altered."""
+    number = F.regexp_extract("InvoiceNo", "([0-9]+)", 1).try_cast("bigint")
+    is_fault = lambda mod: F.coalesce(number % mod == 0, F.lit(False))
+    lost, doubled, altered = is_fault(LOST_MOD), is_fault(DOUBLED_MOD), is_fault(ALTERED_MOD)
+    copies = F.when(lost, 0).when(doubled, 2).otherwise(1)
+    out = valid.withColumn("Description", F.when(altered, F.concat(F.lit("altered "), F.coalesce("Description", F.lit("")))).otherwise(F.col("Description")))
+    return out.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies))).drop("_copy")
+
+
+@register(
+    "content_reconciliation",
+    with_ctes(
+        RETAIL_LINES_SQL,
+        FLAGGED_SQL,
+        f"""
+faults AS (
+  SELECT source_file, coalesce({_INVOICE_NUMBER_SQL} % {LOST_MOD} = 0, false) AS lost,
+         coalesce({_INVOICE_NUMBER_SQL} % {DOUBLED_MOD} = 0, false) AS doubled,
+         coalesce({_INVOICE_NUMBER_SQL} % {ALTERED_MOD} = 0, false) AS altered
+  FROM valid_lines
+),
+per_file AS (
+  SELECT source_file, count(*) AS expected_rows,
+         CAST(sum(CASE WHEN lost THEN 0 WHEN doubled THEN 2 ELSE 1 END) AS BIGINT) AS actual_rows,
+         count_if(lost OR doubled OR altered) AS faults
+  FROM faults GROUP BY source_file
+)""",
+    )
+    + """
+SELECT source_file, expected_rows, actual_rows,
+       CASE WHEN actual_rows < expected_rows THEN 'rows lost' WHEN actual_rows > expected_rows THEN 'rows added'
+            WHEN faults > 0 THEN 'rows altered' END AS difference,
+       CASE WHEN faults = 0 THEN 'RECONCILED' ELSE 'NOT_RECONCILED' END AS reconciliation_status
+FROM per_file""",
+)
+def q_content_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A12 by content: the valid lines of every file against a written copy with lost,
+    doubled and altered rows, read back from its table; one verdict a file."""
+    valid, _ = valid_and_rejected(spark, sf_dir)
+    written = cut_lineage(delivered_lines(valid), "delivered")
+    by = ["source_file"]
+    return compare_contents(contents(valid, RAW_COLUMNS, by), contents(written, RAW_COLUMNS, by), by)
+
+
+_DAY_SQL = "date_diff('day', DATE '1970-01-01', CAST(source_date AS DATE))"
+
+
+@register(
+    "manifest_file",
+    with_ctes(
+        DAILY_SQL,
+        f"""
+listed AS (
+  SELECT 'as counted' AS manifest, relative_path, record_count FROM daily
+  UNION ALL
+  SELECT 'off', relative_path, record_count + CASE WHEN {_DAY_SQL} % {MANIFEST_COUNT_OFF_MOD} = 0 THEN 1 ELSE 0 END
+  FROM daily WHERE {_DAY_SQL} % {MANIFEST_DROP_MOD} <> 0
+),
+there AS (SELECT m.manifest, d.relative_path, d.record_count FROM daily d CROSS JOIN (SELECT DISTINCT manifest FROM listed) m),
+checked AS (
+  SELECT coalesce(l.manifest, t.manifest) AS manifest, l.record_count AS expected, t.record_count AS actual
+  FROM listed l FULL OUTER JOIN there t ON l.manifest = t.manifest AND l.relative_path = t.relative_path
+)""",
+    )
+    + """
+SELECT manifest, CAST(count(expected) AS BIGINT) AS listed_files, CAST(count(actual) AS BIGINT) AS present_files,
+       CAST(coalesce(sum(expected), 0) AS BIGINT) AS manifest_records, CAST(coalesce(sum(actual), 0) AS BIGINT) AS counted_records,
+       CAST(count_if(expected IS NULL OR actual IS NULL OR expected <> actual) AS BIGINT) AS failed_files,
+       coalesce(sum(expected), 0) = coalesce(sum(actual), 0) AND count_if(expected IS NULL OR actual IS NULL OR expected <> actual) = 0 AS reconciled
+FROM checked GROUP BY manifest""",
+)
+def q_manifest_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two manifests written as files and read back, one as counted and one
+    with counts off and files left out; each totalled against the records counted."""
+    daily = cut_lineage(daily_plan(spark, sf_dir), "daily")
+    day = F.unix_date(F.to_date("source_date"))
+    off = daily.where(day % MANIFEST_DROP_MOD != 0).withColumn(
+        "record_count", F.col("record_count") + F.when(day % MANIFEST_COUNT_OFF_MOD == 0, 1).otherwise(0)
+    )
+    out = None
+    for name, manifest in (("as counted", daily), ("off", off)):
+        path = scratch_path(spark, "manifest")
+        write_manifest(manifest.withColumn("sha256", F.lit(None).cast("string")), path)
+        checked = mf.verify_manifest(read_manifest(spark, path), daily.select("relative_path", "record_count"))
+        total = mf.manifest_reconciliation(checked).select(F.lit(name).alias("manifest"), "*")
+        out = total if out is None else out.unionByName(total)
+    return out
+
+
 # ------------------------------------------------------------ file round trips (rows-only checks)
 #
 # These stage files derived from the tables below the shared checkpoint folder

@@ -114,9 +114,9 @@ def write_silver(
     (parity). With ``batch_dates`` (one ``source_date`` per file of the batch)
     it first checks that every touched date belongs to the batch, so a stray
     row of another day cannot wipe that day (SURVEY §8.9).
-    ``overwrite="merge"`` keeps rows of other files in touched dates: the
-    touched dates are read back, rows of this batch's SourceFiles replaced,
-    and the result staged in the checkpoint folder before the swap.
+    ``overwrite="merge"`` replaces this batch's SourceFiles by
+    ``silver_files.merge_by_file``: their old rows go from every date, rows of
+    other files stay, and no row stops the run.
     """
     if batch_dates is not None and overwrite == "partition":
         # In-plan guard: a row whose date is not a date of the batch fails the
@@ -128,18 +128,14 @@ def write_silver(
             F.raise_error(F.concat(F.lit("silver row of a date outside the batch: "), F.col("SourceDate").cast("string"))),
         ).otherwise(F.lit(True))
         silver = checked.filter(ok).select(*silver.columns)
-    if overwrite == "merge" and path_exists(silver.sparkSession, silver_path):
-        from strata.session import scratch_path
-
-        spark = silver.sparkSession
-        existing = spark.read.parquet(silver_path)
-        dates = silver.select("SourceDate").distinct()
-        files = silver.select("SourceFile").distinct()
-        keep = existing.join(dates, on="SourceDate", how="left_semi").join(files, on="SourceFile", how="left_anti")
-        merged = keep.select(*silver.columns).unionByName(silver)
-        stage = scratch_path(spark, "silver-merge")
-        merged.write.mode("overwrite").partitionBy("SourceDate").parquet(stage)
-        silver = spark.read.parquet(stage).select(*silver.columns)
+    if overwrite == "merge":
+        from strata.session import cut_lineage
+        from strata.sinks.silver_files import merge_by_file
+
+        silver = cut_lineage(silver, "silver")
+        files = silver.select("SourceFile", F.lit(None).cast("date").alias("FileDate")).distinct()
+        merge_by_file(silver, silver_path, files, keep_other_files=True)
+        return
     (
         silver.hint("rebalance", "SourceDate")
         .write.mode("overwrite")

@@ -26,6 +26,7 @@ from strata.functions.expr import PANDAS_NULL_TOKENS, file_name, null_tokens, so
 from strata.plans.numbering import number_in_scan_order
 from strata.schemas import RAW_COLUMNS
 from strata.session import ship_package
+from strata.sources.splits import SPLIT_BYTES, SPLITS_DDL, SplitScan, split_records
 
 # ---- fixed values: file filters of discovery ----
 CSV_GLOB = "*.[cC][sS][vV]"
@@ -94,20 +95,34 @@ def discover(
     return out.filter(F.col("source_date").isNotNull()).orderBy("source_date", "source_file", "source_uri")
 
 
-FINGERPRINT_COLUMNS = ["source_uri", "length", "modification_time", "source_checksum", "physical_records", "header"]
+FINGERPRINT_COLUMNS = ["source_uri", "length", "modification_time", "source_checksum", "physical_records", "header", "delimiter", "records", "splits"]
 
 
-def open_file(path: str):
-    """A readable byte stream of a file that Spark listed, opened on an executor by its file system."""
+def file_system(path: str):
+    """(file system, path in it) of a file that Spark listed, for opening it on an executor."""
     from pyarrow import fs
 
     scheme, colon, rest = path.partition(":")
     if not colon or scheme == "file":
         local = rest if colon else path
-        return fs.LocalFileSystem().open_input_stream("/" + local.lstrip("/"))
+        return fs.LocalFileSystem(), "/" + local.lstrip("/")
     authority, _, inner = rest.removeprefix("//").partition("/")
     store, base = fs.FileSystem.from_uri(f"{scheme.replace('s3a', 's3')}://{authority}/")
-    return store.open_input_stream(f"{base.rstrip('/')}/{inner}")
+    return store, f"{base.rstrip('/')}/{inner}"
+
+
+def open_file(path: str):
+    """A readable byte stream of a file."""
+    store, inner = file_system(path)
+    return store.open_input_stream(inner)
+
+
+def read_range(path: str, start: int, end: int) -> bytes:
+    """The bytes [start, end) of a file."""
+    store, inner = file_system(path)
+    with store.open_input_file(inner) as f:
+        f.seek(start)
+        return f.read(end - start)
 
 
 def file_chunks(path: str, size: int = CHUNK_BYTES) -> Iterator[bytes]:
@@ -116,36 +131,58 @@ def file_chunks(path: str, size: int = CHUNK_BYTES) -> Iterator[bytes]:
             yield chunk
 
 
-def describe_file(path: str, size: int = CHUNK_BYTES) -> tuple[str, int, list[str] | None]:
-    """(sha256, physical records, header names) of a file in one pass over its chunks."""
+def scan_file(
+    path: str, size: int = CHUNK_BYTES, delimiter: str = ",", split_bytes: int = SPLIT_BYTES
+) -> tuple[str, int, list[str] | None, int, list[tuple[int, int, int]]]:
+    """(sha256, physical records, header names, records, splits) of a file in one pass over its chunks."""
     digest, newlines, last, head, open_head = hashlib.sha256(), 0, b"", [], True
+    scan = SplitScan(delimiter, split_bytes)
     for chunk in file_chunks(path, size):
         digest.update(chunk)
+        scan.feed(chunk)
         newlines += chunk.count(b"\n")
         last = chunk[-1:]
         if open_head:
             line, end, _ = chunk.partition(b"\n")
             head.append(line)
             open_head = not end
+    scan.feed(b"", last=True)
     lines = newlines + (1 if last and last != b"\n" else 0)
     text = b"".join(head).decode("utf-8", "replace").removeprefix("\ufeff").removesuffix("\r")
-    names = [n.strip() for n in next(csv.reader([text], skipinitialspace=True), [])] if text else None
-    return digest.hexdigest(), max(lines - 1, 0), names
-
-
-def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        paths = batch.column("source_uri").to_pylist()
-        found = [describe_file(p) for p in paths]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(paths, pa.string()),
-                pa.array([f[0] for f in found], pa.string()),
-                pa.array([f[1] for f in found], pa.int64()),
-                pa.array([f[2] for f in found], pa.list_(pa.string())),
-            ],
-            names=["source_uri", "source_checksum", "physical_records", "header"],
-        )
+    names = [n.strip() for n in next(csv.reader([text], skipinitialspace=True, delimiter=delimiter), [])] if text else None
+    return digest.hexdigest(), max(lines - 1, 0), names, scan.records(), scan.splits()
+
+
+def describe_file(path: str, size: int = CHUNK_BYTES, delimiter: str = ",") -> tuple[str, int, list[str] | None]:
+    """(sha256, physical records, header names) of a file in one pass over its chunks."""
+    return scan_file(path, size, delimiter)[:3]
+
+
+_DESCRIBED = f"source_uri string, source_checksum string, physical_records bigint, header array<string>, delimiter string, records bigint, splits {SPLITS_DDL}"
+
+
+def _describe(delimiter: str, split_bytes: int):
+    split_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("first_record", pa.int64())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths = batch.column("source_uri").to_pylist()
+            found = [scan_file(p, delimiter=delimiter, split_bytes=split_bytes) for p in paths]
+            splits = [[{"start": a, "end": b, "first_record": n} for a, b, n in f[4]] for f in found]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(paths, pa.string()),
+                    pa.array([f[0] for f in found], pa.string()),
+                    pa.array([f[1] for f in found], pa.int64()),
+                    pa.array([f[2] for f in found], pa.list_(pa.string())),
+                    pa.array([delimiter] * len(paths), pa.string()),
+                    pa.array([f[3] for f in found], pa.int64()),
+                    pa.array(splits, split_type),
+                ],
+                names=["source_uri", "source_checksum", "physical_records", "header", "delimiter", "records", "splits"],
+            )
+
+    return run
 
 
 def spread(files: DataFrame) -> DataFrame:
@@ -159,12 +196,17 @@ def fingerprint(
     raw_path: str,
     files: DataFrame | None = None,
     cache: DataFrame | None = None,
+    delimiter: str = ",",
+    split_bytes: int | None = None,
 ) -> DataFrame:
-    """F1/F2 + header line per file.
+    """F1/F2 + header line and splits per file.
 
     sha256 of the bytes (lower hex), byte length, physical record count (lines - 1,
     at least 0, as the reference counts), and the header as an array of names
     (byte-order mark and a trailing CR removed, surrounding quotes stripped).
+    ``splits`` are byte ranges of whole records with their first record's number
+    (``sources.splits``), found in the same pass, as are the ``records`` (quoted
+    line breaks end none, blank lines are none).
 
     Only files that need it are read: ``files`` (as of ``discover``) restricts the set
     and saves listing the folder, and a
@@ -180,13 +222,12 @@ def fingerprint(
             F.col("path").alias("source_uri"), "length", F.col("modificationTime").alias("modification_time")
         )
     reused = None
-    if cache is not None:
-        known = cache.select(*FINGERPRINT_COLUMNS)
+    # A cache of an earlier layout has no splits; those files are read once more.
+    if cache is not None and set(FINGERPRINT_COLUMNS) <= set(cache.columns):
+        known = cache.select(*FINGERPRINT_COLUMNS).where(F.col("delimiter") == delimiter)
         reused = known.join(listing, on=["source_uri", "length", "modification_time"], how="left_semi")
         listing = listing.join(known, on=["source_uri", "length", "modification_time"], how="left_anti")
-    described = spread(listing.select("source_uri")).mapInArrow(
-        _describe, "source_uri string, source_checksum string, physical_records bigint, header array<string>"
-    )
+    described = spread(listing.select("source_uri")).mapInArrow(_describe(delimiter, split_bytes or SPLIT_BYTES), _DESCRIBED)
     fresh = listing.join(described, on="source_uri").select(*FINGERPRINT_COLUMNS)
     return fresh if reused is None else fresh.unionByName(reused)
 
@@ -240,25 +281,56 @@ def read_group(
     )
 
 
+def read_split_group(
+    files: DataFrame,
+    header: Sequence[str],
+    contract: Sequence[str] = RAW_COLUMNS,
+    tokens: Sequence[str] | None = PANDAS_NULL_TOKENS,
+    delimiter: str = ",",
+    tasks: int | None = None,
+) -> DataFrame:
+    """S4-S6 by splits, for files sharing one header (``source_uri``, ``splits``).
+
+    The records are cut by their tasks and parsed by Spark's own CSV parser, one
+    record at a time, so quoted line breaks and doubled quotes read as in a
+    sequential read. Columns and flags are those of ``read_group``; record
+    numbers come with the splits, without a second scan or a join.
+    """
+    records = split_records(files, delimiter, tasks)
+    wide = ", ".join(f"c{i} string" for i in range(len(header) + 1))
+    parsed = F.from_csv(F.col("record"), wide, {"escape": '"', "sep": delimiter})
+    rows = records.select("source_uri", (F.col("record_index") + 2).alias("record_number"), F.inline(F.array(parsed)))
+    cols = []
+    for c in contract:
+        v = F.col(f"c{list(header).index(c)}") if c in header else F.lit(None).cast("string")
+        cols.append((null_tokens(v, tokens) if tokens else v).alias(c))
+    return rows.select("source_uri", "record_number", *cols, F.col(f"c{len(header)}").isNotNull().alias("extra_fields"))
+
+
 def read_lines(
     spark: SparkSession,
     files: DataFrame,
     contract: Sequence[str] = RAW_COLUMNS,
     multiline: bool = True,
     tokens: Sequence[str] | None = PANDAS_NULL_TOKENS,
+    delimiter: str = ",",
 ) -> DataFrame:
     """Read many files with possibly different headers: one read per distinct header.
 
-    ``files`` has ``source_uri`` and ``header`` (array). Only the file list and the
-    distinct headers reach the driver (metadata, not rows); the rows are unioned
-    by name in contract order.
+    ``files`` has ``source_uri``, ``header`` (array) and, as ``fingerprint`` gives
+    them, ``splits``. Only the distinct headers reach the driver (metadata, not
+    rows). Without splits whole files are scanned by Spark's CSV source, and
+    their list reaches the driver too. The rows are unioned by name in contract order.
     """
-    groups: dict[tuple, list[str]] = {}
-    for row in files.select("source_uri", "header").collect():
-        groups.setdefault(tuple(row["header"] or ()), []).append(row["source_uri"])
-    frames = [
-        read_group(spark, paths, list(header), contract, multiline, tokens) for header, paths in groups.items() if header
-    ]
+    if "splits" in files.columns:
+        headers = [tuple(r["header"]) for r in files.select("header").distinct().collect() if r["header"]]
+        same = F.concat_ws("\x00", "header")
+        frames = [read_split_group(files.where(same == "\x00".join(h)), h, contract, tokens, delimiter) for h in sorted(headers)]
+    else:
+        groups: dict[tuple, list[str]] = {}
+        for row in files.select("source_uri", "header").collect():
+            groups.setdefault(tuple(row["header"] or ()), []).append(row["source_uri"])
+        frames = [read_group(spark, paths, list(header), contract, multiline, tokens) for header, paths in groups.items() if header]
     if not frames:
         schema = "source_uri string, record_number bigint, " + ", ".join(f"{c} string" for c in contract) + ", extra_fields boolean"
         return spark.createDataFrame([], schema)
