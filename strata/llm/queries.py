@@ -104,8 +104,7 @@ def op11_bit_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_speculative_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary_path("byte_bpe_50k.json")
-    encoded = speculative_bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), path)
-    both = speculative_bpe.decode(encoded, path)
+    both = speculative_bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), path, decoded="decoded")
     n_tokens = (F.octet_length("ids") / 4).cast("long")
     return both.select("doc_id", n_tokens.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

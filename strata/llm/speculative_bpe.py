@@ -32,31 +32,54 @@ from strata.llm.common import text_chunks
 from strata.llm.tokens import _PLAIN, _SEPARATORS, _SYMBOLS, Encoder
 
 _BYTES = {c: b for b, c in _SYMBOLS.items()}
-_NEVER = np.int64(1) << 40
+_NEVER_INT = 1 << 40
+_NEVER = np.int64(_NEVER_INT)
+
+
+def _read(path: str) -> tuple[dict, dict[str, int], list[bytes]]:
+    """(file, vocabulary, bytes of each id)."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    vocabulary = spec["model"]["vocab"]
+    special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+    tokens = [b""] * (max([*vocabulary.values(), *special.values()]) + 1)
+    for token, i in vocabulary.items():
+        tokens[i] = bytes(_BYTES[c] for c in token)
+    for token, i in special.items():
+        tokens[i] = token.encode()
+    return spec, vocabulary, tokens
+
+
+class Decoder:
+    """The bytes that ids stand for."""
+
+    def __init__(self, path: str):
+        tokens = _read(path)[2]
+        self._length = np.array([len(t) for t in tokens], dtype=np.int64)
+        self._start = np.cumsum(self._length) - self._length
+        self._flat = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        lengths = self._length[ids]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        return self._flat[np.repeat(self._start[ids] - (ends - lengths), lengths) + np.arange(total)].tobytes()
 
 
 class Merges:
     """Vocabulary and merges of a byte-level tokenizer file as arrays."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        vocabulary: dict[str, int] = spec["model"]["vocab"]
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        size = max([*vocabulary.values(), *self.special.values()]) + 1
-        #: Bytes of each id.
-        self.tokens: list[bytes] = [b""] * size
-        for token, i in vocabulary.items():
-            self.tokens[i] = bytes(_BYTES[c] for c in token)
-        for token, i in self.special.items():
-            self.tokens[i] = token.encode()
-        self.by_bytes = {self.tokens[i]: i for i in vocabulary.values()}
+        spec, vocabulary, self.tokens = _read(path)
+        size = len(self.tokens)
+        self._single = {self.tokens[i][0]: i for i in vocabulary.values() if len(self.tokens[i]) == 1}
+        self._of_byte = np.array([self._single[b] for b in range(256)], dtype=np.int64)
         pairs = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
         left = np.array([vocabulary[a] for a, _ in pairs], dtype=np.int64)
         right = np.array([vocabulary[b] for _, b in pairs], dtype=np.int64)
         made = np.array([vocabulary[a + b] for a, b in pairs], dtype=np.int64)
         self.rank_of = {(a, b): r for r, (a, b) in enumerate(zip(left.tolist(), right.tolist()))}
-        self.made = made.tolist()
+        self.made, self._made = made.tolist(), made
         key = (left << 32) | right
         order = np.argsort(key)
         self._keys, self._ranks = key[order], order.astype(np.int64)
@@ -76,27 +99,24 @@ class Merges:
         #: Ids that a text's merges can end in; a token with several rules that fails by its first is left to the merging.
         self.reached = reached
         self._build_trie(i for i in vocabulary.values() if reached[i])
-        lengths = np.array([len(t) for t in self.tokens], dtype=np.int64)
-        self._flat = np.frombuffer(b"".join(self.tokens), dtype=np.uint8)
-        self._length, self._start = lengths, np.cumsum(lengths) - lengths
 
     def _build_trie(self, ids) -> None:
-        children: list[dict[int, int]] = [{}]
-        token = [-1]
-        for i in ids:
-            node = 0
-            for b in self.tokens[i]:
-                after = children[node].get(b)
-                if after is None:
-                    after = children[node][b] = len(children)
-                    children.append({})
-                    token.append(-1)
-                node = after
-            token[node] = i
-        self._children, self._ends = children, token
-        edges = sorted((node * 256 + b, after) for node, c in enumerate(children) for b, after in c.items())
-        self._edge = np.array([e for e, _ in edges], dtype=np.int64)
-        self._after = np.array([a for _, a in edges], dtype=np.int64)
+        """Edges (node * 256 + byte) in order, the nodes they lead to, and the token that ends at each node."""
+        edges, token, path, last = [], [-1], [0], b""
+        for word, i in sorted((self.tokens[i], i) for i in ids):
+            common = 0
+            while common < min(len(word), len(last)) and word[common] == last[common]:
+                common += 1
+            del path[common + 1 :]
+            for b in word[common:]:
+                edges.append((path[-1] << 8) | b)
+                path.append(len(token))
+                token.append(-1)
+            token[path[-1]] = i
+            last = word
+        edge = np.array(edges, dtype=np.int64)
+        order = np.argsort(edge)
+        self._edge, self._after = edge[order], order + 1
         self._token = np.array(token, dtype=np.int64)
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -158,19 +178,18 @@ class Merges:
                 left = ~(stuck & (at >= stop))
                 word, at, stop, node, best, best_at = word[left], at[left], stop[left], node[left], best[left], best_at[left]
         # The few longest words, one at a time.
+        edges, after, tokens = self._edge, self._after, self._token
         for w, a, n, b, ba, e in zip(word.tolist(), at.tolist(), node.tolist(), best.tolist(), best_at.tolist(), stop.tolist()):
-            mine, data = [], flat[:e].tolist() if e < 4096 else None
-            offset = 0
-            if data is None:
-                offset = min(a, ba)
-                data = flat[offset:e].tolist()
+            mine = []
             while True:
-                after = self._children[n].get(data[a - offset]) if a < e else None
-                if after is not None:
-                    n, a = after, a + 1
-                    if self._ends[n] >= 0:
-                        b, ba = self._ends[n], a
-                    continue
+                if a < e:
+                    key = n * 256 + int(flat[a])
+                    edge = int(edges.searchsorted(key))
+                    if edge < len(edges) and edges[edge] == key:
+                        n, a = int(after[edge]), a + 1
+                        if tokens[n] >= 0:
+                            b, ba = int(tokens[n]), a
+                        continue
                 mine.append(b)
                 a, n = ba, 0
                 if a >= e:
@@ -195,7 +214,8 @@ class Merges:
 
     def merge(self, word: bytes) -> list[int]:
         """The ids of one word by its merges, in the order of ranks and from the left."""
-        ids = [self.by_bytes[word[i : i + 1]] for i in range(len(word))]
+        single = self._single
+        ids = [single[b] for b in word]
         n, rank_of = len(ids), self.rank_of
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := rank_of.get((ids[i], ids[i + 1]))) is not None]
@@ -216,29 +236,67 @@ class Merges:
                 heapq.heappush(heap, (q, h, ids[h], ids[i]))
         return [i for i in ids if i >= 0]
 
+    def merge_all(self, words: list[bytes]) -> list[list[int]]:
+        """``merge`` of many words: a round does the next merge of every word that has one."""
+        out: list[list[int]] = [[]] * len(words)
+        lengths = np.array([len(w) for w in words], dtype=np.int64)
+        for i in np.flatnonzero(lengths > 64).tolist():
+            out[i] = self.merge(words[i])
+        short = np.flatnonzero((lengths > 0) & (lengths <= 64))
+        ids = self._of_byte[np.frombuffer(b"".join(words[i] for i in short.tolist()), dtype=np.uint8)]
+        word = np.repeat(short, lengths[short])
+        rank = np.full(len(ids), _NEVER)  # of the pair that starts at each place
+        if len(ids) > 1:
+            rank[:-1] = np.where(word[1:] == word[:-1], self._rank(ids[:-1], ids[1:]), _NEVER)
+        done_ids, done_words = [], []
+        while len(ids):
+            start = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            width = np.diff(np.concatenate([start, [len(word)]]))
+            least = np.repeat(np.minimum.reduceat(rank, start), width)
+            open_ = least < _NEVER
+            done_ids.append(ids[~open_])
+            done_words.append(word[~open_])
+            ids, word, rank, least = ids[open_], word[open_], rank[open_], least[open_]
+            at = np.flatnonzero(rank == least)
+            if not len(at):
+                break
+            # The leftmost one of each word.
+            at = at[np.concatenate([[True], word[at[1:]] != word[at[:-1]]])]
+            ids[at] = self._made[rank[at]]
+            keep = np.ones(len(ids), dtype=bool)
+            keep[at + 1] = False
+            ids, word, rank = ids[keep], word[keep], rank[keep]
+            at = at - np.arange(len(at))
+            for left in (at, at[(at > 0) & (word[at - 1] == word[at])] - 1):
+                right = np.minimum(left + 1, len(ids) - 1)
+                joined = (left + 1 < len(ids)) & (word[right] == word[left])
+                rank[left] = np.where(joined, self._rank(ids[left], ids[right]), _NEVER)
+        if done_ids:
+            flat, owner = np.concatenate(done_ids), np.concatenate(done_words)
+            order = np.argsort(owner, kind="stable")
+            flat, counts = flat[order].tolist(), np.bincount(owner, minlength=len(words))
+            ends = np.cumsum(counts)
+            for i in short.tolist():
+                out[i] = flat[ends[i] - counts[i] : ends[i]]
+        return out
+
     def encode_words(self, words: list[bytes]) -> tuple[list[list[int]], int]:
         """The ids of distinct words, and how many of the proposals failed."""
         ids, counts = self.propose(words)
         failing = self.failing(ids, counts)
         ends = np.cumsum(counts).tolist()
-        flat, out, a = ids.tolist(), [], 0
-        for word, b, bad in zip(words, ends, failing.tolist()):
-            out.append(self.merge(word) if bad else flat[a:b])
-            a = b
-        return out, int(failing.sum())
-
-    def decode(self, ids: np.ndarray) -> bytes:
-        """The bytes that ids stand for."""
-        lengths = self._length[ids]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        return self._flat[np.repeat(self._start[ids] - (ends - lengths), lengths) + np.arange(total)].tobytes()
+        flat = ids.tolist()
+        out = [flat[a:b] for a, b in zip([0, *ends], ends)]
+        wrong = np.flatnonzero(failing).tolist()
+        for i, merged in zip(wrong, self.merge_all([words[i] for i in wrong])):
+            out[i] = merged
+        return out, len(wrong)
 
 
 class SpeculativeEncoder(Encoder):
     """Ids of texts by ``Merges``; the library only cuts unusual texts into words."""
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 400_000):
         self.merges = Merges(path)
         self.proposed = self.failed = 0
         super().__init__(path, "kept", limit)
@@ -304,40 +362,52 @@ def encoder(path: str) -> SpeculativeEncoder:
     return _ENCODERS[path]
 
 
-_MERGES: dict[str, Merges] = {}
+_DECODERS: dict[str, Decoder] = {}
 
 
-def _merges(path: str) -> Merges:
-    if path not in _MERGES:
-        _MERGES[path] = Merges(path)
-    return _MERGES[path]
+def decoder(path: str) -> Decoder:
+    """The worker's table of a vocabulary's bytes."""
+    if path not in _DECODERS:
+        _DECODERS[path] = Decoder(path)
+    return _DECODERS[path]
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def _text_of(table: Decoder, ids: bytes | None) -> str:
+    return table.decode(np.frombuffer(ids or b"", dtype="<u4").astype(np.int64)).decode("utf-8", "replace")
+
+
+def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
     """All columns but ``text``, and ``ids``: the ids of the whole text as little-endian unsigned 32-bit integers.
 
+    With ``decoded`` a column of that name holds the text that ``decode`` gives for the ids, from the same task.
+
     Equal to the tokenizers library's ``encode(text, add_special_tokens=False)``:
     special tokens' strings in a text are special tokens.  Null and empty texts
     have no ids; repeated rows are rows of their own; an empty table gives an
     empty result; a text of any length is encoded whole.  A column that has the
     name of ``ids`` already is replaced.
     """
-    keep = [f for f in docs.schema.fields if f.name not in (text, ids)]
+    keep = [f for f in docs.schema.fields if f.name not in (text, ids, decoded)]
     hidden = [f"c{i}" for i in range(len(keep))]
     plain = docs.select(*[F.col(f"`{f.name.replace('`', '``')}`").alias(h) for f, h in zip(keep, hidden)], F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
-        for batch in text_chunks(batches):
+        enc, table = encoder(path), decoder(path) if decoded else None
+        for batch in text_chunks(batches, target=1_000_000):
             flat, counts = enc.encode(batch.column("text").to_pylist())
             ends = np.cumsum(counts).tolist()
             data = memoryview(flat.astype("<u4").tobytes())
             packed = pa.array([data[4 * (e - n) : 4 * e] for e, n in zip(ends, counts.tolist())], pa.binary())
-            yield pa.RecordBatch.from_arrays([*(batch.column(h) for h in hidden), packed], names=[*hidden, "ids"])
+            columns = [*(batch.column(h) for h in hidden), packed]
+            if decoded:
+                columns.append(pa.array([_text_of(table, x) for x in packed.to_pylist()], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    schema = ", ".join([*(f"{h} {f.dataType.simpleString()}" for f, h in zip(keep, hidden)), "ids binary"])
+    names = [*hidden, "ids", *(["decoded"] if decoded else [])]
+    schema = ", ".join([*(f"{h} {f.dataType.simpleString()}" for f, h in zip(keep, hidden)), "ids binary", *(["decoded string"] if decoded else [])])
     out = plain.mapInArrow(run, schema)
-    return out.select(*[F.col(h).alias(f.name) for f, h in zip(keep, hidden)], F.col("ids").alias(ids))
+    more = [F.col("ids").alias(ids), *([F.col("decoded").alias(decoded)] if decoded else [])]
+    return out.select(*[F.col(h).alias(f.name) for f, h in zip(keep, hidden)], *more)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -351,9 +421,9 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded
     plain = encoded.select(*[F.col(f"`{f.name.replace('`', '``')}`").alias(h) for f, h in zip(keep, hidden)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merges = _merges(path)
+        table = decoder(path)
         for batch in text_chunks(batches, at):
-            texts = [merges.decode(np.frombuffer(x or b"", dtype="<u4").astype(np.int64)).decode("utf-8", "replace") for x in batch.column(at).to_pylist()]
+            texts = [_text_of(table, x) for x in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*hidden, "text"])
 
     schema = ", ".join([*(f"{h} {f.dataType.simpleString()}" for f, h in zip(keep, hidden)), "text string"])

@@ -100,8 +100,9 @@ def test_speculation_equals_the_library():
         assert n.tolist() == [len(w) for w in want]
         assert ids.tolist() == [i for w in want for i in w]
     assert 0 < enc.failed < enc.proposed
+    table = speculative_bpe.Decoder(BPE)
     for w in want[:200]:
-        assert enc.merges.decode(np.array(w, dtype=np.int64)).decode("utf-8", "replace") == library.decode(w, skip_special_tokens=False)
+        assert table.decode(np.array(w, dtype=np.int64)).decode("utf-8", "replace") == library.decode(w, skip_special_tokens=False)
 
 
 def test_pair_check_equals_merging_the_pair():
@@ -116,6 +117,8 @@ def test_pair_check_equals_merging_the_pair():
     crossed = merges.crossed(a, b)
     want = [merges.merge(merges.tokens[x] + merges.tokens[y]) != [x, y] for x, y in zip(a.tolist(), b.tolist())]
     assert crossed.tolist() == want and any(want) and not all(want)
+    many = [w.encode() for w in words(7, 3000)] + [b"a" * n for n in range(1, 90)] + [b""]
+    assert merges.merge_all(many) == [merges.merge(w) for w in many]
 
 
 def test_encoded_and_decoded_columns(shipped, odd, empty):
@@ -126,6 +129,8 @@ def test_encoded_and_decoded_columns(shipped, odd, empty):
     out = speculative_bpe.decode(speculative_bpe.encode(twice, BPE), BPE)
     assert set(out.columns) == set(twice.columns) - {"text"}
     got = Counter((r.doc_id, bytes(r.ids), r.decoded) for r in out.collect())
+    once = speculative_bpe.encode(twice, BPE, decoded="decoded")
+    assert set(once.columns) == set(out.columns) and Counter((r.doc_id, bytes(r.ids), r.decoded) for r in once.collect()) == got
     want = Counter()
     for i, text, *_ in ODD:
         ids = library.encode(text or "", add_special_tokens=False).ids
