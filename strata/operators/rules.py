@@ -119,8 +119,10 @@ def coerce(
     raw: DataFrame,
     timestamp_formats: Sequence[str] = DEFAULT_TIMESTAMP_FORMATS,
     keep_raw: bool = False,
+    typed_dates: bool = False,
 ) -> DataFrame:
     """Lenient casts of the three typed columns; bad text becomes NULL.
+    With ``typed_dates`` InvoiceDate is a timestamp already.
 
     With ``keep_raw`` the original text stays as ``raw_Quantity``,
     ``raw_InvoiceDate`` and ``raw_UnitPrice``.
@@ -128,7 +130,7 @@ def coerce(
     typed = {
         "Quantity": try_double("Quantity"),
         "UnitPrice": try_double("UnitPrice"),
-        "InvoiceDate": try_timestamp("InvoiceDate", timestamp_formats),
+        "InvoiceDate": F.col("InvoiceDate") if typed_dates else try_timestamp("InvoiceDate", timestamp_formats),
     }
     cols = [typed[c].alias(c) if c in typed else F.col(c) for c in raw.columns]
     if keep_raw:

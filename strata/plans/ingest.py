@@ -11,15 +11,15 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.expr import ts_literal
-from strata.functions.expr import file_name, truncate_text
-from strata.operators import audit, rules, silver
+from strata.functions.expr import DEFAULT_TIMESTAMP_FORMATS, file_name, truncate_text, ts_literal
+from strata.operators import audit, formats, rules, silver
 from strata.operators import manifest as mf
 from strata.operators import state as st
 from strata.operators.content import ObservedContent, compare_contents, contents, reconcile_run
@@ -67,6 +67,8 @@ def ingest_batch(
     delimiter: str = ",",
     audit_path: str | None = None,
     environment: str = "dev",
+    timestamp_formats: Sequence[str] | None = None,
+    elect: bool = False,
 ) -> DataFrame:
     """Process new or not-yet-successful files of ``raw_path``.
 
@@ -76,6 +78,8 @@ def ingest_batch(
     (``limit_scope="discovered"``). ``listing`` (as of ``files.list_files``)
     restricts the run to its files. The folder is listed once, or not at all
     with ``listing``. Files are read by splits (``sources.splits``), fields divided by ``delimiter``.
+    ``timestamp_formats`` replaces the default forms of InvoiceDate; with ``elect``
+    each file is read in the one that fits most of its values (``operators.formats``).
     With ``audit_path`` the run audit (A10), the rejection audit (A11) and the
     reconciliation by content (A12, from the written tables) are appended below it. Returns one result row per processed file.
     """
@@ -116,7 +120,7 @@ def ingest_batch(
     try:
         return _process(
             spark, todo, bronze_path, quarantine_path, state_path, provider_id, run_id, level=level, now=t1, delimiter=delimiter,
-            audit_path=audit_path, environment=environment, started=t0,
+            audit_path=audit_path, environment=environment, started=t0, timestamp_formats=timestamp_formats, elect=elect,
         )
     except Exception as error:
         # M3: the files of the run that have no verdict yet are FAILED, with the error's text.
@@ -142,6 +146,8 @@ def _process(
     audit_path: str | None = None,
     environment: str = "dev",
     started: _dt.datetime | None = None,
+    timestamp_formats: Sequence[str] | None = None,
+    elect: bool = False,
 ) -> DataFrame:
     """The files of a batch from their header verdicts to their final state."""
     # File-level verdicts: header (V1/V3), empty file.
@@ -157,7 +163,15 @@ def _process(
     )
     readable = verdicts.filter(F.col("header_ok"))
     lines = read_lines(spark, readable, delimiter=delimiter)
-    flagged = rules.flag(rules.coerce(lines))
+    if elect:
+        # Staged: the election and the rows that it reads come from one pass over the files.
+        lines = cut_lineage(lines, "raw-lines")
+        candidates = timestamp_formats or formats.CANDIDATE_FORMATS
+        lines = formats.read_elected(lines, formats.elect_formats(lines, ["source_uri"], formats=candidates), ["source_uri"], formats=candidates)
+        coerced = rules.coerce(lines, typed_dates=True)
+    else:
+        coerced = rules.coerce(lines, timestamp_formats or DEFAULT_TIMESTAMP_FORMATS)
+    flagged = rules.flag(coerced)
     flagged = flagged.join(todo.select("source_uri", "source_file", "source_date"), on="source_uri", how="inner")
     scanned = ObservedContent()
     if audit_path is not None:

@@ -25,7 +25,7 @@ from strata.functions.expr import (
     try_long,
     try_timestamp,
 )
-from strata.operators import audit, rules, silver
+from strata.operators import audit, formats, rules, silver
 from strata.operators import incremental as inc
 from strata.operators import manifest as mf
 from strata.operators import state as st
@@ -862,6 +862,56 @@ def q_lenient_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# ---- fixed values: forms in which the countries of the derived feed write their dates ----
+COUNTRY_FORMS = [("yyyy-MM-dd HH:mm:ss", "%Y-%m-%d %H:%M:%S"), ("dd/MM/yyyy HH:mm", "%d/%m/%Y %H:%M"), ("MM/dd/yyyy HH:mm", "%m/%d/%Y %H:%M")]
+
+_FORM_OF = "length(coalesce(Country, '')) % 3"
+
+ELECTION_SQL = with_ctes(
+    RETAIL_LINES_SQL,
+    f"""
+written AS (
+  SELECT Country, CASE WHEN ts IS NULL THEN InvoiceDate WHEN {_FORM_OF} = 0 THEN strftime(ts, '{COUNTRY_FORMS[0][1]}')
+         WHEN {_FORM_OF} = 1 THEN strftime(ts, '{COUNTRY_FORMS[1][1]}') ELSE strftime(ts, '{COUNTRY_FORMS[2][1]}') END AS t
+  FROM (SELECT *, try_strptime(InvoiceDate, '{COUNTRY_FORMS[0][1]}') AS ts FROM retail_lines)
+),
+parsed AS (
+  SELECT Country, t, """
+    + ", ".join(f"try_strptime(t, '{f}') AS p{i}" for i, (_, f) in enumerate(COUNTRY_FORMS))
+    + """ FROM written
+),
+elected AS (
+  SELECT Country, CASE WHEN count(p0) >= count(p1) AND count(p0) >= count(p2) THEN 0 WHEN count(p1) >= count(p2) THEN 1 ELSE 2 END AS f
+  FROM parsed GROUP BY Country
+)""",
+) + f"""
+SELECT p.Country, CASE e.f {' '.join(f"WHEN {i} THEN '{j}'" for i, (j, _) in enumerate(COUNTRY_FORMS))} END AS format,
+       count(p.t) AS total, count(CASE e.f WHEN 0 THEN p0 WHEN 1 THEN p1 ELSE p2 END) AS parsed,
+       min(CASE e.f WHEN 0 THEN p0 WHEN 1 THEN p1 ELSE p2 END) AS first_date,
+       max(CASE e.f WHEN 0 THEN p0 WHEN 1 THEN p1 ELSE p2 END) AS last_date
+FROM parsed p JOIN elected e ON p.Country IS NOT DISTINCT FROM e.Country GROUP BY p.Country, e.f"""
+
+
+@register("timestamp_election", ELECTION_SQL)
+def q_timestamp_election(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each country writes its dates in its own form (ISO, day first, month first, some
+    broken); the form is elected per country and reads its lines."""
+    ts = F.try_to_timestamp("InvoiceDate", F.lit(COUNTRY_FORMS[0][0]))
+    form = F.length(F.coalesce("Country", F.lit(""))) % 3
+    text = F.when(ts.isNull(), F.col("InvoiceDate"))
+    for i, (f, _) in enumerate(COUNTRY_FORMS):
+        text = text.when(form == i, F.date_format(ts, f))
+    lines = retail_lines(spark, sf_dir).select("Country", text.alias("InvoiceDate"))
+    candidates = [f for f, _ in COUNTRY_FORMS]
+    lines = cut_lineage(lines, "country-lines")
+    elected = formats.elect_formats(lines, ["Country"], formats=candidates)
+    read = formats.read_elected(lines, elected, ["Country"], formats=candidates)
+    spans = read.groupBy("Country").agg(F.min("InvoiceDate").alias("first_date"), F.max("InvoiceDate").alias("last_date"))
+    spans = spans.withColumnRenamed("Country", "_c")
+    joined = elected.join(spans, F.col("Country").eqNullSafe(F.col("_c")))
+    return joined.select("Country", "format", "total", "parsed", "first_date", "last_date")
+
+
 # ------------------------------------------------------------ headers, manifests, dates
 
 _EXPECTED_SQL = "[" + ", ".join(f"'{c}'" for c in RAW_COLUMNS) + "]"
