@@ -49,6 +49,7 @@ from strata.sinks.writers import write_bronze, write_manifest
 from strata.sources import contract
 from strata.sources.config import rule_config
 from strata.sources.files import discover, fingerprint, read_manifest
+from strata.streaming.late import keep_late
 from strata.streaming.stream import dedup_stream, ingest_stream, run_available_now
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -1495,6 +1496,39 @@ def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{staged}/out").select("user_id", "event_type")
 
 
+# ---- fixed values: events that come last, and events that come twice ----
+LATE_MOD, TWICE_MOD = 20, 50
+LATE_DELAY = "2 hours"
+SLICE_ROWS = 50_000
+
+
+@register(
+    "stream_late_rows",
+    f"""
+WITH seen AS (SELECT max(ts) AS m FROM events WHERE event_id % {LATE_MOD} <> 0)
+SELECT e.event_id, e.ts, coalesce(e.event_id % {LATE_MOD} = 0 AND e.ts < seen.m - INTERVAL {LATE_DELAY}, false) AS late
+FROM events e CROSS JOIN seen""",
+)
+def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W7 streaming: events arrive in slices of time (their number follows the input's size), some
+    twice; a twentieth comes after all others, mostly behind the watermark. Every event
+    reaches the target once, those behind the watermark marked."""
+    staged = scratch_path(spark, "late-stream")
+    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")).select("event_id", "ts", "user_id", "event_type")
+    bounds = events.agg(F.count(F.lit(1)).alias("n"), F.min(F.unix_micros("ts")).alias("a"), F.max(F.unix_micros("ts")).alias("b")).first()
+    slices = max(2, -(-bounds["n"] // SLICE_ROWS))
+    width = max(1, ((bounds["b"] or 0) - (bounds["a"] or 0)) // slices + 1)
+    part = F.floor((F.unix_micros("ts") - F.lit(bounds["a"] or 0)) / width).cast("int")
+    dealt = events.withColumn("slice", F.when(F.col("event_id") % LATE_MOD == 0, F.lit(slices)).otherwise(part))
+    again = dealt.where(F.col("event_id") % TWICE_MOD == 1).withColumn("slice", F.lit(slices))
+    dealt = cut_lineage(dealt.unionByName(again), "late-slices")
+    for k in range(slices + 1):
+        dealt.where(F.col("slice") == k).drop("slice").write.parquet(f"{staged}/in/slice_{k:06d}")
+        stream = spark.readStream.schema(events.schema).option("recursiveFileLookup", "true").parquet(f"{staged}/in")
+        keep_late(stream, f"{staged}/out", f"{staged}/_checkpoint", ["event_id"], "ts", LATE_DELAY)
+    return spark.read.parquet(f"{staged}/out").select("event_id", "ts", "late")
+
+
 STREAM_INGEST_SQL = with_ctes(RETAIL_LINES_SQL, FLAGGED_SQL) + """
 SELECT strftime(CAST(strptime(regexp_extract(source_file, '(\\d{8})', 1), '%Y%m%d') AS DATE), '%Y-%m-%d') AS source_date,
        count(*) AS total_records,
