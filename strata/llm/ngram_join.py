@@ -38,6 +38,8 @@ WORDS, THRESHOLD = 5, 0.8
 TREES, DEPTH, RECALL = 16, 5, 0.999
 #: Signature shares from which a set follows a leader, and is linked to it.
 FOLLOW, RESEMBLE = 0.65, 0.25
+#: Candidate sets whose keys (40 bytes each) are broadcast at most; more are joined by a shuffle of the texts.
+SENT = 2_000_000
 #: Sets in a block of the verification.
 BLOCK = 256
 
@@ -322,6 +324,9 @@ def verified(docs: DataFrame, rows: DataFrame, sets: DataFrame, id: str = "doc_i
     tasks = tasks.select("component", "i", "j", sides)
     wanted = members.select("set_key", F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash"))
     texts = docs.select(F.col(id).cast("bigint").alias("_d"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_h"), F.col(text).alias("text"))
+    # Texts pass a shuffle only if there are too many candidates to send their keys to every task.
+    if members.count() <= SENT:
+        wanted = F.broadcast(wanted)
     found = texts.join(wanted, F.col("_d").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_hash")))
     content = found.select("set_key", "text").mapInArrow(_shingle_rows, "set_key binary, shingles binary").dropDuplicates(["set_key"])
     content = cut_lineage(content, "near-content")
