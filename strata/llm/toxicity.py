@@ -1,19 +1,21 @@
 """Toxicity: nearest labelled examples by exact TF-IDF cosine.
 
-The labelled examples (a bounded sample) are kept in an inverted index.  Short
-posting lists are added up for all examples; long ones are cut into blocks of
-examples, with the largest weight of each term in each block.  A query's bound
-for a block is its largest sum of short lists and the dot product with those
-maxima; blocks are scored in order of their bounds until no bound can reach
-the k-th best cosine, so the k nearest are exact.  Their cosines vote, and a
-logistic curve fitted on leave-one-out votes turns the vote into a
-probability.  The neighbours' ids and cosines are the evidence.
-
-Terms are all words and character n-grams of words (with the word's ends) of
-the examples; their document frequencies are counted over all documents.  A
-term's weight grows with how differently the examples' classes use it (phi), and
-none is dropped.  What occurs in no example adds to no cosine and is left out of
-a text's norm.
+The space: the words and character n-grams of the labelled examples (a bounded
+sample) that the two classes use differently beyond chance.  A term is taken
+when the standardised difference of its shares of the classes' examples exceeds
+sqrt(2 ln W), W being the number of terms tested, the size that the largest of W
+unrelated terms would reach.  A text's vector has (1 + ln n) * idf for each
+of these terms, document frequencies being counted over all documents, and unit length;
+what is outside the space is in no vector, as for any TF-IDF vocabulary.
+
+The examples are kept in an inverted index.  Short posting lists are added up
+for all examples; long ones are cut into blocks of examples that lie in the
+order of their heaviest terms, with the largest weight of each term in each
+block.  A query's bound for a block is its largest sum of short lists and the
+dot product with those maxima; blocks are scored in order of their bounds until
+no bound can reach the k-th best cosine, so the k nearest are exact.  Their
+cosines vote, and a logistic curve fitted on leave-one-out votes turns the vote
+into a probability.  The neighbours' ids and cosines are the evidence.
 """
 
 from __future__ import annotations
@@ -24,18 +26,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.llm.common import ranges, text_chunks
+from strata.session import cut_lineage
 
 #: Examples of each class in the index, at most.
 EXAMPLES = 1024
 #: Posting lists with at least one in so many examples are dense in blocks.
 LONG = 16
-#: Weight of a term that both classes use alike, beside phi for the others.
-COMMON = 0.1
 #: Texts that are scored at once.
 TOGETHER = 64
 #: Neighbours that vote, and examples in a block of the index.
@@ -67,8 +68,7 @@ class TermCounter:
 
     def __init__(self, terms: list[str]):
         self._term = {t: i for i, t in enumerate(terms)}
-        self._known: dict[str, np.ndarray] = {}
-        self._last, self._sum = np.zeros(len(terms), np.int64), np.zeros(len(terms), np.int64)
+        self._known: dict[str, np.ndarray | None] = {}
 
     def __getstate__(self):
         return "\n".join(self._term)
@@ -76,45 +76,35 @@ class TermCounter:
     def __setstate__(self, state):
         self.__init__(state.split("\n") if state else [])
 
-    def _terms(self, token: str) -> np.ndarray:
-        """Numbers of the terms of a token's words, one entry per word that has it."""
-        known = self._known.get(token)
-        if known is not None:
-            return known
+    def _terms(self, token: str) -> np.ndarray | None:
+        """Numbers of the terms of a token's words, one entry per word that has it; None if there are none."""
         get, found = self._term.get, []
         for word in [token] if token.isalpha() else _WORD.findall(token):
-            ids = self._known.get(word)
-            if ids is None:
-                w = f" {word} "
-                got = {get(w[i : i + n]) for n in NGRAMS for i in range(len(w) - n + 1)}
-                got.add(get(w))
-                got.discard(None)
-                ids = self._known[word] = np.array(sorted(got), dtype=np.int64)
-            found.append(ids)
-        return np.concatenate(found) if found else np.zeros(0, dtype=np.int64)
+            w = f" {word} "
+            got = {get(w[i : i + n]) for n in NGRAMS for i in range(len(w) - n + 1)}
+            got.add(get(w))
+            got.discard(None)
+            found += sorted(got)
+        return np.array(found, dtype=np.int64) if found else None
 
     def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """(numbers of the terms, ascending, and how often each occurs)."""
         if len(self._known) > REMEMBERED:
             self._known.clear()
-        known, found = self._known, []
-        tokens = Counter((text or "").lower().split())
-        for token in tokens:
-            ids = known.get(token)
-            if ids is None:
+        known, found, times = self._known, [], []
+        for token, n in Counter((text or "").lower().split()).items():
+            try:
+                ids = known[token]
+            except KeyError:
                 ids = known[token] = self._terms(token)
-            found.append(ids)
+            if ids is not None:
+                found.append(ids)
+                times.append(n)
         if not found:
             return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        flat = np.concatenate(found)
-        # The last entry of each term stands for it; no sort of all entries.
-        each = np.arange(len(flat))
-        self._last[flat] = each
-        terms = np.sort(flat[self._last[flat] == each])
-        np.add.at(self._sum, flat, np.repeat(np.fromiter(tokens.values(), np.int64, len(found)), np.fromiter(map(len, found), np.int64, len(found))))
-        counts = self._sum[terms]
-        self._sum[terms] = 0
-        return terms, counts
+        counts = np.bincount(np.concatenate(found), np.repeat(times, [len(f) for f in found])).astype(np.int64)
+        terms = np.flatnonzero(counts)
+        return terms, counts[terms]
 
 
 class BlockMaxIndex:
@@ -199,14 +189,15 @@ def _logit(vote):
 
 
 class Model:
-    """Terms with their inverse document frequencies, the example index and the calibration."""
+    """The space's terms with their inverse document frequencies, the example index and the calibration."""
 
     def __init__(self, terms: list[str], idf: np.ndarray, examples: list[tuple[int, int, np.ndarray, np.ndarray]], share: float):
         self.counts = TermCounter(terms)
-        self.idf = idf.astype(np.float32) * (COMMON + self._phi(len(terms), examples))
+        self.idf = idf.astype(np.float32)
         self.share = share
         vectors = [self._vector(t, n) for _, _, t, n in examples]
-        use = [i for i, v in enumerate(vectors) if len(v[0])]
+        # Examples with the same heaviest terms lie together, so that a block's maxima say much about it.
+        use = sorted((i for i, v in enumerate(vectors) if len(v[0])), key=lambda i: vectors[i][0][np.argsort(-vectors[i][1], kind="stable")].tolist())
         self.ids = np.array([examples[i][0] for i in use], dtype=np.int64)
         self.labels = np.array([examples[i][1] for i in use], dtype=np.float64)
         self.index = BlockMaxIndex([vectors[i] for i in use], len(terms))
@@ -215,16 +206,6 @@ class Model:
         others = [self._vector(t[self.index.length[t] > 1], n[self.index.length[t] > 1]) for _, _, t, n in examples]
         self._calibrate(others, use, [e[1] for e in examples])
 
-    @staticmethod
-    def _phi(n_terms: int, examples) -> np.ndarray:
-        """How differently the classes' examples use each term, 0 to 1; equal classes are assumed, half an example is added to each count."""
-        share = []
-        for y in (0, 1):
-            have = [t for _, label, t, _ in examples if label == y]
-            share.append((np.bincount(np.concatenate([np.zeros(0, np.int64), *have]), minlength=n_terms) + 0.5) / (len(have) + 1))
-        mean = (share[0] + share[1]) / 2
-        return (np.abs(share[1] - share[0]) / np.sqrt(mean * (1 - mean))).astype(np.float32)
-
     def _vector(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         w = (1 + np.log(counts.astype(np.float32))) * self.idf[terms]
         norm = np.sqrt((w * w).sum())
@@ -268,10 +249,29 @@ class Model:
 
 
 def _terms_used(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct terms of a batch's texts."""
+    """Of each class, how many of a batch's texts have each term."""
     for batch in batches:
-        used = set().union(*(words(t) for t in batch.column("text").to_pylist()))
-        yield pa.RecordBatch.from_arrays([pa.array(sorted(set().union(*map(terms_of, used))), pa.string())], names=["term"])
+        count: tuple[Counter, Counter] = Counter(), Counter()
+        for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
+            count[label].update(set().union(*map(terms_of, set(words(text)))))
+        every = sorted({*count[0], *count[1]})
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(every, pa.string()), *(pa.array([c[t] for t in every], pa.int64()) for c in count)], names=["term", "n0", "n1"]
+        )
+
+
+def telling_terms(examples: DataFrame, sizes: tuple[int, int]) -> list[str]:
+    """The terms of the space, sorted; ``examples`` has text and label, ``sizes`` the number of examples of each class."""
+    counts = examples.mapInArrow(_terms_used, "term string, n0 long, n1 long").groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    counts = cut_lineage(counts, "example-terms")
+    tested = counts.count()
+    if not tested or not all(sizes):
+        return []
+    share = (F.col("n0") + F.col("n1")) / sum(sizes)
+    error = F.sqrt(share * (1 - share) * (1 / sizes[0] + 1 / sizes[1]))
+    apart = F.abs(F.col("n1") / sizes[1] - F.col("n0") / sizes[0])
+    # Of unrelated terms few pass; what reaches the driver is bounded by the examples.
+    return sorted(r.term for r in counts.where(apart > error * float(np.sqrt(2 * np.log(max(tested, 2))))).select("term").collect())
 
 
 def _term_counts(terms):
@@ -307,35 +307,34 @@ def _document_frequency(terms):
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, examples: int = EXAMPLES) -> Model:
-    """Model from at most ``examples`` labelled rows of each class; term frequencies from all of ``docs``.
+    """Model from at most ``examples`` labelled rows of each class; document frequencies from all of ``docs``.
 
     ``labels`` has doc_id and the 0/1 column ``label``; rows with nulls there
-    are left out.  The driver gets the examples' terms, with one count a term
-    and their counts in each example.
+    are left out.  An id with labels of both classes is an example of both; a
+    document row that repeats is an example each time.  The driver gets the
+    space's terms, with one count a term and their counts in each example.
+    Empty tables, or examples of one class only, give a model that scores every
+    text by the share of label 1.
     """
     sc = docs.sparkSession.sparkContext
-    known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(F.col("doc_id").isNotNull() & F.col("label").isNotNull())
+    known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).distinct()
     share = known.agg(F.avg("label")).first()[0]
-    classes = []
-    for y in (0, 1):
-        ids = known.where(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples)
-        classes.append(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id"))  # `examples` ids at most
-    terms = classes[0].unionByName(classes[1]).mapInArrow(_terms_used, "term string").distinct().toArrow()["term"].to_pylist()
+    # The smallest hashes of the ids of each class: 2 * `examples` ids at most.
+    place = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    ids = known.withColumn("place", place).where(F.col("place") <= examples).select("doc_id", "label")
+    rows = cut_lineage(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id"), "toxicity-examples")
+    sizes = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
+    terms = telling_terms(rows, (sizes.get(0, 0), sizes.get(1, 0)))
     if not terms:
         return Model([], np.zeros(0), [], 0.5 if share is None else float(share))
-    terms.sort()
     named = sc.broadcast(terms)
     got = docs.select("text").mapInArrow(_document_frequency(named), "term int, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
     df = np.zeros(len(terms) + 1)
     df[got["term"].to_numpy()] = got["df"].to_numpy()
     idf = np.log((df[-1] + 1) / (df[:-1] + 1)) + 1
-    picked = []
-    for rows in classes:
-        vectors = rows.mapInArrow(_term_counts(named), "doc_id long, label int, terms array<int>, counts array<int>")
-        for batch in vectors.orderBy("doc_id", "terms").limit(2 * examples).toArrow().to_batches():
-            counts = (tuple(np.asarray(v.values) if v.is_valid else np.zeros(0, np.int32) for v in row) for row in zip(batch["terms"], batch["counts"]))
-            picked += [(i, y, t.astype(np.int64), n) for i, y, (t, n) in zip(batch["doc_id"].to_pylist(), batch["label"].to_pylist(), counts)]
-    picked.sort(key=lambda e: (e[0], e[1], e[2].tolist()))
+    counted = rows.mapInArrow(_term_counts(named), "doc_id long, label int, terms array<int>, counts array<int>").collect()
+    picked = [(r.doc_id, r.label, np.array(r.terms, dtype=np.int64), np.array(r.counts, dtype=np.int64)) for r in counted]
+    picked.sort(key=lambda e: (e[0], e[1], e[2].tolist(), e[3].tolist()))
     return Model(terms, idf, picked, float(share))
 
 
@@ -358,7 +357,9 @@ def _scorer(model, carry: list[str]):
 def score(docs: DataFrame, model: Model, carry: list[str] | None = None) -> DataFrame:
     """The columns ``carry`` of ``docs`` (all of them if None), ``score``, ``neighbours`` and ``cosines`` (the evidence, nearest first).
 
-    Null texts score as empty ones, by the prior; every row is scored.
+    Null and empty texts, and those without a term of the space, score by the
+    prior and have no neighbours; every row is scored, repeated ones alike, long texts whole. An empty
+    table gives an empty result.
     """
     carry = docs.columns if carry is None else carry
     broadcast = docs.sparkSession.sparkContext.broadcast(model)

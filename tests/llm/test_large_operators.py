@@ -1,6 +1,8 @@
 """Passage removal, similarity join, classifiers and the pipeline against brute force and held-out labels."""
 
+import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -151,16 +153,74 @@ def test_block_max_index_is_exact():
     assert skipped > 20
 
 
-def test_toxicity_keeps_every_word_of_the_examples(shipped):
-    """Wording of a single labelled text is found again, and no common text is without neighbours."""
+def toxic_corpus(shipped):
+    rude = ["scumbaggy", "moronically", "trashlike"]
     plain = [(i, f"some plain words about the river bank number{i} and its boats", 0) for i in range(300)]
-    rude = [(1000 + i, f"rare{chr(97 + i)}{chr(98 + i)}zq insult{i} unlike anything", 1) for i in range(12)]
-    rows = plain + rude
-    docs = shipped.createDataFrame([(i, t) for i, t, _ in rows] + [(5000, "rarecdzq"), (5001, "boats")], "doc_id long, text string")
+    bad = [(1000 + i, f"unlike{i} anything {rude[i % 3]} {rude[i % 3] if i % 2 else ''} and {rude[(i + 1) % 3] if i % 4 == 0 else 'boats'}", 1) for i in range(48)]
+    rows = plain + bad + [(2000, "", 0), (2001, "moronically boats", 1)]
+    docs = shipped.createDataFrame([(i, t) for i, t, _ in rows] + [(5000, "Such MORONICALLY, nice boats"), (5001, "boats"), (5002, None)], "doc_id long, text string")
     marks = shipped.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    return rows, docs, marks
+
+
+def test_toxicity_finds_wording_that_tells_the_classes_apart(shipped):
+    rows, docs, marks = toxic_corpus(shipped)
     got = {r.doc_id: r for r in toxicity.score(docs, toxicity.fit(docs, marks, "toxic")).collect()}
-    assert got[5000].neighbours[0] == 1002 and got[5001].neighbours and got[5000].score > got[5001].score
-    assert all(got[i].neighbours[0] == i and got[i].cosines[0] > 0.999 for i, _, _ in rude)
+    assert got[5000].score > 0.9 > 0.1 > got[5001].score and got[5002].score < 0.1
+    assert all(got[i].cosines[0] > 0.999 and i >= 1000 for i, _, y in rows if y)
+
+
+def plain_cosines(texts, examples, corpus):
+    """TF-IDF cosines of texts with examples, term by term, over the terms that tell the classes apart."""
+    def terms(text):
+        out = {}
+        for w in re.findall(r"\w+", (text or "").lower()):
+            padded = f" {w} "
+            for t in {padded} | {padded[i : i + n] for n in (3, 4, 5, 6) for i in range(len(padded) - n + 1)}:
+                out[t] = out.get(t, 0) + 1
+        return out
+
+    sets = [(terms(t), y) for _, t, y in examples]
+    n = [sum(1 for _, y in sets if y == c) for c in (0, 1)]
+    every = {t for s, _ in sets for t in s}
+    space = set()
+    for t in every:
+        a = [sum(1 for s, y in sets if y == c and t in s) for c in (0, 1)]
+        p = sum(a) / sum(n)
+        if abs(a[1] / n[1] - a[0] / n[0]) > math.sqrt(p * (1 - p) * (1 / n[0] + 1 / n[1])) * math.sqrt(2 * math.log(len(every))):
+            space.add(t)
+    bags = [set(terms(t)) for t in corpus]
+    idf = {t: math.log((len(bags) + 1) / (sum(t in b for b in bags) + 1)) + 1 for t in space}
+
+    def vector(text):
+        v = {t: (1 + math.log(c)) * idf[t] for t, c in terms(text).items() if t in space}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {t: x / norm for t, x in v.items()} if norm else {}
+
+    known = [(i, vector(t)) for i, t, _ in examples]
+    return [sorted(((sum(x * w.get(t, 0) for t, x in v.items()), i) for i, w in known), reverse=True) for v in map(vector, texts)]
+
+
+def test_toxicity_cosines_equal_plain_tf_idf(shipped):
+    rows, docs, marks = toxic_corpus(shipped)
+    got = sorted(toxicity.score(docs, toxicity.fit(docs, marks, "toxic")).collect(), key=lambda r: r.doc_id)
+    want = plain_cosines([r.text for r in got], rows, [r.text for r in got])
+    for r, w in zip(got, want):
+        best = [c for c, _ in w[: toxicity.NEIGHBOURS] if c > 1e-6]
+        assert np.allclose(r.cosines, best, atol=1e-5)
+        exact = {i: c for c, i in w}
+        assert np.allclose([exact[i] for i in r.neighbours], r.cosines, atol=1e-5)
+
+
+def test_toxicity_skips_blocks_of_the_examples(shipped):
+    docs = shipped.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    model = toxicity.fit(docs, quality.training_labels(shipped.read.parquet("/root/testdata/sf0.1/labels.parquet")), "toxic")
+    texts = [r.text for r in docs.limit(600).collect()]
+    vectors = [model._vector(*model.counts(t)) for t in texts]
+    scored = [n for v in vectors if len(v[0]) for _, _, n in model.index.nearest_of([v], toxicity.NEIGHBOURS)]
+    blocks = len(model.index.rows)
+    print("terms", len(model.idf), "blocks", blocks, "scored", sum(scored) / len(scored))
+    assert blocks > 8 and sum(scored) / len(scored) < 0.8 * blocks
 
 
 def test_toxicity_recall_on_held_out_labels(shipped):
