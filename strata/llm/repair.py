@@ -17,6 +17,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -27,63 +28,82 @@ from strata.session import scratch_path
 
 #: Tokens of a shard, about (a document is never divided).
 SHARD = 1 << 20
-#: Ids below this are tokens, the others nonterminals; symbols are 16 bits wide.
-BASE, SYMBOLS = 50_257, 1 << 16
-#: Rounds of replacement, pairs replaced in a round at most, and least count of a pair.
-ROUNDS, PAIRS, LEAST = 3, 4096, 8
-
-_BUCKETS = 19
-
-
-def _frequent(sequence: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """(positions, hash buckets) where one of about ``most`` most frequent pairs starts; a bucket stands for one pair."""
-    keys = (sequence[:-1] << np.uint32(16)) | sequence[1:]
-    bucket = (keys * np.uint32(2654435761)) >> np.uint32(32 - _BUCKETS)
-    counts = np.bincount(bucket, minlength=1 << _BUCKETS).astype(np.int32)
-    least = max(LEAST, int(np.partition(counts, -most)[-most]))
-    at = np.flatnonzero(counts[bucket] >= least)
-    # Of pairs that share a bucket one is taken now, the others in a later round.
-    keys, bucket = keys[at], bucket[at]
-    taken = np.zeros(1 << _BUCKETS, dtype=np.uint32)
-    taken[bucket] = keys
-    same = taken[bucket] == keys
-    return at[same], bucket[same]
-
-
-def compress(tokens: np.ndarray, base: int = BASE, rounds: int = ROUNDS, most: int = PAIRS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(rules as rows of two symbols, tokens each rule stands for, remaining sequence)."""
-    sequence = tokens.astype(np.uint32)
-    rules, lengths = np.zeros((0, 2), dtype=np.uint32), np.zeros(0, dtype=np.int64)
-    for _ in range(rounds):
-        room = min(most, SYMBOLS - base - len(rules))
-        if len(sequence) < 2 or room <= 0:
-            break
-        at, bucket = _frequent(sequence, room)
+#: Ids below this are tokens, the others nonterminals.
+BASE = 50_257
+#: A pair is frequent if it occurs so often; a rule pays if it is used so often.
+LEAST, USES = 8, 3
+#: Pairs of a round are at most so many times rarer than its most frequent one.
+SPREAD = 64
+
+_BUCKETS = 20
+
+
+def _runs(at: np.ndarray) -> np.ndarray:
+    """Of ascending starts, those that don't overlap: every second one from the left of each run of neighbours."""
+    run = np.flatnonzero(np.concatenate([[True], np.diff(at) > 1]))
+    inside = np.arange(len(at)) - np.repeat(run, np.diff(np.concatenate([run, [len(at)]])))
+    return inside % 2 == 0
+
+
+def compress(tokens: np.ndarray, base: int = BASE, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rules as rows of two symbols, tokens each rule stands for, remaining sequence).
+
+    Goes on until no pair occurs ``least`` times.  A round counts pairs exactly and
+    replaces those that occur at least 1 / ``SPREAD`` as often as the most frequent
+    one.  Counts of old pairs only fall, so a round looks at pairs that were frequent
+    in the round before and at those with a new symbol.
+    """
+    sequence = tokens.astype(np.int64)
+    rules, lengths = [], [np.ones(base, dtype=np.int64)]
+    size, known = lengths[0], base
+    at = np.arange(max(0, len(sequence) - 1))
+    keys = sequence[:-1] << 32 | sequence[1:]
+    # Most pairs of a text occur once: those whose bucket is small need no exact count.
+    bucket = (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BUCKETS)
+    at = at[np.bincount(bucket.astype(np.int64), minlength=1 << _BUCKETS)[bucket.astype(np.int64)] >= least]
+    while len(at):
+        keys = sequence[at] << 32 | sequence[at + 1]
+        which, pairs = pd.factorize(keys)
+        counts = np.bincount(which)
+        frequent = counts[which] >= least
+        at, which = at[frequent], which[frequent]
         if not len(at):
             break
-        # Of starts that touch, every second one from the left of their run stays.
-        run = np.flatnonzero(np.concatenate([[True], np.diff(at) > 1]))
-        inside = np.arange(len(at)) - np.repeat(run, np.diff(np.concatenate([run, [len(at)]])))
-        at, bucket = at[inside % 2 == 0], bucket[inside % 2 == 0]
-        # Fewer than three uses don't pay for a rule; most often used first if there are more pairs than room.
-        counts = np.bincount(bucket, minlength=1 << _BUCKETS)
-        chosen = np.flatnonzero(counts >= 3)
-        chosen = np.sort(chosen[np.argsort(-counts[chosen], kind="stable")][:room])
-        if not len(chosen):
-            break
-        number = np.full(1 << _BUCKETS, -1, dtype=np.int64)
-        number[chosen] = np.arange(len(chosen))
-        rule = number[bucket]
-        at, rule = at[rule >= 0], rule[rule >= 0]
-        new = np.zeros((len(chosen), 2), dtype=np.uint32)
-        new[rule, 0], new[rule, 1] = sequence[at], sequence[at + 1]
-        sequence[at] = base + len(rules) + rule
-        gone = np.ones(len(sequence), dtype=bool)
-        gone[at + 1] = False
-        sequence = sequence[gone]
-        size = np.concatenate([np.ones(base, dtype=np.int64), lengths])
-        rules, lengths = np.concatenate([rules, new]), np.concatenate([lengths, size[new].sum(axis=1)])
-    return rules, lengths, sequence
+        for enough in (max(least, int(counts.max()) // SPREAD), int(counts.max())):
+            use = counts[which] >= enough
+            place, pair = at[use], which[use]
+            if enough == counts.max():
+                one = pair == pair[0]
+                place, pair = place[one], pair[one]
+            free = _runs(place)
+            place, pair = place[free], pair[free]
+            used = np.bincount(pair, minlength=len(pairs))
+            chosen = np.flatnonzero(used >= USES)
+            if len(chosen):
+                break
+        # One pair alone is used at half of its places at least, so a round always finds a rule.
+        number = np.full(len(pairs), -1, dtype=np.int64)
+        number[chosen] = known + np.arange(len(chosen))
+        new = number[pair]
+        place, new = place[new >= 0], new[new >= 0]
+        made = np.stack([pairs[chosen] >> 32, pairs[chosen] & 0xFFFFFFFF], axis=1)
+        rules.append(made)
+        size = np.concatenate([size, size[made].sum(axis=1)])
+        known += len(chosen)
+        sequence[place] = new
+        gone = np.zeros(len(sequence), dtype=bool)
+        gone[place + 1] = True
+        look = np.zeros(len(sequence), dtype=bool)
+        look[at] = True
+        look[place] = True
+        look[np.maximum(place - 1, 0)] = True
+        # The symbol before a new one may be gone itself; the new symbol of that place then has the pair.
+        look[np.maximum(place - 2, 0)] = True
+        sequence, look = sequence[~gone], look[~gone]
+        look[-1] = False
+        at = np.flatnonzero(look)
+    made = np.concatenate(rules).astype(np.uint32) if rules else np.zeros((0, 2), dtype=np.uint32)
+    return made, size[base:], sequence.astype(np.uint32)
 
 
 def _rule_tokens(rules: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
@@ -101,27 +121,45 @@ def _rule_tokens(rules: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
     return symbols, np.searchsorted(owner, np.arange(len(rules) + 1))
 
 
-def expand(symbols: np.ndarray, rules: np.ndarray, base: int = BASE) -> np.ndarray:
-    """The tokens that a sequence of symbols stands for."""
+def expand(symbols: np.ndarray, rules: np.ndarray, base: int = BASE, lengths: np.ndarray | None = None) -> np.ndarray:
+    """The tokens that a sequence of symbols stands for; with the rules' ``lengths`` short rules are expanded once each."""
     if not len(rules):
         return symbols.astype(np.uint32)
+    if lengths is None or int(lengths.sum()) > 4 * SHARD:
+        # Long rules: all symbols one level deeper at a time, so that memory follows the output.
+        out = symbols.astype(np.int64)
+        while len(out) and out.max() >= base:
+            rule = out >= base
+            at = np.cumsum(1 + rule) - 1 - rule
+            deeper = np.empty(len(out) + int(rule.sum()), dtype=np.int64)
+            deeper[at] = out
+            pair = rules[out[rule] - base]
+            deeper[at[rule]], deeper[at[rule] + 1] = pair[:, 0], pair[:, 1]
+            out = deeper
+        return out.astype(np.uint32)
     tokens, start = _rule_tokens(rules, base)
     tokens = np.concatenate([np.arange(base), tokens]).astype(np.uint32)
     start = np.concatenate([np.arange(base), start + base]).astype(np.int32)
     first = start[symbols]
-    width = start[symbols.astype(np.int32) + 1] - first
+    width = start[symbols.astype(np.int64) + 1] - first
     ends = np.cumsum(width)
     return tokens[np.repeat(first - (ends - width), width) + np.arange(int(ends[-1]) if len(ends) else 0)]
 
 
-def decode_range(rules: np.ndarray, lengths: np.ndarray, sequence: np.ndarray, a: int, b: int, base: int = BASE) -> np.ndarray:
-    """Tokens [a, b) of a shard; only the symbols that hold them are expanded."""
+def symbol_lengths(sequence: np.ndarray, lengths: np.ndarray, base: int = BASE) -> np.ndarray:
+    """The tokens that each symbol stands for."""
     size = np.ones(len(sequence), dtype=np.int64)
     rule = sequence >= base
     size[rule] = lengths[sequence[rule].astype(np.int64) - base]
+    return size
+
+
+def decode_range(rules: np.ndarray, lengths: np.ndarray, sequence: np.ndarray, a: int, b: int, base: int = BASE) -> np.ndarray:
+    """Tokens [a, b) of a shard; only the symbols that hold them are expanded."""
+    size = symbol_lengths(sequence, lengths, base)
     ends = np.cumsum(size)
     first, last = np.searchsorted(ends, a, side="right"), np.searchsorted(ends, b, side="left")
-    got = expand(sequence[first : last + 1], rules, base)
+    got = expand(sequence[first : last + 1], rules, base, lengths if last - first > len(rules) else None)
     skip = a - int(ends[first] - size[first]) if first < len(ends) else 0
     return got[skip : skip + b - a]
 
@@ -148,9 +186,9 @@ def _write_shards(path: str, end: int):
                 pa.array([held], pa.int64()),
                 pa.array([docs], pa.list_(pa.int64())),
                 pa.array([counts], pa.list_(pa.int64())),
-                pa.array([rules.astype("<u2").tobytes()], pa.binary()),
+                pa.array([rules.astype("<u4").tobytes()], pa.binary()),
                 pa.array([lengths.astype("<u4").tobytes()], pa.binary()),
-                pa.array([sequence.astype("<u2").tobytes()], pa.binary()),
+                pa.array([sequence.astype("<u4").tobytes()], pa.binary()),
             ]
             return pa.RecordBatch.from_arrays(row, names=[f.split()[0] for f in _SHARDS.split(", ")])
 
@@ -183,8 +221,12 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end: int = 0, id:
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            rules = np.frombuffer(row["rules"], dtype="<u2").reshape(-1, 2)
-            tokens = expand(np.frombuffer(row["sequence"], dtype="<u2"), rules).astype("<u4", copy=False)
+            rules, sequence = np.frombuffer(row["rules"], dtype="<u4").reshape(-1, 2), np.frombuffer(row["sequence"], dtype="<u4")
+            lengths = np.frombuffer(row["rule_tokens"], dtype="<u4").astype(np.int64)
+            stands_for = int(symbol_lengths(sequence, lengths).sum())
+            if stands_for != row["n_tokens"]:
+                raise ValueError(f"shard {row['part']}/{row['shard']} holds {stands_for} tokens, not {row['n_tokens']}")
+            tokens = expand(sequence, rules, lengths=lengths).astype("<u4", copy=False)
             n = np.array(row["doc_tokens"], dtype=np.int64)
             ends = np.cumsum(n)
             view = memoryview(tokens.tobytes())

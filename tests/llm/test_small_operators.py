@@ -32,6 +32,19 @@ def test_encoder_equals_the_library(name, spaces):
         assert n.tolist() == [len(w) for w in want]
 
 
+@pytest.mark.parametrize("name,spaces", [("byte_bpe_50k.json", "kept"), ("word_bpe_49k.json", "dropped")])
+def test_special_tokens_are_those_of_the_untouched_library(name, spaces):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(vocabulary_path(name))
+    texts = [*TEXTS, "hello <|endoftext|> world", "<|endoftext|>", "a<|startoftext|>b <|endoftext|><|endoftext|>\nc", "<|endoftext|", " <|startoftext|>"]
+    encoder = Encoder(vocabulary_path(name), spaces)
+    for end in (7, None):
+        ids, n = encoder.encode(texts, end)
+        want = [[*e.ids, *([] if end is None else [end])] for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert ids.tolist() == [i for w in want for i in w] and n.tolist() == [len(w) for w in want]
+
+
 def test_chat_layouts_become_the_same_turns(shipped):
     messages = shipped.createDataFrame(
         [(1, [("system", "s"), ("human", "q"), ("gpt", None)], "noise")], "id long, messages array<struct<role:string,content:string>>, turn string"
@@ -196,6 +209,22 @@ def test_repair_decodes_any_range():
             assert (repair.decode_range(rules, lengths, sequence, a, b) == tokens[a:b]).all()
 
 
+def test_repair_goes_on_until_no_pair_is_frequent():
+    """Half a million repetitive tokens: a few symbols and long rules remain, and no frequent pair."""
+    tokens = np.tile(np.random.default_rng(3).integers(0, 50_000, 500), 1000).astype(np.uint32)
+    rules, lengths, sequence = repair.compress(tokens)
+    assert len(sequence) < 300 and lengths.max() > 50_000
+    assert (repair.expand(sequence, rules, lengths=lengths) == tokens).all()
+    rng = np.random.default_rng(4)
+    text = np.concatenate([rng.zipf(1.2, 200_000) % 50_000, tokens[:5000], rng.integers(0, 3, 3000)]).astype(np.uint32)
+    rules, lengths, sequence = repair.compress(text)
+    pairs, counts = np.unique(sequence[:-1].astype(np.uint64) << np.uint64(32) | sequence[1:], return_counts=True)
+    assert counts.max() < repair.LEAST
+    assert repair.symbol_lengths(sequence, lengths).sum() == len(text) and (repair.expand(sequence, rules) == text).all()
+    each = [repair.expand(np.array([repair.BASE + k]), rules) for k in range(0, len(rules), 97)]
+    assert [len(e) for e in each] == lengths[::97].tolist()
+
+
 def test_cuckoo_filter_inserts_deletes_and_resizes():
     rng = random.Random(9)
     keys = [rng.getrandbits(64) for _ in range(5000)]
