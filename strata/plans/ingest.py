@@ -31,6 +31,9 @@ from strata.sinks.silver_files import merge_by_file
 from strata.sources import contract
 from strata.sources.files import discover, fingerprint, list_files, read_lines
 
+# ---- fixed values: text before a file's error in its state row ----
+FILE_FAILURE_PREFIX = "File-level validation failed: "
+
 
 def run_concurrently(*jobs) -> None:
     """Run independent Spark actions from driver threads; re-raise the first error."""
@@ -240,7 +243,7 @@ def _process(
         F.when(F.col("file_valid"), F.col("total_records")).alias("record_count"),
         F.when(F.col("file_valid"), F.col("valid_records")).alias("valid_record_count"),
         F.when(F.col("file_valid"), F.col("rejected_records")).alias("rejected_record_count"),
-        F.when(~F.col("file_valid"), truncate_text(F.concat(F.lit("File-level validation failed: "), F.col("file_error")), 1000)).alias("error_message"),
+        F.when(~F.col("file_valid"), truncate_text(F.concat(F.lit(FILE_FAILURE_PREFIX), F.col("file_error")), 1000)).alias("error_message"),
     )
     after = st.latest(load_state(spark, state_path))
     writers.append_state(st.update_state(after, final, now=_ts(now), changes_only=True), state_path)
@@ -404,8 +407,8 @@ def bronze_to_silver(
 
 def prepare_source(spark: SparkSession, source: DataFrame, out_dir: str, provider_id: str = "provider_retail") -> DataFrame:
     """Strict-type the source, write one folder of CSV per date, then
-    build the manifest from the written files (their bytes hashed by one
-    ``binaryFile`` scan, their records counted by one CSV scan)."""
+    build the manifest from the written files (their bytes hashed in chunks on
+    the executors, their records counted by one CSV scan)."""
     prepared = mf.prepare(source)
     writers.write_daily_files(prepared, out_dir, provider_id)
     return build_manifest(spark, out_dir, provider_id)

@@ -18,6 +18,10 @@ from strata.schemas import LOGICAL_TYPES, RAW_COLUMNS, SILVER_CONTRACT
 
 LEVELS = ("exact_ordered", "exact_set", "superset")
 
+# ---- fixed values: texts of the header errors ----
+MISSING_TEXT = "Missing expected columns: "
+UNEXPECTED_TEXT = "Unexpected columns found: "
+
 
 def _arr(values: Sequence[str]) -> Column:
     return F.array(*[F.lit(v) for v in values])
@@ -81,9 +85,9 @@ def header_verdict(
     else:
         ok = F.size(m) == 0
     err = (
-        F.when(F.size(m) > 0, F.concat(F.lit("Missing expected columns: "), F.array_join(m, ", ")))
+        F.when(F.size(m) > 0, F.concat(F.lit(MISSING_TEXT), F.array_join(m, ", ")))
         .when(ok, F.lit(None).cast("string"))
-        .when(F.size(u) > 0, F.concat(F.lit("Unexpected columns found: "), F.array_join(u, ", ")))
+        .when(F.size(u) > 0, F.concat(F.lit(UNEXPECTED_TEXT), F.array_join(u, ", ")))
         .when(F.size(d) > 0, F.concat(F.lit("Duplicated columns found: "), F.array_join(d, ", ")))
         .otherwise(F.lit("Column order differs from the contract"))
     )
