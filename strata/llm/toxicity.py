@@ -67,8 +67,16 @@ class TermCounter:
     """Counts of a vocabulary's terms in texts; remembers the terms of what stands between blanks."""
 
     def __init__(self, terms: list[str]):
+        import ahocorasick
+
         self._term = {t: i for i, t in enumerate(terms)}
         self._known: dict[str, np.ndarray | None] = {}
+        # All terms inside a word in one pass over its characters.
+        self._inside = ahocorasick.Automaton()
+        for t, i in self._term.items():
+            self._inside.add_word(t, i)
+        if terms:
+            self._inside.make_automaton()
 
     def __getstate__(self):
         return "\n".join(self._term)
@@ -78,13 +86,11 @@ class TermCounter:
 
     def _terms(self, token: str) -> np.ndarray | None:
         """Numbers of the terms of a token's words, one entry per word that has it; None if there are none."""
-        get, found = self._term.get, []
+        if not self._term:
+            return None
+        found: list[int] = []
         for word in [token] if token.isalpha() else _WORD.findall(token):
-            w = f" {word} "
-            got = {get(w[i : i + n]) for n in NGRAMS for i in range(len(w) - n + 1)}
-            got.add(get(w))
-            got.discard(None)
-            found += sorted(got)
+            found += {i for _, i in self._inside.iter(f" {word} ")}
         return np.array(found, dtype=np.int64) if found else None
 
     def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
