@@ -22,6 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def quoted(name: str) -> str:
+    """A column's name as Spark takes it literally, dots and backticks included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finalizer that spreads the entropy of 64-bit hashes over all bits."""
     with np.errstate(over="ignore"):

@@ -16,6 +16,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.llm.common import quoted
+
 #: Weights of the sources in code point order (null last), repeating.
 WEIGHTS = (5, 2, 1)
 #: A target is at most so many times its source's size.
@@ -53,6 +55,35 @@ def targets(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = M
     return ranked.select("source", "source_size", target.otherwise(F.col("_level") * F.col("_weight")).alias("target"))
 
 
+def _taken(docs: DataFrame, id: str, text: str, source: str, size: Column | None, weights: tuple[int, ...], most: int) -> DataFrame:
+    """row (the caller's, whole), text, size, source_size, target and taken of every row (see ``mix``)."""
+    sized = docs.select(
+        F.struct("*").alias("row"),
+        F.col(id).alias("id"),
+        F.col(text).alias("text") if text in docs.columns else F.lit(None).cast("string").alias("text"),
+        F.col(source).alias("source"),
+        (word_count(F.col(text)) if size is None else size).alias("size"),
+        F.md5(F.coalesce(F.col(id).cast("string"), F.lit(""))).alias("key"),
+    )
+    rows = docs.groupBy(source).count().agg(F.max("count")).first()[0] or 0
+    digits = max(1, math.ceil(math.log(max(1, rows / ROWS_PER_RANGE), 16)))
+    sized = sized.withColumn("range", F.substring("key", 1, digits))
+    sums = sized.groupBy(F.col("source").alias("_source"), F.col("range").alias("_range")).agg(F.sum("size").alias("_sum"))
+    per_source = sums.groupBy(F.col("_source").alias("source")).agg(F.sum("_sum").alias("source_size"))
+    quota = targets(per_source, weights, most).withColumnRenamed("source", "_q_source")
+    before = Window.partitionBy("_source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    plan = sums.withColumn("before", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
+    plan = plan.join(quota, F.col("_source").eqNullSafe(F.col("_q_source"))).drop("_q_source")
+    out = sized.join(plan, F.col("source").eqNullSafe(F.col("_source")) & (F.col("range") == F.col("_range"))).drop("_source", "_range")
+    inside = Window.partitionBy("source", "range").orderBy("key", F.col("id").asc_nulls_last(), "size").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("before") + F.coalesce(F.sum("size").over(inside), F.lit(0))
+    budget = F.floor("target")
+    epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0))
+    rest = budget - epochs * F.col("source_size")
+    partial = F.greatest(F.lit(0), F.least(F.col("size"), rest - start))
+    return out.select("row", "text", "size", "source_size", "target", (epochs * F.col("size") + partial).cast("bigint").alias("taken"))
+
+
 def mix(
     docs: DataFrame,
     id: str = "doc_id",
@@ -69,49 +100,25 @@ def mix(
     words up to the exact budget.  Order of a source: MD5 of the id's text,
     id, size (null ids last).  A null source is a source; null or empty texts
     have size 0 and give nothing; rows that repeat are rows of their own.
-    ``size`` replaces the word count of the text.
+    ``size`` replaces the word count of the text.  Other columns may have any names.
     """
-    sized = docs.withColumn("__size", word_count(F.col(text)) if size is None else size).withColumn("__key", F.md5(F.coalesce(F.col(id).cast("string"), F.lit(""))))
-    rows = docs.groupBy(source).count().agg(F.max("count")).first()[0] or 0
-    digits = max(1, math.ceil(math.log(max(1, rows / ROWS_PER_RANGE), 16)))
-    sized = sized.withColumn("__range", F.substring("__key", 1, digits))
-    sums = sized.groupBy(F.col(source).alias("_source"), F.col("__range").alias("_range")).agg(F.sum("__size").alias("_sum"))
-    per_source = sums.groupBy(F.col("_source").alias("source")).agg(F.sum("_sum").alias("source_size"))
-    quota = targets(per_source, weights, most).select(
-        F.col("source").alias("_q_source"), F.col("source_size").alias("__source_size"), F.col("target").alias("__target")
-    )
-    before = Window.partitionBy("_source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    plan = sums.withColumn("__before", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
-    plan = plan.join(quota, F.col("_source").eqNullSafe(F.col("_q_source"))).drop("_q_source")
-    out = sized.join(plan, F.col(source).eqNullSafe(F.col("_source")) & (F.col("__range") == F.col("_range"))).drop("_source", "_range")
-    inside = (
-        Window.partitionBy(source, "__range")
-        .orderBy("__key", F.col(id).asc_nulls_last(), "__size")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    start = F.col("__before") + F.coalesce(F.sum("__size").over(inside), F.lit(0))
-    budget = F.floor("__target")
-    epochs = F.when(F.col("__source_size") > 0, F.floor(budget / F.col("__source_size"))).otherwise(F.lit(0))
-    rest = budget - epochs * F.col("__source_size")
-    partial = F.greatest(F.lit(0), F.least(F.col("__size"), rest - start))
-    out = out.withColumn("__taken", (epochs * F.col("__size") + partial).cast("bigint"))
-    return out.drop("__key", "__range", "__before")
+    out = _taken(docs, id, text, source, size, weights, most)
+    return out.select("row.*", *[F.col(c).alias(f"__{c}") for c in ("size", "source_size", "target", "taken")])
 
 
 def mixed_rows(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """The mix itself, with the columns of ``docs``: a row per epoch, the cut row with its first words only
-    (one blank between them).
+    """The mix itself, with the columns of ``docs`` whatever their names: a row per epoch, the cut row with its
+    first words only (one blank between them).
 
     Rows of which nothing is taken are left out, empty texts among them (the
-    mix asks no words of them).
+    mix asks no words of them).  Null sources, repeated rows and ties are as in
+    ``mix``; texts of any length are cut whole; an empty table gives no rows.
     """
-    taken = mix(docs, id, text, source)
-    whole = F.floor(F.col("__taken") / F.greatest(F.col("__size"), F.lit(1)))
-    part = F.col("__taken") - whole * F.col("__size")
-    copies = F.concat(
-        F.array_repeat(F.col("__size"), whole.cast("int")), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<bigint>"))
-    )
-    out = taken.withColumn("__words", F.explode(copies))
-    words = F.slice(F.regexp_extract_all(F.col(text), F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1)), F.lit(1), F.col("__words").cast("int"))
-    first = F.when(F.col("__words") < F.col("__size"), F.array_join(words, " ")).otherwise(F.col(text))
-    return out.withColumn(text, first).select(*docs.columns)
+    taken = _taken(docs, id, text, source, None, WEIGHTS, MOST_EPOCHS)
+    whole = F.floor(F.col("taken") / F.greatest(F.col("size"), F.lit(1)))
+    part = F.col("taken") - whole * F.col("size")
+    copies = F.concat(F.array_repeat(F.col("size"), whole.cast("int")), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<bigint>")))
+    out = taken.withColumn("words", F.explode(copies))
+    words = F.slice(F.regexp_extract_all(F.col("text"), F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1)), F.lit(1), F.col("words").cast("int"))
+    first = F.when(F.col("words") < F.col("size"), F.array_join(words, " ")).otherwise(F.col("text"))
+    return out.select(F.col("row").withField(quoted(text), first).alias("row")).select("row.*")

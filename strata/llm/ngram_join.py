@@ -366,9 +366,23 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
 
 
 def drop_near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The row with the smallest id of each class (ties: by hash of the text), with all its columns."""
-    _, sets = _classes(docs, id, text)
-    stays = sets.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("__d"), F.col("first.text_hash").alias("__h"))
-    tagged = docs.withColumn("__hash", F.xxhash64(F.coalesce(F.col(text), F.lit("")))).withColumn("__id", F.col(id).cast("bigint"))
-    out = tagged.join(stays, F.col("__id").eqNullSafe(F.col("__d")) & (F.col("__hash") == F.col("__h"))).dropDuplicates(["__id", "__hash"])
-    return out.select(*docs.columns)
+    """The row with the smallest id of each class (ties: by hash of the text), with all its columns whatever their names.
+
+    Null is below every id, so a class's row without one stays.  Of rows that repeat the surviving id and text, the
+    first in the order of the row's JSON text stays, whatever the order of the input.  Texts without words are
+    one class.  Only rows that go or repeat are joined to the texts; an empty table gives no rows.
+    """
+    rows, sets = _classes(docs, id, text)
+    stays = sets.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("_d"), F.col("first.text_hash").alias("_h"))
+    counted = rows.groupBy("doc_id", "text_hash").agg(F.count("*").alias("copies"))
+    marked = counted.join(stays, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_h")), "left")
+    marked = marked.select("doc_id", "text_hash", "copies", F.col("_h").isNotNull().alias("stays")).where("copies > 1 OR NOT stays")
+    marked = cut_lineage(marked, "near-dropped")
+    packed = docs.select(F.struct("*").alias("row"), F.col(id).cast("bigint").alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("hash"))
+    found = packed.join(marked, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash")), "left")
+    found = found.where(F.coalesce("stays", F.lit(True)))
+    if marked.where("stays").isEmpty():
+        return found.select("row.*")
+    again = F.col("stays").isNotNull()
+    first = found.where(again).groupBy("id", "hash").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return found.where(~again).select("row").unionByName(first.select("row")).select("row.*")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import SubstringHash, mix64, text_chunks
+from strata.llm.common import SubstringHash, mix64, quoted, text_chunks
 
 #: Rows of the embedding table, and its width.
 BUCKETS, DIM = 1 << 17, 12
@@ -143,7 +143,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, sample_rows: int = SAMPL
     """Model from at most ``sample_rows`` labelled rows (the smallest hashes of their ids).
 
     ``labels`` has doc_id and the 0/1 column ``label``; rows with nulls there
-    are left out.  Only hashed features of the sample reach the driver.
+    are left out; a row that repeats with both classes is an example of each.
+    Where ids repeat in ``docs``, the sample is its first ``2 * sample_rows`` rows by
+    id.  Only hashed features of the sample reach the driver.
     """
     chosen = (
         labels.select("doc_id", F.col(label).cast("int").alias("label"))
@@ -158,12 +160,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, sample_rows: int = SAMPL
     return train(bags, np.array([r.label for r in got], dtype=np.int64))
 
 
-def _scorer(model, carry: list[str], name: str):
+def _scorer(model, carry: list[str], text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers, bias = model.value
-        for batch in text_chunks(batches):
+        for batch in text_chunks(batches, text):
             out = []
-            for t in batch.column("text").to_pylist():
+            for t in batch.column(text).to_pylist():
                 total, n = 0.0, 0
                 for piece in blocks((t or "").encode("utf-8", "surrogatepass")):
                     ids = features(piece)
@@ -171,7 +173,7 @@ def _scorer(model, carry: list[str], name: str):
                     n += len(ids)
                 out.append(1 / (1 + np.exp(-np.clip(total / n + bias, -40, 40))))
             columns = [*(batch.column(c) for c in carry), pa.array(out, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*carry, name])
+            yield pa.RecordBatch.from_arrays(columns, names=[*carry, "score"])
 
     return run
 
@@ -179,12 +181,17 @@ def _scorer(model, carry: list[str], name: str):
 def score(docs: DataFrame, model: tuple[np.ndarray, float], carry: list[str] | None = None, name: str = "score") -> DataFrame:
     """The columns ``carry`` of ``docs`` (all of them if None) and ``name``: the probability of label 1.
 
-    Null texts score as empty ones; every row is scored, repeated ones too.
+    Null texts score as empty ones; every row is scored, repeated ones too,
+    by its whole text whatever the length; an empty table gives no rows.
     """
     carry = docs.columns if carry is None else carry
     broadcast = docs.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType([*(docs.schema[c] for c in carry), T.StructField(name, T.DoubleType())])
-    return docs.mapInArrow(_scorer(broadcast, carry, name), schema)
+    # Plain names on the way through Arrow: the caller's may hold dots or "score".
+    plain = [f"c{i}" for i in range(len(carry))]
+    rows = docs.select(*[F.col(quoted(c)).alias(p) for c, p in zip(carry, plain)], *([] if "text" in carry else [F.col("text")]))
+    text = plain[carry.index("text")] if "text" in carry else "text"
+    schema = T.StructType([*(T.StructField(p, docs.schema[c].dataType) for c, p in zip(carry, plain)), T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(_scorer(broadcast, plain, text), schema).toDF(*carry, name)
 
 
 def training_labels(labels: DataFrame) -> DataFrame:

@@ -260,3 +260,58 @@ def test_index_maintenance(shipped):
     live = exact_dedup.live_index(rows(("a", 1), ("a", 2), ("b", 3)).withColumn("n", F.lit(1)))
     after = exact_dedup.maintain(live, rows(("b", 9), ("c", 4)), rows(("a", 1), ("a", 2), ("b", 3)))
     assert sorted((bytes(r.digest).decode(), r.keep_id, r.group_size) for r in after.collect()) == [("b", 9, 1), ("c", 4, 1)]
+
+
+def test_cuckoo_index_tells_equal_marks_apart():
+    """Digests of one mark and one pair of buckets are verified entry by entry, also after deletions."""
+    index = exact_dedup.LiveIndex(16)
+    same = [b"\x01\x02" + b"\0" * 6 + bytes([i]) * 24 for i in range(6)]
+    for i, d in enumerate(same):
+        index.add(d, i)
+    assert index.resized == 0 and len(index) == 6
+    assert index.remove(same[2]) and not index.remove(same[2])
+    index.add(same[2], 9, row=4)
+    index.add(same[2], 9, row=3)
+    index.add(same[2], None)
+    assert {d: v for d, v in index.rows.items()} == {d: ((9, 3) if d == same[2] else (i, 1)) for i, d in enumerate(same)}
+    digests, groups = index.take()
+    assert groups[digests.index(same[2])] == [9, 3, 2, 3] and len(index) == 0
+
+
+CLASHES = "doc_id long, text string, lang string, source string, n_chars long, `a.b` string, _source string, _range string, __size string, __digest string, score string, id string, `row` struct<x:int>"
+
+
+@pytest.fixture(scope="module")
+def clashing(shipped):
+    rows = [(*r, f"extra{i}", "s", "r", "z", "d", "q", "i", (i,)) for i, r in enumerate(ODD)]
+    rows.append((*ODD[5], "another", "s", "r", "z", "d", "q", "i", (0,)))
+    return shipped.createDataFrame(rows, CLASHES)
+
+
+def test_survivors_do_not_depend_on_the_order_of_rows(clashing):
+    """Three rows share id and text and differ elsewhere: the first by JSON text stays, in any order of the input."""
+    from strata.llm import ngram_join
+
+    for drop in (exact_dedup.drop_exact_duplicates, ngram_join.drop_near_duplicates):
+        one = sorted(map(repr, drop(clashing.coalesce(1)).collect()))
+        other = sorted(map(repr, drop(clashing.orderBy(F.desc("`a.b`")).repartition(5)).collect()))
+        assert one == other
+    kept = [r for r in exact_dedup.drop_exact_duplicates(clashing).collect() if r.doc_id == 6]
+    assert [r["a.b"] for r in kept] == ["another"]
+
+
+def test_stages_take_any_column_names_and_odd_rows(clashing, odd, tmp_path):
+    import corpus_pipeline
+
+    spark = clashing.sparkSession
+    spark.createDataFrame([(1, 1, 0), (3, 0, 0), (7, 0, 0), (8, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for docs in (clashing, odd, clashing.limit(0)):
+        empty = docs.isEmpty()
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, str(tmp_path))
+            rows = out.collect()
+            assert (not rows) == empty or name == "quality classifier"
+            if name != "packing":
+                assert out.columns == docs.columns and dict(out.dtypes) == dict(docs.dtypes)
+                known = {r.doc_id for r in docs.collect()}
+                assert {r.doc_id for r in rows} <= known
