@@ -11,39 +11,62 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import exact_dedup, mixing, ngram_join, packing, quality
-from strata.llm.common import ship, table
+from strata.llm.common import quoted, ship, table
 from strata.llm.tokens import vocabulary_path
 from strata.session import cut_lineage
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier, learned from the labels of these documents, doesn't reject."""
+    """Documents that the quality classifier, learned from the labels of these documents, doesn't reject.
+
+    Null and empty texts are scored like others; repeated rows share their score and so their fate; whole texts
+    of any length count; an empty table gives no rows; other columns may have any names and pass unchanged.
+    """
     ship(spark)
     labels = quality.training_labels(table(spark, sf_dir, "labels"))
-    scored = quality.score(docs, quality.fit(docs, labels, "quality"), name="__score")
-    return scored.where(F.col("__score") >= quality.THRESHOLD).select(*docs.columns)
+    name = "score"
+    while name in docs.columns:
+        name += "_"
+    scored = quality.score(docs, quality.fit(docs, labels, "quality"), name=name)
+    return scored.where(F.col(name) >= quality.THRESHOLD).select(*[quoted(c) for c in docs.columns])
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The row with the largest id of each group of equal texts."""
+    """The row with the largest id of each group of equal texts (A-Z lower-cased).
+
+    Null and empty texts are one group; of rows that repeat text and id the first by its JSON text stays; a null
+    id is below every id; long texts count whole; an empty table gives no rows; other columns may have any names.
+    """
     ship(spark)
     return exact_dedup.drop_exact_duplicates(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The row with the smallest id of each class of near duplicates."""
+    """The row with the smallest id of each class of near duplicates (five words, Jaccard 0.8 or more).
+
+    Null, empty and wordless texts are one class; a null id is below every id; of rows that repeat id and text the
+    first by its JSON text stays; long texts count whole; an empty table gives no rows; any column names.
+    """
     ship(spark)
     return ngram_join.drop_near_duplicates(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows as often as the mix takes them, the row at a source's cut with its first words."""
+    """Rows as often as the mix takes them, the row at a source's cut with its first words.
+
+    Texts without words (null, empty) are not taken; a null source is a source, the last; ties and repeated rows go by
+    the hash of their id; long texts count whole; an empty table gives no rows; other columns may have any names.
+    """
     ship(spark)
     return mixing.mixed_rows(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences: doc_id, start, length, ids, doc_tokens, sequence_id, offset."""
+    """Pieces of token sequences: doc_id, start, length, ids, doc_tokens, sequence_id, offset.
+
+    Null and empty texts are their end id alone; repeated rows and null ids are documents of their own; long texts are cut
+    into pieces, none is lost; an empty table gives no rows; other columns are not read.
+    """
     ship(spark)
     return packing.pack(docs, vocabulary_path("word_bpe_49k.json"), end=1)
 
