@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +52,7 @@ from strata.sources.config import rule_config
 from strata.sources.files import discover, fingerprint, read_manifest
 from strata.streaming.late import keep_late
 from strata.streaming.stream import dedup_stream, ingest_stream, run_available_now
+from strata.streaming.watermarks import ingestion_log, window_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -352,9 +354,20 @@ def q_masked_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 DEMO_MASK_KEY = "strata-demo-key"
 
 
-@register("keyed_mask")
+def _pad(byte: int) -> str:
+    """The mask key's block, each byte xored with ``byte``, as hex."""
+    return bytes(b ^ byte for b in DEMO_MASK_KEY.encode("utf-8").ljust(64, b"\x00")).hex()
+
+
+@register(
+    "keyed_mask",
+    with_ctes(RETAIL_LINES_SQL, FLAGGED_SQL)
+    + f"""
+SELECT sha256(unhex('{_pad(0x5C)}') || unhex(sha256(unhex('{_pad(0x36)}') || encode(CustomerID)))) AS CustomerID, count(*) AS line_count
+FROM valid_lines GROUP BY 1""",
+)
 def q_keyed_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """HMAC-SHA256 mask with a key (no DuckDB twin; checked against ``hmac`` in tests)."""
+    """HMAC-SHA256 mask with a key (the twin builds it from two SHA-256; checked against ``hmac`` in tests)."""
     valid, _ = valid_and_rejected(spark, sf_dir)
     return valid.groupBy(hmac_sha256("CustomerID", DEMO_MASK_KEY).alias("CustomerID")).agg(
         F.count(F.lit(1)).alias("line_count")
@@ -1502,6 +1515,16 @@ LATE_DELAY = "2 hours"
 SLICE_ROWS = 50_000
 
 
+def time_slices(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, int]:
+    """(events, events with ``slice``, number of slices): slices of time by the input's size; a twentieth comes last."""
+    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")).select("event_id", "ts", "user_id", "event_type")
+    bounds = events.agg(F.count(F.lit(1)).alias("n"), F.min(F.unix_micros("ts")).alias("a"), F.max(F.unix_micros("ts")).alias("b")).first()
+    slices = max(2, -(-bounds["n"] // SLICE_ROWS))
+    width = max(1, ((bounds["b"] or 0) - (bounds["a"] or 0)) // slices + 1)
+    part = F.floor((F.unix_micros("ts") - F.lit(bounds["a"] or 0)) / width).cast("int")
+    return events, events.withColumn("slice", F.when(F.col("event_id") % LATE_MOD == 0, F.lit(slices)).otherwise(part)), slices
+
+
 @register(
     "stream_late_rows",
     f"""
@@ -1514,12 +1537,7 @@ def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     twice; a twentieth comes after all others, mostly behind the watermark. Every event
     reaches the target once, those behind the watermark marked."""
     staged = scratch_path(spark, "late-stream")
-    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")).select("event_id", "ts", "user_id", "event_type")
-    bounds = events.agg(F.count(F.lit(1)).alias("n"), F.min(F.unix_micros("ts")).alias("a"), F.max(F.unix_micros("ts")).alias("b")).first()
-    slices = max(2, -(-bounds["n"] // SLICE_ROWS))
-    width = max(1, ((bounds["b"] or 0) - (bounds["a"] or 0)) // slices + 1)
-    part = F.floor((F.unix_micros("ts") - F.lit(bounds["a"] or 0)) / width).cast("int")
-    dealt = events.withColumn("slice", F.when(F.col("event_id") % LATE_MOD == 0, F.lit(slices)).otherwise(part))
+    events, dealt, slices = time_slices(spark, sf_dir)
     again = dealt.where(F.col("event_id") % TWICE_MOD == 1).withColumn("slice", F.lit(slices))
     dealt = cut_lineage(dealt.unionByName(again), "late-slices")
     for k in range(slices + 1):
@@ -1529,6 +1547,65 @@ def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{staged}/out").select("event_id", "ts", "late")
 
 
+# ---- fixed value: lookback of the stream's windows, in minutes ----
+STREAM_LOOKBACK = 120
+
+
+@register(
+    "stream_watermarks",
+    f"""
+WITH seen AS (SELECT event_type, max(ts) AS m FROM events WHERE event_id % {LATE_MOD} <> 0 GROUP BY event_type),
+placed AS (
+  SELECT e.event_type, e.ts, seen.m,
+         coalesce(e.event_id % {LATE_MOD} = 0 AND e.ts < seen.m - INTERVAL {STREAM_LOOKBACK} MINUTE, false) AS behind
+  FROM events e LEFT JOIN seen USING (event_type)
+)
+SELECT event_type AS provider_id, max(ts) AS last_processed_event_time, 'SUCCESS' AS last_run_status,
+       max(m) AS watermark_after_failure, count_if(NOT behind)::BIGINT AS rows_inside, count_if(behind)::BIGINT AS rows_behind
+FROM placed GROUP BY event_type""",
+)
+def q_stream_watermarks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2/W8/M4-M7 streaming: events arrive in slices of time, each event type a provider with its own
+    watermark and lookback; a twentieth comes last. The last micro-batch fails once after its rows
+    are written: the watermarks stay, the restart writes the same rows and moves them."""
+    staged = scratch_path(spark, "watermark-stream")
+    events, dealt, slices = time_slices(spark, sf_dir)
+    dealt = cut_lineage(dealt, "watermark-slices")
+
+    def run(fail: bool) -> None:
+        def handler(inside: DataFrame, behind: DataFrame, epoch: int) -> None:
+            for part, rows in (("inside", inside), ("behind", behind)):
+                rows.write.mode("overwrite").parquet(f"{staged}/out/{part}/epoch_{epoch}")
+            if fail:
+                raise RuntimeError("the run is to fail")
+
+        stream = spark.readStream.schema(events.schema).option("recursiveFileLookup", "true").parquet(f"{staged}/in")
+        window_stream(
+            stream, f"{staged}/state", f"{staged}/_checkpoint", handler, provider_col="event_type", ts_col="ts", lookback_minutes=STREAM_LOOKBACK
+        )
+
+    for k in range(slices):
+        dealt.where(F.col("slice") == k).drop("slice").write.parquet(f"{staged}/in/slice_{k:06d}")
+        run(fail=False)
+    dealt.where(F.col("slice") == slices).drop("slice").write.parquet(f"{staged}/in/slice_{slices:06d}")
+    try:
+        run(fail=True)
+    except StreamingQueryException as error:
+        if "the run is to fail" not in str(error):
+            raise
+    failed = cut_lineage(ingestion_log(spark, f"{staged}/state").where("last_processed_event_time > TIMESTAMP '1970-01-01'"), "failed-states")
+    run(fail=False)
+    out = None
+    for part in ("inside", "behind"):
+        rows = spark.read.schema(events.schema).option("recursiveFileLookup", "true").parquet(f"{staged}/out/{part}")
+        rows = rows.select(F.col("event_type").alias("provider_id"), F.lit(part).alias("part"))
+        out = rows if out is None else out.unionByName(rows)
+    counts = out.groupBy("provider_id").agg(F.count_if(F.col("part") == "inside").alias("rows_inside"), F.count_if(F.col("part") == "behind").alias("rows_behind"))
+    after = failed.select("provider_id", F.col("last_processed_event_time").alias("watermark_after_failure"))
+    state = ingestion_log(spark, f"{staged}/state").select("provider_id", "last_processed_event_time", "last_run_status")
+    return state.join(after, "provider_id", "left").join(counts, "provider_id")
+
+
 STREAM_INGEST_SQL = with_ctes(RETAIL_LINES_SQL, FLAGGED_SQL) + """
 SELECT strftime(CAST(strptime(regexp_extract(source_file, '(\\d{8})', 1), '%Y%m%d') AS DATE), '%Y-%m-%d') AS source_date,
        count(*) AS total_records,
