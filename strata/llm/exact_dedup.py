@@ -274,15 +274,16 @@ def exact_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
 def drop_exact_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stay, with all their columns whatever their names (see ``exact_duplicates``).
 
-    Only groups of two rows or more are joined to the texts.  Of rows that
-    repeat the surviving text and id, the first in the order of the row's JSON
+    The rows are joined to the groups of two or more.  Of rows that repeat the surviving text and id, the first in the order of the row's JSON
     text stays, whatever the order of the input; null and empty texts are one
     group; an empty table gives no rows.
     """
     keys = docs.select(digests(docs, text).alias("digest"), F.col(id).cast("bigint").alias("doc_id"))
     groups = cut_lineage(live_index(keys).where("group_size > 1"), "equal-texts")
     packed = docs.select(F.struct("*").alias("row"), F.col(id).cast("bigint").alias("id"), digests(docs, text).alias("digest"))
-    found = packed.join(groups.select(F.col("digest").alias("group"), "keep_id", "keep_rows"), F.col("digest") == F.col("group"), "left")
+    # One way at every size: the groups grow with the rows, so they aren't sent whole while they are few.
+    repeated = groups.select(F.col("digest").alias("group"), "keep_id", "keep_rows").hint("merge")
+    found = packed.join(repeated, F.col("digest") == F.col("group"), "left")
     found = found.where(F.col("group").isNull() | F.col("id").eqNullSafe(F.col("keep_id")))
     if groups.where("keep_rows > 1").isEmpty():
         return found.select("row.*")
