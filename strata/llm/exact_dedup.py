@@ -274,9 +274,10 @@ def exact_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
 def drop_exact_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stay, with all their columns whatever their names (see ``exact_duplicates``).
 
-    The rows are joined to the groups of two or more.  Of rows that repeat the surviving text and id, the first in the order of the row's JSON
-    text stays, whatever the order of the input; null and empty texts are one
-    group; an empty table gives no rows.
+    The rows are joined to the groups of two or more.  Of rows that repeat the
+    surviving text and id, the first in the order of the row's JSON text stays,
+    whatever the order of the input; null and empty texts are one group; an
+    empty table gives no rows.
     """
     keys = docs.select(digests(docs, text).alias("digest"), F.col(id).cast("bigint").alias("doc_id"))
     groups = cut_lineage(live_index(keys).where("group_size > 1"), "equal-texts")
