@@ -1078,6 +1078,10 @@ def q_manifest_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mf.verify_manifest(manifest, actual)
 
 
+# Lines of a part, about.
+PURITY_ROWS = 250_000
+
+
 @register(
     "date_purity",
     f"""
@@ -1098,12 +1102,20 @@ FROM (
 GROUP BY l_orderkey""",
 )
 def q_date_purity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per order-file, all dates parse, one calendar date, equal to the declared (order) date."""
+    """Per order-file, all dates parse, one calendar date, equal to the declared (order) date.
+
+    The join and the counts by order work on parts of about ``PURITY_ROWS`` lines:
+    their number follows the input, so a task's memory does not.
+    """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_shipdate")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     text = F.when(F.col("l_suppkey") % BAD_DATE_MOD == 0, F.date_format("l_shipdate", "dd/MM/yyyy")).otherwise(
         F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")
     )
+    # A count of a parquet table reads its footers only.
+    slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(slots, -(-li.count() // PURITY_ROWS))
+    li, orders = li.repartition(parts, "l_orderkey"), orders.repartition(parts, "o_orderkey")
     lines = li.join(orders, li.l_orderkey == orders.o_orderkey, "left").select(
         "l_orderkey", text.alias("InvoiceDate"), "o_orderdate"
     )
