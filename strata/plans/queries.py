@@ -79,13 +79,13 @@ def register(name: str, sql: str | None = None):
 # ---------------------------------------------------------------- shared plans
 
 
-def flagged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flagged_lines(spark: SparkSession, sf_dir: str, by_day: bool = False) -> DataFrame:
     """Raw lines -> lenient casts -> ordered reason string."""
-    return rules.flag(rules.coerce(retail_lines(spark, sf_dir)))
+    return rules.flag(rules.coerce(retail_lines(spark, sf_dir, by_day)))
 
 
-def valid_and_rejected(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return rules.split(flagged_lines(spark, sf_dir))
+def valid_and_rejected(spark: SparkSession, sf_dir: str, by_day: bool = False) -> tuple[DataFrame, DataFrame]:
+    return rules.split(flagged_lines(spark, sf_dir, by_day))
 
 
 def silver_plan(spark: SparkSession, sf_dir: str, dedup_mode: str = "hash", counts=None) -> DataFrame:
@@ -1388,12 +1388,11 @@ def q_manifest_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage_raw_files(spark: SparkSession, sf_dir: str) -> str:
     """The raw layer written as daily CSV files (``source_date=YYYY-MM-DD/part-*.csv``)."""
     root = scratch_path(spark, "raw")
-    raw = retail_lines(spark, sf_dir).withColumn(
+    raw = retail_lines(spark, sf_dir, by_day=True).withColumn(
         "source_date", F.date_format(source_date_from_name("source_file"), "yyyy-MM-dd")
     )
     (
         raw.select(*RAW_COLUMNS, "source_date")
-        .hint("rebalance", "source_date")
         .write.option("header", "true")
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", "false")
@@ -1475,7 +1474,7 @@ def q_silver_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K6 + A2: bronze (valid lines of the daily files) -> silver twice into the same
     table; dynamic overwrite keeps it whole, not doubled. Rows per SourceDate."""
     out = scratch_path(spark, "layers")
-    valid, _ = valid_and_rejected(spark, sf_dir)
+    valid, _ = valid_and_rejected(spark, sf_dir, by_day=True)
     bronze = valid.withColumn("source_date", F.date_format(source_date_from_name("source_file"), "yyyy-MM-dd"))
     write_bronze(bronze, f"{out}/bronze")
     for _ in range(2):

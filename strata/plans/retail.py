@@ -7,10 +7,11 @@ daily file (``retail_sales_YYYYMMDD.csv`` of the ship date) the line
 belongs to. Defects are put in by fixed arithmetic on the keys, so the same
 view can be written in DuckDB SQL (``RETAIL_LINES_SQL``) for the oracle.
 
-Plan shape: lineitem joined to orders (large-large, shuffle or AQE's choice),
-customer and part (grow with the data: AQE picks broadcast only when the
-runtime size is under the threshold) and nation (25 rows by definition:
-broadcast). Copies come from a ``Generate`` on the same scan, not from a
+Plan shape: the orders get their customer and nation first (nation: 25 rows by
+definition, broadcast), then lineitem joins the orders and part, so the lines,
+the largest table, are shuffled twice and not once more for the customers.
+Customer and part grow with the data: AQE picks broadcast only when the
+runtime size is under the threshold. Copies come from a ``Generate`` on the same scan, not from a
 second scan and a union.
 """
 
@@ -39,8 +40,21 @@ def daily_file_name(ts_col) -> F.Column:
     return F.concat(F.lit("retail_sales_"), F.date_format(ts_col, "yyyyMMdd"), F.lit(".csv"))
 
 
-def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw text lines: ``source_file`` + the eight business columns (strings)."""
+def buyers(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
+    """(o_orderkey, o_custkey, n_nationkey, n_name) of every order; no customer or nation: null."""
+    return (
+        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+        .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        .select("o_orderkey", "o_custkey", "n_nationkey", "n_name")
+    )
+
+
+def retail_lines(spark: SparkSession, sf_dir: str, by_day: bool = False) -> DataFrame:
+    """Raw text lines: ``source_file`` + the eight business columns (strings).
+
+    ``by_day``: the lines of a daily file lie in few tasks, to be written by file as they
+    are (AQE splits a hot day). The typed columns are shuffled for it, not their texts.
+    """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate"
     )
@@ -50,11 +64,11 @@ def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
 
     j = (
-        li.join(orders, li.l_orderkey == orders.o_orderkey, "left")
-        .join(customer, F.col("o_custkey") == customer.c_custkey, "left")
-        .join(F.broadcast(nation), F.col("c_nationkey") == nation.n_nationkey, "left")
-        .join(part, li.l_partkey == part.p_partkey, "left")
+        li.join(buyers(orders, customer, nation), F.col("l_orderkey") == F.col("o_orderkey"), "left")
+        .join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
     )
+    if by_day:
+        j = j.drop("o_orderkey", "p_partkey").withColumn("_day", F.to_date("l_shipdate")).hint("rebalance", "_day")
     ok, pk = F.col("l_orderkey"), F.col("l_partkey")
     ret = F.col("l_returnflag") == "R"
     qty = F.col("l_quantity").cast("bigint")
@@ -103,10 +117,8 @@ def source_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     j = (
-        li.join(orders, li.l_orderkey == orders.o_orderkey, "left")
-        .join(customer, F.col("o_custkey") == customer.c_custkey, "left")
-        .join(F.broadcast(nation), F.col("c_nationkey") == nation.n_nationkey, "left")
-        .join(part, li.l_partkey == part.p_partkey, "left")
+        li.join(buyers(orders, customer, nation), F.col("l_orderkey") == F.col("o_orderkey"), "left")
+        .join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
     )
     ok = F.col("l_orderkey")
     return j.select(

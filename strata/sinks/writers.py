@@ -2,9 +2,11 @@
 
 All writers are partitioned, idempotent overwrites of exactly the partitions a
 batch owns (dynamic partition overwrite), plus explicit clearing of a file's
-partitions when a re-delivery leaves one side empty. Writes go through
-``rebalance`` so one hot date is split across tasks by AQE instead of being
-written by a single task.
+partitions when a re-delivery leaves one side empty. Rows that lie anyhow go
+through ``rebalance`` first, so that one hot date is split across tasks by AQE
+instead of being written by a single task. Bronze and quarantine rows lie by
+file as they come (a raw file is read by its splits, each by one task), and
+are written where they are, without another shuffle of all lines.
 """
 
 from __future__ import annotations
@@ -41,8 +43,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def _partitioned_csv(df: DataFrame, path: str, parts: Sequence[str]) -> None:
     (
-        df.hint("rebalance", *parts)
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("header", "true")
         .option("escape", '"')
@@ -57,12 +58,14 @@ def _partitioned_csv(df: DataFrame, path: str, parts: Sequence[str]) -> None:
 def write_bronze(valid: DataFrame, bronze_path: str) -> None:
     """K3: valid rows (the eight columns) under ``source_date=/source_file=``, replacing
     only the partitions of the files in this batch. Nothing is written for a
-    file without valid rows (clear its partition first, see ``clear_partitions``)."""
+    file without valid rows (clear its partition first, see ``clear_partitions``).
+    A task writes one part for each file that it has rows of: ``valid`` comes by
+    file, or from ``hint("rebalance", ...)`` on the file or its day."""
     _partitioned_csv(valid.select(*RAW_COLUMNS, "source_date", "source_file"), bronze_path, ["source_date", "source_file"])
 
 
 def write_quarantine_rows(rejected: DataFrame, quarantine_path: str) -> None:
-    """K4: rejected rows with the three leading columns, same layout as bronze."""
+    """K4: rejected rows with the three leading columns, same layout and clustering as bronze."""
     cols = [*REJECT_META_COLUMNS, *RAW_COLUMNS, "source_date", "source_file"]
     _partitioned_csv(rejected.select(*cols), f"{quarantine_path.rstrip('/')}/rows", ["source_date", "source_file"])
 

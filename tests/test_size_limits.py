@@ -27,3 +27,22 @@ def test_date_purity_has_parts_by_the_number_of_lines(spark, workdir, monkeypatc
     assert plan.count("hashpartitioning(l_orderkey") == 1
     rows = {r.l_orderkey: (r.record_count, r.distinct_dates, r.declared_date) for r in got.collect()}
     assert rows == {k: (10, 2, DAY.date() if k < 9 else None) for k in range(10)}
+
+
+def test_bronze_rows_are_written_where_they_lie(spark, workdir):
+    text = [F.lit("x").alias(c) for c in RAW_COLUMNS]
+    rows = spark.range(1000).repartition(3).select(*text, F.lit("2024-05-01").alias("source_date"), F.lit("f.csv").alias("source_file"))
+    write_bronze(rows, f"{workdir}/bronze")
+    parts = list(Path(f"{workdir}/bronze/source_date=2024-05-01/source_file=f.csv").glob("part-*.csv"))
+    assert len(parts) == 3
+    assert spark.read.option("header", "true").csv(f"{workdir}/bronze").count() == 1000
+
+
+@pytest.mark.parametrize("by_day", [False, True])
+def test_lines_are_the_same_by_day(spark, by_day):
+    from conftest import SF001
+    from strata.plans.retail import retail_lines
+
+    want = retail_lines(spark, SF001)
+    got = retail_lines(spark, SF001, by_day=by_day)
+    assert got.columns == want.columns and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
