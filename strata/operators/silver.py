@@ -28,6 +28,7 @@ from strata.functions.expr import (
 from strata.schemas import RAW_COLUMNS, SILVER_COLUMNS
 
 HASH_COL = "_row_hash"
+PART_COL = "_file_part"
 
 
 def _typed(df: DataFrame, name: str, target: T.DataType, formats) -> Column:
@@ -67,14 +68,18 @@ def cast_columns(df: DataFrame, formats: Sequence[str] = DEFAULT_TIMESTAMP_FORMA
     )
 
 
-def silver_row_hash() -> Column:
-    """P5: SHA-256 of the eight typed values joined by ``||``; NULL as '',
-    InvoiceDate as ``yyyy-MM-dd HH:mm:ss``, numbers by Spark's string cast."""
+def _row_text() -> Column:
     parts = []
     for c in RAW_COLUMNS:
         v = F.date_format(F.col(c), ROW_HASH_TS_FORMAT) if c == "InvoiceDate" else F.col(c).cast("string")
         parts.append(F.coalesce(v, F.lit("")))
-    return F.sha2(F.concat_ws(ROW_HASH_SEPARATOR, *parts), 256)
+    return F.concat_ws(ROW_HASH_SEPARATOR, *parts)
+
+
+def silver_row_hash() -> Column:
+    """P5: SHA-256 of the eight typed values joined by ``||``; NULL as '',
+    InvoiceDate as ``yyyy-MM-dd HH:mm:ss``, numbers by Spark's string cast."""
+    return F.sha2(_row_text(), 256)
 
 
 def with_row_hash(df: DataFrame, out: str = HASH_COL) -> DataFrame:
@@ -88,6 +93,7 @@ def dedup_exact(
     file_col: str = "SourceFile",
     survivor_order: Sequence[str] = (),
     carry_keys: Sequence[str] = (),
+    parts_col: str | None = None,
 ) -> DataFrame:
     """A1: remove exact duplicate lines.
 
@@ -103,16 +109,27 @@ def dedup_exact(
     before the shuffle). When key-equal rows still differ in other columns
     the survivor is the least by ``survivor_order`` (then all columns), so the
     choice is deterministic.
+
+    ``parts_col`` (hash mode, file scope; constant per file, dropped) is the number of
+    parts that a file's rows are dealt to, by their values: the rows are
+    shuffled once, without their hash, and lie by file in the result, so that
+    it can be written by file as it is. Copies meet in their part, not before the shuffle.
     """
     if mode not in ("hash", "typed"):
         raise ValueError(f"mode must be 'hash' or 'typed', not {mode!r}")
+    dealt = parts_col is not None
+    if dealt:
+        if mode != "hash" or scope != "file":
+            raise ValueError("parts_col needs mode 'hash' and scope 'file'")
+        part = F.pmod(F.xxhash64(_row_text()), F.greatest(F.coalesce(F.col(parts_col), F.lit(1)), F.lit(1)).cast("bigint")).cast("int")
+        df = df.withColumn(PART_COL, part).drop(parts_col).repartition(file_col, PART_COL)
     if mode == "hash" and HASH_COL not in df.columns:
         df = with_row_hash(df)
     key = [HASH_COL] if mode == "hash" else list(RAW_COLUMNS)
     if scope == "file":
         # Columns constant within a file (lineage such as the checksum) join the
         # key, so the typed mode stays a key-only hash aggregate.
-        key = key + [file_col] + [c for c in carry_keys if c in df.columns]
+        key = key + [file_col] + [c for c in carry_keys if c in df.columns] + ([PART_COL] if dealt else [])
     elif scope != "batch":
         raise ValueError(f"scope must be 'file' or 'batch', not {scope!r}")
     rest = [c for c in df.columns if c not in key]
@@ -122,7 +139,7 @@ def dedup_exact(
     order = list(survivor_order) + [c for c in rest if c not in survivor_order]
     best = F.min(F.struct(*[F.col(c) for c in order])).alias("_s")
     out = distinct.groupBy(*key).agg(best)
-    return out.select(*[F.col(c) if c in key else F.col(f"_s.{c}").alias(c) for c in df.columns])
+    return out.select(*[F.col(c) if c in key else F.col(f"_s.{c}").alias(c) for c in df.columns if c != PART_COL])
 
 
 def derive(df: DataFrame, mask: str = "sha256", key: str | bytes | None = None) -> DataFrame:
@@ -205,6 +222,7 @@ def to_silver(
     mask: str = "sha256",
     mask_key: str | bytes | None = None,
     counts: RunCounts | None = None,
+    parts_col: str | None = None,
 ) -> DataFrame:
     """The silver plan, one lazy DataFrame: casts -> hash -> dedup -> derived and
     masked -> lineage -> projection.
@@ -212,7 +230,7 @@ def to_silver(
     Lineage that is constant per file (SourceFile, SourceChecksum) is attached
     before the dedup so that ``scope="file"`` keys on it; run-level literals
     come after. Pass ``RunCounts`` to get the source/deduplicated counts from
-    the same pass that writes (A2) instead of extra actions.
+    the same pass that writes (A2) instead of extra actions. ``parts_col``: see ``dedup_exact``.
     """
     df = cast_columns(valid_lines)
     if source_checksum is None:
@@ -225,10 +243,11 @@ def to_silver(
         *RAW_COLUMNS,
         file_name(F.col(source_col)).alias("SourceFile"),
         checksum.alias("SourceChecksum"),
+        *([parts_col] if parts_col else []),
     )
     if counts is not None:
         df = df.observe(counts.source, F.count(F.lit(1)).alias("source_count"))
-    df = dedup_exact(df, mode=dedup_mode, scope=dedup_scope, file_col="SourceFile", carry_keys=["SourceChecksum"])
+    df = dedup_exact(df, mode=dedup_mode, scope=dedup_scope, file_col="SourceFile", carry_keys=["SourceChecksum"], parts_col=parts_col)
     if dedup_mode == "hash":
         df = df.drop(HASH_COL)
     if counts is not None:

@@ -31,6 +31,8 @@ from strata.sinks.silver_files import merge_by_file
 from strata.sources import contract
 from strata.sources.files import discover, fingerprint, list_files, read_lines
 
+# Bronze bytes of a file that one task deduplicates and writes, about.
+PART_BYTES = 64 << 20
 # ---- fixed values: text before a file's error in its state row ----
 FILE_FAILURE_PREFIX = "File-level validation failed: "
 
@@ -385,23 +387,28 @@ def bronze_to_silver(
         newest = F.max(F.struct("updated_at", "source_checksum"))["source_checksum"].alias("source_checksum")
         sums = cur.groupBy("source_file", "source_date").agg(newest)
         bronze = bronze.join(sums, on=["source_file", "source_date"], how="left")
+    # The folder is listed once: the batch's files, and how many parts their rows are dealt to.
+    path = lambda key: F.url_decode(F.regexp_extract("path", key + r"=([^/]+)", 1))
+    listed = cut_lineage(list_files(spark, bronze_path).select(path("source_file").alias("SourceFile"), path("source_date").alias("FileDate"), "length"), "bronze-files")
+    dealt = dedup_mode == "hash" and (guard or overwrite != "partition")
+    if dealt:
+        sizes = listed.groupBy(F.col("SourceFile").alias("source_file")).agg(F.ceil(F.sum("length") / PART_BYTES).alias("_parts"))
+        # Files of one part need no entry: never more rows than the input has parts.
+        bronze = bronze.join(F.broadcast(sizes.where("_parts > 1")), "source_file", "left")
     counts = silver.RunCounts()
     out = silver.to_silver(
-        bronze, pipeline_run_id=run_id, processed_at=processed_at, dedup_mode=dedup_mode, counts=counts
+        bronze, pipeline_run_id=run_id, processed_at=processed_at, dedup_mode=dedup_mode, counts=counts, parts_col="_parts" if dealt else None
     )
     if not guard and overwrite == "partition":
         writers.write_silver(out, silver_path)
         return counts.result()
     # The batch's files: those in bronze, and those whose delivery succeeded without a valid row.
-    in_bronze = list_files(spark, bronze_path).select(
-        F.url_decode(F.regexp_extract("path", r"source_file=([^/]+)", 1)).alias("SourceFile"),
-        F.to_date(F.regexp_extract("path", r"source_date=([^/]+)", 1)).alias("FileDate"),
-    )
+    in_bronze = listed.select("SourceFile", F.to_date("FileDate").alias("FileDate"))
     if state_path is not None:
         in_bronze = in_bronze.unionByName(cur.select(F.col("source_file").alias("SourceFile"), F.col("source_date").alias("FileDate")))
     if dates is not None:
         in_bronze = in_bronze.where(F.col("FileDate").isin([_dt.date.fromisoformat(d) for d in dates]))
-    merged = merge_by_file(out, silver_path, in_bronze, keep_other_files=overwrite == "merge")
+    merged = merge_by_file(out, silver_path, in_bronze, keep_other_files=overwrite == "merge", clustered=dealt)
     return counts.result() | ({"stray_count": merged["stray_rows"]} if merged["stray_rows"] else {})
 
 

@@ -68,11 +68,12 @@ def _append(entries: DataFrame, silver_path: str) -> None:
     rows.coalesce(8).write.mode("append").parquet(index_path(silver_path))
 
 
-def _write(rows: DataFrame, silver_path: str) -> None:
+def _write(rows: DataFrame, silver_path: str, clustered: bool = False) -> None:
     (
-        rows.hint("rebalance", "SourceDate")
+        (rows if clustered else rows.hint("rebalance", "SourceDate"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "zstd")  # masked ids are hex digests, which snappy leaves as they are
         .partitionBy("SourceDate")
         .parquet(silver_path)
     )
@@ -89,7 +90,7 @@ def _others(spark: SparkSession, silver_path: str, placed: DataFrame, dates: Dat
     return cut_lineage(table.join(wanted, ["SourceFile", "SourceDate"], "left_semi").select(*schema.names), "kept-rows")
 
 
-def merge_by_file(silver: DataFrame, silver_path: str, files: DataFrame, keep_other_files: bool = False) -> dict:
+def merge_by_file(silver: DataFrame, silver_path: str, files: DataFrame, keep_other_files: bool = False, clustered: bool = False) -> dict:
     """Replaces the rows of ``files`` (SourceFile, FileDate) by those of ``silver``.
 
     ``files`` names every file of the batch, also those without a row left. Other
@@ -97,6 +98,7 @@ def merge_by_file(silver: DataFrame, silver_path: str, files: DataFrame, keep_ot
     ``keep_other_files``: a file that belongs to a day of the batch (its FileDate, or its rows' date
     where that is unknown) and is not in the batch is gone from the source, and
     its rows in that day go with it (the batch is then the whole day).
+    ``clustered``: a file's rows lie in few tasks already, and are written from there.
     Returns {"stray_rows", "dates", "cleared_dates"}.
     """
     spark = silver.sparkSession
@@ -138,7 +140,7 @@ def merge_by_file(silver: DataFrame, silver_path: str, files: DataFrame, keep_ot
     marked = marked.observe(seen, F.count_if(F.col("_known").isNull()).alias("stray"))
     rows = marked.where(F.col("_known")).select(*columns)
     kept = _others(spark, silver_path, others, known, silver.schema)
-    _write(rows if kept is None else rows.unionByName(kept), silver_path)
+    _write(rows if kept is None else rows.unionByName(kept), silver_path, clustered=clustered and kept is None)
 
     # 3: rows of other dates, which the first pass counted.
     try:

@@ -46,3 +46,25 @@ def test_lines_are_the_same_by_day(spark, by_day):
     want = retail_lines(spark, SF001)
     got = retail_lines(spark, SF001, by_day=by_day)
     assert got.columns == want.columns and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_dealt_dedup_shuffles_the_lines_once(spark):
+    rows = []
+    for f, parts in (("a", None), ("b", 1), ("c", 3)):
+        for k in range(40):
+            base = (f"i{k % 20}", "s", "d", 1, DAY, 2.0, "c", "UK", f, None, parts)
+            rows.append(base)
+        rows += [
+            ("i1", "s", None, 1, DAY, 2.0, "c", "UK", f, None, parts),
+            ("i1", "s", "", 1, DAY, 2.0, "c", "UK", f, None, parts),
+            ("i1", "s", "d", 1, DAY.replace(microsecond=7), 2.0, "c", "UK", f, None, parts),
+            (None, None, None, None, None, None, None, None, f, None, parts),
+        ]
+    kinds = ", ".join(f"{c} {silver.SILVER_TYPES[c].simpleString()}" for c in RAW_COLUMNS)
+    df = spark.createDataFrame(rows, f"{kinds}, SourceFile string, SourceChecksum string, parts long")
+    dealt = silver.dedup_exact(df, carry_keys=["SourceChecksum"], parts_col="parts")
+    assert dealt._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    plain = silver.dedup_exact(df.drop("parts"), carry_keys=["SourceChecksum"])
+    assert dealt.columns == plain.columns
+    key = lambda r: tuple((v is not None, str(v)) for v in r)
+    assert sorted(map(tuple, dealt.collect()), key=key) == sorted(map(tuple, plain.collect()), key=key)
