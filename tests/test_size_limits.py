@@ -15,6 +15,24 @@ from strata.sinks.writers import write_bronze
 DAY = dt.datetime(2024, 5, 1)
 
 
+def test_a_slice_gives_every_task_slot_its_rows(spark, workdir):
+    if spark.sparkContext.defaultParallelism < 3:
+        pytest.skip("needs three task slots")
+    rows = spark.range(120_001).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id")).alias("ts"),
+        (F.col("id") % 7).alias("user_id"), F.lit("view").alias("event_type"),
+    )
+    rows.write.parquet(f"{workdir}/events.parquet")
+    _, dealt, slices = Q.time_slices(spark, workdir)
+    assert slices == 2
+    staged = Q.stage_slices(dealt, "test-slices")
+    sizes = {k: staged.where(F.col("slice") == k).count() for k in range(slices + 1)}
+    assert sum(sizes.values()) == 120_001 and sizes[2] == 6001
+    # Reading one slice reads its folder.
+    plan = staged.where(F.col("slice") == 1)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(slice" in plan
+
+
 def test_date_purity_has_parts_by_the_number_of_lines(spark, workdir, monkeypatch):
     monkeypatch.setattr(Q, "PURITY_ROWS", 5, raising=False)
     lines = [(k % 10, 1, DAY + dt.timedelta(days=k // 50)) for k in range(100)]
