@@ -1523,6 +1523,7 @@ def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- fixed values: events that come last, and events that come twice ----
 LATE_MOD, TWICE_MOD = 20, 50
 LATE_DELAY = "2 hours"
+# Rows of a slice for each task slot.
 SLICE_ROWS = 50_000
 
 
@@ -1539,7 +1540,6 @@ def time_slices(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
     return events, events.withColumn("slice", F.when(F.col("event_id") % LATE_MOD == 0, F.lit(slices)).otherwise(part)), slices
 
 
-@register(
 def stage_slices(dealt: DataFrame, name: str) -> DataFrame:
     """``dealt`` staged by slice: reading one (``slice == k``) reads that folder alone, not all slices again."""
     path = scratch_path(dealt.sparkSession, name)
@@ -1547,6 +1547,7 @@ def stage_slices(dealt: DataFrame, name: str) -> DataFrame:
     return dealt.sparkSession.read.schema(dealt.schema).parquet(path)
 
 
+@register(
     "stream_late_rows",
     f"""
 WITH seen AS (SELECT max(ts) AS m FROM events WHERE event_id % {LATE_MOD} <> 0)
@@ -1560,7 +1561,7 @@ def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = scratch_path(spark, "late-stream")
     events, dealt, slices = time_slices(spark, sf_dir)
     again = dealt.where(F.col("event_id") % TWICE_MOD == 1).withColumn("slice", F.lit(slices))
-    dealt = cut_lineage(dealt.unionByName(again), "late-slices")
+    dealt = stage_slices(dealt.unionByName(again), "late-slices")
     for k in range(slices + 1):
         dealt.where(F.col("slice") == k).drop("slice").write.parquet(f"{staged}/in/slice_{k:06d}")
         stream = spark.readStream.schema(events.schema).option("recursiveFileLookup", "true").parquet(f"{staged}/in")
