@@ -68,10 +68,9 @@ def _append(entries: DataFrame, silver_path: str) -> None:
     rows.coalesce(8).write.mode("append").parquet(index_path(silver_path))
 
 
-def _write(rows: DataFrame, silver_path: str, clustered: bool = False) -> None:
+def _write(rows: DataFrame, silver_path: str) -> None:
     (
-        (rows if clustered else rows.hint("rebalance", "SourceDate"))
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")  # masked ids are hex digests, which snappy leaves as they are
         .partitionBy("SourceDate")
@@ -140,7 +139,8 @@ def merge_by_file(silver: DataFrame, silver_path: str, files: DataFrame, keep_ot
     marked = marked.observe(seen, F.count_if(F.col("_known").isNull()).alias("stray"))
     rows = marked.where(F.col("_known")).select(*columns)
     kept = _others(spark, silver_path, others, known, silver.schema)
-    _write(rows if kept is None else rows.unionByName(kept), silver_path, clustered=clustered and kept is None)
+    rows = rows if kept is None else rows.unionByName(kept)
+    _write(rows if clustered and kept is None else rows.hint("rebalance", "SourceDate"), silver_path)
 
     # 3: rows of other dates, which the first pass counted.
     try:
@@ -157,7 +157,8 @@ def merge_by_file(silver: DataFrame, silver_path: str, files: DataFrame, keep_ot
         )
         _append(cut_lineage(ahead, "index-entries"), silver_path)
         kept = _others(spark, silver_path, others, dates, silver.schema)
-        _write(strays if kept is None else strays.unionByName(kept), silver_path)
+        strays = strays if kept is None else strays.unionByName(kept)
+        _write(strays.hint("rebalance", "SourceDate"), silver_path)
         touched = known.unionByName(dates).where("SourceDate is not null")
 
     # 4: the entries as they are now (two columns of the written dates). A date whose files are
