@@ -57,25 +57,27 @@ def compress(tokens: np.ndarray, base: int = BASE, least: int = LEAST) -> tuple[
     rules, lengths = [], [np.ones(base, dtype=np.int64)]
     size, known = lengths[0], base
     at = np.arange(max(0, len(sequence) - 1))
-    keys = sequence[:-1] << 32 | sequence[1:]
-    # Most pairs of a text occur once: those whose bucket is small need no exact count.
-    bucket = (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BUCKETS)
-    at = at[np.bincount(bucket.astype(np.int64), minlength=1 << _BUCKETS)[bucket.astype(np.int64)] >= least]
     while len(at):
         keys = sequence[at] << 32 | sequence[at + 1]
+        # Most pairs of a text occur once: those whose bucket is small need no exact count.
+        bucket = ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BUCKETS)).view(np.int64)
+        maybe = np.flatnonzero(np.bincount(bucket, minlength=1 << _BUCKETS)[bucket] >= least)
+        at, keys = at[maybe], keys[maybe]
+        if not len(at):
+            break
         which, pairs = pd.factorize(keys)
         counts = np.bincount(which)
-        frequent = counts[which] >= least
+        frequent = np.flatnonzero(counts[which] >= least)
         at, which = at[frequent], which[frequent]
         if not len(at):
             break
         for enough in (max(least, int(counts.max()) // SPREAD), int(counts.max())):
-            use = counts[which] >= enough
+            use = np.flatnonzero(counts[which] >= enough)
             place, pair = at[use], which[use]
             if enough == counts.max():
                 one = pair == pair[0]
                 place, pair = place[one], pair[one]
-            free = _runs(place)
+            free = np.flatnonzero(_runs(place))
             place, pair = place[free], pair[free]
             used = np.bincount(pair, minlength=len(pairs))
             chosen = np.flatnonzero(used >= USES)
@@ -85,7 +87,8 @@ def compress(tokens: np.ndarray, base: int = BASE, least: int = LEAST) -> tuple[
         number = np.full(len(pairs), -1, dtype=np.int64)
         number[chosen] = known + np.arange(len(chosen))
         new = number[pair]
-        place, new = place[new >= 0], new[new >= 0]
+        ruled = np.flatnonzero(new >= 0)
+        place, new = place[ruled], new[ruled]
         made = np.stack([pairs[chosen] >> 32, pairs[chosen] & 0xFFFFFFFF], axis=1)
         rules.append(made)
         size = np.concatenate([size, size[made].sum(axis=1)])
@@ -99,7 +102,8 @@ def compress(tokens: np.ndarray, base: int = BASE, least: int = LEAST) -> tuple[
         look[np.maximum(place - 1, 0)] = True
         # The symbol before a new one may be gone itself; the new symbol of that place then has the pair.
         look[np.maximum(place - 2, 0)] = True
-        sequence, look = sequence[~gone], look[~gone]
+        left = np.flatnonzero(~gone)
+        sequence, look = sequence[left], look[left]
         look[-1] = False
         at = np.flatnonzero(look)
     made = np.concatenate(rules).astype(np.uint32) if rules else np.zeros((0, 2), dtype=np.uint32)
@@ -192,15 +196,22 @@ def _write_shards(path: str, end: int):
             ]
             return pa.RecordBatch.from_arrays(row, names=[f.split()[0] for f in _SHARDS.split(", ")])
 
-        for batch in text_chunks(batches, target=1_000_000):
+        # The more texts at once, the fewer words are looked up.
+        for batch in text_chunks(batches, target=8_000_000):
             got, n = encoder.encode([t or "" for t in batch.column("text").to_pylist()], end)
-            docs += batch.column("doc_id").to_pylist()
-            counts += n.tolist()
-            ids.append(got)
-            held += len(got)
-            if held >= SHARD:
-                yield shard()
-                docs, counts, ids, held, number = [], [], [], 0, number + 1
+            names, ends, a = batch.column("doc_id").to_pylist(), np.cumsum(n), 0
+            while a < len(n):
+                done = int(ends[a] - n[a])
+                # The document that fills the shard is its last.
+                b = min(len(n), int(np.searchsorted(ends, done + SHARD - held)) + 1)
+                docs += names[a:b]
+                counts += n[a:b].tolist()
+                ids.append(got[done : int(ends[b - 1])])
+                held += len(ids[-1])
+                if held >= SHARD:
+                    yield shard()
+                    docs, counts, ids, held, number = [], [], [], 0, number + 1
+                a = b
         if docs:
             yield shard()
 

@@ -11,9 +11,11 @@ from __future__ import annotations
 
 import os
 import re
-from itertools import chain, islice
+from itertools import chain, islice, repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 
 def vocabulary_path(name: str) -> str:
@@ -57,6 +59,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._tokenize = self._tokenizer.model.tokenize
+        # Byte 0, if no merge holds it: words with it between them can be merged as one string.
+        zero = _SYMBOLS[0]
+        alone = spaces == "kept" and [t for t in self._tokenizer.get_vocab() if zero in t] == [zero]
+        self._apart = self._tokenizer.token_to_id(zero) if alone else None
         self._specials = {t.content: i for i, t in self._tokenizer.get_added_tokens_decoder().items()}
         by_length = sorted(self._specials, key=len, reverse=True)
         self._special = re.compile("(" + "|".join(map(re.escape, by_length)) + ")") if by_length else None
@@ -82,15 +89,28 @@ class Encoder:
             return [text]
         return [self._specials[s] if k % 2 else s for k, s in enumerate(self._special.split(text))]
 
-    def _words(self, text: str) -> list[str]:
-        """Keys of a text: its words; with spaces kept, "\\n\\n" marks the first word and "\\n" those after a line break."""
+    def _numbers(self, texts: list[str]) -> list[np.ndarray]:
+        """The numbers of each text's keys, new ones included.
+
+        Keys are words; with spaces kept, "\\n\\n" marks the first word and "\\n" those after a line break.
+        """
+        seen = self._seen
         if not self._kept:
-            return [text] if any(c in text for c in _SEPARATORS) else text.split()
-        if "\n" in text:
-            text = text.replace("\n", " \n")
-        words = text.split(" ")
-        words[0] = "\n\n" + words[0]
-        return words
+            look = seen.__getitem__
+            each = ([text] if any(c in text for c in _SEPARATORS) else text.split() for text in texts)
+            return [np.fromiter(map(look, words), dtype=np.int64, count=len(words)) for words in each]
+        lines = ["\n\n" + text.replace("\n", " \n") for text in texts]
+        words = pc.split_pattern(pa.array(lines, pa.large_string()), " ")
+        # Distinct words first: most words of a batch repeat.
+        coded = words.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        numbers = np.fromiter(map(seen.get, distinct, repeat(-1)), dtype=np.int64, count=len(distinct))
+        new, known = np.flatnonzero(numbers < 0), len(seen)
+        numbers[new] = known + np.arange(len(new))
+        seen.update(zip(map(distinct.__getitem__, new.tolist()), range(known, known + len(new))))
+        flat = numbers[coded.indices.to_numpy()]
+        ends = np.cumsum(pc.list_value_length(words).to_numpy()).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
     def _merged(self, piece: str) -> list[int]:
         """Ids of a piece that no rule divides further."""
@@ -98,15 +118,34 @@ class Encoder:
             piece = "Ġ" + piece[1:] if piece[0] == " " else piece
         else:
             piece = piece.encode().decode("latin-1").translate(_SYMBOLS)
-        return [t.id for t in self._tokenizer.model.tokenize(piece)]
+        return [t.id for t in self._tokenize(piece)]
+
+    def _merged_pieces(self, pieces: list[str], together: int = 50) -> list[list[int]]:
+        """Ids of pieces as ``_merged`` gives them."""
+        if self._apart is None:
+            return [self._merged(piece) for piece in pieces]
+        ids: list[int] = []
+        for a in range(0, len(pieces), together):
+            text = "\0".join(pieces[a : a + together]) + "\0"
+            if text.isascii():
+                text = text.replace(" ", "Ġ").replace("\0", _SYMBOLS[0])
+            else:
+                text = text.encode().decode("latin-1").translate(_SYMBOLS)
+            ids += [t.id for t in self._tokenize(text)]
+        ends = np.flatnonzero(np.array(ids, dtype=np.int32) == self._apart).tolist()
+        return [ids[a + 1 : b] for a, b in zip([-1, *ends], ends)]
 
     def _of_words(self, words: list[str], known: int) -> list[list[int] | None]:
         """Ids of single keys; None where they depend on the neighbours.  The first ``known`` keys have theirs."""
         kept, plain, seen, marks = self._kept, _PLAIN.fullmatch, self._seen, self._marks
         out: list = [None] * len(words)
-        new: dict[str, list[int]] = {}
-        other, texts = [], []
+        simple = [(i, " " + key) for i, key in enumerate(words) if kept and key.isascii() and key.isalpha()]
+        # Pieces of letters; None: to be merged.
+        new: dict[str, list[int] | None] = dict.fromkeys([letters for _, letters in simple])
+        marked, other, texts = [], [], []
         for i, key in enumerate(words):
+            if kept and key.isascii() and key.isalpha():  # most words
+                continue
             w, lead = key, []
             if kept:
                 if key[:1] != "\n":
@@ -124,22 +163,11 @@ class Encoder:
                 letters = letters or only
                 if not kept:
                     letters = letters.lower()
-                ids = new.get(letters)
-                if ids is None:
+                if letters not in new:
                     # The word without its marks may be known.
                     at = seen.get(letters[1:] if kept else letters, known) if tail and (not kept or letters[0] == " ") else known
-                    if at < known:
-                        ids = self._ids[self._start[at] : self._start[at] + self._length[at]].tolist()
-                    else:
-                        ids = self._merged(letters)
-                    new[letters] = ids
-                if tail:
-                    if tail not in marks:
-                        if len(marks) > 10_000:
-                            marks.clear()
-                        marks[tail] = self._merged(tail)
-                    ids = ids + marks[tail]
-                out[i] = lead + ids if lead else ids
+                    new[letters] = self._ids[self._start[at] : self._start[at] + self._length[at]].tolist() if at < known else None
+                marked.append((i, lead, letters, tail))
                 continue
             if kept:
                 bare = w.removeprefix(" ")
@@ -147,6 +175,17 @@ class Encoder:
                     continue
             other.append((i, lead))
             texts.append(w)
+        pieces = [letters for letters, ids in new.items() if ids is None]
+        new.update(zip(pieces, self._merged_pieces(pieces)))
+        for i, letters in simple:
+            out[i] = new[letters]
+        for i, lead, letters, tail in marked:
+            if tail and tail not in marks:
+                if len(marks) > 10_000:
+                    marks.clear()
+                marks[tail] = self._merged(tail)
+            ids = new[letters] + marks[tail] if tail else new[letters]
+            out[i] = lead + ids if lead else ids
         for (i, lead), ids in zip(other, self.whole(texts)):
             out[i] = lead + ids
         return out
@@ -178,50 +217,54 @@ class Encoder:
         words = list(islice(self._seen, known, None))
         self._grow(n, 0)
         for a in range(0, len(words), 20_000):
-            ids = self._of_words(words[a : a + 20_000], known + a)
-            lengths = np.fromiter((-1 if x is None else len(x) for x in ids), dtype=np.int64, count=len(ids))
-            flat = np.fromiter(chain.from_iterable(x for x in ids if x), dtype=np.int32)
-            self._grow(n, self._used + len(flat))
-            self._ids[self._used : self._used + len(flat)] = flat
-            at = known + a
-            self._length[at : at + len(ids)] = lengths
-            real = np.maximum(lengths, 0)
-            self._start[at : at + len(ids)] = self._used + np.cumsum(real) - real
-            self._used += len(flat)
+            self._used += self._place(known + a, self._of_words(words[a : a + 20_000], known + a))
+
+    def _place(self, at: int, ids: list[list[int] | None]) -> int:
+        """Writes the ids of the words numbered from ``at`` behind those in use; how many there are."""
+        lengths = np.fromiter((-1 if x is None else len(x) for x in ids), dtype=np.int64, count=len(ids))
+        flat = np.fromiter(chain.from_iterable(x for x in ids if x), dtype=np.int32)
+        self._grow(at + len(ids), self._used + len(flat))
+        self._ids[self._used : self._used + len(flat)] = flat
+        self._length[at : at + len(ids)] = lengths
+        real = np.maximum(lengths, 0)
+        self._start[at : at + len(ids)] = self._used + np.cumsum(real) - real
+        return len(flat)
 
     def encode(self, texts: list[str], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each followed by ``end`` if given, and the number of ids of each text."""
         if len(self._seen) > self._limit:
             self._forget()
         known = len(self._seen)
-        look, index = self._seen.__getitem__, []
-        none = np.zeros(0, dtype=np.int64)
         special = self._special.search if self._special else lambda text: None
         whole = {i for i, text in enumerate(texts) if special(text)}
-        for i, text in enumerate(texts):
-            if i in whole:
-                index.append(none)
-                continue
-            words = self._words(text)
-            index.append(np.fromiter(map(look, words), dtype=np.int64, count=len(words)))
+        index = [np.zeros(0, dtype=np.int64)] * len(texts)
+        cut = [i for i in range(len(texts)) if i not in whole]
+        for i, numbers in zip(cut, self._numbers([texts[i] for i in cut])):
+            index[i] = numbers
         self._learn(known)
         for word in index:
             self._count[word] += 1
-        out, counts = [], np.zeros(len(texts), dtype=np.int64)
-        for i, word in enumerate(index):
-            lengths = self._length[word]
-            if i in whole or len(lengths) and lengths.min() < 0:
-                ids = np.array(self.whole([texts[i]])[0], dtype=np.int32)
-            else:
-                ends = np.cumsum(lengths)
-                total = int(ends[-1]) if len(ends) else 0
-                ids = self._ids[np.arange(total) + np.repeat(self._start[word] - (ends - lengths), lengths)]
-            out.append(ids)
-            counts[i] = len(ids)
-            if end is not None:
-                out.append(np.array([end], dtype=np.int32))
-                counts[i] += 1
-        return (np.concatenate(out) if out else np.zeros(0, dtype=np.int32)), counts
+        if not texts:
+            return np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64)
+        last = np.cumsum([len(word) for word in index])
+        neighbours = np.flatnonzero(self._length[np.concatenate(index)] < 0)
+        whole |= set(np.searchsorted(last, neighbours, side="right").tolist())
+        # Texts encoded whole and the end stand for one more word each, until the next words are learned.
+        extra = [[] if end is None else [end], *(ids for i in whole for ids in self.whole([texts[i]]))]
+        at = len(self._seen)
+        self._place(at, extra)
+        for number, i in enumerate(whole, at + 1):
+            index[i] = np.array([number])
+        if end is not None:
+            index = [x for word in index for x in (word, np.array([at]))]
+            last = np.cumsum([len(word) for word in index])[1::2]
+        else:
+            last = np.cumsum([len(word) for word in index])
+        words = np.concatenate(index)
+        lengths = self._length[words]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        ids = self._ids[np.arange(ends[-1]) + np.repeat(self._start[words] - ends[:-1], lengths)]
+        return ids, np.diff(ends[np.concatenate([[0], last])])
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}

@@ -198,6 +198,35 @@ def test_token_files_round_trip(shipped, odd, empty, monkeypatch):
     assert repair.token_files(empty, path).count() == 0
 
 
+def test_shards_are_cut_inside_a_batch(monkeypatch):
+    """Many short documents of one batch: every shard but the last is full, and its last document fills it."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+    from pyspark import TaskContext
+
+    monkeypatch.setattr(TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 3))
+    monkeypatch.setattr(repair, "SHARD", 50)
+    path = vocabulary_path("byte_bpe_50k.json")
+    texts = [("plain words, été. " * (k % 5)).strip() for k in range(60)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(60)), "text": texts})
+    shards = [s.to_pylist()[0] for s in repair._write_shards(path, 0)(iter([batch]))]
+    assert [i for s in shards for i in s["doc_ids"]] == list(range(60)) and len(shards) > 5
+    assert [s["shard"] for s in shards] == list(range(len(shards)))
+    for s in shards[:-1]:
+        assert s["n_tokens"] >= 50 > s["n_tokens"] - s["doc_tokens"][-1]
+    want = [[*ids, 0] for ids in Encoder(path, "kept").whole(texts)]
+    read = [tuple(r.values()) for b in repair._read(iter([pa.RecordBatch.from_pylist([s]) for s in shards])) for r in b.to_pylist()]
+    assert [(r[2], r[4], r[5]) for r in read] == [(k, len(w), zlib.crc32(np.array(w, "<u4").tobytes())) for k, w in enumerate(want)]
+
+
+def test_words_merged_together_are_those_merged_alone():
+    encoder = Encoder(vocabulary_path("byte_bpe_50k.json"), "kept")
+    pieces = [" plain", " words", "words", " été", "É", "...", " ,;", " ofththndti", " x"] * 30
+    assert encoder._merged_pieces(pieces) == [encoder._merged(p) for p in pieces] and encoder._merged_pieces([]) == []
+    assert encoder._apart not in {i for p in pieces for i in encoder._merged(p)}
+
+
 def test_repair_decodes_any_range():
     rng = np.random.default_rng(1)
     for tokens in ([], [5], [5] * 1000, [5, 5, 5] * 300, [1, 2] * 500, (rng.zipf(1.3, 60_000) % 50_000).tolist()):
