@@ -327,6 +327,42 @@ class SpeculativeEncoder(Encoder):
             out[k] += [s] if isinstance(s, int) else ids
         return out
 
+    def _numbers(self, texts: list[str]) -> list[np.ndarray]:
+        """As the words come: the tables leave no memory for a batch's words as Arrow arrays."""
+        out = []
+        for text in texts:
+            words = ("\n\n" + text.replace("\n", " \n")).split(" ")
+            out.append(np.fromiter(map(self._seen.__getitem__, words), dtype=np.int64, count=len(words)))
+        return out
+
+    def encode(self, texts: list[str], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """As ``Encoder.encode``, text by text."""
+        if len(self._seen) > self._limit:
+            self._forget()
+        known = len(self._seen)
+        special = self._special.search if self._special else lambda text: None
+        whole = {i for i, text in enumerate(texts) if special(text)}
+        none = np.zeros(0, dtype=np.int64)
+        index = [none if i in whole else self._numbers([text])[0] for i, text in enumerate(texts)]
+        self._learn(known)
+        for word in index:
+            self._count[word] += 1
+        out, counts = [], np.zeros(len(texts), dtype=np.int64)
+        for i, word in enumerate(index):
+            lengths = self._length[word]
+            if i in whole or len(lengths) and lengths.min() < 0:
+                ids = np.array(self.whole([texts[i]])[0], dtype=np.int32)
+            else:
+                ends = np.cumsum(lengths)
+                total = int(ends[-1]) if len(ends) else 0
+                ids = self._ids[np.arange(total) + np.repeat(self._start[word] - (ends - lengths), lengths)]
+            out.append(ids)
+            counts[i] = len(ids)
+            if end is not None:
+                out.append(np.array([end], dtype=np.int32))
+                counts[i] += 1
+        return (np.concatenate(out) if out else np.zeros(0, dtype=np.int32)), counts
+
     def _of_words(self, words: list[str], known: int) -> list[list[int] | None]:
         cut: list[list[bytes]] = []
         lead: list[bool | None] = []

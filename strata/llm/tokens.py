@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import re
+from functools import cached_property
 from itertools import chain, islice, repeat
 
 import numpy as np
@@ -60,10 +61,6 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenize = self._tokenizer.model.tokenize
-        # Byte 0, if no merge holds it: words with it between them can be merged as one string.
-        zero = _SYMBOLS[0]
-        alone = spaces == "kept" and [t for t in self._tokenizer.get_vocab() if zero in t] == [zero]
-        self._apart = self._tokenizer.token_to_id(zero) if alone else None
         self._specials = {t.content: i for i, t in self._tokenizer.get_added_tokens_decoder().items()}
         by_length = sorted(self._specials, key=len, reverse=True)
         self._special = re.compile("(" + "|".join(map(re.escape, by_length)) + ")") if by_length else None
@@ -120,6 +117,13 @@ class Encoder:
             piece = piece.encode().decode("latin-1").translate(_SYMBOLS)
         return [t.id for t in self._tokenize(piece)]
 
+    @cached_property
+    def _apart(self) -> int | None:
+        """The id of byte 0, if no merge holds it: words with it between them can be merged as one string."""
+        zero = _SYMBOLS[0]
+        alone = self._kept and [t for t in self._tokenizer.get_vocab() if zero in t] == [zero]
+        return self._tokenizer.token_to_id(zero) if alone else None
+
     def _merged_pieces(self, pieces: list[str], together: int = 50) -> list[list[int]]:
         """Ids of pieces as ``_merged`` gives them."""
         if self._apart is None:
@@ -263,7 +267,11 @@ class Encoder:
         words = np.concatenate(index)
         lengths = self._length[words]
         ends = np.concatenate([[0], np.cumsum(lengths)])
-        ids = self._ids[np.arange(ends[-1]) + np.repeat(self._start[words] - ends[:-1], lengths)]
+        ids = np.empty(int(ends[-1]), dtype=np.int32)
+        for a in range(0, len(words), 1 << 16):
+            b = min(len(words), a + (1 << 16))
+            at = np.repeat(self._start[words[a:b]] - ends[a:b], lengths[a:b])
+            ids[ends[a] : ends[b]] = self._ids[np.arange(ends[a], ends[b]) + at]
         return ids, np.diff(ends[np.concatenate([[0], last])])
 
 
