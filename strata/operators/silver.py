@@ -5,8 +5,11 @@ lineage, projection and single-pass run counts (SURVEY §2.5, §2.6, §3.2).
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -86,6 +89,34 @@ def with_row_hash(df: DataFrame, out: str = HASH_COL) -> DataFrame:
     return df.withColumn(out, silver_row_hash())
 
 
+def _begins_run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+    """Whether a row differs from the row before it in one of the columns (nulls are equal), through all of a task's rows."""
+    last = None
+    for columns in batches:
+        n = len(columns[0])
+        new = np.zeros(n, dtype=bool)
+        if n:
+            for c in columns:
+                a, b = c.slice(1), c.slice(0, n - 1)
+                equal = pc.or_(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b)))
+                new[1:] |= ~equal.to_numpy(zero_copy_only=False)
+            new[0] = last is None or last != [c[0].as_py() for c in columns]
+            last = [c[n - 1].as_py() for c in columns]
+        yield pa.array(new, pa.bool_())
+
+
+def _first_of_keys(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The least row by ``order`` of each ``key``, where rows of a key lie in one task: sorted there, without a shuffle."""
+    from strata.session import ship_package
+
+    ship_package(df.sparkSession)
+    # Rows are told apart by one number, as a rule.
+    lying = df.withColumn("_near", F.xxhash64(*key)).sortWithinPartitions("_near", *key, *order)
+    # Nondeterministic: it depends on the order of rows, so no filter on it may move below the sort.
+    begins = F.arrow_udf(_begins_run, "boolean").asNondeterministic()
+    return lying.withColumn("_begins", begins(*key)).where("_begins").select(*df.columns)
+
+
 def dedup_exact(
     df: DataFrame,
     mode: str = "hash",
@@ -94,6 +125,7 @@ def dedup_exact(
     survivor_order: Sequence[str] = (),
     carry_keys: Sequence[str] = (),
     parts_col: str | None = None,
+    in_place: bool = False,
 ) -> DataFrame:
     """A1: remove exact duplicate lines.
 
@@ -114,10 +146,15 @@ def dedup_exact(
     parts that a file's rows are dealt to, by their values: the rows are
     shuffled once, without their hash, and lie by file in the result, so that
     it can be written by file as it is. Copies meet in their part, not before the shuffle.
+
+    ``in_place``: a file's rows lie in one task already (``splits.whole_file_records``). They are
+    sorted there, and nothing is shuffled. Hash mode and file scope only.
     """
     if mode not in ("hash", "typed"):
         raise ValueError(f"mode must be 'hash' or 'typed', not {mode!r}")
     dealt = parts_col is not None
+    if in_place and (dealt or mode != "hash" or scope != "file"):
+        raise ValueError("in_place needs mode 'hash', scope 'file' and no parts_col")
     if dealt:
         if mode != "hash" or scope != "file":
             raise ValueError("parts_col needs mode 'hash' and scope 'file'")
@@ -134,9 +171,11 @@ def dedup_exact(
         raise ValueError(f"scope must be 'file' or 'batch', not {scope!r}")
     rest = [c for c in df.columns if c not in key]
     distinct = df.distinct()
-    if not rest:
+    if not rest and not in_place:
         return distinct
     order = list(survivor_order) + [c for c in rest if c not in survivor_order]
+    if in_place:
+        return _first_of_keys(df, key, order)
     best = F.min(F.struct(*[F.col(c) for c in order])).alias("_s")
     out = distinct.groupBy(*key).agg(best)
     return out.select(*[F.col(c) if c in key else F.col(f"_s.{c}").alias(c) for c in df.columns if c != PART_COL])
@@ -223,6 +262,7 @@ def to_silver(
     mask_key: str | bytes | None = None,
     counts: RunCounts | None = None,
     parts_col: str | None = None,
+    in_place: bool = False,
 ) -> DataFrame:
     """The silver plan, one lazy DataFrame: casts -> hash -> dedup -> derived and
     masked -> lineage -> projection.
@@ -230,7 +270,7 @@ def to_silver(
     Lineage that is constant per file (SourceFile, SourceChecksum) is attached
     before the dedup so that ``scope="file"`` keys on it; run-level literals
     come after. Pass ``RunCounts`` to get the source/deduplicated counts from
-    the same pass that writes (A2) instead of extra actions. ``parts_col``: see ``dedup_exact``.
+    the same pass that writes (A2) instead of extra actions. ``parts_col``, ``in_place``: see ``dedup_exact``.
     """
     df = cast_columns(valid_lines)
     if source_checksum is None:
@@ -247,7 +287,7 @@ def to_silver(
     )
     if counts is not None:
         df = df.observe(counts.source, F.count(F.lit(1)).alias("source_count"))
-    df = dedup_exact(df, mode=dedup_mode, scope=dedup_scope, file_col="SourceFile", carry_keys=["SourceChecksum"], parts_col=parts_col)
+    df = dedup_exact(df, mode=dedup_mode, scope=dedup_scope, file_col="SourceFile", carry_keys=["SourceChecksum"], parts_col=parts_col, in_place=in_place)
     if dedup_mode == "hash":
         df = df.drop(HASH_COL)
     if counts is not None:

@@ -30,6 +30,7 @@ from strata.sinks import writers
 from strata.sinks.silver_files import merge_by_file
 from strata.sources import contract
 from strata.sources.files import discover, fingerprint, list_files, read_lines
+from strata.sources.splits import whole_file_records
 
 # Bronze bytes of a file that one task deduplicates and writes, about.
 PART_BYTES = 64 << 20
@@ -339,6 +340,41 @@ def _write_audits(
     audit.run_audit(totals, run_id, "raw_to_bronze", environment, provider_id, begun, at, at).write.mode("append").parquet(f"{root}/runs")
 
 
+def _in_path(path: str, key: str):
+    """The value of a partition folder in a file's path."""
+    return F.url_decode(F.regexp_extract(path, key + r"=([^/]+)", 1))
+
+
+def _name_of_rows(path: str):
+    """The file's name as its rows carry it: its folder's name, a plus sign as a blank."""
+    return F.translate(F.regexp_extract(path, r"source_file=([^/]+)", 1), "+", " ")
+
+
+_BRONZE_DDL = ", ".join(f"{c} string" for c in RAW_COLUMNS)
+
+
+def _read_bronze(spark: SparkSession, inputs: list[str], sums: DataFrame | None) -> DataFrame:
+    """Lines of bronze with their file and, where ``sums`` are given, its checksum."""
+    bronze = (
+        spark.read.schema(_BRONZE_DDL)
+        .option("header", "true")
+        .option("escape", '"')
+        .option("multiLine", "true")
+        .csv(inputs)
+        .withColumn("_path", F.col("_metadata.file_path"))
+    )
+    src_date = F.regexp_extract(F.col("_path"), r"source_date=([^/]+)", 1)
+    bronze = bronze.withColumn("source_file", _in_path("_path", "source_file")).withColumn("source_date", F.to_date(src_date)).drop("_path")
+    return bronze if sums is None else bronze.join(sums, on=["source_file", "source_date"], how="left")
+
+
+def _read_bronze_files(files: DataFrame) -> DataFrame:
+    """Lines of bronze files (path, length, source_file, source_checksum if known); those of a ``source_file`` lie in one task."""
+    records = whole_file_records(files, by="source_file", bytes_per_task=PART_BYTES)
+    parsed = F.from_csv("record", _BRONZE_DDL, {"escape": '"', "multiLine": "true"})
+    return records.select(*[c for c in records.columns if c != "record"], F.inline(F.array(parsed)))
+
+
 def bronze_to_silver(
     spark: SparkSession,
     bronze_path: str,
@@ -368,40 +404,45 @@ def bronze_to_silver(
     """
     root = bronze_path.rstrip("/")
     inputs = [bronze_path] if dates is None else [f"{root}/source_date={d}" for d in dates]
-    schema = ", ".join(f"{c} string" for c in RAW_COLUMNS)
-    bronze = (
-        spark.read.schema(schema)
-        .option("header", "true")
-        .option("escape", '"')
-        .option("multiLine", "true")
-        .csv(inputs)
-        .withColumn("_path", F.col("_metadata.file_path"))
-    )
-    src_file = F.regexp_extract(F.col("_path"), r"source_file=([^/]+)", 1)
-    src_date = F.regexp_extract(F.col("_path"), r"source_date=([^/]+)", 1)
-    bronze = bronze.withColumn("source_file", F.url_decode(src_file)).withColumn("source_date", F.to_date(src_date)).drop("_path")
+    dealt = dedup_mode == "hash" and (guard or overwrite != "partition")
+    sums = None
     if state_path is not None:
         cur = st.latest(load_state(spark, state_path)).filter(F.col("status") == st.SUCCESS)
         if provider_id is not None:
             cur = cur.filter(F.col("provider_id") == provider_id)
         newest = F.max(F.struct("updated_at", "source_checksum"))["source_checksum"].alias("source_checksum")
         sums = cur.groupBy("source_file", "source_date").agg(newest)
-        bronze = bronze.join(sums, on=["source_file", "source_date"], how="left")
-    # The folder is listed once: the batch's files, and how many parts their rows are dealt to.
-    path = lambda key: F.url_decode(F.regexp_extract("path", key + r"=([^/]+)", 1))
-    listed = cut_lineage(list_files(spark, bronze_path).select(path("source_file").alias("SourceFile"), path("source_date").alias("FileDate"), "length"), "bronze-files")
-    dealt = dedup_mode == "hash" and (guard or overwrite != "partition")
-    if dealt:
-        sizes = listed.groupBy(F.col("SourceFile").alias("source_file")).agg(F.ceil(F.sum("length") / PART_BYTES).alias("_parts"))
-        # Files of one part need no entry: never more rows than the input has parts.
-        bronze = bronze.join(F.broadcast(sizes.where("_parts > 1")), "source_file", "left")
-    counts = silver.RunCounts()
-    out = silver.to_silver(
-        bronze, pipeline_run_id=run_id, processed_at=processed_at, dedup_mode=dedup_mode, counts=counts, parts_col="_parts" if dealt else None
+    # The folder is listed once: the batch's files, and which of them are too large for one task.
+    listed = cut_lineage(list_files(spark, bronze_path).select("path", _in_path("path", "source_file").alias("SourceFile"), _in_path("path", "source_date").alias("FileDate"), "length"), "bronze-files")
+    if dates is not None:
+        listed = listed.where(F.col("FileDate").isin(dates))
+    to_silver = lambda rows, counts, **how: silver.to_silver(
+        rows, pipeline_run_id=run_id, processed_at=processed_at, dedup_mode=dedup_mode, counts=counts, **how
     )
+    counts = [silver.RunCounts()]
+    if dealt and all(writers.path_exists(spark, p) for p in inputs):
+        files = listed.select("path", "length", _name_of_rows("path").alias("source_file"), F.to_date("FileDate").alias("source_date"))
+        if sums is not None:
+            files = files.join(sums, on=["source_file", "source_date"], how="left")
+        # A file's parts are read by one task and deduplicated there; a large file's rows are dealt to many.
+        sizes = files.groupBy("source_file").agg(F.ceil(F.sum("length") / PART_BYTES).alias("_parts"))
+        files = cut_lineage(files.drop("source_date").join(sizes, "source_file"), "bronze-sizes")
+        out = to_silver(_read_bronze_files(files.where("_parts <= 1").drop("_parts")), counts[0], in_place=True)
+        large = [r["path"] for r in files.where("_parts > 1").select("path").collect()]
+        if large:
+            counts.append(silver.RunCounts())
+            rows = _read_bronze(spark, large, sums).join(F.broadcast(sizes.where("_parts > 1")), "source_file", "left")
+            out = out.unionByName(to_silver(rows, counts[1], parts_col="_parts"))
+    else:
+        out = to_silver(_read_bronze(spark, inputs, sums), counts[0])
+
+    def result() -> dict:
+        found = [c.result() for c in counts]
+        return {k: sum(c[k] for c in found) for k in found[0]}
+
     if not guard and overwrite == "partition":
         writers.write_silver(out, silver_path)
-        return counts.result()
+        return result()
     # The batch's files: those in bronze, and those whose delivery succeeded without a valid row.
     in_bronze = listed.select("SourceFile", F.to_date("FileDate").alias("FileDate"))
     if state_path is not None:
@@ -409,7 +450,7 @@ def bronze_to_silver(
     if dates is not None:
         in_bronze = in_bronze.where(F.col("FileDate").isin([_dt.date.fromisoformat(d) for d in dates]))
     merged = merge_by_file(out, silver_path, in_bronze, keep_other_files=overwrite == "merge", clustered=dealt)
-    return counts.result() | ({"stray_count": merged["stray_rows"]} if merged["stray_rows"] else {})
+    return result() | ({"stray_count": merged["stray_rows"]} if merged["stray_rows"] else {})
 
 
 def prepare_source(spark: SparkSession, source: DataFrame, out_dir: str, provider_id: str = "provider_retail") -> DataFrame:

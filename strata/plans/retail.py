@@ -7,9 +7,11 @@ daily file (``retail_sales_YYYYMMDD.csv`` of the ship date) the line
 belongs to. Defects are put in by fixed arithmetic on the keys, so the same
 view can be written in DuckDB SQL (``RETAIL_LINES_SQL``) for the oracle.
 
-Plan shape: the orders get their customer and nation first (nation: 25 rows by
-definition, broadcast), then lineitem joins the orders and part, so the lines,
-the largest table, are shuffled twice and not once more for the customers.
+Plan shape: the orders get their customer first, then lineitem joins the orders and
+part, so the lines, the largest table, are shuffled twice and not once more for the
+customers. What a line needs of its own columns is worked out before its shuffles
+(quantity, defects as bits, day and time), and the nation (25 rows by definition,
+broadcast) comes after them, so that few and small columns are shuffled.
 Customer and part grow with the data: AQE picks broadcast only when the
 runtime size is under the threshold. Copies come from a ``Generate`` on the same scan, not from a
 second scan and a union.
@@ -40,12 +42,39 @@ def daily_file_name(ts_col) -> F.Column:
     return F.concat(F.lit("retail_sales_"), F.date_format(ts_col, "yyyyMMdd"), F.lit(".csv"))
 
 
-def buyers(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
-    """(o_orderkey, o_custkey, n_nationkey, n_name) of every order; no customer or nation: null."""
-    return (
-        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
-        .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .select("o_orderkey", "o_custkey", "n_nationkey", "n_name")
+def buyers(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """(o_orderkey, o_custkey, c_nationkey) of every order; no customer: null."""
+    return orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left").select("o_orderkey", "o_custkey", "c_nationkey")
+
+
+def with_nation(lines: DataFrame, nation: DataFrame) -> DataFrame:
+    """``lines`` with n_nationkey and n_name of their buyer; no nation: null."""
+    return lines.join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+
+
+# Bits of ``_marks``.
+RETURNED, LOWER_CASE, BAD_DATE = 1, 2, 4
+
+
+def _narrow(li: DataFrame) -> DataFrame:
+    """What the lines need of lineitem, in few columns: ``_marks`` (bits), ``_qty``, ``_day`` and ``_clock`` stand for the columns they come from."""
+    ret = F.col("l_returnflag") == "R"
+    qty = F.col("l_quantity").cast("bigint")
+    quantity = (
+        F.when((F.col("l_linenumber") == 5) & (F.col("l_returnflag") == "N"), F.lit(0).cast("bigint"))
+        .when(ret & (F.col("l_partkey") % RETURN_SIGN_MOD != 0), -qty)
+        .otherwise(qty)
+    )
+    bits = {RETURNED: ret, LOWER_CASE: ret & (F.col("l_linenumber") == 7), BAD_DATE: F.col("l_suppkey") % BAD_DATE_MOD == 0}
+    marks = sum((F.when(is_set, bit).otherwise(0) for bit, is_set in bits.items()), F.lit(0)).cast("tinyint")
+    return li.select(
+        "l_orderkey",
+        "l_partkey",
+        "l_extendedprice",
+        quantity.alias("_qty"),
+        marks.alias("_marks"),
+        F.to_date("l_shipdate").alias("_day"),
+        F.date_format("l_shipdate", "HH:mm:ss").alias("_clock"),
     )
 
 
@@ -64,37 +93,33 @@ def retail_lines(spark: SparkSession, sf_dir: str, by_day: bool = False) -> Data
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
 
     j = (
-        li.join(buyers(orders, customer, nation), F.col("l_orderkey") == F.col("o_orderkey"), "left")
+        _narrow(li)
+        .join(buyers(orders, customer), F.col("l_orderkey") == F.col("o_orderkey"), "left")
         .join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+        .drop("o_orderkey", "p_partkey")
     )
     if by_day:
-        j = j.drop("o_orderkey", "p_partkey").withColumn("_day", F.to_date("l_shipdate")).hint("rebalance", "_day")
+        j = j.hint("rebalance", "_day")
+    j = with_nation(j, nation)
     ok, pk = F.col("l_orderkey"), F.col("l_partkey")
-    ret = F.col("l_returnflag") == "R"
-    qty = F.col("l_quantity").cast("bigint")
+    marked = lambda bit: F.col("_marks").bitwiseAND(F.lit(bit).cast("tinyint")) != 0
     invoice = (
         F.when(ok % BLANK_INVOICE_MOD == 0, F.lit(""))
         .when(ok % NULL_INVOICE_MOD == 0, F.lit(None).cast("string"))
-        .when(ret & (F.col("l_linenumber") == 7), F.concat(F.lit("c"), ok.cast("string")))
-        .when(ret, F.concat(F.lit("C"), ok.cast("string")))
+        .when(marked(LOWER_CASE), F.concat(F.lit("c"), ok.cast("string")))
+        .when(marked(RETURNED), F.concat(F.lit("C"), ok.cast("string")))
         .otherwise(ok.cast("string"))
     )
-    quantity = (
-        F.when((F.col("l_linenumber") == 5) & (F.col("l_returnflag") == "N"), F.lit("0"))
-        .when(ret & (pk % RETURN_SIGN_MOD != 0), (-qty).cast("string"))
-        .otherwise(qty.cast("string"))
-    )
-    invoice_date = (
-        F.when(F.col("l_suppkey") % BAD_DATE_MOD == 0, F.date_format("l_shipdate", "dd/MM/yyyy"))
-        .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))
+    invoice_date = F.when(marked(BAD_DATE), F.date_format("_day", "dd/MM/yyyy")).otherwise(
+        F.concat(F.date_format("_day", "yyyy-MM-dd"), F.lit(" "), F.col("_clock"))
     )
     price = F.when(ok % NEGATIVE_PRICE_MOD == 0, -F.col("l_extendedprice")).otherwise(F.col("l_extendedprice"))
     lines = j.select(
-        daily_file_name(F.col("l_shipdate")).alias("source_file"),
+        daily_file_name(F.col("_day")).alias("source_file"),
         invoice.alias("InvoiceNo"),
         F.when(pk % BLANK_STOCK_MOD == 0, F.lit(" ")).otherwise(pk.cast("string")).alias("StockCode"),
         F.col("p_name").alias("Description"),
-        quantity.alias("Quantity"),
+        F.col("_qty").cast("string").alias("Quantity"),
         invoice_date.alias("InvoiceDate"),
         price.cast("string").alias("UnitPrice"),
         F.when(F.col("o_custkey") % NULL_CUSTOMER_MOD == 0, F.lit(None).cast("string"))
@@ -117,11 +142,11 @@ def source_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     j = (
-        li.join(buyers(orders, customer, nation), F.col("l_orderkey") == F.col("o_orderkey"), "left")
+        li.join(buyers(orders, customer), F.col("l_orderkey") == F.col("o_orderkey"), "left")
         .join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
     )
     ok = F.col("l_orderkey")
-    return j.select(
+    return with_nation(j, nation).select(
         F.when(F.col("l_returnflag") == "R", F.concat(F.lit("C"), ok.cast("string"))).otherwise(ok.cast("string")).alias("InvoiceNo"),
         F.col("l_partkey").cast("string").alias("StockCode"),
         F.col("p_name").alias("Description"),

@@ -28,7 +28,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from strata.session import cut_lineage
+from strata.session import cut_lineage, shuffles_removed
 from strata.sinks.writers import clear_partitions, path_exists
 
 INDEX_DDL = "SourceFile string, FileDate date, dates array<date>, version bigint"
@@ -69,13 +69,14 @@ def _append(entries: DataFrame, silver_path: str) -> None:
 
 
 def _write(rows: DataFrame, silver_path: str) -> None:
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "zstd")  # masked ids are hex digests, which snappy leaves as they are
-        .partitionBy("SourceDate")
-        .parquet(silver_path)
-    )
+    with shuffles_removed(rows.sparkSession):
+        (
+            rows.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("compression", "zstd")  # masked ids are hex digests, which snappy leaves as they are
+            .partitionBy("SourceDate")
+            .parquet(silver_path)
+        )
 
 
 def _others(spark: SparkSession, silver_path: str, placed: DataFrame, dates: DataFrame, schema) -> DataFrame | None:

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.schemas import REJECT_META_COLUMNS, RAW_COLUMNS
+from strata.session import shuffles_removed
 
 
 def _hadoop_fs(spark: SparkSession, root: str):
@@ -42,17 +43,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def _partitioned_csv(df: DataFrame, path: str, parts: Sequence[str]) -> None:
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("header", "true")
-        .option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", "false")
-        .option("ignoreTrailingWhiteSpace", "false")
-        .option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
-        .partitionBy(*parts)
-        .csv(path)
-    )
+    with shuffles_removed(df.sparkSession):
+        (
+            df.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("header", "true")
+            .option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", "false")
+            .option("ignoreTrailingWhiteSpace", "false")
+            .option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
+            .partitionBy(*parts)
+            .csv(path)
+        )
 
 
 def write_bronze(valid: DataFrame, bronze_path: str) -> None:

@@ -152,6 +152,59 @@ def record_texts(data: bytes, delimiter: str = ",") -> pa.Array:
     return pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets.tobytes()), pa.py_buffer(kept.tobytes()))
 
 
+def file_records(chunks: Iterator[bytes], delimiter: str = ",") -> Iterator[pa.Array]:
+    """The data records of a file (the first record is the header), from its chunks in order."""
+    scan, held, at, header = BorderScan(delimiter), b"", 0, True  # ``at``: file offset of ``held``
+
+    def cut(data: bytes) -> pa.Array:
+        nonlocal header
+        texts = record_texts(data, delimiter)
+        if header and len(texts):
+            texts, header = texts.slice(1), False
+        return texts
+
+    for chunk in chunks:
+        held += chunk
+        ends, _ = scan.feed(chunk)
+        if len(ends):
+            done = int(ends[-1]) + 1 - at
+            yield cut(held[:done])
+            held, at = held[done:], at + done
+    if held:
+        yield cut(held)
+
+
+def _read_files(carried: list[str], delimiter: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from strata.sources.files import file_chunks
+
+        for batch in batches:
+            for k, path in enumerate(batch.column("path").to_pylist()):
+                for texts in file_records(file_chunks(path), delimiter):
+                    row = pa.array(np.full(len(texts), k, dtype=np.int32))
+                    yield pa.RecordBatch.from_arrays([*[batch.column(c).take(row) for c in carried], texts], names=[*carried, "record"])
+
+    return run
+
+
+def whole_file_records(files: DataFrame, by: str, delimiter: str = ",", bytes_per_task: int = 4 * SPLIT_BYTES) -> DataFrame:
+    """All columns of ``files`` (``path``, ``length``, others) but these two, and ``record``: one row for each data record.
+
+    Files equal in ``by`` are read by one task, chunk by chunk, so their records
+    lie together without a shuffle of them: only the paths are dealt.
+    """
+    from strata.session import ship_package
+
+    spark = files.sparkSession
+    ship_package(spark)
+    carried = [c for c in files.columns if c not in ("path", "length")]
+    size = files.agg(F.count_distinct(by).alias("n"), F.sum("length").alias("bytes")).first()
+    slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(1, min(size["n"], max(slots, (size["bytes"] or 0) // bytes_per_task)))
+    ddl = ", ".join(f"`{c}` {files.schema[c].dataType.simpleString()}" for c in carried)
+    return files.drop("length").repartition(tasks, by).mapInArrow(_read_files(carried, delimiter), f"{ddl}, record string")
+
+
 def _read_splits(delimiter: str, rows: int = 65_536):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from strata.sources.files import read_range
