@@ -13,6 +13,7 @@ import datetime as _dt
 import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import ExitStack
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +26,7 @@ from strata.operators import state as st
 from strata.operators.content import ObservedContent, compare_contents, contents, reconcile_run
 from strata.plans.attach import attach_row
 from strata.schemas import FILE_STATE_KEYS, FILE_STATE_SCHEMA, RAW_COLUMNS
-from strata.session import cut_lineage
+from strata.session import cut_lineage, stage_table
 from strata.sinks import writers
 from strata.sinks.silver_files import merge_by_file
 from strata.sources import contract
@@ -124,10 +125,11 @@ def ingest_batch(
     writers.append_state(st.merge_state(current, processing, now=_ts(t0), changes_only=True), state_path)
 
     try:
-        return _process(
-            spark, todo, bronze_path, quarantine_path, state_path, provider_id, run_id, level=level, now=t1, delimiter=delimiter,
-            audit_path=audit_path, environment=environment, started=t0, timestamp_formats=timestamp_formats, elect=elect,
-        )
+        with ExitStack() as tables:
+            return _process(
+                spark, todo, bronze_path, quarantine_path, state_path, provider_id, run_id, tables, level=level, now=t1, delimiter=delimiter,
+                audit_path=audit_path, environment=environment, started=t0, timestamp_formats=timestamp_formats, elect=elect,
+            )
     except Exception as error:
         # M3: the files of the run that have no verdict yet are FAILED, with the error's text.
         text = f"{type(error).__name__}: {error}"
@@ -146,6 +148,7 @@ def _process(
     state_path: str,
     provider_id: str,
     run_id: str,
+    tables: ExitStack,
     level: str,
     now: _dt.datetime | None,
     delimiter: str = ",",
@@ -155,7 +158,7 @@ def _process(
     timestamp_formats: Sequence[str] | None = None,
     elect: bool = False,
 ) -> DataFrame:
-    """The files of a batch from their header verdicts to their final state."""
+    """The files of a batch from their header verdicts to their final state. Their staged rows go with ``tables``."""
     # File-level verdicts: header (V1/V3), empty file.
     hv = contract.header_verdict(todo.withColumn("header", F.coalesce("header", F.array())), level=level)
     verdicts = hv.select(
@@ -171,7 +174,7 @@ def _process(
     lines = read_lines(spark, readable, delimiter=delimiter)
     if elect:
         # Staged: the election and the rows that it reads come from one pass over the files.
-        lines = cut_lineage(lines, "raw-lines")
+        lines = tables.enter_context(stage_table(lines, "raw-lines"))
         candidates = timestamp_formats or formats.CANDIDATE_FORMATS
         lines = formats.read_elected(lines, formats.elect_formats(lines, ["source_uri"], formats=candidates), ["source_uri"], formats=candidates)
         coerced = rules.coerce(lines, typed_dates=True)
@@ -183,7 +186,7 @@ def _process(
     if audit_path is not None:
         flagged = scanned.on(flagged, RAW_COLUMNS)
     begun = started or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    flagged = cut_lineage(flagged, "flagged")
+    flagged = tables.enter_context(stage_table(flagged, "flagged"))
 
     # Rows with extra fields fail their whole file (as the reference's reader does).
     per_file = flagged.groupBy("source_uri").agg(

@@ -45,7 +45,7 @@ from strata.plans.retail import (
 )
 from strata.schemas import FILE_STATE_KEYS, FILE_STATE_SCHEMA, RAW_COLUMNS, SILVER_CONTRACT
 from strata.plans.ingest import bronze_to_silver, ingest_batch, prepare_source, verify_source
-from strata.session import cut_lineage, scratch_path
+from strata.session import cut_lineage, scratch_path, shuffles_removed
 from strata.sinks.writers import write_bronze, write_manifest
 from strata.sources import contract
 from strata.sources.config import rule_config
@@ -1391,15 +1391,16 @@ def stage_raw_files(spark: SparkSession, sf_dir: str) -> str:
     raw = retail_lines(spark, sf_dir, by_day=True).withColumn(
         "source_date", F.date_format(source_date_from_name("source_file"), "yyyy-MM-dd")
     )
-    (
-        raw.select(*RAW_COLUMNS, "source_date")
-        .write.option("header", "true")
-        .option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", "false")
-        .option("ignoreTrailingWhiteSpace", "false")
-        .partitionBy("source_date")
-        .csv(f"{root}/{PROVIDER_ID}")
-    )
+    with shuffles_removed(spark):
+        (
+            raw.select(*RAW_COLUMNS, "source_date")
+            .write.option("header", "true")
+            .option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", "false")
+            .option("ignoreTrailingWhiteSpace", "false")
+            .partitionBy("source_date")
+            .csv(f"{root}/{PROVIDER_ID}")
+        )
     return root
 
 

@@ -18,6 +18,7 @@ from strata.sources import splits
 from strata.sources.files import list_files
 
 DAY = dt.datetime(2024, 5, 1)
+LINEITEM = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_returnflag string, l_shipdate timestamp"
 TEXTS = ["x", "a,b", 'q"uo"te', "line\nbreak", "cr\r\nlf", "cr\ronly", " lead", "trail ", "", None, "end\r", "\\back", "back\\", '"', '""', 'a"\n,b', "\n", "\r"]
 
 
@@ -25,6 +26,20 @@ def exchanges(df) -> list[str]:
     return [ln for ln in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange " in ln]
 
 
+def shuffle_files(spark) -> set[str]:
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = {found.apply(i).getName() for i in range(found.size())}
+    return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+
+def shuffles_gone(spark, before: set[str], seconds: float = 20) -> bool:
+    """Whether all shuffle files newer than ``before`` go (they are removed in the background)."""
+    deadline = time.time() + seconds
+    while (left := shuffle_files(spark) - before) and time.time() < deadline:
+        time.sleep(0.2)
+    return not left
+
+
 def bronze_rows(spark, names):
     rows = []
     for name in names:
@@ -121,7 +136,7 @@ def test_silver_of_small_and_large_files(spark, workdir, monkeypatch, part_bytes
 
 def test_lines_are_shuffled_narrow(spark, workdir):
     none = {
-        "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_returnflag string, l_shipdate timestamp",
+        "lineitem": LINEITEM,
         "orders": "o_orderkey long, o_custkey long", "customer": "c_custkey long, c_nationkey int",
         "nation": "n_nationkey int, n_name string", "part": "p_partkey long, p_name string",
     }
@@ -138,8 +153,6 @@ def test_lines_are_shuffled_narrow(spark, workdir):
 
 
 def test_a_write_removes_its_shuffle_files(spark, workdir):
-    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
-    files = lambda: {blocks.getAllFiles().apply(i).getName() for i in range(blocks.getAllFiles().size())}
     assert spark.conf.get(session.SHUFFLE_CLEANUP, None) is None
     with session.stage_table(spark.range(1000).repartition(4, "id"), "kept") as rows:
         path = rows.inputFiles()[0].removeprefix("file:").replace("//", "/")
@@ -148,9 +161,50 @@ def test_a_write_removes_its_shuffle_files(spark, workdir):
             assert spark.conf.get(session.SHUFFLE_CLEANUP) == "true"
     assert spark.conf.get(session.SHUFFLE_CLEANUP, None) is None
     assert not Path(path).parent.exists()
-    before = files()
+    before = shuffle_files(spark)
     write_bronze(bronze_rows(spark, ["a.csv"]).repartition(4, "InvoiceNo"), f"{workdir}/bronze")
-    deadline = time.time() + 20
-    while (left := {f for f in files() - before if f.startswith("shuffle_") and f.endswith(".data")}) and time.time() < deadline:
-        time.sleep(0.2)
-    assert not left
+    assert shuffles_gone(spark, before)
+
+
+@pytest.mark.parametrize("how", ["plain", "elected", "failing"])
+def test_a_batch_leaves_no_staged_rows(spark, workdir, monkeypatch, how):
+    staged, real = [], session.scratch_path
+
+    def scratch_path(spark, name):
+        staged.append((name, real(spark, name)))
+        return staged[-1][1]
+
+    monkeypatch.setattr(session, "scratch_path", scratch_path)
+    if how == "failing":
+        monkeypatch.setattr(ingest.writers, "write_bronze", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    write_file(f"{workdir}/raw", "retail_sales_20101201.csv", "\n".join([HEADER, line(inv="1"), line(inv=""), line(inv="3")]) + "\n")
+    run = lambda: ingest.ingest_batch(
+        spark, f"{workdir}/raw", f"{workdir}/bronze", f"{workdir}/q", f"{workdir}/state", run_id="r", elect=how == "elected", audit_path=f"{workdir}/audit"
+    )
+    if how == "failing":
+        with pytest.raises(OSError):
+            run()
+    else:
+        results = run()
+        assert [(r.total_records, r.valid_records, r.rejected_records) for r in results.collect()] == [(3, 2, 1)]
+    rows = [Path(p) for name, p in staged if name in ("flagged", "raw-lines")]
+    assert len(rows) == (2 if how == "elected" else 1) and not any(p.exists() for p in rows)
+    assert spark.conf.get(session.SHUFFLE_CLEANUP, None) is None
+
+
+def test_staged_raw_files_leave_no_shuffle_files(spark, workdir):
+    from strata.plans import queries as Q
+
+    tables = {
+        "lineitem": ([(k, k % 5, k % 3, k % 7, 2.0, 9.5, "RNA"[k % 3], DAY + dt.timedelta(days=k % 4)) for k in range(200)], LINEITEM),
+        "orders": ([(k, k % 9) for k in range(150)], "o_orderkey long, o_custkey long"),
+        "customer": ([(k, k) for k in range(8)], "c_custkey long, c_nationkey int"),
+        "nation": ([(k, f"n{k}") for k in range(7)], "n_nationkey int, n_name string"),
+        "part": ([(k, f"p{k}") for k in range(4)], "p_partkey long, p_name string"),
+    }
+    for name, (rows, ddl) in tables.items():
+        spark.createDataFrame(rows, ddl).write.parquet(f"{workdir}/{name}.parquet")
+    before = shuffle_files(spark)
+    raw = Q.stage_raw_files(spark, workdir)
+    assert list(Path(raw).rglob("part-*.csv"))
+    assert shuffles_gone(spark, before)
