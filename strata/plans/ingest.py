@@ -30,7 +30,7 @@ from strata.session import cut_lineage, stage_table
 from strata.sinks import writers
 from strata.sinks.silver_files import merge_by_file
 from strata.sources import contract
-from strata.sources.files import discover, fingerprint, list_files, read_lines
+from strata.sources.files import discover, fingerprint, list_files, opens, read_lines
 from strata.sources.splits import whole_file_records
 
 # Bronze bytes of a file that one task deduplicates and writes, about.
@@ -422,22 +422,31 @@ def bronze_to_silver(
     to_silver = lambda rows, counts, **how: silver.to_silver(
         rows, pipeline_run_id=run_id, processed_at=processed_at, dedup_mode=dedup_mode, counts=counts, **how
     )
-    counts = [silver.RunCounts()]
+    counts = []
     if dealt and all(writers.path_exists(spark, p) for p in inputs):
         files = listed.select("path", "length", _name_of_rows("path").alias("source_file"), F.to_date("FileDate").alias("source_date"))
         if sums is not None:
             files = files.join(sums, on=["source_file", "source_date"], how="left")
-        # A file's parts are read by one task and deduplicated there; a large file's rows are dealt to many.
+        # A file's parts are read by one task and deduplicated there; a large file's rows are dealt to
+        # many, as are those of files that only Spark's readers open.
         sizes = files.groupBy("source_file").agg(F.ceil(F.sum("length") / PART_BYTES).alias("_parts"))
         files = cut_lineage(files.drop("source_date").join(sizes, "source_file"), "bronze-sizes")
-        out = to_silver(_read_bronze_files(files.where("_parts <= 1").drop("_parts")), counts[0], in_place=True)
-        large = [r["path"] for r in files.where("_parts > 1").select("path").collect()]
-        if large:
+        some = files.select("path").first()
+        ours = some is None or opens(some["path"])
+        by_value = [r["path"] for r in files.where("_parts > 1").select("path").collect()] if ours else inputs
+        outs = []
+        if ours:
             counts.append(silver.RunCounts())
-            rows = _read_bronze(spark, large, sums).join(F.broadcast(sizes.where("_parts > 1")), "source_file", "left")
-            out = out.unionByName(to_silver(rows, counts[1], parts_col="_parts"))
+            outs.append(to_silver(_read_bronze_files(files.where("_parts <= 1").drop("_parts")), counts[-1], in_place=True))
+        if by_value:
+            counts.append(silver.RunCounts())
+            # Files of one part need no entry: never more rows than the input has parts.
+            rows = _read_bronze(spark, by_value, sums).join(F.broadcast(sizes.where("_parts > 1")), "source_file", "left")
+            outs.append(to_silver(rows, counts[-1], parts_col="_parts"))
+        out = outs[0] if len(outs) == 1 else outs[0].unionByName(outs[1])
     else:
-        out = to_silver(_read_bronze(spark, inputs, sums), counts[0])
+        counts.append(silver.RunCounts())
+        out = to_silver(_read_bronze(spark, inputs, sums), counts[-1])
 
     def result() -> dict:
         found = [c.result() for c in counts]

@@ -111,6 +111,15 @@ def file_system(path: str):
     return store, f"{base.rstrip('/')}/{inner}"
 
 
+def opens(path: str) -> bool:
+    """Whether ``open_file`` knows the scheme of a file that Spark listed."""
+    try:
+        file_system(path)
+    except (OSError, ValueError, NotImplementedError):
+        return False
+    return True
+
+
 def open_file(path: str):
     """A readable byte stream of a file."""
     store, inner = file_system(path)
